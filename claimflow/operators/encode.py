@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow import fixed_values as fixed
 from claimflow.operators.projection import quoted
 from claimflow.operators.skew import lookup_join, running_totals
+from claimflow.session import materialise
 
 DOUBLE_MAX = 1.7976931348623157e308
 LITERAL_LIMIT = 200
@@ -104,7 +105,7 @@ class RareGrouper:
     def fit(self, df: DataFrame, columns: Sequence[str]) -> "RareGrouper":
         self.columns = list(columns)
         counts = category_counts(df, columns).filter(F.col("counts") >= self.min_freq)
-        self.frequent = counts.select("column_name", "category")
+        self.frequent = materialise(counts.select("column_name", "category"))
         return self
 
     def transform(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -155,6 +156,7 @@ class TargetEncoder:
             .groupBy("column_name", "category")
             .agg(F.sum("_y").alias("total"), F.count(F.lit(1)).alias("n"))
         )
+        self.stats = materialise(self.stats)
         return self
 
     def transform(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -164,8 +166,22 @@ class TargetEncoder:
         prior = F.lit(float(self.prior))
         share = (F.col("total") + F.lit(self.a) * prior) / (F.col("n") + F.lit(self.a))
         # a category seen once equals an unseen one, so it need not be looked up
+        columns = list(columns or self.columns)
         repeated = self.stats.filter(F.col("n") > 1)
-        for c in columns or self.columns:
+        few = repeated.limit(LITERAL_LIMIT * len(columns) + 1).collect()
+        if len(few) <= LITERAL_LIMIT * len(columns):
+            # short lists become constants: no join, and it works on streams
+
+            def encoded(c: str) -> Column:
+                own = [r for r in few if r["column_name"] == c]
+                if not own:
+                    return prior
+                value = [(r["total"] + self.a * self.prior) / (r["n"] + self.a) for r in own]
+                table = F.create_map(*[F.lit(x) for r, v in zip(own, value) for x in (r["category"], v)])
+                return F.coalesce(F.try_element_at(table, quoted(c).cast("string")), prior)
+
+            return df.withColumns({c: encoded(c) for c in columns})
+        for c in columns:
             table = repeated.filter(F.col("column_name") == c).select(
                 F.col("category").alias(c), share.alias("_share")
             )

@@ -66,9 +66,10 @@ class BatchModel:
 
     load: Callable[[], Callable[[np.ndarray], np.ndarray]]
     features: Sequence[str] = field(default_factory=tuple)
+    dtype: str = "float32"
 
     def score(self, df: DataFrame, name: str, complete: Column | None = None) -> DataFrame:
-        load = self.load
+        load, dtype = self.load, self.dtype
 
         @F.pandas_udf(T.DoubleType())
         def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
@@ -77,7 +78,7 @@ class BatchModel:
                 wanted = batch.pop("_complete").to_numpy(dtype=bool)
                 result = np.full(len(batch), np.nan)
                 if wanted.any():
-                    result[wanted] = np.ravel(model(batch[wanted].to_numpy(dtype="float32")))
+                    result[wanted] = np.ravel(model(batch[wanted].to_numpy(dtype=dtype)))
                 yield pd.Series(result).astype(object).where(wanted, None)
 
         flag = F.lit(True) if complete is None else complete
@@ -135,8 +136,8 @@ def fit_trees(df: DataFrame, features: Sequence[str], label: str, trees: int = 2
     """Gradient-boosted trees fitted on the cluster."""
     assembler = _assembler(features)
     booster = GBTClassifier(
-        featuresCol="_features", labelCol=label, maxIter=trees, seed=seed,
-        rawPredictionCol="_raw", probabilityCol="_probability", predictionCol="_predicted",
+        featuresCol="_features", labelCol=label, predictionCol="_predicted", maxIter=trees, seed=seed
     )
+    booster.setRawPredictionCol("_raw").setProbabilityCol("_probability")
     fitted = booster.fit(assembler.transform(df))
     return MlModel(PipelineModel([assembler, fitted]))

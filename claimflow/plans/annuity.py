@@ -52,18 +52,20 @@ def lag_features(df: DataFrame, base: str, events: Sequence[str]) -> DataFrame:
     )
 
 
-def application_features(df: DataFrame) -> DataFrame:
+def application_features(df: DataFrame, carry: Sequence[str] = (ENTITY,)) -> DataFrame:
+    """Features in model order; ``carry`` columns, such as a label to fit on, stay in front."""
     filled = login_features(fill_defaults(df, fixed.APPLICATION_DEFAULTS), fixed.APPLICATION_LOGINS)
     levels = [f"emp_level_{i}" for i in range(1, len(fixed.APPLICATION_LOGINS) + 1)]
     return filled.select(
         *[
             quoted(c)
-            for c in [ENTITY, *fixed.APPLICATION_NUMERIC, *fixed.APPLICATION_CATEGORICAL, *levels]
+            for c in [*carry, *fixed.APPLICATION_NUMERIC, *fixed.APPLICATION_CATEGORICAL, *levels]
         ]
     )
 
 
-def transaction_features(df: DataFrame) -> DataFrame:
+def transaction_features(df: DataFrame, carry: Sequence[str] = (ENTITY,)) -> DataFrame:
+    """Features in model order; ``carry`` columns stay in front."""
     filled = fill_defaults(df, fixed.TRANSACTION_DEFAULTS)
     named = filled.withColumn("CONTRACTDATA_WRITINGCODE", cleaning.list_first("CONTRACTDATA_WRITINGCODE"))
     known = login_features(named, fixed.TRANSACTION_LOGINS)
@@ -74,7 +76,7 @@ def transaction_features(df: DataFrame) -> DataFrame:
     ]
     flags = {c: cleaning.as_flag(quoted(c)) for c in fixed.TRANSACTION_BOOLEAN}
     columns = [
-        ENTITY, *fixed.TRANSACTION_CATEGORICAL, *fixed.TRANSACTION_NUMERIC,
+        *carry, *fixed.TRANSACTION_CATEGORICAL, *fixed.TRANSACTION_NUMERIC,
         *fixed.TRANSACTION_BOOLEAN, *levels,
     ]
     return known.withColumns(flags).select(*[quoted(c) for c in columns])
