@@ -16,7 +16,11 @@ def parse_timestamp(c: Column | str) -> Column:
     """
     c = F.col(c) if isinstance(c, str) else c
     text = c.cast("string")
-    iso = F.when(text.contains("/"), F.regexp_replace(text, SLASHED_DATE, "$3-$1-$2")).otherwise(text)
+    # the usual ten characters are cut by position; the pattern serves the rest
+    padded = (F.length(text) == 10) & (F.substring(text, 3, 1) == "/") & (F.substring(text, 6, 1) == "/")
+    by_place = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 1, 2), F.substring(text, 4, 2))
+    by_pattern = F.regexp_replace(text, SLASHED_DATE, "$3-$1-$2")
+    iso = F.when(padded, by_place).when(text.contains("/"), by_pattern).otherwise(text)
     return iso.try_cast("timestamp_ntz")
 
 

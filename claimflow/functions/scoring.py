@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from claimflow.functions.text import constant_list
+
 
 def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
@@ -14,10 +16,8 @@ def sigmoid(z: Column) -> Column:
 
 def linear(coefficients: Mapping[str, float], intercept: float) -> Column:
     """Weighted sum of the named features plus the intercept."""
-    total = F.lit(float(intercept))
-    for feature, weight in coefficients.items():
-        total = total + F.col(f"`{feature}`").cast("double") * F.lit(float(weight))
-    return total
+    terms = [f"CAST(`{name}` AS DOUBLE) * {float(weight)!r}D" for name, weight in coefficients.items()]
+    return F.expr(" + ".join([f"{float(intercept)!r}D", *terms]))
 
 
 def tree_sum(nodes: Sequence[Mapping]) -> Column:
@@ -89,4 +89,4 @@ def softmax_top(scores: Column, digits: int = 4) -> Column:
 
 def decode(index: Column, labels: Sequence[str]) -> Column:
     """Label of a class index."""
-    return F.get(F.array(*[F.lit(x) for x in labels]), index)
+    return F.get(constant_list(labels), index)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -18,9 +19,14 @@ WHITE_SPACE = (
 )
 
 
+def constant_list(values: Sequence, item: str = "string") -> Column:
+    """A constant array as one literal that the optimizer folds, however long."""
+    return F.from_json(F.lit(json.dumps(list(values))), f"array<{item}>")
+
+
 def remove_stopwords(c: Column, words: Sequence[str], missing: str = "_na_") -> Column:
     """Drop stop words between single spaces. Case counts: a leading "Other" stays."""
-    stop = F.array(*[F.lit(w) for w in words])
+    stop = constant_list(words)
     kept = F.filter(F.split(F.coalesce(c, F.lit(missing)), " "), lambda w: ~F.array_contains(stop, w))
     return F.array_join(kept, " ")
 
@@ -55,8 +61,7 @@ def phrase_hits(c: Column, phrases: Sequence[str]) -> Column:
     One array instead of a column per phrase keeps the generated code of a wide
     feature table below the compiler's limits; expand it where it is needed.
     """
-    table = F.array(*[F.lit(p) for p in phrases])
-    return F.transform(table, lambda p: F.coalesce(F.contains(c, p), F.lit(False)).cast("int"))
+    return F.transform(constant_list(phrases), lambda p: F.coalesce(F.contains(c, p), F.lit(False)).cast("int"))
 
 
 def no_hit(hits: Column) -> Column:
@@ -65,11 +70,16 @@ def no_hit(hits: Column) -> Column:
 
 
 def expand_hits(
-    hits: Column, phrases: Sequence[str], prefix: str, others: bool = True
+    hits: Column, phrases: Sequence[str], prefix: str, only: Sequence[str] | None = None
 ) -> dict[str, Column]:
-    """Named 0/1 columns out of a hit array, with an "others" column at the end."""
-    columns = {prefix + p: F.get(hits, F.lit(i)) for i, p in enumerate(phrases)}
-    if others:
+    """Named 0/1 columns out of a hit array, with an "others" column at the end.
+
+    ``only`` limits the columns to the names that are needed.
+    """
+    names = {prefix + p: i for i, p in enumerate(phrases)}
+    wanted = [*names, prefix + "others"] if only is None else only
+    columns = {n: F.get(hits, F.lit(names[n])) for n in wanted if n in names}
+    if prefix + "others" in wanted:
         columns[prefix + "others"] = no_hit(hits)
     return columns
 

@@ -16,11 +16,6 @@ from claimflow.operators.skew import fits_broadcast, running_totals
 IN_MEMORY_ROWS = 2_000_000
 
 
-def at(values: Sequence[float], index: Column) -> Column:
-    """Entry of a constant array; one folded literal, however long the list."""
-    return F.get(F.from_json(F.lit(json.dumps([float(v) for v in values])), "array<double>"), index)
-
-
 def grid_quantiles(
     df: DataFrame, columns: Sequence[str], points: int, in_memory_rows: int = IN_MEMORY_ROWS
 ) -> dict[str, list[float]]:
@@ -152,20 +147,16 @@ class QuantileTransform:
             handleInvalid="keep",
         ).transform(wide)
 
-        def share(c: str):
-            values, first, last = runs[c]
-            x = F.col(inputs[c])
-            cell = F.col(names[c]).cast("int")
-            left_x, right_x = at(values, cell - 1), at(values, cell)
-            left, right = at(last, cell - 1), at(first, cell)
-            on_knot = (at(first, cell - 1) + left) / 2
-            between = left + (right - left) * ((x - left_x) / (right_x - left_x))
-            return (
-                F.when(x.isNull(), F.lit(None).cast("double"))
-                .when(x <= F.lit(values[0]), F.lit(0.0))
-                .when(x >= F.lit(values[-1]), F.lit(1.0))
-                .when(x == left_x, on_knot)
-                .otherwise(between)
+        def share(c: str) -> Column:
+            values, first, last = (f"from_json('{json.dumps(v)}', 'array<double>')" for v in runs[c])
+            x, cell = f"`{inputs[c]}`", f"CAST(`{names[c]}` AS INT)"
+            left, right = f"get({last}, {cell} - 1)", f"get({first}, {cell})"
+            left_x, right_x = f"get({values}, {cell} - 1)", f"get({values}, {cell})"
+            return F.expr(
+                f"""CASE WHEN {x} IS NULL THEN CAST(NULL AS DOUBLE)
+                  WHEN {x} <= {runs[c][0][0]!r}D THEN 0D WHEN {x} >= {runs[c][0][-1]!r}D THEN 1D
+                  WHEN {x} = {left_x} THEN (get({first}, {cell} - 1) + {left}) / 2
+                  ELSE {left} + ({right} - {left}) * (({x} - {left_x}) / ({right_x} - {left_x})) END"""
             )
 
         return wide.select(*[share(c).alias(c) if c in fitted else quoted(c) for c in df.columns])

@@ -61,8 +61,15 @@ class TfIdf:
     idf: DataFrame | None = None
 
     def fit(self, df: DataFrame, key: str, terms: Column) -> "TfIdf":
-        texts = df.count()
+        """From one row per text; texts without terms count as texts."""
         seen = df.select(F.explode(F.array_distinct(terms)).alias("term"))
+        return self._weigh_terms(seen, df.count())
+
+    def fit_counts(self, counts: DataFrame, key: str) -> "TfIdf":
+        """From (key, term, n)."""
+        return self._weigh_terms(counts.select("term"), counts.select(key).distinct().count())
+
+    def _weigh_terms(self, seen: DataFrame, texts: int) -> "TfIdf":
         frequency = seen.groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
         frequency = frequency.filter(F.col("texts") >= self.min_texts)
         if self.max_terms:

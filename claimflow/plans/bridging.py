@@ -14,6 +14,7 @@ from claimflow.operators.projection import date_named, distinct_rows, eligible,
 from claimflow.operators.skew import lookup_join
 from claimflow.operators.snapshots import attach_snapshot, first_snapshot
 from claimflow.operators.vocabulary import TfIdf, stem_table, term_counts
+from claimflow.session import materialise
 
 KEY = "ClaimNumber"
 DESCRIPTION = "PrimaryDiagnosisDecription"
@@ -67,36 +68,24 @@ def clean_description(c: Column, stopwords: Sequence[str]) -> Column:
     return text.strip_punctuation(text.remove_stopwords(c, stopwords))
 
 
-def description_terms(features: DataFrame, stopwords: Sequence[str]) -> tuple[DataFrame, Column]:
-    """(text_key, cleaned) of each distinct description, and its terms.
+def description_stems(features: DataFrame, stopwords: Sequence[str]) -> DataFrame:
+    """(text_key, term, n): how often each stem occurs in each distinct description.
 
-    Descriptions repeat, so text work is done once per description, not per claim.
+    Descriptions repeat, so text work is done once per description, not per
+    claim; the table is kept, as fitting and scoring both need it.
     """
     cleaned = clean_description(F.col(DESCRIPTION), stopwords)
-    texts = features.select(cleaned.alias("cleaned")).distinct()
-    keyed = texts.select(F.md5("cleaned").alias("text_key"), "cleaned")
-    return keyed, text.words(F.col("cleaned"))
-
-
-def stem_counts(texts: DataFrame, terms: Column) -> DataFrame:
-    """(text_key, term, n) with stems as terms."""
-    counts = term_counts(texts, "text_key", terms).withColumnRenamed("term", "token")
+    texts = features.select(cleaned.alias("cleaned")).distinct().select(F.md5("cleaned").alias("text_key"), "cleaned")
+    counts = term_counts(texts, "text_key", text.words(F.col("cleaned"))).withColumnRenamed("term", "token")
     stems = lookup_join(counts, stem_table(texts, "cleaned"), ["token"])
-    return stems.groupBy("text_key", F.col("stem").alias("term")).agg(F.sum("n").alias("n"))
-
+    return materialise(stems.groupBy("text_key", F.col("stem").alias("term")).agg(F.sum("n").alias("n")))
 
-def fit_terms(features: DataFrame, stopwords: Sequence[str], min_texts: int, max_terms: int) -> TfIdf:
-    """Term weights over the distinct descriptions."""
-    texts, terms = description_terms(features, stopwords)
-    stemmed = stem_counts(texts, terms).groupBy("text_key").agg(F.collect_list("term").alias("terms"))
-    return TfIdf(min_texts, max_terms).fit(stemmed, "text_key", F.col("terms"))
 
-
-def add_terms(features: DataFrame, tfidf: TfIdf, terms: Sequence[str], stopwords: Sequence[str]) -> DataFrame:
+def add_terms(
+    features: DataFrame, stems: DataFrame, tfidf: TfIdf, terms: Sequence[str], stopwords: Sequence[str]
+) -> DataFrame:
     """Append one weight column per listed term."""
-    texts, tokens = description_terms(features, stopwords)
-    weights = tfidf.weigh(stem_counts(texts, tokens), "text_key")
-    wide = tfidf.wide(weights, "text_key", terms)
+    wide = tfidf.wide(tfidf.weigh(stems, "text_key"), "text_key", terms)
     keyed = features.withColumn("text_key", F.md5(clean_description(F.col(DESCRIPTION), stopwords)))
     joined = lookup_join(keyed, wide, ["text_key"])
     return joined.fillna(0.0, subset=list(terms)).drop("text_key")

@@ -34,7 +34,7 @@ def parsed(df: DataFrame, spec: ModelSpec) -> DataFrame:
     )
 
 
-def _std_groups() -> dict[str, Column]:
+def std_groups() -> dict[str, Column]:
     coverage = {"STDCORE": fixed.STD_COVERAGE_CORE, "STDVOL": fixed.STD_COVERAGE_VOLUNTARY}
     risk = {"High": fixed.STD_SIC_HIGH, "Medium": fixed.STD_SIC_MEDIUM}
     return {
@@ -51,7 +51,7 @@ def std_features(df: DataFrame) -> DataFrame:
     col = quoted
     built = parsed(df, STD).withColumns(
         {
-            **_std_groups(),
+            **std_groups(),
             "policy_tenure": tenure.policy_tenure(
                 col("Policy Effective Date"), col("Policy Termination Date"), col("Received Date")
             ),
@@ -172,11 +172,12 @@ def settlement_features(df: DataFrame, scaler: Scaler) -> DataFrame:
 def settlement_matrix(features: DataFrame, template: Sequence[str]) -> DataFrame:
     """Features in template order; only the phrase columns it names are expanded."""
     flags = {
-        **text.expand_hits(F.col("condition_hits"), fixed.SETTLEMENT_CONDITIONS, fixed.CONDITION_PREFIX),
-        **text.expand_hits(F.col("organ_hits"), fixed.SETTLEMENT_ORGANS, fixed.ORGAN_PREFIX),
+        **text.expand_hits(
+            F.col("condition_hits"), fixed.SETTLEMENT_CONDITIONS, fixed.CONDITION_PREFIX, template
+        ),
+        **text.expand_hits(F.col("organ_hits"), fixed.SETTLEMENT_ORGANS, fixed.ORGAN_PREFIX, template),
     }
-    wanted = {name: flag for name, flag in flags.items() if name in template}
-    wide = features.withColumns(wanted) if wanted else features
+    wide = features.withColumns(flags) if flags else features
     return align(wide, template, SETTLEMENT.categorical, carry=[ENTITY, "NA_row"])
 
 

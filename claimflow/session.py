@@ -22,6 +22,9 @@ def build_session(app: str = "claimflow", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # the JVM never compiles methods above 8000 bytes; wide feature tables run
+        # much faster as several smaller methods
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():

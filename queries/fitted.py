@@ -205,7 +205,7 @@ _stats = ",\n".join(
     f"t{i} AS (SELECT {c} AS v, sum(y) AS s, count(*) AS n FROM labelled GROUP BY 1 HAVING count(*) > 1)" for i, c in enumerate(TARGETS)
 )
 _joins = " ".join(f"LEFT JOIN t{i} ON l.{c} = t{i}.v" for i, c in enumerate(TARGETS))
-_shares = ", ".join(f"round(coalesce((t{i}.s + prior) / (t{i}.n + 1), prior), 6) AS {c}" for i, c in enumerate(TARGETS))
+_shares = ", ".join(f"coalesce((t{i}.s + prior) / (t{i}.n + 1), prior) AS {c}" for i, c in enumerate(TARGETS))
 
 
 @query("H7a", f"""WITH labelled AS (SELECT *, {_label} AS y FROM lineitem), p AS (SELECT avg(y) AS prior FROM labelled), {_stats}
@@ -213,17 +213,16 @@ _shares = ", ".join(f"round(coalesce((t{i}.s + prior) / (t{i}.n + 1), prior), 6)
 def target_encoded(spark, sf):
     raw = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", *TARGETS, f"{_label} AS y")
     encoder = encode.TargetEncoder().fit(raw, TARGETS, "y")
-    encoded = encoder.transform(raw).drop("y")
-    return encoded.withColumns({c: r6(F.col(c)) for c in TARGETS})
+    return encoder.transform(raw).drop("y")
 
 
 _event_label = "CASE WHEN (event_id * 31 + user_id) % 10 < 3 THEN 1 ELSE 0 END"
 
 
 @query("H7b", f"""WITH l AS (SELECT event_id, user_id, {_event_label} AS y FROM events), p AS (SELECT avg(y) AS prior FROM l)
- SELECT event_id, user_id, round((coalesce(sum(y) OVER w, 0) + prior) / (count(*) OVER w + 1), 6) AS share FROM l, p
+ SELECT event_id, user_id, (coalesce(sum(y) OVER w, 0) + prior) / (count(*) OVER w + 1) AS share FROM l, p
  WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def ordered_target_encoded(spark, sf):
     raw = table(spark, sf, "events").selectExpr("event_id", "user_id", f"{_event_label} AS y")
     encoded = encode.TargetEncoder().fit_transform(raw, "user_id", "y", "event_id")
-    return encoded.select("event_id", "user_id", r6(F.col("user_id_encoded")).alias("share"))
+    return encoded.select("event_id", "user_id", F.col("user_id_encoded").alias("share"))

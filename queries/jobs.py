@@ -11,6 +11,8 @@ from claimflow.operators import models, rules, scale
 from claimflow.operators.encode import RareGrouper, TargetEncoder, align
 from claimflow.operators.projection import quoted
 from claimflow.plans import annuity, bridging, claims, headers
+from claimflow.operators.vocabulary import TfIdf
+from claimflow.session import materialise
 from claimflow.sources.sinks import envelope, envelope_batch, transaction_envelope
 from queries import sqltext as q
 from queries.fitted import STD_HOT, STD_TEMPLATE, knots_sql, quantile_sql
@@ -459,9 +461,10 @@ BRIDGING_P = q.linear(BRIDGING_WEIGHTS, -0.5, _bridging_expr())
  f"""scored AS (SELECT f."ClaimNumber", {BRIDGING_P} AS p FROM features f LEFT JOIN w ON f.cleaned = w.cleaned)""",
  select="""SELECT "ClaimNumber" AS "claimNumber", round(p, 6) AS "predictedProbability", CAST(p >= 0.5 AS INT) AS predicted_bridged_ind FROM scored"""))
 def bridging_claims(spark, sf):
-    features = bridging.bridging_features(view(spark, sf, "snapshots"), SNAPSHOT_TIEBREAK)
-    tfidf = bridging.fit_terms(features, STOPWORDS, min_texts=2, max_terms=500)
-    worded = bridging.add_terms(features, tfidf, BRIDGING_TERMS, STOPWORDS)
+    features = materialise(bridging.bridging_features(view(spark, sf, "snapshots"), SNAPSHOT_TIEBREAK))
+    stems = bridging.description_stems(features, STOPWORDS)
+    tfidf = TfIdf(min_texts=2, max_terms=500).fit_counts(stems, "text_key")
+    worded = bridging.add_terms(features, stems, tfidf, BRIDGING_TERMS, STOPWORDS)
     filled = worded.fillna(0.0, subset=list(BRIDGING_SMALL))
     grouper = RareGrouper(20).fit(features, fixed.BRIDGING_CATEGORICAL)
     model = models.LinearModel(BRIDGING_WEIGHTS, -0.5)

@@ -439,7 +439,7 @@ def diagnosis_code_parts(spark, sf):
 
 @query("E3", category_sql(grp=q.STD_GROUP))
 def std_diagnosis_group(spark, sf):
-    grouped = view(spark, sf, "claims").withColumns(claims._std_groups())
+    grouped = view(spark, sf, "claims").withColumns(claims.std_groups())
     return grouped.select(quoted(ID), quoted("Primary Diagnosis Category").alias("grp"))
 
 
@@ -451,7 +451,7 @@ def settlement_diagnosis_group(spark, sf):
 
 @query("E5", category_sql(risk=q.STD_RISK))
 def sic_risk(spark, sf):
-    grouped = view(spark, sf, "claims").withColumns(claims._std_groups())
+    grouped = view(spark, sf, "claims").withColumns(claims.std_groups())
     return grouped.select(quoted(ID), F.col("SIC_risk_ind").alias("risk"))
 
 
@@ -459,7 +459,7 @@ def sic_risk(spark, sf):
 def coverage_group(spark, sf):
     raw = view(spark, sf, "claims")
     return raw.select(
-        quoted(ID), claims._std_groups()["Coverage Code"].alias("std"),
+        quoted(ID), claims.std_groups()["Coverage Code"].alias("std"),
         claims.settlement_groups()["Coverage Code"].alias("settlement"),
     )
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimflow import fixed_values as fixed
+from claimflow.sources.readers import spread
 
 
 class Dialect:
@@ -271,7 +272,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A bound view as a Spark table; unused columns are pruned from the scan."""
     source, fields = VIEWS[name]
     exprs = [f"{x} AS {SPARK.name(c)}" for c, x in fields(SPARK).items()]
-    return table(spark, sf_dir, source).selectExpr(*exprs)
+    return spread(table(spark, sf_dir, source)).selectExpr(*exprs)
 
 
 def view_sql(name: str) -> str:
