@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 
 from claimflow.operators.projection import quoted
 from claimflow.operators.skew import fits_broadcast, running_totals
+from claimflow.session import materialise
 
-IN_MEMORY_ROWS = 2_000_000
+IN_MEMORY_ROWS = 100_000
 
 
 def grid_quantiles(
-    df: DataFrame, columns: Sequence[str], points: int, in_memory_rows: int = IN_MEMORY_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    points: int,
+    in_memory_rows: int = IN_MEMORY_ROWS,
+    **bounds: int,
 ) -> dict[str, list[float]]:
     """Exact quantiles at 0, 1/(points-1), ..., 1 with linear interpolation.
 
@@ -40,7 +45,8 @@ def grid_quantiles(
             for i, c in enumerate(columns)
         ]
     )
-    counts = (
+    # counted once, read by each of the steps below
+    counts = materialise(
         df.select(F.inline(pairs))
         .filter(F.col("x").isNotNull())
         .groupBy("feature", "x")
@@ -49,7 +55,7 @@ def grid_quantiles(
     sizes = {r["feature"]: r["size"] for r in counts.groupBy("feature").agg(F.sum("n").alias("size")).collect()}
     # ranks around each grid point: position p of the grid needs floor(p) and floor(p)+1
     last = F.element_at(F.create_map(*[F.lit(v) for f, s in sizes.items() for v in (f, s - 1)]), F.col("feature"))
-    ranked = running_totals(counts, "x", ["n"], ["feature"]).withColumn("last", last)
+    ranked = running_totals(counts, "x", ["n"], ["feature"], **bounds).withColumn("last", last)
     low = F.greatest(F.lit(0), F.floor((F.col("n_before") - 1) * step / F.greatest(F.col("last"), F.lit(1))))
     high = F.least(F.lit(step), F.ceil((F.col("n_before") + F.col("n")) * step / F.greatest(F.col("last"), F.lit(1))))
     near = ranked.filter(low <= high).select(

@@ -13,8 +13,14 @@ from claimflow.operators.snapshots import first_snapshot
 from claimflow.session import shared_dir
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet", **options: str) -> DataFrame:
-    return spark.readStream.format(form).schema(schema).options(**options).load(path)
+def read_stream(
+    spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet",
+    partitions: int | None = None, **options: str,
+) -> DataFrame:
+    """New files of a folder. ``partitions`` spreads micro-batches that consist of
+    fewer files than there are cores; leave it out for sources with many files."""
+    stream = spark.readStream.format(form).schema(schema).options(**options).load(path)
+    return stream.repartition(partitions) if partitions else stream
 
 
 def score_stream(

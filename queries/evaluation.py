@@ -187,7 +187,8 @@ def stream_view(spark, sf, name):
     """A bound view on a stream of the table's files."""
     source, fields = VIEWS[name]
     schema = spark.read.parquet(f"{sf}/{source}.parquet").schema
-    raw = streams.read_stream(spark, sf, schema, pathGlobFilter=f"{source}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    raw = streams.read_stream(spark, sf, schema, partitions=cores, pathGlobFilter=f"{source}.parquet")
     return raw.selectExpr(*[f"{x} AS {SPARK.name(c)}" for c, x in fields(SPARK).items()])
 
 
