@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from claimflow.operators.projection import quoted
 from claimflow.operators.skew import running_totals
+from claimflow.session import materialise
 
 
 def confusion(df: DataFrame, actual: str, predicted: str, weight: str | None = None) -> DataFrame:
@@ -74,39 +75,37 @@ def score_counts(df: DataFrame, actual: str, score: str) -> DataFrame:
     )
 
 
-def _ranked(df: DataFrame, actual: str, score: str, **bounds: int) -> DataFrame:
-    return running_totals(score_counts(df, actual, score), "score", ["pos", "neg"], **bounds)
+def _ranked(df: DataFrame, actual: str, score: str, **bounds: int) -> tuple[DataFrame, float, float]:
+    """Counts per score with totals below each score, and the class sizes.
+
+    The counts are kept, so that the rows behind them are read once.
+    """
+    counts = materialise(score_counts(df, actual, score))
+    sizes = counts.agg(F.sum("pos"), F.sum("neg")).first()
+    p, n = (float(x or 0) for x in sizes)
+    return running_totals(counts, "score", ["pos", "neg"], **bounds), p, n
 
 
 def auc(df: DataFrame, actual: str, score: str, **bounds: int) -> DataFrame:
     """One row ``auc``: chance that a positive outranks a negative, ties half."""
-    won = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)
-    totals = _ranked(df, actual, score, **bounds).agg(
-        F.sum(won).alias("won"), F.sum("pos").alias("p"), F.sum("neg").alias("n")
-    )
-    pairs = F.col("p").cast("double") * F.col("n").cast("double")
-    return totals.select(F.try_divide(F.col("won"), pairs).alias("auc"))
+    ranked, p, n = _ranked(df, actual, score, **bounds)
+    won = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))
+    return ranked.agg(F.try_divide(won, F.lit(p * n)).alias("auc"))
 
 
 def auc_pr(df: DataFrame, actual: str, score: str, **bounds: int) -> DataFrame:
     """One row ``auc_pr``: average precision over the distinct scores."""
-    totals = df.filter(quoted(score).isNotNull()).agg(
-        F.sum(F.when(quoted(actual) == 1, 1).otherwise(0)), F.sum(F.when(quoted(actual) == 0, 1).otherwise(0))
-    ).first()
-    p, n = (float(x or 0) for x in totals)
+    ranked, p, n = _ranked(df, actual, score, **bounds)
     tp = F.lit(p) - F.col("pos_before")
     fp = F.lit(n) - F.col("neg_before")
     gained = F.col("pos") * F.try_divide(tp, tp + fp)
-    return _ranked(df, actual, score, **bounds).agg(F.try_divide(F.sum(gained), F.lit(p)).alias("auc_pr"))
+    return ranked.agg(F.try_divide(F.sum(gained), F.lit(p)).alias("auc_pr"))
 
 
 def threshold_curve(df: DataFrame, actual: str, score: str, **bounds: int) -> DataFrame:
     """(threshold, fpr, fnr) when rows at or above the threshold count as positive."""
-    totals = df.filter(quoted(score).isNotNull()).agg(
-        F.sum(F.when(quoted(actual) == 1, 1).otherwise(0)), F.sum(F.when(quoted(actual) == 0, 1).otherwise(0))
-    ).first()
-    p, n = (float(x or 0) for x in totals)
-    return _ranked(df, actual, score, **bounds).select(
+    ranked, p, n = _ranked(df, actual, score, **bounds)
+    return ranked.select(
         F.col("score").alias("threshold"),
         F.try_divide(F.lit(n) - F.col("neg_before"), F.lit(n)).alias("fpr"),
         F.try_divide(F.col("pos_before"), F.lit(p)).alias("fnr"),

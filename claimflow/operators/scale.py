@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.operators.projection import quoted
-from claimflow.operators.skew import fits_broadcast, running_totals
+from claimflow.operators.skew import running_totals
 from claimflow.session import materialise
 
 IN_MEMORY_ROWS = 100_000
@@ -32,7 +32,7 @@ def grid_quantiles(
     """
     columns = list(columns)
     step = points - 1
-    if fits_broadcast(df.select(F.lit(1)), in_memory_rows):
+    if df.count() <= in_memory_rows:
         at = F.array(*[F.lit(i / step) for i in range(points)])
         row = df.agg(
             *[F.percentile(quoted(c).cast("double"), at).alias(f"q{i}") for i, c in enumerate(columns)]

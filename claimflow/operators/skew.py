@@ -17,6 +17,7 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
 SALTS = 64
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SINGLE_TASK_ROWS = 1_000_000
 CELLS = 1_024
 
@@ -32,9 +33,14 @@ def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> list:
     return [row[0] for row in heaviest.collect() if row[0] is not None]
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table was counted to be small enough to copy to every executor."""
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table was measured to be small enough to copy to every executor.
+
+    One distributed aggregation counts its rows and the bytes of their values.
+    """
+    values = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(values), F.lit(0)).alias("size")).first()
+    return found["n"] <= rows and found["size"] <= size
 
 
 def _salted(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot: list, salts: int):
@@ -56,13 +62,15 @@ def salted_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    hot: list | None = None,
 ) -> DataFrame:
     """Equi-join in which the left rows of a hot key are spread over many tasks.
 
     The few right rows of such a key are copied once per salt; all other keys
     take the ordinary join. Only ``inner`` and ``left`` joins are meaningful.
+    ``hot`` names the hot keys if the caller has counted them already.
     """
-    hot = hot_keys(left, on[0], hot_rows)
+    hot = hot_keys(left, on[0], hot_rows) if hot is None else hot
     if not hot:
         return left.join(right, list(on), how)
     return _salted(left, right, list(on), how, hot, salts)
@@ -76,7 +84,7 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join to a lookup table: broadcast if counted small, else a salted join."""
+    """Join to a lookup table: broadcast if measured small, else a salted join."""
     if fits_broadcast(table, broadcast_rows):
         return left.join(F.broadcast(table), list(on), how)
     return salted_join(left, table, on, how, hot_rows)
@@ -121,7 +129,7 @@ def running_totals(
     def total(m: str, w) -> Column:
         return F.coalesce(F.sum(m).over(w), F.lit(0))
 
-    if fits_broadcast(df, single_task_rows):
+    if df.count() <= single_task_rows:
         w = before(group, order)
         return df.select("*", *[total(m, w).alias(f"{m}_before") for m in measures])
 

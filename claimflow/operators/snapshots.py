@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimflow.operators.projection import quoted
 from claimflow.operators.skew import HOT_ROWS, hot_keys, running_totals, salted_join
+from claimflow.session import materialise
 
 
 def approval_rank(
@@ -32,14 +33,14 @@ def approval_rank(
         return ranked
 
     crowded = df.filter(busy).withColumn("_at", F.unix_micros(quoted(date).cast("timestamp")).cast("double"))
-    per_date = (
+    per_date = materialise(
         crowded.filter(F.col("_at").isNotNull()).groupBy(key, "_at").agg(F.count(F.lit(1)).alias("_n"))
     )
     totals = running_totals(per_date, "_at", ["_n"], [key], **bounds)
     table = totals.select(
         key, "_at", F.floor(F.col("_n_before") + (F.col("_n") + 1) / 2).cast("int").alias("_rank")
     )
-    joined = salted_join(crowded, table, [key, "_at"], "left", hot_rows)
+    joined = salted_join(crowded, table, [key, "_at"], "left", hot=hot)
     far = joined.select(
         *[quoted(c) for c in df.columns],
         F.coalesce(F.col("_rank"), F.lit(-1)).alias("approval_date_rank"),
@@ -62,10 +63,10 @@ def first_snapshot(
 
 
 def attach_snapshot(
-    features: DataFrame, snapshot: DataFrame, key: str, hot_rows: int = HOT_ROWS
+    features: DataFrame, snapshot: DataFrame, key: str, hot_rows: int = HOT_ROWS, hot: list | None = None
 ) -> DataFrame:
     """Inner join of feature rows with their claim's snapshot row.
 
     A claim with several feature rows yields several results.
     """
-    return salted_join(features, snapshot, [key], "inner", hot_rows)
+    return salted_join(features, snapshot, [key], "inner", hot_rows, hot=hot)

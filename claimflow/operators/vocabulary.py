@@ -29,9 +29,15 @@ def _placed_words(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     return df.select(quoted(key).alias(key), F.inline_outer(placed))
 
 
+def _exploded(df: DataFrame, items: Column, name: str, *keys: Column) -> DataFrame:
+    """One row per item. The outer form keeps the optimizer from testing the size
+    of the list first, which would split every text twice."""
+    return df.select(*keys, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())
+
+
 def stem_table(df: DataFrame, text: str) -> DataFrame:
     """(token, stem) for every distinct word of the column, computed once."""
-    vocabulary = df.select(F.explode(words(quoted(text))).alias("token")).distinct()
+    vocabulary = _exploded(df, words(quoted(text)), "token").distinct()
     return materialise(vocabulary.select("token", stem("token").alias("stem")))
 
 
@@ -48,7 +54,7 @@ def stem_text(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
 def term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
     """(key, term, n). All words of a text sit in one map task, so the shuffle
     carries each distinct word of a text once."""
-    exploded = df.select(quoted(key).alias(key), F.explode(terms).alias("term"))
+    exploded = _exploded(df, terms, "term", quoted(key).alias(key))
     return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -62,7 +68,7 @@ class TfIdf:
 
     def fit(self, df: DataFrame, key: str, terms: Column) -> "TfIdf":
         """From one row per text; texts without terms count as texts."""
-        seen = df.select(F.explode(F.array_distinct(terms)).alias("term"))
+        seen = _exploded(df, F.array_distinct(terms), "term")
         return self._weigh_terms(seen, df.count())
 
     def fit_counts(self, counts: DataFrame, key: str) -> "TfIdf":
@@ -104,7 +110,7 @@ def build_vocabulary(df: DataFrame, terms: Column, size: int, reserved: int = 2)
     A vocabulary has a fixed size by definition, so numbering it in one task is
     bounded by ``size``.
     """
-    counted = df.select(F.explode(terms).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counted = _exploded(df, terms, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     top = counted.orderBy(F.desc("n"), "token").limit(size)
     place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "token"))
     return materialise(top.select("token", (place + F.lit(reserved - 1)).cast("int").alias("id")))

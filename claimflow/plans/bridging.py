@@ -11,7 +11,7 @@ from claimflow import fixed_values as fixed
 from claimflow.functions import categories, cleaning, scoring, tenure, text
 from claimflow.operators.encode import RareGrouper, align
 from claimflow.operators.projection import date_named, distinct_rows, eligible, quoted
-from claimflow.operators.skew import lookup_join
+from claimflow.operators.skew import hot_keys, lookup_join
 from claimflow.operators.snapshots import attach_snapshot, first_snapshot
 from claimflow.operators.vocabulary import TfIdf, stem_table, term_counts
 from claimflow.session import materialise
@@ -58,7 +58,9 @@ def short_term_snapshots(rows: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
 
 def bridging_features(df: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
     rows = eligible_rows(df)
-    joined = attach_snapshot(claim_features(rows), short_term_snapshots(rows, tiebreak), KEY)
+    # counted on the rows before they are made distinct: one cheap pass over one column
+    hot = hot_keys(rows, KEY)
+    joined = attach_snapshot(claim_features(rows), short_term_snapshots(rows, tiebreak), KEY, hot=hot)
     prognosis = tenure.initial_prognosis_days(F.col("LossDate"), F.col("first_duration_date"))
     return joined.withColumn("initial_prognosis_days", prognosis)
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow import fixed_values as fixed
 from claimflow.functions import scoring, text
 from claimflow.operators import rules
+from claimflow.operators.skew import lookup_join
 from claimflow.operators.vocabulary import WORD, token_ids
 from claimflow.sources.readers import explode_headers
 from claimflow.sources.sinks import PART_ROWS, envelope_batch
@@ -17,7 +18,7 @@ from claimflow.sources.sinks import PART_ROWS, envelope_batch
 HEADS = {"prod": fixed.PRODUCT_LABELS, "hdr": fixed.HEADER_LABELS, "ent": fixed.PARTY_LABELS}
 
 
-def header_words(header):
+def header_words(header: Column) -> Column:
     """Lower-cased words of a normalised header."""
     return F.regexp_extract_all(F.lower(text.normalise_header(header)), F.lit(WORD), F.lit(0))
 
@@ -30,7 +31,7 @@ def encode_headers(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
     distinct = df.select("column_name").filter(F.col("column_name").isNotNull()).distinct()
     ids = token_ids(distinct, "column_name", header_words(F.col("column_name")), vocabulary)
     padded = ids.withColumn("ids", text.pad_left(F.col("ids"), fixed.HEADER_SEQUENCE_LENGTH))
-    return df.join(padded, ["column_name"], "left")
+    return lookup_join(df, padded, ["column_name"])
 
 
 def decode_heads(df: DataFrame) -> DataFrame:

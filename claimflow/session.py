@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     A folder of this machine is used only where the cluster names none, as in
     tests; every executor must be able to reach the folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         named = tempfile.mkdtemp(prefix="claimflow-")
         if not spark.sparkContext.master.startswith("local"):
