@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,12 +49,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute a table once and keep it in the shared folder.
+    """Compute a table once and read it back from the shared folder.
 
-    Used where a result is needed several times. The reliable checkpoint cuts the
-    lineage and survives the loss of any executor.
+    Used where a result is needed several times. The written table cuts the
+    lineage, survives the loss of any executor, and is read column by column.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
