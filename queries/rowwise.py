@@ -328,33 +328,33 @@ def duration_sql(**columns: str) -> str:
     return q.with_views(CLAIMS, select=f"SELECT {q.name(ID)}, {listed} FROM claims")
 
 
-LOSS, RECEIVED, HIRED = quoted("Loss Date"), quoted("Received Date"), quoted("Insured Hire Date")
-EFFECTIVE, TERMINATED = quoted("Policy Effective Date"), quoted("Policy Termination Date")
-DURATION, MONTHS = quoted("Duration Date"), quoted("Duration Months")
-FIRST_PAID, LAST_PAID = quoted("First Payment From Date"), quoted("Last Payment To Date")
+LOSS, RECEIVED, HIRED = "Loss Date", "Received Date", "Insured Hire Date"
+EFFECTIVE, TERMINATED = "Policy Effective Date", "Policy Termination Date"
+DURATION, MONTHS = "Duration Date", "Duration Months"
+FIRST_PAID, LAST_PAID = "First Payment From Date", "Last Payment To Date"
 
 
 @query("D1", duration_sql(days=q.EMP, months=f"{q.EMP} / (365.2425::DOUBLE / 12)", years=f"{q.EMP} / 365.2425::DOUBLE"))
 def date_difference(spark, sf):
     units = {"days": "D", "months": "M", "years": "Y"}
     return dated(spark, sf).select(
-        quoted(ID), *[r6(tenure.elapsed(HIRED, LOSS, u)).alias(n) for n, u in units.items()]
+        quoted(ID), *[r6(tenure.elapsed(quoted(HIRED), quoted(LOSS), u)).alias(n) for n, u in units.items()]
     )
 
 
 @query("D2", duration_sql(positive=q.pos(q.EMP), signed=q.EMP))
 def employment_tenure(spark, sf):
     return dated(spark, sf).select(
-        quoted(ID), r6(tenure.emp_tenure(HIRED, LOSS)).alias("positive"),
-        r6(tenure.emp_tenure(HIRED, LOSS, positive_only=False)).alias("signed"),
+        quoted(ID), r6(tenure.emp_tenure(quoted(HIRED), quoted(LOSS))).alias("positive"),
+        r6(tenure.emp_tenure(quoted(HIRED), quoted(LOSS), positive_only=False)).alias("signed"),
     )
 
 
 @query("D3", duration_sql(positive=q.pos(q.POLICY), signed=q.POLICY))
 def policy_tenure(spark, sf):
     return dated(spark, sf).select(
-        quoted(ID), r6(tenure.policy_tenure(EFFECTIVE, TERMINATED, RECEIVED)).alias("positive"),
-        r6(tenure.policy_tenure(EFFECTIVE, TERMINATED, RECEIVED, positive_only=False)).alias("signed"),
+        quoted(ID), r6(tenure.policy_tenure(quoted(EFFECTIVE), quoted(TERMINATED), quoted(RECEIVED))).alias("positive"),
+        r6(tenure.policy_tenure(quoted(EFFECTIVE), quoted(TERMINATED), quoted(RECEIVED), positive_only=False)).alias("signed"),
     )
 
 
@@ -362,26 +362,26 @@ def policy_tenure(spark, sf):
 def days_to_report(spark, sf):
     how = {"zeroed": "zero", "nulled": "null", "kept": "keep"}
     return dated(spark, sf).select(
-        quoted(ID), *[r6(tenure.days_to_report(LOSS, RECEIVED, h)).alias(n) for n, h in how.items()]
+        quoted(ID), *[r6(tenure.days_to_report(quoted(LOSS), quoted(RECEIVED), h)).alias(n) for n, h in how.items()]
     )
 
 
 @query("D5", duration_sql(prognosis=q.PROGNOSIS))
 def prognosis(spark, sf):
     return dated(spark, sf).select(
-        quoted(ID), r6(tenure.prognosis_days(LOSS, DURATION, MONTHS)).alias("prognosis")
+        quoted(ID), r6(tenure.prognosis_days(quoted(LOSS), quoted(DURATION), quoted(MONTHS))).alias("prognosis")
     )
 
 
 @query("D6", duration_sql(lag=f"CASE WHEN {q.LAG} >= 0 THEN {q.LAG} END"))
 def payment_lag(spark, sf):
-    return dated(spark, sf).select(quoted(ID), r6(tenure.payment_lag(FIRST_PAID, LAST_PAID)).alias("lag"))
+    return dated(spark, sf).select(quoted(ID), r6(tenure.payment_lag(quoted(FIRST_PAID), quoted(LAST_PAID))).alias("lag"))
 
 
 @query("D7", duration_sql(first_payment=q.FIRST_PAY))
 def first_payment(spark, sf):
     return dated(spark, sf).select(
-        quoted(ID), r6(tenure.days_to_first_payment(LOSS, FIRST_PAID)).alias("first_payment")
+        quoted(ID), r6(tenure.days_to_first_payment(quoted(LOSS), quoted(FIRST_PAID))).alias("first_payment")
     )
 
 

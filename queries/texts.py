@@ -192,23 +192,29 @@ GAZETTEER = [
     ("is", "DX_NAME"), ("for the", "TREATMENT_NAME"), ("to the", "DIRECTION"),
     ("de", "NAME"), ("of the and", "ACUITY"),
 ]
-_gaz = ", ".join(f"({q.lit(p)}, {q.lit(x)}, {len(p.split())})" for p, x in GAZETTEER)
-_lists = ",\n ".join(
-    f"coalesce(string_agg(CASE WHEN label = {q.lit(x)} THEN words END, '|' ORDER BY pos), '') AS {n}"
-    for x, n in fixed.ENTITY_LISTS.items()
-)
-
-
-@query("F11", f"""WITH RECURSIVE listed AS (SELECT doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+') AS words FROM documents),
- tokens AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM listed),
- gazetteer(phrase, label, n) AS (VALUES {_gaz}),
- matches AS (SELECT doc_id, pos, n, label, array_to_string(words[pos:pos + n - 1], ' ') AS words
-   FROM tokens JOIN gazetteer ON lower(array_to_string(words[pos:pos + n - 1], ' ')) = phrase),
- best AS (SELECT doc_id, pos, max(n) AS n, arg_max(label, n) AS label, arg_max(words, n) AS words FROM matches GROUP BY doc_id, pos),
- linked AS (SELECT b.*, c.pos AS next FROM best b ASOF LEFT JOIN best c ON b.doc_id = c.doc_id AND b.pos + b.n <= c.pos),
- walk AS (SELECT doc_id, pos, label, words, next FROM linked WHERE (doc_id, pos) IN (SELECT (doc_id, min(pos)) FROM best GROUP BY doc_id)
-   UNION ALL SELECT l.doc_id, l.pos, l.label, l.words, l.next FROM walk w JOIN linked l ON l.doc_id = w.doc_id AND l.pos = w.next)
- SELECT d.doc_id, {_lists} FROM documents d LEFT JOIN walk w ON d.doc_id = w.doc_id GROUP BY d.doc_id""")
+
+
+def _spaced(phrase: str) -> str:
+    """A phrase in a text whose words each stand between two blanks of their own."""
+    return "".join(f" {w} " for w in phrase.split())
+
+
+def _entity_sql() -> str:
+    # alternatives are tried in order, so the longest phrase at a word wins
+    by_length = sorted((p for p, _ in GAZETTEER), key=lambda p: -len(p.split()))
+    pattern = "(?i)" + "|".join(map(_spaced, by_length))
+    lists = []
+    for label, output in fixed.ENTITY_LISTS.items():
+        own = [_spaced(p) for p, x in GAZETTEER if x == label]
+        hits = f"list_filter(found, lambda m: lower(m) IN {q.members(own)})"
+        lists.append(f"array_to_string(list_transform({hits}, lambda m: replace(trim(m), '  ', ' ')), '|') AS {output}")
+    words = r"regexp_extract_all(text, '[\p{L}\p{N}]+')"
+    return f"""WITH spaced AS (SELECT doc_id, array_to_string(list_transform({words}, lambda w: ' ' || w || ' '), '') AS t FROM documents),
+ scanned AS (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS found FROM spaced)
+ SELECT doc_id, {", ".join(lists)} FROM scanned"""
+
+
+@query("F11", _entity_sql())
 def entity_lists(spark, sf):
     gazetteer = spark.createDataFrame(GAZETTEER, "phrase string, label string")
     found = entities.entity_envelopes(table(spark, sf, "documents"), "doc_id", "text", gazetteer)
