@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
 SALTS = 64
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SINGLE_TASK_ROWS = 1_000_000
 CELLS = 1_024
@@ -27,10 +27,18 @@ def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> list:
 
     One aggregation with map-side combine. A key beyond the limit has, by the
     ordering, less than 1/MAX_HOT_KEYS of all rows and needs no special care.
+    None in the list stands for rows without a key.
     """
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
     heaviest = counted.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-    return [row[0] for row in heaviest.collect() if row[0] is not None]
+    return [row[0] for row in heaviest.collect()]
+
+
+def is_hot(key: str, hot: list) -> Column:
+    """Whether a row's key is one of the hot keys, none included."""
+    named = [k for k in hot if k is not None]
+    hit = F.coalesce(F.col(f"`{key}`").isin(named), F.lit(False)) if named else F.lit(False)
+    return hit | F.col(f"`{key}`").isNull() if None in hot else hit
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -44,13 +52,12 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
 
 
 def _salted(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot: list, salts: int):
-    key = on[0]
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    busy = is_hot(on[0], hot)
     # The salt depends on the row's content alone, so a task that runs again
     # after an executor loss gives every row the same salt as before.
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
-    left = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = left.withColumn("_salt", F.when(busy, spread).otherwise(F.lit(0)))
+    copies = F.when(busy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = right.withColumn("_salt", F.explode(copies))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 

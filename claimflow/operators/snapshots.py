@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimflow.operators.projection import quoted
-from claimflow.operators.skew import HOT_ROWS, hot_keys, running_totals, salted_join
+from claimflow.operators.skew import HOT_ROWS, hot_keys, is_hot, running_totals, salted_join
 from claimflow.session import materialise
 
 
@@ -21,7 +21,7 @@ def approval_rank(
     snapshots are ranked from counts per date instead of in one window.
     """
     hot = hot_keys(df, key, hot_rows)
-    busy = F.coalesce(quoted(key).isin(hot), F.lit(False)) if hot else F.lit(False)
+    busy = is_hot(key, hot)
     calm = df.filter(~busy) if hot else df
 
     in_claim = Window.partitionBy(key).orderBy(F.asc_nulls_last(date))

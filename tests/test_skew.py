@@ -6,7 +6,6 @@ import math
 import random
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +52,16 @@ def test_salted_join_equals_plain(spark):
         assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
+def test_rows_without_a_key_are_spread_and_kept(spark):
+    left = spark.createDataFrame([(i, None if i % 3 else f"k{i % 5}") for i in range(300)], "i int, k string")
+    right = spark.createDataFrame([("k1", 1), (None, 2)], "k string, y int")
+    assert skew.hot_keys(left, "k", 100) == [None]
+    for how in ("inner", "left"):
+        salted = skew.salted_join(left, right, ["k"], how, hot_rows=100, salts=4)
+        plain = left.join(right, ["k"], how)
+        assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
 def test_salted_join_spreads_the_hot_key(spark):
     left = spark.createDataFrame(hot_rows(3000), "i int, k string, x int")
     right = spark.createDataFrame([("hot", 1)], "k string, y int")
@@ -78,21 +87,25 @@ def snapshots(spark, n=500):
         day = rng.choice([None, *range(1, 29)])
         date = None if day is None else dt.datetime(2020, 1, day, rng.randrange(3))
         rows.append(("hot" if i % 3 == 0 else f"c{rng.randrange(60)}", date, i))
+    rows += [(None, dt.datetime(2020, 1, 2), n + i) for i in range(80)]
     return rows, spark.createDataFrame(rows, "claim string, approved timestamp_ntz, i int")
 
 
 @pytest.mark.parametrize("limit", [10, 1_000_000])
 def test_approval_rank(spark, limit):
     rows, df = snapshots(spark)
-    pdf = pd.DataFrame(rows, columns=["claim", "approved", "i"])
-    pdf["approved"] = pd.to_datetime(pdf["approved"])
-    expected = pdf.groupby("claim")["approved"].rank(ascending=True).fillna(-1).astype(int)
+    expected = {}
+    for claim, date, i in rows:
+        own = [d for c, d, _ in rows if c == claim and d is not None]
+        unranked = claim is None or date is None
+        expected[i] = -1 if unranked else int(sum(d < date for d in own) + (own.count(date) + 1) / 2)
     got = approval_rank(df, "claim", "approved", hot_rows=limit, **SMALL).collect()
-    assert {r["i"]: r["approval_date_rank"] for r in got} == dict(zip(pdf["i"], expected))
+    assert {r["i"]: r["approval_date_rank"] for r in got} == expected
 
 
 def test_first_snapshot_and_join(spark):
     rows, df = snapshots(spark)
+    rows = [r for r in rows if r[0] is not None]
     best = {}
     for claim, date, i in rows:
         rank = (date is not None, date or dt.datetime.min, i)
