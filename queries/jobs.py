@@ -534,7 +534,7 @@ _txn_levels = [
 _app_levels = [f"emp_level_{i}" for i in range(1, len(fixed.APPLICATION_LOGINS) + 1)]
 
 
-@query("siu_txn", _annuity_sql(
+@query("transactions", _annuity_sql(
     fixed.TRANSACTION_DEFAULTS, fixed.TRANSACTION_LOGINS, fixed.TRANSACTION_NUMERIC, fixed.TRANSACTION_CATEGORICAL,
     fixed.TRANSACTION_BOOLEAN, fixed.TRANSACTION_UNUSED_LEVELS, fixed.TRANSACTION_NUMERIC, robust_knots, -0.8,
     fixed.TRANSACTION_THRESHOLD))
@@ -547,7 +547,7 @@ def annuity_transactions(spark, sf):
     return annuity.score_transactions(raw, scaler, encoder, models.LinearModel(weights(names), -0.8))
 
 
-@query("siu_appn", _annuity_sql(
+@query("applications", _annuity_sql(
     fixed.APPLICATION_DEFAULTS, fixed.APPLICATION_LOGINS, fixed.APPLICATION_NUMERIC, fixed.APPLICATION_CATEGORICAL,
     [], [], annuity.APPLICATION_TRANSFORMED, share_knots, -0.4, fixed.APPLICATION_THRESHOLD))
 def annuity_applications(spark, sf):
@@ -559,7 +559,7 @@ def annuity_applications(spark, sf):
     return annuity.score_applications(raw, quantiles, encoder, models.LinearModel(weights(names), -0.4))
 
 
-@query("ffm", f"""WITH {HEADS_SQL}, {rules_sql("decoded", "vec_id, dataset, prod_confidence, hdr_confidence, ent_confidence")},
+@query("headers", f"""WITH {HEADS_SQL}, {rules_sql("decoded", "vec_id, dataset, prod_confidence, hdr_confidence, ent_confidence")},
  {patterns_sql("ruled", "vec_id, dataset, prod_confidence, hdr_confidence, ent_confidence")},
  texts AS (SELECT vec_id, dataset, column_name || ':' || {_triplet_text("regexp_full_match(column_name, 'blank_header_[0-9]+')")} AS t FROM patterned)
  SELECT concat(dataset, ':0') AS source, dataset AS entity, vec_id // 100 AS part, CAST(count(*) AS INT) AS n, string_agg(t, ';' ORDER BY vec_id) AS result FROM texts GROUP BY ALL""")
