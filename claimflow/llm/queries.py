@@ -36,9 +36,9 @@ prefs AS (
          list(('0x' || substr(md5(shard || '#skip'), 1, 15))::BIGINT % 4098 + 1 ORDER BY i) AS skip
   FROM shards),
 turns(t, owner) AS (
-  SELECT 0, list_transform(range(4099), x -> -1)
+  SELECT 0, list_transform(range(4099), lambda x: -1)
   UNION ALL
-  SELECT t + 1, list_transform(owner, (x, k) -> CASE WHEN k = s + 1 THEN t % 32 ELSE x END)
+  SELECT t + 1, list_transform(owner, lambda x, k: CASE WHEN k = s + 1 THEN t % 32 ELSE x END)
   FROM (
     SELECT t, owner, (
       SELECT (off[t % 32 + 1] + j * skip[t % 32 + 1]) % 4099 FROM range(4099) r(j), prefs
