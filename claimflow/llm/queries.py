@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import chat, sharding
+from claimflow.llm import chat, sharding, topk
 from claimflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,27 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("trained").cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+TOPK_SQL = """
+WITH good AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.row, q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1] * p[2], 0)))::BIGINT AS score
+  FROM good q JOIN good c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query(TOPK_SQL)
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners of every fiftieth vector."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
