@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import chat, sharding, topk
+from claimflow.llm import chat, mixing, sharding, topk
 from claimflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,10 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best partners of every fiftieth vector."""
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query()
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.taken(mixing.mix(docs))
