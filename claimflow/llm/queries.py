@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import chat, mixing, sharding, topk
+from claimflow.llm import chat, common, langid, mixing, sharding, topk
 from claimflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.taken(mixing.mix(docs))
+
+
+LANGUAGE_FOLDS, HELD_OUT = 4, 2
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Models from folds 0 and 1 of the labelled rows, limits from fold 3."""
+    fold = common.fold(F.col("doc_id"), LANGUAGE_FOLDS)
+    return langid.fit(docs.filter(fold < HELD_OUT), docs.filter(fold > HELD_OUT))
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.classify(docs.select("doc_id", "text"), language_model(docs))
+    held_out = common.fold(F.col("doc_id"), LANGUAGE_FOLDS) == HELD_OUT
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
