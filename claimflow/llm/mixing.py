@@ -309,7 +309,9 @@ def mix(
     numbered = offsets.join(names, offsets["source"].eqNullSafe(names["_name"])).drop("_name")
     parts = fragments(numbered, block_words)
     drawn = slots(spark, plans, block_words, per_shard)
-    joined = drawn.join(parts, ["source_no", "block"]).filter(F.col("from") < F.col("words"))
+    # Spark takes the slots to be as few as the counts they are unfolded from, and
+    # would broadcast them
+    joined = drawn.hint("merge").join(parts, ["source_no", "block"]).filter(F.col("from") < F.col("words"))
     begin = F.col("block") * block_words - F.col("offset")
     pieces = joined.select(
         "shard", "slot", "pass", "source", "block", "doc_id", "text_hash", "size", "offset",
