@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import chat, common, langid, mixing, sharding, topk
+from claimflow.llm import chat, common, langid, mixing, sharding, simhash, topk
 from claimflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.classify(docs.select("doc_id", "text"), language_model(docs))
     held_out = common.fold(F.col("doc_id"), LANGUAGE_FOLDS) == HELD_OUT
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component of near copies."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
