@@ -8,6 +8,8 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimflow.session import materialise
+
 #: A word of white-space separated text.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 #: A word made of ASCII letters and digits and of anything outside ASCII.
@@ -46,3 +48,17 @@ def rounded_up_prime(n: int) -> int:
     while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
         n += 1
     return n
+
+
+#: Rows and bytes of a table that may be copied to every executor.
+BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of a few numbers per row, marked for broadcast if it has few rows.
+
+    The table is counted first; beyond the limit it is left as it is, for a shuffled
+    join. Two million rows of two longs are 32 MB.
+    """
+    table = materialise(table)
+    return F.broadcast(table) if table.count() <= rows else table

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import chat, common, langid, mixing, sharding, simhash, topk
+from claimflow.llm import chat, common, langid, mixing, sharding, simhash, suffix, topk
 from claimflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component of near copies."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 400 bytes leave of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.without_repeats(docs, with_text=False).drop("kept")
