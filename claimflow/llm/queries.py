@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import chat, common, langid, mixing, sharding, simhash, suffix, topk
+from claimflow.llm import chat, common, langid, lattice, mixing, sharding, simhash, suffix, topk
 from claimflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated strings of 400 bytes leave of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix.without_repeats(docs, with_text=False).drop("kept")
+
+
+@query()
+def op3_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under words and under subword lattices."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lattice.score(docs, common.fold(F.col("doc_id"), 7) == 2)
