@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import chat, common, langid, lattice, mixing, sharding, simhash, suffix, topk
+from claimflow.llm import chat, common, decontaminate, langid, lattice, mixing, sharding, simhash, suffix, topk
 from claimflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,40 @@ def op3_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents under words and under subword lattices."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return lattice.score(docs, common.fold(F.col("doc_id"), 7) == 2)
+
+
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+lengths AS (SELECT DISTINCT least(len(w), 13) AS n FROM i WHERE len(w) > 0),
+item_windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM (SELECT item, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS k FROM i WHERE len(w) > 0)),
+doc_windows AS (
+  SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, lengths WHERE len(w) >= n)),
+met AS (SELECT doc_id, n, k, win FROM doc_windows SEMI JOIN item_windows USING (n, win)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM met) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item FROM met JOIN item_windows USING (n, win)) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query(DECONTAMINATION_SQL)
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document stands in benchmark items."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, read(spark, sf_dir, "benchmark")).drop("text_hash")
