@@ -33,8 +33,6 @@ WINDOW_WORDS = 13
 GRAM_WORDS = 6
 #: Rows of texts that may be copied to every executor.
 BROADCAST_WINDOWS = 200_000
-#: The same words as ``PLAIN_WORD`` finds once A-Z are lower-cased.
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def word_list(text: Column) -> Column:
@@ -44,7 +42,7 @@ def word_list(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """How many words a text has."""
-    return F.coalesce(F.regexp_count(text, F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(PLAIN_WORD)), F.lit(0)).cast("long")
 
 
 def fingerprints(df: DataFrame, words: int, gram: int = GRAM_WORDS) -> DataFrame:
@@ -55,12 +53,11 @@ def fingerprints(df: DataFrame, words: int, gram: int = GRAM_WORDS) -> DataFrame
     """
     gram = min(gram, words)
     kept = [c for c in df.columns if c != "_words"]
-    long = df.filter(F.size("_words") >= words)
     grams = F.transform(
         F.sequence(F.lit(0), F.size("_words") - gram),
         lambda i: F.xxhash64(*[F.get("_words", i + j) for j in range(gram)]),
     )
-    hashed = long.select(*kept, "_words", grams.alias("_least"))
+    hashed = df.select(*kept, "_words", F.when(F.size("_words") >= words, grams).alias("_least"))
     width = words - gram + 1
     covered = 1
     while covered < width:
@@ -73,7 +70,7 @@ def fingerprints(df: DataFrame, words: int, gram: int = GRAM_WORDS) -> DataFrame
         F.sequence(F.lit(0), F.col("_windows") - 1),
         lambda i: (i == 0) | (F.get("_least", i) != F.get("_least", i - 1)),
     )
-    begun = hashed.withColumn("_begins", begins)
+    begun = hashed.withColumn("_begins", F.when(F.col("_windows") > 0, begins))
 
     def marked(first: Column, at: Column) -> Column:
         last = F.coalesce(F.get("_begins", at + 1), F.col("_windows")) - 1
