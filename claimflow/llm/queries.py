@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import chat, common, decontaminate, langid, lattice, mixing, sharding, simhash, suffix, topk
+from claimflow.llm import chat, common, decontaminate, langid, lattice, mixing, pii, sharding, simhash, suffix, topk
 from claimflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,3 +209,14 @@ def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document stands in benchmark items."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.contamination(docs, read(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+#: The key of the test tables; a deployment brings its own, kept secret.
+SURROGATE_KEY = b"test tables only"
+
+
+@query()
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates in place of personal data."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.with_surrogates(docs, SURROGATE_KEY)
