@@ -176,3 +176,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS,
         F.sha2(F.array_join(items_, ",").cast("binary"), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_WORDS) -> DataFrame:
+    """The rows whose text is not contaminated, all columns kept."""
+    judged = contamination(docs.select("doc_id", "text"), items, window, gram).filter("contaminated")
+    found = judged.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("_doc_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    return docs.join(broadcast_if_small(found), same, "left_anti")

@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimflow.llm.common import fold
+
 ORDER = 5
 SAMPLE_ROWS = 2_000
 UNKNOWN = "und"
@@ -240,6 +242,12 @@ def fit(labelled: DataFrame, unseen: DataFrame, sample_rows: int = SAMPLE_ROWS)
     return calibrate(model, sample(unseen.select("text", "lang").dropna(), sample_rows))
 
 
+def fit_on_folds(docs: DataFrame, folds: int = 4, held_out: int = 2, sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Fit on labelled rows outside one fold: counts from the folds below it, limits from those above."""
+    at = fold(F.col("doc_id"), folds)
+    return fit(docs.filter(at < held_out), docs.filter(at > held_out), sample_rows)
+
+
 def calibrate(model: Model, unseen: DataFrame) -> Model:
     """Set each language's limit of cross-entropy, and its spread per letter."""
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from claimflow.llm import chat, common, decontaminate, langid, lattice, mixing, pii, sharding, simhash, suffix, topk
 from claimflow.llm.common import read
 
@@ -139,17 +140,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 LANGUAGE_FOLDS, HELD_OUT = 4, 2
 
 
-def language_model(docs: DataFrame) -> langid.Model:
-    """Models from folds 0 and 1 of the labelled rows, limits from fold 3."""
-    fold = common.fold(F.col("doc_id"), LANGUAGE_FOLDS)
-    return langid.fit(docs.filter(fold < HELD_OUT), docs.filter(fold > HELD_OUT))
-
-
 @query()
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    found = langid.classify(docs.select("doc_id", "text"), language_model(docs))
+    found = langid.classify(docs.select("doc_id", "text"), langid.fit_on_folds(docs, LANGUAGE_FOLDS, HELD_OUT))
     held_out = common.fold(F.col("doc_id"), LANGUAGE_FOLDS) == HELD_OUT
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
@@ -220,3 +215,9 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with surrogates in place of personal data."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.with_surrogates(docs, SURROGATE_KEY)
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline, one after the other."""
+    return corpus_pipeline.run(spark, sf_dir)

@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimflow.llm.common import broadcast_if_small
 from claimflow.llm.components import components
 from claimflow.session import materialise
 
@@ -279,3 +280,18 @@ def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
     return marked.join(by_print, "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def representatives(docs: DataFrame, bits: int = BITS) -> DataFrame:
+    """One row of each component, the one with the smallest id, all columns kept.
+
+    Rows are told apart by all their values; of equal rows one is kept.
+    """
+    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    marked = near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), bits)
+    ids = keyed.select("_row", "doc_id").distinct()
+    tied = marked.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_component")).distinct()
+    smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
+    kept = ids.join(tied, "_row").groupBy("_component").agg(smallest.alias("_best")).select("_best._row")
+    chosen = keyed.join(broadcast_if_small(kept), "_row", "left_semi")
+    return chosen.dropDuplicates(["_row"]).drop("_row")
