@@ -5,9 +5,10 @@ lower-cased words, with marks for a word's start and end. Seen n-grams hold thei
 interpolated probability and their back-off weight; all languages share one array of
 sorted n-gram hashes for each order, searched by bisection. A text gets the language
 whose cross-entropy per letter is lowest. It is rejected if it has no letters, or if
-that cross-entropy is higher than any that labelled texts of the language show, with
-an allowance that shrinks with the number of letters; the limit is fitted on labelled
-rows that the n-gram counts have not seen.
+that cross-entropy is higher than any that labelled texts of the language show and
+higher than that of a code that takes all letters of the language as equally likely,
+with an allowance that shrinks with the number of letters; the limit is fitted on
+labelled rows that the n-gram counts have not seen.
 
 Fitting takes at most about ``sample_rows`` labelled rows for each language, chosen
 by a hash of the row, so the model has a bound that does not grow with the data; it
@@ -30,6 +31,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +43,13 @@ UNKNOWN = "und"
 BEGIN, FINISH = "\x02", "\x03"
 #: Letters a model knows nothing about share what is left over as if there were so many.
 ALPHABET = 65_536
-#: Bits per letter above the worst labelled texts at which a text is rejected.
+#: Bits per letter above the limit at which a text is rejected, and standard
+#: deviations of a mean over its letters that are allowed besides.
 MARGIN_BITS = 0.5
+DEVIATIONS = 4
 LETTERS_FOR_SCORE = 32
 CHUNK = 1 << 20
+TEXTS_AT_ONCE = 2_000
 
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = "lang_pred string, score double, cross_entropy double, letters long, rejected boolean"
@@ -262,13 +267,15 @@ def calibrate(model: Model, unseen: DataFrame) -> Model:
     got = unseen.mapInPandas(measure, "lang string, bits double, letters long")
     got = got.toPandas() if model.languages else pd.DataFrame({"lang": [], "bits": [], "letters": []})
     limits, spreads = [], []
-    for lang in model.languages:
+    for i, lang in enumerate(model.languages):
         mine = got[got["lang"] == lang]
-        mean = float(np.average(mine["bits"], weights=mine["letters"])) if len(mine) else math.log2(ALPHABET)
-        spread = float(np.sqrt((((mine["bits"] - mean) ** 2) * mine["letters"]).mean())) if len(mine) else 0.0
-        allowed = 4 * spread / np.sqrt(mine["letters"])
-        limits.append(float((mine["bits"] - allowed).max()) if len(mine) else mean)
-        limits[-1] = max(limits[-1], mean) + MARGIN_BITS
+        evenly = math.log2(max(2, np.count_nonzero(~np.isnan(model.probability[0][:, i]))))
+        spread, worst = 0.0, evenly
+        if len(mine):
+            middle = float(mine["bits"].median())
+            spread = 1.5 * float(((mine["bits"] - middle).abs() * np.sqrt(mine["letters"])).median())
+            worst = float((mine["bits"] - DEVIATIONS * spread / np.sqrt(mine["letters"])).max())
+        limits.append(max(worst, evenly) + MARGIN_BITS)
         spreads.append(spread)
     model.limit, model.spread = np.array(limits), np.array(spreads)
     return model
@@ -289,7 +296,7 @@ def predict(model: Model, texts: list[str | None]) -> pd.DataFrame:
     scale = np.minimum(letters, LETTERS_FOR_SCORE)[:, None]
     score = 1 / np.exp2((lowest[:, None] - bits) * scale).sum(axis=1)
     empty = letters == 0
-    allowed = model.limit[best] + 4 * model.spread[best] / np.sqrt(np.maximum(letters, 1))
+    allowed = model.limit[best] + DEVIATIONS * model.spread[best] / np.sqrt(np.maximum(letters, 1))
     names = np.array(model.languages, object)[best]
     return pd.DataFrame(
         {
@@ -308,13 +315,14 @@ def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c.lower() not in added]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for at in range(0, len(frame), 2000):
-                part = frame.iloc[at : at + 2000].reset_index(drop=True)
-                yield pd.concat([part[kept], predict(shared.value, list(part[text]))], axis=1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                found = pa.RecordBatch.from_pandas(predict(shared.value, part.column(text).to_pylist()), preserve_index=False)
+                yield pa.RecordBatch.from_arrays([*part.columns, *found.columns], [*kept, *added])
 
     shape = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
     for name, kind in (c.split() for c in RESULT.split(", ")):
         shape = shape.add(name, kind)
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInPandas(run, shape)
+    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, shape)

@@ -225,7 +225,7 @@ def _block(number: int, docs: list[tuple], words: dict) -> dict:
     return {
         "block": number,
         "n_words": len(words),
-        "doc_ids": _packed("\n".join("" if d is None else str(d) for d, _, _ in docs).encode()),
+        "doc_ids": _packed("\n".join(d or "" for d, _, _ in docs).encode()),
         "held": _numbers(np.array([h for _, h, _ in docs])),
         "n_tokens": _numbers(np.array([len(ids) + 1 for _, _, ids in docs])),
         "n_different": _numbers(np.array(sizes)),
@@ -244,7 +244,7 @@ def _pack_blocks(limit: int):
         for frame in batches:
             for doc_id, text, held in zip(frame["doc_id"], frame["text"], frame["held"], strict=True):
                 data = (text or "").encode("utf-8", "surrogatepass").lower()
-                docs.append((None if pd.isna(doc_id) else doc_id, bool(held), [words[w] for w in data.split()]))
+                docs.append((doc_id, bool(held), [words[w] for w in data.split()]))
                 size += len(data)
                 if size >= limit:
                     yield pd.DataFrame([_block(number, docs, words)])
@@ -335,7 +335,7 @@ def _score_words(shared):
     return run
 
 
-def _add_up(n: int, v: int, ends: int, end_log: float, ids: str):
+def _add_up(n: int, v: int, ends: int, end_log: float):
     def run(docs: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
         out = []
         for block in docs.itertuples(index=False):
@@ -355,18 +355,15 @@ def _add_up(n: int, v: int, ends: int, end_log: float, ids: str):
                 known = int(often[trained[mine] > 0].sum()) + (ends > 0)
                 base_score = float(often @ base[mine]) + math.log10((ends + 1) / (n + v + 1))
                 score = (float(often @ logs[mine]) + end_log) / math.log(10)
-                doc_id = (name if ids == "string" else int(name)) if name else None
-                out.append((doc_id, bool(h), k, known, n, base_score, score))
-        frame = pd.DataFrame(out, columns=_columns(_shape(ids)))
-        return frame if ids == "string" else frame.astype({"doc_id": "Int64"})
+                out.append((name or None, bool(h), k, known, n, base_score, score))
+        return pd.DataFrame(out, columns=_columns(SCORED))
 
     return run
 
 
-def _shape(ids: str) -> str:
-    return (
-        f"doc_id {ids}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    )
+SCORED = (
+    "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+)
 
 
 # --- the operator ------------------------------------------------------------------
@@ -380,8 +377,8 @@ def score(docs: DataFrame, held_out: Column, path: str = PIECES_FILE, rounds: in
     pieces.
     """
     spark = docs.sparkSession
-    ids = "string" if docs.schema["doc_id"].dataType.simpleString() == "string" else "bigint"
-    given = docs.select("doc_id", "text", held_out.alias("held"))
+    # ids travel as text, since null ones would turn whole numbers into doubles
+    given = docs.select(F.col("doc_id").cast("string"), "text", held_out.alias("held"))
     blocks = materialise(given.mapInPandas(_pack_blocks(BLOCK_BYTES), BLOCKS))
     listed = blocks.agg(F.sum("n_words")).first()[0] or 0
     parts = max(1, math.ceil(listed / PART_WORDS))
@@ -403,5 +400,6 @@ def score(docs: DataFrame, held_out: Column, path: str = PIECES_FILE, rounds: in
         pieces = Pieces(pieces.texts, np.log(total / total.sum()))
     shared = spark.sparkContext.broadcast(pieces)
     values = merged.groupBy("part").applyInPandas(_score_words(shared), VALUES)
-    add_up = _add_up(n, v, ends, float(pieces.logs[-1]), ids)
-    return blocks.groupBy("block").cogroup(values.groupBy("block")).applyInPandas(add_up, _shape(ids))
+    add_up = _add_up(n, v, ends, float(pieces.logs[-1]))
+    scored = blocks.groupBy("block").cogroup(values.groupBy("block")).applyInPandas(add_up, SCORED)
+    return scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))

@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -345,20 +346,22 @@ def taken(mixed: Mix) -> DataFrame:
 def _cut(columns: list[str]):
     word = re.compile(SPACED_WORD)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            out = []
-            for row in frame.to_dict("records"):
-                spans = row.pop("_spans")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts = [], []
+            lists = zip(*[batch.column(c).to_pylist() for c in ("text", "_size", "_spans")], strict=True)
+            for i, (whole, size, spans) in enumerate(lists):
                 ends = None
                 for span in sorted(spans, key=lambda s: (s["pass"], s["first"])):
-                    text = row["text"]
-                    if span["first"] > 0 or span["end"] < row["_size"]:
-                        if ends is None:
-                            ends = [(m.start(), m.end()) for m in word.finditer(text)]
-                        text = text[ends[span["first"]][0] : ends[span["end"] - 1][1]]
-                    out.append({**row, "text": text, "n_chars": len(text)})
-            yield pd.DataFrame(out, columns=columns) if out else pd.DataFrame(columns=columns)
+                    text = whole
+                    if span["first"] > 0 or span["end"] < size:
+                        ends = ends or [m.span() for m in word.finditer(whole)]
+                        text = whole[ends[span["first"]][0] : ends[span["end"] - 1][1]]
+                    rows.append(i)
+                    texts.append(text)
+            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
+            taken = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([new.get(c, taken.column(c)) for c in columns], columns)
 
     return cut
 
@@ -378,6 +381,8 @@ def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
     spans = runs.groupBy(*key, "size", "offset", "pass", "_run").agg(F.min("first").alias("first"), F.max("end").alias("end"))
     listed = spans.groupBy(*key, "size").agg(F.collect_list(F.struct("pass", "first", "end")).alias("_spans"))
     listed = listed.select(*[F.col(c).alias(f"_{c}") for c in key], F.col("size").alias("_size"), "_spans")
+    if "n_chars" in docs.columns:
+        docs = docs.withColumn("n_chars", F.col("n_chars").cast("long"))
     hashed = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "_hash"])
     same = (
         hashed["doc_id"].eqNullSafe(listed["_doc_id"])
@@ -385,4 +390,4 @@ def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
         & (hashed["_hash"] == listed["_text_hash"])
     )
     joined = hashed.join(listed, same).select(*[hashed[c] for c in docs.columns], "_size", "_spans")
-    return joined.mapInPandas(_cut(docs.columns), docs.schema)
+    return joined.mapInArrow(_cut(docs.columns), docs.schema)

@@ -32,6 +32,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -284,10 +285,10 @@ def distinct_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
 
 
 def _replaced(columns: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             texts, counts = [], []
-            for text, pairs in zip(frame["text"], frame["_pairs"], strict=True):
+            for text, pairs in zip(batch.column("text").to_pylist(), batch.column("_pairs").to_pylist(), strict=True):
                 new = {(p["kind"], p["value"]): p["surrogate"] for p in pairs}
                 out, at, found = [], 0, mentions(text)
                 for s, e, kind in found:
@@ -295,7 +296,8 @@ def _replaced(columns: list[str]):
                     at = e
                 texts.append("".join([*out, text[at:]]))
                 counts.append(len(found))
-            yield frame.assign(text=texts, n_replaced=counts)[[*columns, "n_replaced"]]
+            kept = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64())], [*columns, "n_replaced"])
 
     return run
 
@@ -313,6 +315,6 @@ def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     touched = broadcast_if_small(found.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct())
     here = keyed.join(touched, ["_k1", "_k2"], "left_semi").join(pairs, ["_k1", "_k2"])
     shape = StructType([*docs.schema.fields, StructField("n_replaced", LongType())])
-    changed = here.select(*docs.columns, "_pairs").mapInPandas(_replaced(docs.columns), shape)
+    changed = here.select(*docs.columns, "_pairs").mapInArrow(_replaced(docs.columns), shape)
     same = keyed.join(touched, ["_k1", "_k2"], "left_anti").select(*docs.columns, F.lit(0).cast("long").alias("n_replaced"))
     return changed.unionByName(same)

@@ -32,6 +32,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,13 +85,14 @@ def fingerprint_of(text: str | None, width: int = SHINGLE_WORDS, seed: int = SEE
 def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
     """doc_id and fingerprint (its 64 bits as a long) of every document."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            found = np.array([fingerprint_of(t, width, seed) for t in frame["text"]], "u8")
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "fingerprint": found.view("i8")})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint_of(t, width, seed) for t in batch.column("text").to_pylist()], "u8")
+            columns = [batch.column("doc_id"), pa.array(found.view("i8"))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint"])
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {ids}, fingerprint long")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {ids}, fingerprint long")
 
 
 def embedded(fp: np.ndarray) -> np.ndarray:
