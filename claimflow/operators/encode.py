@@ -95,6 +95,18 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.groupBy("column_name", "category").agg(F.count(F.lit(1)).alias("counts"))
 
 
+def _by_length(table: DataFrame, columns: Sequence[str]) -> tuple[list, list[str]]:
+    """Rows of the columns with few categories, and the names of the other columns.
+
+    Short lists become constants: no join, and it works on streams. Only columns
+    whose own list is long take a join each.
+    """
+    mine = table.filter(F.col("column_name").isin(list(columns)))
+    sizes = mine.groupBy("column_name").count().filter(F.col("count") > LITERAL_LIMIT)
+    long = {r["column_name"] for r in sizes.collect()}
+    return mine.filter(~F.col("column_name").isin(long)).collect(), [c for c in columns if c in long]
+
+
 @dataclass
 class RareGrouper:
     """Pushes categories seen fewer than ``min_freq`` times into one bucket."""
@@ -113,18 +125,16 @@ class RareGrouper:
             raise ValueError("fit the grouper before transforming")
         columns = list(columns or self.columns)
         other = F.lit(fixed.OUT_OF_VOCABULARY)
-        known = self.frequent.filter(F.col("column_name").isin(columns))
-        sample = known.limit(LITERAL_LIMIT * len(columns) + 1).collect()
-        if len(sample) <= LITERAL_LIMIT * len(columns):
-            keep = {c: [r["category"] for r in sample if r["column_name"] == c] for c in columns}
-
-            def grouped(c: str) -> Column:
-                text = quoted(c).cast("string")
-                return F.when(text.isin(keep[c]), text).otherwise(other) if keep[c] else other
-
-            return df.withColumns({c: grouped(c) for c in columns})
-        for c in columns:
-            own = known.filter(F.col("column_name") == c).select(
+        short, long = _by_length(self.frequent, columns)
+
+        def grouped(c: str) -> Column:
+            keep = [r["category"] for r in short if r["column_name"] == c]
+            text = quoted(c).cast("string")
+            return F.when(text.isin(keep), text).otherwise(other) if keep else other
+
+        df = df.withColumns({c: grouped(c) for c in columns if c not in long})
+        for c in long:
+            own = self.frequent.filter(F.col("column_name") == c).select(
                 F.col("category").alias(c), F.lit(True).alias("_frequent")
             )
             joined = lookup_join(df.withColumn(c, quoted(c).cast("string")), own, [c])
@@ -163,25 +173,23 @@ class TargetEncoder:
         """Unseen, NULL and once-seen categories get the prior."""
         if self.stats is None:
             raise ValueError("fit the encoder before transforming")
-        prior = F.lit(float(self.prior))
+        prior = self._prior()
         share = (F.col("total") + F.lit(self.a) * prior) / (F.col("n") + F.lit(self.a))
         # a category seen once equals an unseen one, so it need not be looked up
         columns = list(columns or self.columns)
         repeated = self.stats.filter(F.col("n") > 1)
-        few = repeated.limit(LITERAL_LIMIT * len(columns) + 1).collect()
-        if len(few) <= LITERAL_LIMIT * len(columns):
-            # short lists become constants: no join, and it works on streams
-
-            def encoded(c: str) -> Column:
-                own = [r for r in few if r["column_name"] == c]
-                if not own:
-                    return prior
-                value = [(r["total"] + self.a * self.prior) / (r["n"] + self.a) for r in own]
-                table = F.create_map(*[F.lit(x) for r, v in zip(own, value) for x in (r["category"], v)])
-                return F.coalesce(F.try_element_at(table, quoted(c).cast("string")), prior)
-
-            return df.withColumns({c: encoded(c) for c in columns})
-        for c in columns:
+        short, long = _by_length(repeated, columns)
+
+        def encoded(c: str) -> Column:
+            own = [r for r in short if r["column_name"] == c]
+            if not own:
+                return prior
+            value = [(r["total"] + self.a * self.prior) / (r["n"] + self.a) for r in own]
+            table = F.create_map(*[F.lit(x) for r, v in zip(own, value) for x in (r["category"], v)])
+            return F.coalesce(F.try_element_at(table, quoted(c).cast("string")), prior)
+
+        df = df.withColumns({c: encoded(c) for c in columns if c not in long})
+        for c in long:
             table = repeated.filter(F.col("column_name") == c).select(
                 F.col("category").alias(c), share.alias("_share")
             )
@@ -190,6 +198,10 @@ class TargetEncoder:
             df = joined.select(*[value.alias(k) if k == c else quoted(k) for k in df.columns])
         return df
 
+    def _prior(self) -> Column:
+        """The share of the label in all rows; NULL if there were none."""
+        return F.lit(self.prior).cast("double")
+
     def fit_transform(
         self, df: DataFrame, column: str, label: str, order: str, **bounds: int
     ) -> DataFrame:
@@ -199,10 +211,10 @@ class TargetEncoder:
         the prior.
         """
         self.fit(df, [column], label)
-        prior = F.lit(float(self.prior))
+        prior = self._prior()
         ordered = df.withColumns(
             {
-                "_order": quoted(order).cast("double"),
+                "_order": quoted(order),
                 "_y": quoted(label).cast("double"),
                 "_one": F.lit(1),
             }

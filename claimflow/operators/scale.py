@@ -14,31 +14,20 @@ from claimflow.operators.projection import quoted
 from claimflow.operators.skew import running_totals
 from claimflow.session import materialise
 
-IN_MEMORY_ROWS = 100_000
-
 
 def grid_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     points: int,
-    in_memory_rows: int = IN_MEMORY_ROWS,
     **bounds: int,
 ) -> dict[str, list[float]]:
     """Exact quantiles at 0, 1/(points-1), ..., 1 with linear interpolation.
 
-    Tables counted small use Spark's ``percentile``, which holds all distinct
-    values of a column in one task. Larger ones count each distinct value, run
-    totals over the counts, and read off the values at the wanted ranks.
+    Each distinct value is counted, totals run over the counts, and the values at the
+    wanted ranks are read off. A column without values has no quantiles.
     """
     columns = list(columns)
     step = points - 1
-    if df.count() <= in_memory_rows:
-        at = F.array(*[F.lit(i / step) for i in range(points)])
-        row = df.agg(
-            *[F.percentile(quoted(c).cast("double"), at).alias(f"q{i}") for i, c in enumerate(columns)]
-        ).first()
-        return {c: list(row[i] or []) for i, c in enumerate(columns)}
-
     pairs = F.array(
         *[
             F.struct(F.lit(i).alias("feature"), quoted(c).cast("double").alias("x"))
@@ -53,6 +42,8 @@ def grid_quantiles(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     sizes = {r["feature"]: r["size"] for r in counts.groupBy("feature").agg(F.sum("n").alias("size")).collect()}
+    if not sizes:
+        return {c: [] for c in columns}
     # ranks around each grid point: position p of the grid needs floor(p) and floor(p)+1
     last = F.element_at(F.create_map(*[F.lit(v) for f, s in sizes.items() for v in (f, s - 1)]), F.col("feature"))
     ranked = running_totals(counts, "x", ["n"], ["feature"], **bounds).withColumn("last", last)

@@ -6,6 +6,8 @@ have to meet: joins on a claim, a term or a category, and ordered totals.
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,32 +15,31 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimflow.session import materialise
+
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
 SALTS = 64
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SINGLE_TASK_ROWS = 1_000_000
-CELLS = 1_024
+CELL_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> list:
-    """The heaviest keys with more than ``rows`` rows, at most ``MAX_HOT_KEYS``.
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
+    """All keys with more than ``rows`` rows, as a written table of one column.
 
-    One aggregation with map-side combine. A key beyond the limit has, by the
-    ordering, less than 1/MAX_HOT_KEYS of all rows and needs no special care.
-    None in the list stands for rows without a key.
+    One aggregation with map-side combine; there are at most rows of ``df`` divided
+    by ``rows`` of them. A NULL row stands for rows without a key.
     """
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
-    heaviest = counted.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-    return [row[0] for row in heaviest.collect()]
+    return materialise(counted.select(F.col(f"`{key}`").alias("hot_key")))
 
 
-def is_hot(key: str, hot: list) -> Column:
-    """Whether a row's key is one of the hot keys, none included."""
-    named = [k for k in hot if k is not None]
-    hit = F.coalesce(F.col(f"`{key}`").isin(named), F.lit(False)) if named else F.lit(False)
-    return hit | F.col(f"`{key}`").isNull() if None in hot else hit
+def mark_hot(df: DataFrame, key: str, hot: DataFrame, name: str = "_busy") -> DataFrame:
+    """Add whether a row's key is one of the hot keys, none included."""
+    found = hot.select("hot_key", F.lit(True).alias(name))
+    found = F.broadcast(found) if hot.count() <= BROADCAST_ROWS else found
+    joined = df.join(found, df[f"`{key}`"].eqNullSafe(F.col("hot_key")), "left")
+    return joined.select(*[df[f"`{c}`"] for c in df.columns], F.coalesce(name, F.lit(False)).alias(name))
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -51,14 +52,13 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
     return found["n"] <= rows and found["size"] <= size
 
 
-def _salted(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot: list, salts: int):
-    busy = is_hot(on[0], hot)
+def _salted(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, hot: DataFrame, salts: int):
     # The salt depends on the row's content alone, so a task that runs again
     # after an executor loss gives every row the same salt as before.
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
-    left = left.withColumn("_salt", F.when(busy, spread).otherwise(F.lit(0)))
-    copies = F.when(busy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = right.withColumn("_salt", F.explode(copies))
+    left = mark_hot(left, on[0], hot).withColumn("_salt", F.when(F.col("_busy"), spread).otherwise(F.lit(0))).drop("_busy")
+    copies = F.when(F.col("_busy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = mark_hot(right, on[0], hot).withColumn("_salt", F.explode(copies)).drop("_busy")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -69,7 +69,7 @@ def salted_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which the left rows of a hot key are spread over many tasks.
 
@@ -78,7 +78,7 @@ def salted_join(
     ``hot`` names the hot keys if the caller has counted them already.
     """
     hot = hot_keys(left, on[0], hot_rows) if hot is None else hot
-    if not hot:
+    if hot.isEmpty():
         return left.join(right, list(on), how)
     return _salted(left, right, list(on), how, hot, salts)
 
@@ -97,10 +97,10 @@ def lookup_join(
     return salted_join(left, table, on, how, hot_rows)
 
 
-def cell_edges(df: DataFrame, order: str, cells: int = CELLS) -> list[float]:
+def cell_edges(df: DataFrame, order: str, cells: int) -> list[float]:
     """Increasing edges that cut the order column into cells of similar size."""
     probabilities = [i / cells for i in range(1, cells)]
-    found = df.approxQuantile(order, probabilities, 0.25 / cells)
+    found = df.approxQuantile(order, probabilities, 0.25 / cells) if probabilities else []
     return [float("-inf"), *sorted(set(found)), float("inf")]
 
 
@@ -116,16 +116,15 @@ def running_totals(
     order: str,
     measures: Sequence[str],
     group: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    cells: int = CELLS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Add ``<measure>_before``: its total over rows of the group with a smaller order.
 
     ``df`` must hold one row per (group, order), already aggregated, and ``order``
-    must be a non-null double. A table counted small takes one plain window.
-    Otherwise the order axis is cut into cells: totals run first over the cells
-    of a group (never more than ``cells`` rows) and then inside a cell, so
-    neither a global order nor one huge group ends up in one task.
+    must be a non-null number of any type; its own type orders the rows. The order
+    axis is cut into cells of about ``cell_rows`` rows: totals run first over the
+    cells of a group and then inside a cell, so neither a global order nor one huge
+    group ends up in one task.
     """
     group = list(group)
 
@@ -136,11 +135,11 @@ def running_totals(
     def total(m: str, w) -> Column:
         return F.coalesce(F.sum(m).over(w), F.lit(0))
 
-    if df.count() <= single_task_rows:
-        w = before(group, order)
-        return df.select("*", *[total(m, w).alias(f"{m}_before") for m in measures])
-
-    celled = into_cells(df, order, cell_edges(df, order, cells))
+    # a double never changes the order of two numbers, at most it makes them equal,
+    # and then they share a cell
+    placed = df.withColumn("_place", F.col(order).cast("double"))
+    cells = math.ceil(df.count() / cell_rows)
+    celled = into_cells(placed, "_place", cell_edges(placed, "_place", cells)).drop("_place")
     sums = celled.groupBy(*group, "_cell").agg(*[F.sum(m).alias(m) for m in measures])
     across = before(group, "_cell")
     offsets = sums.select(
@@ -157,3 +156,21 @@ def running_totals(
         *df.columns,
         *[(F.col(f"{m}_before") + F.col(f"_offset_{m}")).alias(f"{m}_before") for m in measures],
     )
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """A written table of all rows with their place in the given order, from 0.
+
+    Rows are sorted by range over all tasks; one count for each range reaches the
+    driver and gives the place at which it starts.
+    """
+    sorted_ = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    written = materialise(sorted_)
+    part, inside = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = sorted(tuple(r) for r in written.groupBy(part.alias("p")).count().collect())
+    starts, before = {}, 0
+    for p, n in sizes:
+        starts[p], before = before, before + n
+    table = F.from_json(F.lit(json.dumps(starts)), "map<bigint,bigint>")
+    place = F.coalesce(F.element_at(table, part), F.lit(0)) + inside
+    return written.withColumn(name, place).drop("_id")

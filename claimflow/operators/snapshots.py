@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimflow.operators.projection import quoted
-from claimflow.operators.skew import HOT_ROWS, hot_keys, is_hot, running_totals, salted_join
+from claimflow.operators.skew import HOT_ROWS, hot_keys, mark_hot, running_totals, salted_join
 from claimflow.session import materialise
 
 
@@ -21,18 +21,19 @@ def approval_rank(
     snapshots are ranked from counts per date instead of in one window.
     """
     hot = hot_keys(df, key, hot_rows)
-    busy = is_hot(key, hot)
-    calm = df.filter(~busy) if hot else df
+    crowds = not hot.isEmpty()
+    marked = mark_hot(df, key, hot) if crowds else df
+    calm = marked.filter("NOT _busy").drop("_busy") if crowds else df
 
     in_claim = Window.partitionBy(key).orderBy(F.asc_nulls_last(date))
     ties = Window.partitionBy(key, date)
     average = F.rank().over(in_claim) + (F.count(F.lit(1)).over(ties) - 1) / 2
     rank = F.when(quoted(date).isNull() | quoted(key).isNull(), F.lit(-1)).otherwise(F.floor(average)).cast("int")
     ranked = calm.withColumn("approval_date_rank", rank)
-    if not hot:
+    if not crowds:
         return ranked
 
-    crowded = df.filter(busy).withColumn("_at", F.unix_micros(quoted(date).cast("timestamp")).cast("double"))
+    crowded = marked.filter("_busy").drop("_busy").withColumn("_at", F.unix_micros(quoted(date).cast("timestamp")))
     per_date = materialise(
         crowded.filter(F.col("_at").isNotNull()).groupBy(key, "_at").agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -63,7 +64,7 @@ def first_snapshot(
 
 
 def attach_snapshot(
-    features: DataFrame, snapshot: DataFrame, key: str, hot_rows: int = HOT_ROWS, hot: list | None = None
+    features: DataFrame, snapshot: DataFrame, key: str, hot_rows: int = HOT_ROWS, hot: DataFrame | None = None
 ) -> DataFrame:
     """Inner join of feature rows with their claim's snapshot row.
 
