@@ -73,7 +73,7 @@ def award_bin(c: Column, bins: Mapping[str, Sequence[str]]) -> Column:
 
     NULL and empty count as ``NA``; ranges that no bin lists pass through.
     """
-    amount = F.when(c.isNull() | (c == ""), F.lit("NA")).otherwise(F.substring(c, 2, 1_000_000))
+    amount = F.when(c.isNull() | (c == ""), F.lit("NA")).otherwise(F.substring(c, F.lit(2), F.length(c)))
     return map_members(amount, bins, amount)
 
 

@@ -94,7 +94,7 @@ def normalise_header(c: Column) -> Column:
     split_camel = F.regexp_replace(split_caps, r"([a-z\d])([A-Z])", "$1_$2")
     snake = F.lower(F.translate(split_camel, "-", "_"))
     phrase = F.translate(F.regexp_replace(snake, r"_id$", ""), "_", " ")
-    return F.concat(F.upper(F.substring(phrase, 1, 1)), F.substring(phrase, 2, 1_000_000))
+    return F.concat(F.upper(F.substring(phrase, 1, 1)), F.substring(phrase, F.lit(2), F.length(phrase)))
 
 
 def pad_left(ids: Column, length: int) -> Column:

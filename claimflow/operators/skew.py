@@ -167,10 +167,10 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     sorted_ = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
     written = materialise(sorted_)
     part, inside = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = sorted(tuple(r) for r in written.groupBy(part.alias("p")).count().collect())
-    starts, before = {}, 0
-    for p, n in sizes:
-        starts[p], before = before, before + n
-    table = F.from_json(F.lit(json.dumps(starts)), "map<bigint,bigint>")
-    place = F.coalesce(F.element_at(table, part), F.lit(0)) + inside
+    sizes = {r["p"]: r["count"] for r in written.groupBy(part.alias("p")).count().collect()}
+    starts, before = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        starts.append(before)
+        before += sizes.get(p, 0)
+    place = F.get(F.from_json(F.lit(json.dumps(starts)), "array<bigint>"), part.cast("int")) + inside
     return written.withColumn(name, place).drop("_id")

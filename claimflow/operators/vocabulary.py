@@ -1,26 +1,34 @@
 """Text jobs that need a dictionary: stems, TF-IDF, token ids, entities.
 
-Each job explodes texts to words, joins the words to a table, and gathers them
-by text again. A text is one input row, so what is gathered is never larger than
-that row, however long the table is.
+A dictionary that was counted to be small is looked up where the texts lie, batch by
+batch, without a shuffle. A larger one is joined: words are exploded, joined to the
+table, and gathered by text again. A text is one input row, so what is gathered is
+never larger than that row, however long the table is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from claimflow import fixed_values as fixed
 from claimflow.functions.stemming import stem
 from claimflow.functions.text import words
 from claimflow.operators.projection import quoted
-from claimflow.operators.skew import lookup_join
+from claimflow.operators.skew import lookup_join, numbered
 from claimflow.session import materialise
 
 WORD = r"[\p{L}\p{N}]+"
+PLAIN_WORD = re.compile(r"[^\W_]+")
+#: Entries of a dictionary that each task may hold.
+HELD_ENTRIES = 500_000
 
 
 def _placed_words(df: DataFrame, key: str, tokens: Column) -> DataFrame:
@@ -41,10 +49,38 @@ def stem_table(df: DataFrame, text: str) -> DataFrame:
     return materialise(vocabulary.select("token", stem("token").alias("stem")))
 
 
-def stem_text(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
+def _looked_up(df: DataFrame, key: str, lists: Column, held: list, name: str, kind: str, shape):
+    """(key, name): word lists turned into ``kind`` by a held table of (token, value).
+
+    ``shape`` gets the positions of the words in the table, and the words.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(([r[0] for r in held], [r[1] for r in held]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, values = pa.array(shared.value[0], pa.string()), pa.array(shared.value[1])
+        for batch in batches:
+            listed = batch.column(1)
+            listed = pc.if_else(pc.is_valid(listed), listed, pa.scalar([], listed.type))
+            found = values.take(pc.index_in(listed.flatten(), value_set=tokens))
+            sizes = pc.list_value_length(listed).to_numpy(zero_copy_only=False)
+            offsets = pa.array([0, *sizes.cumsum().tolist()], pa.int32())
+            gathered = pa.ListArray.from_arrays(offsets, shape(found))
+            if kind == "string":
+                gathered = pc.binary_join(gathered, " ")
+            yield pa.RecordBatch.from_arrays([batch.column(0), gathered], [key, name])
+
+    given = df.select(quoted(key).alias(key), lists.alias("_words"))
+    made = given.select(F.lit(None).cast(kind).alias(name)).schema
+    return given.mapInArrow(run, StructType([given.schema[0], made[0]]))
+
+
+def stem_text(df: DataFrame, key: str, text: str, name: str, held: int = HELD_ENTRIES) -> DataFrame:
     """(key, name): the words of each text replaced by their stems, in order."""
+    stems = stem_table(df, text)
+    if stems.count() <= held:
+        return _looked_up(df, key, words(quoted(text)), stems.collect(), name, "string", lambda found: found)
     placed = _placed_words(df, key, words(quoted(text)))
-    stemmed = lookup_join(placed, stem_table(df, text), ["token"])
+    stemmed = lookup_join(placed, stems, ["token"])
     gathered = F.sort_array(
         F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "stem")))
     )
@@ -62,8 +98,6 @@ def term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
 class TfIdf:
     """Term weights n * (ln((1 + texts) / (1 + texts with the term)) + 1), L2-normed per text."""
 
-    min_texts: int = 1
-    max_terms: int | None = None
     idf: DataFrame | None = None
 
     def fit(self, df: DataFrame, key: str, terms: Column) -> "TfIdf":
@@ -77,9 +111,6 @@ class TfIdf:
 
     def _weigh_terms(self, seen: DataFrame, texts: int) -> "TfIdf":
         frequency = seen.groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
-        frequency = frequency.filter(F.col("texts") >= self.min_texts)
-        if self.max_terms:
-            frequency = frequency.orderBy(F.desc("texts"), "term").limit(self.max_terms)
         weight = F.log(F.lit(1.0 + texts) / (F.lit(1.0) + F.col("texts"))) + F.lit(1.0)
         self.idf = materialise(frequency.select("term", weight.alias("idf")))
         return self
@@ -104,78 +135,123 @@ class TfIdf:
         return weights.groupBy(key).agg(*columns)
 
 
-def build_vocabulary(df: DataFrame, terms: Column, size: int, reserved: int = 2) -> DataFrame:
-    """(token, id) of the ``size`` most frequent words; the first ids are reserved.
-
-    A vocabulary has a fixed size by definition, so numbering it in one task is
-    bounded by ``size``.
-    """
+def build_vocabulary(df: DataFrame, terms: Column, reserved: int = 2) -> DataFrame:
+    """(token, id) of all words, the most frequent first; the first ids are reserved."""
     counted = _exploded(df, terms, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    top = counted.orderBy(F.desc("n"), "token").limit(size)
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "token"))
-    return materialise(top.select("token", (place + F.lit(reserved - 1)).cast("int").alias("id")))
+    ranked = numbered(counted, [F.desc("n"), F.asc("token")], "place")
+    return ranked.select("token", (F.col("place") + F.lit(reserved)).cast("int").alias("id"))
 
 
-def token_ids(df: DataFrame, key: str, terms: Column, vocabulary: DataFrame, unknown: int = 1) -> DataFrame:
+def token_ids(
+    df: DataFrame, key: str, terms: Column, vocabulary: DataFrame, unknown: int = 1, held: int = HELD_ENTRIES
+) -> DataFrame:
     """(key, ids): word ids in text order, ``unknown`` for words outside the vocabulary."""
+    vocabulary = vocabulary.select("token", F.col("id").cast("int").alias("id"))
+    if vocabulary.count() <= held:
+        known = lambda found: pc.fill_null(found.cast(pa.int32()), unknown)
+        return _looked_up(df, key, terms, vocabulary.collect(), "ids", "array<int>", known)
     found = lookup_join(_placed_words(df, key, terms), vocabulary, ["token"])
     entry = F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id"))
     gathered = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), entry)))
     return found.groupBy(key).agg(F.transform(gathered, lambda s: s["id"]).alias("ids"))
 
 
-def find_phrases(df: DataFrame, key: str, text: str, gazetteer: DataFrame, longest: int) -> DataFrame:
-    """(key, found): non-overlapping phrase matches of each text in text order.
+FOUND = "array<struct<pos:int,label:string,words:string>>"
 
-    The gazetteer has ``phrase`` and ``label``. Reading from the left, the
-    longest phrase that starts at a word is taken and its words are used up.
-    """
-    phrases = gazetteer.select(
-        F.regexp_extract_all(F.lower("phrase"), F.lit(WORD), F.lit(0)).alias("phrase_words"), "label"
-    ).select(F.get("phrase_words", F.lit(0)).alias("first_word"), "phrase_words", "label")
-
-    tokens = F.regexp_extract_all(quoted(text), F.lit(WORD), F.lit(0))
-    # a row carries only the few words a phrase could cover, not the whole text
-    starts = F.transform(
-        F.col("_tokens"),
-        lambda t, i: F.struct(
-            i.alias("pos"),
-            F.lower(t).alias("first_word"),
-            F.slice(F.col("_tokens"), i + 1, longest).alias("ahead"),
-        ),
-    )
-    placed = (
-        df.select(quoted(key).alias(key), tokens.alias("_tokens"))
-        .select(key, F.inline_outer(starts))
-    )
-    joined = lookup_join(placed, phrases, ["first_word"])
-    length = F.size("phrase_words")
-    covered = F.slice("ahead", F.lit(1), F.coalesce(length, F.lit(0)))
-    same = F.transform(covered, F.lower) == F.col("phrase_words")
-    match = F.struct(
-        F.col("pos"), (-length).alias("minus_length"), F.col("label"),
-        F.array_join(covered, " ").alias("words"),
-    )
-    gathered = joined.groupBy(key).agg(F.sort_array(F.collect_list(F.when(same, match))).alias("_all"))
 
-    start = F.struct(F.lit(0).alias("end"), F.slice(F.col("_all"), 1, 0).alias("kept"))
+def _spans(text: str | None) -> list[tuple[int, int, str]]:
+    return [(m.start(), m.end(), m.group().lower()) for m in PLAIN_WORD.finditer(text or "")]
 
-    def take(state: Column, m: Column) -> Column:
-        taken = F.struct(
-            (m["pos"] - m["minus_length"]).alias("end"),
-            F.concat(state["kept"], F.array(m)).alias("kept"),
-        )
-        return F.when(m["pos"] >= state["end"], taken).otherwise(state)
 
-    found = F.aggregate("_all", start, take, lambda state: state["kept"])
-    return gathered.select(key, found.alias("found"))
+def _longest_first(matches: Iterator[tuple[int, int, str, str]]) -> list[dict]:
+    """From (pos, words, label, text), sorted, the matches that overlap none before them."""
+    kept, end = [], 0
+    for pos, n, label, text in matches:
+        if pos >= end:
+            kept.append({"pos": pos, "label": label, "words": text})
+            end = pos + n
+    return kept
 
 
-def extract_entities(
-    df: DataFrame, key: str, text: str, gazetteer: DataFrame, longest: int = 4
-) -> DataFrame:
+def _scanned(text: str | None, phrases: dict[str, str], lengths: dict[str, list[int]]) -> Iterator[tuple[int, int, str, str]]:
+    """Phrases of a held table in one text, longest first at each word."""
+    spans = _spans(text)
+    for pos, (start, _, first) in enumerate(spans):
+        for n in lengths.get(first, ()):
+            label = phrases.get(" ".join([w for _, _, w in spans[pos : pos + n]])) if pos + n <= len(spans) else None
+            if label is not None:
+                yield pos, n, label, text[start : spans[pos + n - 1][1]]
+
+
+def find_phrases(df: DataFrame, key: str, text: str, gazetteer: DataFrame, held: int = HELD_ENTRIES) -> DataFrame:
+    """(key, found): non-overlapping phrase matches of each text in text order.
+
+    The gazetteer has ``phrase`` and ``label``; phrases may have any number of words,
+    and what stands between words does not matter. Reading from the left, the longest
+    phrase that starts at a word is taken and its words are used up. ``words`` is the
+    match as it stands in the text. Keys must be unique.
+    """
+    split = F.regexp_extract_all(F.lower("phrase"), F.lit(WORD), F.lit(0))
+    phrases = gazetteer.select(split.alias("_split"), "label").filter(F.size("_split") > 0)
+    phrases = phrases.groupBy(F.array_join("_split", " ").alias("phrase"), F.size("_split").alias("n")).agg(
+        F.min("label").alias("label")
+    )
+    phrases = materialise(phrases)
+    given = df.select(quoted(key).alias(key), quoted(text).cast("string").alias("_text"))
+    made = given.select(key, F.lit(None).cast(FOUND).alias("found")).schema
+    if phrases.count() <= held:
+        rows = phrases.collect()
+        lengths: dict[str, set[int]] = {}
+        for r in rows:
+            lengths.setdefault(r["phrase"].split(" ", 1)[0], set()).add(r["n"])
+        table = {r["phrase"]: r["label"] for r in rows}, {w: sorted(n, reverse=True) for w, n in lengths.items()}
+        shared = df.sparkSession.sparkContext.broadcast(table)
+        kind = pa.list_(pa.struct([("pos", pa.int32()), ("label", pa.string()), ("words", pa.string())]))
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [_longest_first(_scanned(t, *shared.value)) for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], [key, "found"])
+
+        return given.mapInArrow(scan, made)
+    sizes = [r["n"] for r in phrases.select("n").distinct().collect()]
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                spans = _spans(text)
+                at = [(pos, n) for pos in range(len(spans)) for n in sizes if pos + n <= len(spans)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array([row] * len(at), pa.int64())),
+                        pa.array([pos for pos, _ in at], pa.int32()),
+                        pa.array([n for _, n in at], pa.int32()),
+                        pa.array([" ".join([w for _, _, w in spans[pos : pos + n]]) for pos, n in at], pa.string()),
+                        pa.array([text[spans[pos][0] : spans[pos + n - 1][1]] for pos, n in at], pa.string()),
+                    ],
+                    [key, "pos", "n", "phrase", "words"],
+                )
+
+    shape = given.select(key, *[F.lit(None).cast(t).alias(c) for c, t in (("pos", "int"), ("n", "int"), ("phrase", "string"), ("words", "string"))]).schema
+    met = lookup_join(given.mapInArrow(candidates, shape), phrases.select("phrase", "label"), ["phrase"], "inner")
+    match = F.struct("pos", (-F.col("n")).alias("minus"), "label", "words")
+    listed = met.groupBy(key).agg(F.sort_array(F.collect_list(match)).alias("_all"))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                _longest_first((m["pos"], -m["minus"], m["label"], m["words"]) for m in matches or [])
+                for matches in batch.column(1).to_pylist()
+            ]
+            kind = pa.list_(pa.struct([("pos", pa.int32()), ("label", pa.string()), ("words", pa.string())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], [key, "found"])
+
+    return given.select(key).join(listed, key, "left").mapInArrow(pick, made)
+
+
+def extract_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame, held: int = HELD_ENTRIES) -> DataFrame:
     """(key, entities): one list of texts per output label; other labels are dropped."""
-    found = find_phrases(df, key, text, gazetteer, longest)
+    found = find_phrases(df, key, text, gazetteer, held)
 
     def of_label(label: str) -> Column:
         own = F.filter("found", lambda m: m["label"] == F.lit(label))

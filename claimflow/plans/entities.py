@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.operators.vocabulary import extract_entities
+from claimflow.operators.vocabulary import HELD_ENTRIES, extract_entities
 
 
-def entity_envelopes(df: DataFrame, claim: str, text: str, gazetteer: DataFrame, longest: int = 4) -> DataFrame:
+def entity_envelopes(df: DataFrame, claim: str, text: str, gazetteer: DataFrame, held: int = HELD_ENTRIES) -> DataFrame:
     """One envelope per claim with a list of texts for every output label."""
-    found = extract_entities(df, claim, text, gazetteer, longest)
+    found = extract_entities(df, claim, text, gazetteer, held)
     return found.select(
         F.concat(F.col(claim).cast("string"), F.lit(":0")).alias("inputDataSource"),
         F.col(claim).alias("entityId"),

@@ -454,7 +454,7 @@ BRIDGING_P = q.linear(BRIDGING_WEIGHTS, -0.5, _bridging_expr())
  f"stems(word, stem) AS (VALUES {_stem_rows})",
  """texts AS (SELECT DISTINCT cleaned FROM features)""",
  """counts AS (SELECT cleaned, stem, count(*) AS n FROM (SELECT cleaned, unnest(string_split_regex(cleaned, '\\s+')) AS word FROM texts) JOIN stems USING (word) GROUP BY ALL)""",
- """idf AS (SELECT stem, ln((1 + (SELECT count(DISTINCT cleaned) FROM counts))::DOUBLE / (1 + count(*))) + 1 AS w FROM counts GROUP BY stem HAVING count(*) >= 2)""",
+ """idf AS (SELECT stem, ln((1 + (SELECT count(DISTINCT cleaned) FROM counts))::DOUBLE / (1 + count(*))) + 1 AS w FROM counts GROUP BY stem)""",
  """raw AS (SELECT cleaned, stem, n * w AS x FROM counts JOIN idf USING (stem))""",
  """normed AS (SELECT cleaned, stem, x / sqrt(sum(x * x) OVER (PARTITION BY cleaned)) AS x FROM raw)""",
  f"""w AS (SELECT cleaned, {', '.join(f"sum(CASE WHEN stem = {q.lit(t)} THEN x END) AS {t}" for t in BRIDGING_TERMS)} FROM normed GROUP BY cleaned)""",
@@ -463,7 +463,7 @@ BRIDGING_P = q.linear(BRIDGING_WEIGHTS, -0.5, _bridging_expr())
 def bridging_claims(spark, sf):
     features = materialise(bridging.bridging_features(view(spark, sf, "snapshots"), SNAPSHOT_TIEBREAK))
     stems = bridging.description_stems(features, STOPWORDS)
-    tfidf = TfIdf(min_texts=2, max_terms=500).fit_counts(stems, "text_key")
+    tfidf = TfIdf().fit_counts(stems, "text_key")
     worded = bridging.add_terms(features, stems, tfidf, BRIDGING_TERMS, STOPWORDS)
     filled = worded.fillna(0.0, subset=list(BRIDGING_SMALL))
     grouper = RareGrouper(20).fit(features, fixed.BRIDGING_CATEGORICAL)

@@ -87,12 +87,12 @@ def stemmed_documents(spark, sf):
 @query("F4", f"""WITH tokens AS (SELECT doc_id, unnest({DOC_WORDS}) AS term FROM documents),
  counts AS (SELECT doc_id, term, count(*) AS n FROM tokens GROUP BY ALL),
  idf AS (SELECT term, ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + count(*))) + 1 AS w
-   FROM counts GROUP BY term HAVING count(*) >= 2),
+   FROM counts GROUP BY term),
  raw AS (SELECT doc_id, term, n * w AS x FROM counts JOIN idf USING (term))
  SELECT doc_id, term, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""")
 def tfidf_weights(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", document_words().alias("words"))
-    tfidf = vocab.TfIdf(min_texts=2).fit(documents, "doc_id", F.col("words"))
+    tfidf = vocab.TfIdf().fit(documents, "doc_id", F.col("words"))
     weights = tfidf.transform(documents, "doc_id", F.col("words"))
     return weights.withColumn("weight", F.round("weight", 6))
 
@@ -152,35 +152,45 @@ def normalised_headers(spark, sf):
     return ours.unionByName(odd)
 
 
-VOCABULARY_SIZE = 2000
-
-
-@query("F9", f"""WITH listed AS (SELECT doc_id, {DOC_WORDS} AS words FROM documents),
+TOKEN_IDS_SQL = f"""WITH listed AS (SELECT doc_id, {DOC_WORDS} AS words FROM documents),
  tokens AS (SELECT doc_id, i, words[i] AS token FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM listed)),
- top AS (SELECT token, count(*) AS n FROM tokens GROUP BY token ORDER BY n DESC, token LIMIT {VOCABULARY_SIZE}),
- vocabulary AS (SELECT token, 1 + row_number() OVER (ORDER BY n DESC, token) AS id FROM top)
+ counted AS (SELECT token, count(*) AS n FROM tokens GROUP BY token),
+ vocabulary AS (SELECT token, 1 + row_number() OVER (ORDER BY n DESC, token) AS id FROM counted)
  SELECT l.doc_id, coalesce(string_agg(CAST(CASE WHEN t.token IS NOT NULL THEN coalesce(v.id, 1) END AS VARCHAR), ' ' ORDER BY t.i), '') AS ids
- FROM listed l LEFT JOIN tokens t ON l.doc_id = t.doc_id LEFT JOIN vocabulary v ON t.token = v.token GROUP BY l.doc_id""")
-def document_token_ids(spark, sf):
+ FROM listed l LEFT JOIN tokens t ON l.doc_id = t.doc_id LEFT JOIN vocabulary v ON t.token = v.token GROUP BY l.doc_id"""
+
+
+def numbered_words(spark, sf, **how):
     documents = table(spark, sf, "documents").select("doc_id", document_words().alias("words"))
-    vocabulary = vocab.build_vocabulary(documents, F.col("words"), VOCABULARY_SIZE)
-    ids = vocab.token_ids(documents, "doc_id", F.col("words"), vocabulary)
+    vocabulary = vocab.build_vocabulary(documents, F.col("words"))
+    ids = vocab.token_ids(documents, "doc_id", F.col("words"), vocabulary, **how)
     return ids.select("doc_id", F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"))
 
 
+@query("F9", TOKEN_IDS_SQL)
+def document_token_ids(spark, sf):
+    return numbered_words(spark, sf)
+
+
+@query("F9", TOKEN_IDS_SQL)
+def joined_token_ids(spark, sf):
+    """The same with a vocabulary that is joined, as a very large one is."""
+    return numbered_words(spark, sf, held=0)
+
+
 _header_words = f"regexp_extract_all(lower({_normal_sql('column_name')}), '[\\p{{L}}\\p{{N}}]+')"
 
 
 @query("F10", q.with_views(["headers"], f"""listed AS (SELECT event_id, column_name, {_header_words} AS words FROM headers),
  tokens AS (SELECT event_id, i, words[i] AS token FROM (SELECT event_id, words, unnest(range(1, len(words) + 1)) AS i FROM listed)),
- top AS (SELECT token, count(*) AS n FROM tokens GROUP BY token ORDER BY n DESC, token LIMIT 40),
- vocabulary AS (SELECT token, 1 + row_number() OVER (ORDER BY n DESC, token) AS id FROM top),
+ counted AS (SELECT token, count(*) AS n FROM tokens GROUP BY token),
+ vocabulary AS (SELECT token, 1 + row_number() OVER (ORDER BY n DESC, token) AS id FROM counted),
  ids AS (SELECT event_id, list(coalesce(v.id, 1) ORDER BY i) AS ids FROM tokens LEFT JOIN vocabulary v USING (token) GROUP BY event_id)""",
  select="""SELECT event_id, array_to_string(CASE WHEN len(ids) > 16 THEN ids[1:16]
    ELSE list_concat(list_transform(range(0, 16 - len(ids)), lambda z: 0::BIGINT), ids) END, ' ') AS ids FROM ids"""))
 def padded_ids(spark, sf):
     named = view(spark, sf, "headers").select("event_id", "column_name")
-    vocabulary = vocab.build_vocabulary(named, headers.header_words(F.col("column_name")), 40)
+    vocabulary = vocab.build_vocabulary(named, headers.header_words(F.col("column_name")))
     encoded = headers.encode_headers(named, vocabulary)
     return encoded.select("event_id", F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"))
 
@@ -190,35 +200,45 @@ GAZETTEER = [
     ("in the", "ACUITY"), ("is that", "PROCEDURE_NAME"), ("that", "TEST_NAME"),
     ("and", "BRAND_NAME"), ("with a", "GENERIC_NAME"), ("it is", "NAME"),
     ("is", "DX_NAME"), ("for the", "TREATMENT_NAME"), ("to the", "DIRECTION"),
-    ("de", "NAME"), ("of the and", "ACUITY"),
+    ("de", "NAME"), ("of the and", "ACUITY"), ("is, the", "TEST_NAME"),
+    ("the in the", "PROCEDURE_NAME"), ("the of and to", "DX_NAME"),
+    ("the of the and in", "NAME"), ("the of and to in of the", "ACUITY"), ("y de la", "NAME"),
 ]
 
 
-def _spaced(phrase: str) -> str:
-    """A phrase in a text whose words each stand between two blanks of their own."""
-    return "".join(f" {w} " for w in phrase.split())
-
-
 def _entity_sql() -> str:
-    # alternatives are tried in order, so the longest phrase at a word wins
-    by_length = sorted((p for p, _ in GAZETTEER), key=lambda p: -len(p.split()))
-    pattern = "(?i)" + "|".join(map(_spaced, by_length))
+    # at each word the alternatives are tried in order: phrases by length, then any
+    # word, so that the next match starts at a word again
+    apart, letter = r"[^\p{L}\p{N}]+", r"[\p{L}\p{N}]+"
+    words = {p: p.replace(",", "").split() for p, _ in GAZETTEER}
+    by_length = sorted(words.values(), key=lambda w: -len(w))
+    pattern = "(?i)" + "|".join(f"{apart.join(w)}(?:[^\\p{{L}}\\p{{N}}]|$)".replace("\\\\", "\\") for w in by_length) + "|" + letter
     lists = []
     for label, output in fixed.ENTITY_LISTS.items():
-        own = [_spaced(p) for p, x in GAZETTEER if x == label]
-        hits = f"list_filter(found, lambda m: lower(m) IN {q.members(own)})"
-        lists.append(f"array_to_string(list_transform({hits}, lambda m: replace(trim(m), '  ', ' ')), '|') AS {output}")
-    words = r"regexp_extract_all(text, '[\p{L}\p{N}]+')"
-    return f"""WITH spaced AS (SELECT doc_id, array_to_string(list_transform({words}, lambda w: ' ' || w || ' '), '') AS t FROM documents),
- scanned AS (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS found FROM spaced)
+        own = [" ".join(words[p]) for p, x in GAZETTEER if x == label]
+        plain = f"trim(lower(regexp_replace(m, '{apart}', ' ', 'g')))"
+        hits = f"list_filter(found, lambda m: {plain} IN {q.members(own)})"
+        cut = f"list_transform({hits}, lambda m: regexp_replace(m, '[^\\p{{L}}\\p{{N}}]$', ''))".replace("\\\\", "\\")
+        lists.append(f"array_to_string({cut}, '|') AS {output}")
+    return f"""WITH scanned AS (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS found FROM documents)
  SELECT doc_id, {", ".join(lists)} FROM scanned"""
 
 
-@query("F11", _entity_sql())
-def entity_lists(spark, sf):
+def listed_entities(spark, sf, **how):
     gazetteer = spark.createDataFrame(GAZETTEER, "phrase string, label string")
-    found = entities.entity_envelopes(table(spark, sf, "documents"), "doc_id", "text", gazetteer)
+    found = entities.entity_envelopes(table(spark, sf, "documents"), "doc_id", "text", gazetteer, **how)
     return found.select(
         F.col("entityId").alias("doc_id"),
         *[F.array_join(f"predictedResult.{n}", "|").alias(n) for n in fixed.ENTITY_LISTS.values()],
     )
+
+
+@query("F11", _entity_sql())
+def entity_lists(spark, sf):
+    return listed_entities(spark, sf)
+
+
+@query("F11", _entity_sql())
+def joined_entity_lists(spark, sf):
+    """The same with a gazetteer that is joined, as a very large one is."""
+    return listed_entities(spark, sf, held=0)

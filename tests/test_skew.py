@@ -4,6 +4,7 @@ import collections
 import datetime as dt
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -231,8 +232,6 @@ PHRASES = [
 
 
 def greedy(text):
-    import re
-
     tokens, at, found = re.findall(r"[^\W_]+", text or ""), 0, []
     while at < len(tokens):
         best = None
@@ -249,16 +248,58 @@ def greedy(text):
 def test_entities_against_scanning(spark):
     df = spark.createDataFrame(list(TEXTS.items()), "i int, t string")
     gazetteer = spark.createDataFrame(PHRASES, "phrase string, label string")
-    found = vocab.find_phrases(df, "i", "t", gazetteer, 3).collect()
-    assert {r["i"]: [(m["label"], m["words"]) for m in r["found"]] for r in found} == {
-        i: greedy(t) for i, t in TEXTS.items()
-    }
-    lists = {r["i"]: r["entities"] for r in vocab.extract_entities(df, "i", "t", gazetteer, 3).collect()}
+    for held in (1000, 0):
+        found = vocab.find_phrases(df, "i", "t", gazetteer, held).collect()
+        plain = lambda m: " ".join(re.findall(r"[^\W_]+", m["words"]))
+        assert {r["i"]: [(m["label"], plain(m)) for m in r["found"]] for r in found} == {
+            i: greedy(t) for i, t in TEXTS.items()
+        }
+    lists = {r["i"]: r["entities"] for r in vocab.extract_entities(df, "i", "t", gazetteer).collect()}
     assert lists[1]["system_organ_site"] == ["right knee", "right knee"] and lists[1]["acuity"] == ["Acute"]
     assert "joint" not in sum((list(v) for v in lists[1].asDict().values()), [])
     assert len(lists) == len(TEXTS) and lists[3]["name"] == []
 
 
+@pytest.mark.parametrize("held", [1000, 0])
+def test_long_phrases_and_spans(spark, held):
+    text = "Old diseases of the musculoskeletal system; Crohn's  disease, then crohn-s-disease."
+    df = spark.createDataFrame([(1, text), (2, "pad " * 100_000 + "Crohn's disease")], "i int, t string")
+    phrases = [("diseases of the musculoskeletal system", "DX_NAME"), ("crohn's disease", "DX_NAME"), ("diseases of", "NAME")]
+    gazetteer = spark.createDataFrame(phrases, "phrase string, label string")
+    found = {r["i"]: [m["words"] for m in r["found"]] for r in vocab.find_phrases(df, "i", "t", gazetteer, held).collect()}
+    assert found[1] == ["diseases of the musculoskeletal system", "Crohn's  disease", "crohn-s-disease"]
+    assert found[2] == ["Crohn's disease"]
+
+
+def test_numbering_over_many_ranges(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x")).repartition(13)
+    got = skew.numbered(df, [F.desc("x")], "n").collect()
+    assert {r["x"]: r["n"] for r in got} == {x: 999 - x for x in range(1000)}
+    assert skew.numbered(df.limit(0), [F.desc("x")], "n").count() == 0
+
+
+def test_orders_beyond_doubles_and_no_rows(spark):
+    ids = [2**53 + i for i in range(8)]
+    df = spark.createDataFrame([(i, "a", 1) for i in ids], "i long, k string, y int")
+    got = encode.TargetEncoder().fit_transform(df, "k", "y", "i").orderBy("i").collect()
+    assert [r["k_encoded"] for r in got] == pytest.approx([1.0] * 8)
+    y = spark.createDataFrame([(i, "a", n % 2) for n, i in enumerate(ids)], "i long, k string, y int")
+    got = encode.TargetEncoder().fit_transform(y, "k", "y", "i", cell_rows=3).orderBy("i").collect()
+    assert [r["k_encoded"] for r in got] == pytest.approx([(n // 2 + 0.5) / (n + 1) for n in range(8)])
+    none = encode.TargetEncoder().fit(df.limit(0), ["k"], "y")
+    assert none.transform(df).first()["k"] is None and none.transform(df.limit(0)).count() == 0
+    assert grid_quantiles(df.limit(0), ["i"], 5) == {"i": []}
+
+
+def test_one_join_for_one_long_column(spark):
+    rows = [(i, f"c{i % 1500}", *[f"s{i % (3 + j)}" for j in range(6)], i % 2) for i in range(6000)]
+    names = ["long", *[f"s{j}" for j in range(6)]]
+    df = spark.createDataFrame(rows, "i int, " + ", ".join(f"{n} string" for n in names) + ", y int")
+    encoder = encode.TargetEncoder().fit(df, names, "y")
+    plan = encoder.transform(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
 def test_tfidf_norm_and_width(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b"]), (3, ["c"])], "i int, w array<string>")
     tfidf = vocab.TfIdf().fit(df, "i", F.col("w"))
