@@ -6,13 +6,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SLASHED_DATE = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})"
+# A time of day and how far east of Greenwich it holds.
+WITH_OFFSET = r"\d:\d\d.*(Z|[+-]\d\d:?\d\d)\s*$"
+# Tried in this order, so the month comes first where day and month could be either.
+OTHER_SPELLINGS = (
+    "M/d/yyyy h:mm[:ss] a", "d/M/yyyy[ H:mm[:ss]]", "M/d/yy[ H:mm[:ss]]", "d/M/yy", "yyyy/M/d[ H:mm[:ss]]",
+    "yyyyMMdd", "M-d-yyyy[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]", "d.M.yyyy[ H:mm[:ss]]", "d-MMM-yyyy", "d-MMM-yy",
+    "MMM d, yyyy", "MMM d yyyy", "MMMM d, yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy",
+)
+#: Two-digit years beyond this one belong to the century before.
+LAST_SHORT_YEAR = 2068
+
+
+def _otherwise_spelled(text: Column) -> Column:
+    """Spellings that are neither ISO nor ``MM/dd/yyyy``; two-digit years fall in 1969-2068."""
+
+    def read(spelling: str) -> Column:
+        found = F.try_to_timestamp(text, F.lit(spelling)).cast("timestamp_ntz")
+        if "yyyy" in spelling:
+            return found
+        return F.when(F.year(found) > LAST_SHORT_YEAR, found - F.expr("INTERVAL 100 YEARS")).otherwise(found)
+
+    return F.coalesce(*[read(s) for s in OTHER_SPELLINGS])
 
 
 def parse_timestamp(c: Column | str) -> Column:
-    """``MM/dd/yyyy`` or ISO text to a timestamp; NULL where it is neither.
+    """Text in any of the usual spellings to a timestamp; NULL where it is none.
 
     The result is a zone-free timestamp, so day arithmetic does not move with
-    the session time zone. More than six fractional digits are cut off.
+    the session time zone; text with an offset is moved to UTC. More than six
+    fractional digits are cut off.
     """
     c = F.col(c) if isinstance(c, str) else c
     text = c.cast("string")
@@ -21,7 +44,9 @@ def parse_timestamp(c: Column | str) -> Column:
     by_place = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 1, 2), F.substring(text, 4, 2))
     by_pattern = F.regexp_replace(text, SLASHED_DATE, "$3-$1-$2")
     iso = F.when(padded, by_place).when(text.contains("/"), by_pattern).otherwise(text)
-    return iso.try_cast("timestamp_ntz")
+    moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    plain = F.when(text.rlike(WITH_OFFSET), moved).otherwise(iso.try_cast("timestamp_ntz"))
+    return F.coalesce(plain, _otherwise_spelled(F.trim(text)))
 
 
 def parse_number(c: Column | str, strict: bool = True) -> Column:
@@ -51,16 +76,20 @@ def range_midpoint(c: Column | str) -> Column:
     return (F.get(ends, F.lit(0)).try_cast("double") + F.get(ends, F.lit(1)).try_cast("double")) / 2
 
 
-def list_items(c: Column | str) -> Column:
-    """A list written as text, with either kind of quote, to an array."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.from_json(c, "array<string>")
+FIRST_QUOTED = r"^\s*[\[(]\s*(['\"])(.*?)\1\s*[,\])]"
+FIRST_BARE = r"^\s*[\[(]\s*([^\s'\",\])][^,\])]*)"
 
 
 def list_first(c: Column | str, default: str = "['Unknown']") -> Column:
-    """First item of a list written as text; NULL text takes the default list."""
+    """First item of a list or tuple written as text; NULL text takes the default list.
+
+    Quotes of either kind are dropped; an empty list, and a first item ``None``, is NULL.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.get(list_items(F.coalesce(c, F.lit(default))), F.lit(0))
+    text = F.coalesce(c, F.lit(default))
+    bare = F.trim(F.regexp_extract(text, FIRST_BARE, 1))
+    plain = F.when((bare != "") & (bare != "None"), bare)
+    return F.when(text.rlike(FIRST_QUOTED), F.regexp_extract(text, FIRST_QUOTED, 2)).otherwise(plain)
 
 
 def list_length(c: Column | str) -> Column:

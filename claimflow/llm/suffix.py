@@ -51,7 +51,7 @@ RUN_ROWS = 20_000
 RANGE_ROWS = 20_000
 SAMPLES_PER_RANGE = 20
 #: Members of a group that are matched one with another.
-GROUP_ROWS = 64
+GROUP_ROWS = 128
 #: Never part of UTF-8.
 PAD = 0xFF
 
@@ -115,9 +115,9 @@ def _stretched(length: int):
                     content = xxhash.xxh64_intdigest(data[s : s + n - 1 + length])
                     rows.append((_signed(v), _signed(content), k1, k2, s, n, back))
                 if len(rows) > 100_000:
-                    yield pd.DataFrame(rows, columns=[c.split()[0] for c in STRETCHES.split(", ")])
+                    yield pd.DataFrame(rows, columns=_names(STRETCHES))
                     rows = []
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in STRETCHES.split(", ")])
+            yield pd.DataFrame(rows, columns=_names(STRETCHES))
 
     return run
 
@@ -261,16 +261,23 @@ OWN = {"k1": "i8", "k2": "i8", "start": "i4", "windows": "i4", "back": "i4", "al
 FOUND = "k1 long, k2 long, first int, last int, digest binary, alone boolean"
 
 
+def _names(shape: str) -> list[str]:
+    return [c.split()[0] for c in shape.split(", ")]
+
+
 def _cut_pieces(length: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             rows = []
-            for row in frame.itertuples(index=False):
-                data = row.text.encode("utf-8", "surrogatepass")
-                for p in row.pieces:
-                    text = data[p["start"] : p["start"] + p["windows"] - 1 + length]
-                    rows.append((row.k1, row.k2, p["start"], p["windows"], p["back"], text, p["alone"]))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
+            for text, k1, k2, pieces in zip(frame["text"], frame["k1"], frame["k2"], frame["pieces"], strict=True):
+                data = text.encode("utf-8", "surrogatepass")
+                for p in pieces.tolist():
+                    start, windows, back = p >> 32, p >> 17 & 0x7FFF, p >> 1 & 0xFFFF
+                    rows.append((k1, k2, start, windows, back, data[start : start + windows - 1 + length], bool(p & 1)))
+                if len(rows) >= RUN_ROWS:
+                    yield pd.DataFrame(rows, columns=_names(PIECES))
+                    rows = []
+            yield pd.DataFrame(rows, columns=_names(PIECES))
 
     return run
 
@@ -293,10 +300,10 @@ def _sorted_runs(length: int, splitters):
         for frame in batches:
             held.append(frame)
             if sum(map(len, held)) >= RUN_ROWS:
-                yield pd.DataFrame(list(blobs(pd.concat(held))), columns=[c.split()[0] for c in BLOBS.split(", ")])
+                yield pd.DataFrame(list(blobs(pd.concat(held))), columns=_names(BLOBS))
                 held = []
         if held and sum(map(len, held)):
-            yield pd.DataFrame(list(blobs(pd.concat(held))), columns=[c.split()[0] for c in BLOBS.split(", ")])
+            yield pd.DataFrame(list(blobs(pd.concat(held))), columns=_names(BLOBS))
 
     return run
 
@@ -315,36 +322,51 @@ def _merged(length: int):
         bases = np.cumsum([0, *[len(r[0]) for r in runs]])
         at = np.array([bases[r] + i for r, i, _ in order])
         of = {c: np.concatenate([o[c] for o in own])[at] for c in OWN}
-        out: list[tuple] = []
+        out: list[pd.DataFrame] = []
         edges = np.concatenate([np.flatnonzero(shared < SHORT), [len(keys)]])
         for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            border = s == 0 or e == len(keys)
-            if e - s > GROUP_ROWS or border:
+            mine = {c: v[s:e] for c, v in of.items()}
+            if e - s > GROUP_ROWS or s == 0 or e == len(keys):
                 # neighbours beyond a border may share everything
                 ahead = np.maximum(shared[s:e], np.append(shared[s + 1 : e], length if e == len(keys) else 0))
                 if s == 0:
                     ahead[0] = length
-                _windows(out, keys[s:e], {c: v[s:e] for c, v in of.items()}, np.minimum(ahead, length), length)
-            else:
-                for i, spans in enumerate(mutual(keys[s:e], of["windows"][s:e], of["back"][s:e], length)):
-                    if of["alone"][s + i]:
-                        anchor = int(of["start"][s + i] + of["back"][s + i])
-                        own_key = (int(of["k1"][s + i]), int(of["k2"][s + i]))
-                        out += [(*own_key, anchor - high, anchor - low, None, True) for low, high in spans]
-        return pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")])
+                out.append(_windows(keys[s:e], mine, np.minimum(ahead, length), length))
+            elif mine["alone"].any():
+                out.append(_matched(keys[s:e], mine, length))
+        return pd.concat(out) if out else pd.DataFrame(columns=_names(FOUND))
 
     return run
 
 
-def _windows(out: list[tuple], keys: np.ndarray, of: dict, ahead: np.ndarray, length: int) -> None:
+def _matched(keys: np.ndarray, of: dict, length: int) -> pd.DataFrame:
+    """The windows that members of a group have in common with others."""
+    spans = mutual(keys, of["windows"], of["back"], length)
+    at = np.array([i for i, s in enumerate(spans) for _ in s if of["alone"][i]], int)
+    back = np.array([p for i, s in enumerate(spans) for p in s if of["alone"][i]], int).reshape(-1, 2)
+    anchor = of["start"][at] + of["back"][at]
+    return pd.DataFrame(
+        {"k1": of["k1"][at], "k2": of["k2"][at], "first": anchor - back[:, 1], "last": anchor - back[:, 0], "digest": None, "alone": True}
+    )
+
+
+def _windows(keys: np.ndarray, of: dict, ahead: np.ndarray, length: int) -> pd.DataFrame:
     """Name the windows that may occur elsewhere, as far as common prefixes tell."""
+    at, firsts, digests = [], [], []
     for i in range(len(keys)):
         back, n = int(of["back"][i]), int(of["windows"][i])
         text = np.concatenate([keys[i, length : length + back][::-1], keys[i, : length - back + n - 1]]).tobytes()
-        for o in range(max(back - n + 1, length - int(ahead[i])), back + 1):
-            first = int(of["start"][i]) + back - o
-            digest = xxhash.xxh3_128_digest(text[back - o : back - o + length])
-            out.append((int(of["k1"][i]), int(of["k2"][i]), first, first, digest, bool(of["alone"][i])))
+        low = max(back - n + 1, length - int(ahead[i]))
+        if low <= back:
+            starts = range(back - low + 1)
+            digests += [xxhash.xxh3_128_digest(text[p : p + length]) for p in starts]
+            firsts.append(int(of["start"][i]) + np.arange(len(starts)))
+            at.append(np.full(len(starts), i))
+    at = np.concatenate([np.zeros(0, int), *at])
+    first = np.concatenate([np.zeros(0, int), *firsts])
+    return pd.DataFrame(
+        {"k1": of["k1"][at], "k2": of["k2"][at], "first": first, "last": first, "digest": digests, "alone": of["alone"][at]}
+    )
 
 
 # --- the operator -------------------------------------------------------------
@@ -360,7 +382,9 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def _pieces(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The stretches named in ``wanted``, with their bytes."""
-    place = F.struct("start", "windows", "back", "alone")
+    # four small numbers in one long: lists of longs become arrays, not objects
+    place = F.shiftleft(F.col("start").cast("long"), 32) + F.shiftleft(F.col("windows").cast("long"), 17)
+    place = place + F.col("back") * 2 + F.col("alone").cast("long")
     lists = wanted.groupBy(*KEY).agg(F.collect_list(place).alias("pieces"))
     # one text stands for all its copies
     some = texts.join(broadcast_if_small(wanted.select(*KEY).distinct()), KEY, "left_semi").select(*KEY, "text")
@@ -418,26 +442,26 @@ def _joined_spans(firsts: np.ndarray, lasts: np.ndarray, length: int) -> list[tu
     return list(zip(starts[np.concatenate([[0], cut])].tolist(), ends[np.concatenate([cut - 1, [len(ends) - 1]])].tolist(), strict=True))
 
 
-def _kept(length: int, ids: str, with_text: bool):
+def _kept(length: int, with_text: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             rows = []
             for row in frame.itertuples(index=False):
                 data, at, kept = row.text.encode("utf-8", "surrogatepass"), 0, []
-                spans = _joined_spans(np.array([s["first"] for s in row.spans]), np.array([s["last"] for s in row.spans]), length)
+                spans = _joined_spans(row.spans >> 32, row.spans & 0xFFFFFFFF, length)
                 for s, e in spans:
                     kept.append(data[at:s])
                     at = e
                 left = b"".join([*kept, data[at:]])
                 digest = hashlib.sha256(left).hexdigest()
                 rows.append((row.doc_id, len(data), len(data) - len(left), len(spans), digest, left if with_text else None))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _shape(ids).split(", ")])
+            yield pd.DataFrame(rows, columns=_names(KEPT))
 
     return run
 
 
-def _shape(ids: str) -> str:
-    return f"doc_id {ids}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+# ids travel as text, since null ones would turn whole numbers into doubles
+KEPT = "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -> DataFrame:
@@ -449,10 +473,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Tru
     ids = docs.schema["doc_id"].dataType.simpleString()
     texts = keyed(docs)
     spans = repeated_windows(texts, length)
-    listed = spans.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    span = F.shiftleft(F.col("first").cast("long"), 32) + F.col("last")
+    listed = spans.groupBy(*KEY).agg(F.collect_list(span).alias("spans"))
     touched = broadcast_if_small(spans.select(*KEY).distinct())
-    cut = texts.join(touched, KEY, "left_semi").join(listed, KEY).select("doc_id", "text", "spans")
-    cut = cut.mapInPandas(_kept(length, ids, with_text), _shape(ids))
+    cut = texts.join(touched, KEY, "left_semi").join(listed, KEY)
+    cut = cut.select(F.col("doc_id").cast("string"), "text", "spans").mapInPandas(_kept(length, with_text), KEPT)
+    cut = cut.withColumn("doc_id", F.col("doc_id").cast(ids))
     nothing = F.lit(0).cast("long")
     untouched = texts.join(touched, KEY, "left_anti").select(
         "doc_id",

@@ -59,4 +59,4 @@ def label_headers(
     """Envelopes of header lists. ``score`` adds the three score arrays to encoded rows."""
     encoded = encode_headers(explode_headers(datasets), vocabulary)
     labelled = correct_labels(decode_heads(score(encoded)))
-    return envelope_batch(labelled, "dataset_id", "pos", ["column_name", "triplet"], part_rows)
+    return envelope_batch(labelled, "dataset_id", "pos", ["column_name", "triplet"], part_rows, F.col("pos").isNotNull())

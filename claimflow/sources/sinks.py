@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimflow import fixed_values as fixed
 from claimflow.operators.projection import quoted
+from claimflow.operators.skew import fits_broadcast, numbered
 
 PART_ROWS = 10_000
 
@@ -46,19 +47,30 @@ def envelope_batch(
     position: str,
     result: Sequence[str],
     part_rows: int = PART_ROWS,
+    present: Column | None = None,
 ) -> DataFrame:
-    """Envelopes of batches: ``part`` numbers stretches of ``part_rows`` positions.
+    """Envelopes of batches: ``part`` numbers stretches of ``part_rows`` rows.
 
     A batch is as long as its data, so one list for all of it would have to fit
-    in one task. Each envelope holds one stretch of positions; parts of a batch,
-    read in order, are its whole result. A batch without rows (one row whose
-    position is NULL) has one part with an empty list.
+    in one task. Rows are numbered over all tasks in the order of their position
+    (NULL first, ties by the result columns), and each envelope holds one stretch;
+    parts of a batch, read in order, are its whole result. ``present`` tells rows
+    from place holders of batches without rows, which have one part with an empty
+    list; without it every row counts.
     """
-    place = F.col(position)
-    part = F.coalesce(F.floor(place / F.lit(part_rows)), F.lit(0)).cast("long").alias("part")
-    entry = F.struct(place.alias("_at"), F.struct(*[quoted(c) for c in result]).alias("_value"))
-    rows = F.sort_array(F.collect_list(F.when(place.isNotNull(), entry)))
-    grouped = df.groupBy(quoted(batch).alias("entityId"), part).agg(rows.alias("_rows"))
+    given = df.select(
+        quoted(batch).alias("entityId"),
+        quoted(position).alias("_position"),
+        F.struct(*[quoted(c) for c in result]).alias("_value"),
+        (F.lit(True) if present is None else present).alias("_present"),
+    )
+    placed = numbered(given, [F.col("entityId"), F.col("_position"), F.col("_value")], "_place")
+    starts = placed.groupBy("entityId").agg(F.min("_place").alias("_start")).withColumnRenamed("entityId", "_batch")
+    starts = F.broadcast(starts) if fits_broadcast(starts) else starts
+    joined = placed.join(starts, placed["entityId"].eqNullSafe(starts["_batch"]))
+    part = F.floor((F.col("_place") - F.col("_start")) / F.lit(part_rows)).cast("long").alias("part")
+    rows = F.sort_array(F.collect_list(F.when(F.col("_present"), F.struct("_place", "_value"))))
+    grouped = joined.groupBy("entityId", part).agg(rows.alias("_rows"))
     return grouped.select(
         F.concat(F.col("entityId").cast("string"), F.lit(":0")).alias("inputDataSource"),
         "entityId",

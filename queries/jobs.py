@@ -562,7 +562,8 @@ def annuity_applications(spark, sf):
 @query("headers", f"""WITH {HEADS_SQL}, {rules_sql("decoded", "vec_id, dataset, prod_confidence, hdr_confidence, ent_confidence")},
  {patterns_sql("ruled", "vec_id, dataset, prod_confidence, hdr_confidence, ent_confidence")},
  texts AS (SELECT vec_id, dataset, column_name || ':' || {_triplet_text("regexp_full_match(column_name, 'blank_header_[0-9]+')")} AS t FROM patterned)
- SELECT concat(dataset, ':0') AS source, dataset AS entity, vec_id // 100 AS part, CAST(count(*) AS INT) AS n, string_agg(t, ';' ORDER BY vec_id) AS result FROM texts GROUP BY ALL""")
+ SELECT concat(dataset, ':0') AS source, dataset AS entity, (place - 1) // 100 AS part, CAST(count(*) AS INT) AS n, string_agg(t, ';' ORDER BY vec_id) AS result
+ FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY vec_id) AS place FROM texts) GROUP BY ALL""")
 def labelled_headers(spark, sf):
     """Score arrays to envelopes: decode, rules, patterns, override, assembly."""
     labelled = headers.correct_labels(decoded_headers(spark, sf))
@@ -574,10 +575,14 @@ def labelled_headers(spark, sf):
     )
 
 
-@query("A10", """SELECT 'RANDN1209:0' AS source, 'RAND1209' AS entity, event_id // 500 AS part, CAST(count(*) AS INT) AS n,
- CAST(sum(CAST(value >= 0.3193858391936 AS INT)) AS BIGINT) AS flagged FROM events GROUP BY ALL""")
+@query("A10", """WITH scored AS (SELECT CASE WHEN event_id % 7 <> 0 THEN event_id * 3 END AS id, CAST(value >= 0.3193858391936 AS INT) AS flag FROM events),
+ placed AS (SELECT *, row_number() OVER (ORDER BY id NULLS FIRST, flag) AS place FROM scored)
+ SELECT 'RANDN1209:0' AS source, 'RAND1209' AS entity, (place - 1) // 500 AS part, CAST(count(*) AS INT) AS n,
+ CAST(sum(flag) AS BIGINT) AS flagged FROM placed GROUP BY ALL""")
 def transaction_envelopes(spark, sf):
-    events = table(spark, sf, "events").withColumnRenamed("event_id", "TRXNUM")
+    """Sparse transaction numbers, every seventh row without one."""
+    number = F.when(F.col("event_id") % 7 != 0, F.col("event_id") * 3)
+    events = table(spark, sf, "events").withColumn("TRXNUM", number)
     scored = annuity.disposition(events, "value", fixed.TRANSACTION_THRESHOLD)
     parts = transaction_envelope(scored, "TRXNUM", ["TRXNUM", "predicted_disposition"], part_rows=500)
     flagged = F.aggregate("predictedResult", F.lit(0).cast("long"), lambda acc, r: acc + r["predicted_disposition"])

@@ -92,7 +92,7 @@ def header_lists(spark, sf):
 def empty_lists(spark, sf):
     """A dataset without headers still gets its envelope, with an empty list."""
     exploded = readers.explode_headers(header_lists_of_pages(spark, sf))
-    parts = sinks.envelope_batch(exploded, "dataset_id", "pos", ["column_name"])
+    parts = sinks.envelope_batch(exploded, "dataset_id", "pos", ["column_name"], present=F.col("pos").isNotNull())
     names = F.transform("predictedResult", lambda r: r["column_name"])
     return parts.select(
         F.col("inputDataSource").alias("source"), F.col("entityId").alias("dataset_id"),
@@ -164,7 +164,9 @@ def json_records(spark, sf):
 def claim_envelope(spark, sf):
     orders = table(spark, sf, "orders")
     bare = sinks.envelope(orders, "o_orderkey", ["o_totalprice", "o_orderstatus"])
-    both = bare.withColumn("listed", F.array("predictedResult"))
+    listed = sinks.envelope(orders, "o_orderkey", ["o_totalprice", "o_orderstatus"], as_list=True)
+    listed = listed.select("entityId", F.col("predictedResult").alias("listed"))
+    both = bare.join(listed, "entityId")
     return both.select(
         F.col("inputDataSource").alias("source"), F.col("entityId").alias("entity"),
         F.col("predictedResult.o_totalprice").alias("probability"),
@@ -174,9 +176,9 @@ def claim_envelope(spark, sf):
 
 @query(
     "A10",
-    """SELECT concat(event_type, ':0') AS source, event_type AS entity, event_id // 1000 AS part,
+    """SELECT concat(event_type, ':0') AS source, event_type AS entity, (place - 1) // 1000 AS part,
     CAST(count(*) AS INT) AS n, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY event_id) AS users
-    FROM events GROUP BY ALL""",
+    FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS place FROM events) GROUP BY ALL""",
 )
 def batch_envelope(spark, sf):
     parts = sinks.envelope_batch(
@@ -297,6 +299,26 @@ def salary_midpoint(spark, sf):
     )
 
 
+# Ways to spell a date, for Spark and for DuckDB.
+SPELLINGS = [
+    ("MM/dd/yyyy", "%m/%d/%Y"), ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"), ("yyyy/MM/dd", "%Y/%m/%d"),
+    ("yyyyMMdd", "%Y%m%d"), ("dd-MMM-yyyy", "%d-%b-%Y"), ("MM/dd/yy", "%m/%d/%y"), ("MM-dd-yyyy", "%m-%d-%Y"),
+    ("M/d/yyyy h:mm a", "%-m/%-d/%Y %-I:%M %p"), ("MMM d, yyyy", "%b %-d, %Y"), ("MMMM d, yyyy", "%B %-d, %Y"),
+    ("d MMMM yyyy", "%-d %B %Y"), ("yyyy-MM-dd'T'HH:mm:ss'+05:00'", "%Y-%m-%dT%H:%M:%S+05:00"),
+]
+
+
+@query("C1", f"""SELECT o_orderkey, strftime(CASE WHEN o_orderkey % {len(SPELLINGS)} = {len(SPELLINGS) - 1}
+   THEN CAST(o_orderdate AS TIMESTAMP) - INTERVAL 5 HOUR ELSE CAST(o_orderdate AS TIMESTAMP) END, '%Y-%m-%d %H:%M:%S') AS day FROM orders""")
+def spelled_dates(spark, sf):
+    """Order dates written in a dozen ways, read back; the last way is five hours east."""
+    at = F.col("o_orderdate").cast("timestamp_ntz")
+    spelled = F.coalesce(*[F.when(F.col("o_orderkey") % len(SPELLINGS) == i, F.date_format(at, s)) for i, (s, _) in enumerate(SPELLINGS)])
+    return table(spark, sf, "orders").select(
+        "o_orderkey", text_of(cleaning.parse_timestamp(spelled)).alias("day")
+    )
+
+
 @query("C8", q.with_views(["annuities"], select="""SELECT "TRXNUM", coalesce(regexp_extract("CONTRACTDATA_WRITINGCODE", '''([^'']*)''', 1), 'Unknown') AS code FROM annuities"""))
 def first_of_list(spark, sf):
     return view(spark, sf, "annuities").select(
