@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -55,33 +56,22 @@ def keyword_flags(c: Column, keywords: Mapping[str, Sequence[str]]) -> dict[str,
     return flags
 
 
-def phrase_hits(c: Column, phrases: Sequence[str]) -> Column:
-    """Array of 0/1, one entry per phrase, in phrase order.
-
-    One array instead of a column per phrase keeps the generated code of a wide
-    feature table below the compiler's limits; expand it where it is needed.
-    """
-    return F.transform(constant_list(phrases), lambda p: F.coalesce(F.contains(c, p), F.lit(False)).cast("int"))
-
-
-def no_hit(hits: Column) -> Column:
-    """1 if none of the phrases occurred."""
-    return (~F.array_contains(hits, F.lit(1))).cast("int")
-
-
-def expand_hits(
-    hits: Column, phrases: Sequence[str], prefix: str, only: Sequence[str] | None = None
+def phrase_flags(
+    c: Column, phrases: Sequence[str], prefix: str, only: Sequence[str] | None = None
 ) -> dict[str, Column]:
-    """Named 0/1 columns out of a hit array, with an "others" column at the end.
+    """One 0/1 column per phrase that occurs in ``c``, and "others" where none does.
 
-    ``only`` limits the columns to the names that are needed.
+    ``only`` limits the columns to the names that are needed. All phrases together
+    are tested by one pattern, so "others" does not ask for their columns.
     """
-    names = {prefix + p: i for i, p in enumerate(phrases)}
-    wanted = [*names, prefix + "others"] if only is None else only
-    columns = {n: F.get(hits, F.lit(names[n])) for n in wanted if n in names}
-    if prefix + "others" in wanted:
-        columns[prefix + "others"] = no_hit(hits)
-    return columns
+    names = {prefix + p: p for p in phrases}
+    others = prefix + "others"
+    wanted = [*names, others] if only is None else [n for n in only if n in names or n == others]
+    flags = {n: F.coalesce(F.contains(c, F.lit(names[n])), F.lit(False)).cast("int") for n in wanted if n in names}
+    if others in wanted:
+        any_of = "|".join(re.escape(p) for p in phrases)
+        flags[others] = (~F.coalesce(c.rlike(any_of), F.lit(False))).cast("int")
+    return flags
 
 
 def normalise_header(c: Column) -> Column:

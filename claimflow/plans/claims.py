@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from claimflow import fixed_values as fixed
 from claimflow.functions import categories, cleaning, scoring, tenure, text
-from claimflow.operators.complete import flag_incomplete
+from claimflow.operators.complete import flag_incomplete, unreadable
 from claimflow.operators.encode import align, nan_to_num
 from claimflow.operators.projection import drop_dates, payload, quoted, require
 from claimflow.operators.scale import Scaler
@@ -24,16 +24,30 @@ ENTITY = "Claim Identifier"
 
 
 def parsed(df: DataFrame, spec: ModelSpec) -> DataFrame:
-    """Required columns with dates and numbers in their types."""
+    """Required columns with dates and numbers in their types.
+
+    Text that is no number is NULL, which makes the row incomplete and leaves the job
+    running; ``rejected`` lists such rows.
+    """
     numbers = dict.fromkeys([*spec.numeric, "Duration Months"])
     return require(df, spec.columns).withColumns(
         {
             **{c: cleaning.parse_timestamp(quoted(c)) for c in spec.dates},
-            **{c: cleaning.parse_number(quoted(c)) for c in numbers},
+            **{c: cleaning.parse_number(quoted(c), strict=False) for c in numbers},
         }
     )
 
 
+def rejected(df: DataFrame, spec: ModelSpec) -> DataFrame:
+    """Rows with text that could not be read: their id and (column, value) of each."""
+    numbers = [c for c in dict.fromkeys([*spec.numeric, "Duration Months"]) if c in df.columns]
+    readers = {
+        **{c: cleaning.parse_timestamp(quoted(c)) for c in spec.dates if c in df.columns},
+        **{c: cleaning.parse_number(quoted(c), strict=False) for c in numbers},
+    }
+    return unreadable(df, ENTITY, readers)
+
+
 def std_groups() -> dict[str, Column]:
     coverage = {"STDCORE": fixed.STD_COVERAGE_CORE, "STDVOL": fixed.STD_COVERAGE_VOLUNTARY}
     risk = {"High": fixed.STD_SIC_HIGH, "Medium": fixed.STD_SIC_MEDIUM}
@@ -148,7 +162,7 @@ def settlement_durations(df: DataFrame) -> DataFrame:
 
 
 def settlement_features(df: DataFrame, scaler: Scaler) -> DataFrame:
-    """Mapped categories, scaled numbers, and the phrase hits of the description.
+    """Mapped categories, scaled numbers, and the keyword flags of the description.
 
     Completeness is judged before mapping, since mapping fills most gaps.
     """
@@ -158,8 +172,6 @@ def settlement_features(df: DataFrame, scaler: Scaler) -> DataFrame:
     mapped = flagged.withColumns({**settlement_groups(), "Primary Diagnosis Desc": description})
     phrases = mapped.withColumns(
         {
-            "condition_hits": text.phrase_hits(quoted("Primary Diagnosis Desc"), fixed.SETTLEMENT_CONDITIONS),
-            "organ_hits": text.phrase_hits(quoted("Primary Diagnosis Desc"), fixed.SETTLEMENT_ORGANS),
             **text.keyword_flags(quoted("Primary Diagnosis Desc"), fixed.SETTLEMENT_KEYWORDS),
         }
     )
@@ -170,12 +182,11 @@ def settlement_features(df: DataFrame, scaler: Scaler) -> DataFrame:
 
 
 def settlement_matrix(features: DataFrame, template: Sequence[str]) -> DataFrame:
-    """Features in template order; only the phrase columns it names are expanded."""
+    """Features in template order; only the phrase columns it names are made."""
+    description = quoted("Primary Diagnosis Desc")
     flags = {
-        **text.expand_hits(
-            F.col("condition_hits"), fixed.SETTLEMENT_CONDITIONS, fixed.CONDITION_PREFIX, template
-        ),
-        **text.expand_hits(F.col("organ_hits"), fixed.SETTLEMENT_ORGANS, fixed.ORGAN_PREFIX, template),
+        **text.phrase_flags(description, fixed.SETTLEMENT_CONDITIONS, fixed.CONDITION_PREFIX, template),
+        **text.phrase_flags(description, fixed.SETTLEMENT_ORGANS, fixed.ORGAN_PREFIX, template),
     }
     wide = features.withColumns(flags) if flags else features
     return align(wide, template, SETTLEMENT.categorical, carry=[ENTITY, "NA_row"])

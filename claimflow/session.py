@@ -26,6 +26,10 @@ def build_session(app: str = "claimflow", master: str | None = None, **conf: str
         # the JVM never compiles methods above 8000 bytes; wide feature tables run
         # much faster as several smaller methods
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # the state of streams grows with the number of claims; keep it out of the heap
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         **conf,
     }
     for key, value in settings.items():
@@ -52,8 +56,12 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute a table once and read it back from the shared folder.
 
     Used where a result is needed several times. The written table cuts the
-    lineage, survives the loss of any executor, and is read column by column.
+    lineage, survives the loss of any executor, and is read column by column. It is
+    deleted when the driver ends.
     """
     path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    jvm = df.sparkSession.sparkContext._jvm
+    written = jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(written)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,16 +11,6 @@ from pyspark.sql import types as T
 from claimflow.operators.projection import quoted, require
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a source that comes in a few unsplittable pieces.
-
-    A table with at least as many splits as the cluster has cores, as any large
-    one, is returned as it is: it never pays for a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def claim_schema(columns: Sequence[str], doubles: Sequence[str] = ()) -> T.StructType:
     """Declared schema of a claim record: text, except for the named doubles."""
     return T.StructType(

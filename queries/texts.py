@@ -119,10 +119,8 @@ def keyword_flags(spark, sf):
 
 
 def phrase_flags(spark, sf, phrases, prefix):
-    lowered = text.lowered(quoted("Primary Diagnosis Desc"))
-    hit = view(spark, sf, "claims").select(quoted(ID), text.phrase_hits(lowered, phrases).alias("hits"))
-    flags = text.expand_hits(F.col("hits"), phrases, prefix)
-    return hit.select(quoted(ID), *[c.alias(n) for n, c in flags.items()])
+    lowered = view(spark, sf, "claims").select(quoted(ID), text.lowered(quoted("Primary Diagnosis Desc")).alias("d"))
+    return lowered.select(quoted(ID), *[c.alias(n) for n, c in text.phrase_flags(F.col("d"), phrases, prefix).items()])
 
 
 @query("F6", _phrase_sql(fixed.SETTLEMENT_CONDITIONS, fixed.CONDITION_PREFIX))

@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimflow.operators import models
-from claimflow.plans import headers
+from claimflow import fixed_values as fixed
+from claimflow.functions import cleaning
+from claimflow.plans import claims, headers
+from claimflow.plans.specs import STD
 from claimflow.operators.vocabulary import build_vocabulary
 from claimflow.session import shared_dir
 from claimflow.sources import readers, sinks
@@ -78,6 +81,38 @@ def test_linear_model_from_table(spark):
     assert model.score(df, "p").first()["p"] == pytest.approx(0.5)
 
 
+def test_rejected_rows_are_listed(spark):
+    row = dict.fromkeys(fixed.STD_COLUMNS, "1") | {"Claim Identifier": "c1", "Loss Date": "13/32/2019", "Policy Lives": "many"}
+    good = row | {"Claim Identifier": "c2", "Loss Date": "15-Jan-2019", "Policy Lives": " "}
+    df = spark.createDataFrame([row, good], ", ".join(f"`{c}` string" for c in fixed.STD_COLUMNS))
+    found = {r["Claim Identifier"]: {x["column"]: x["value"] for x in r["rejects"]} for r in claims.rejected(df, STD).collect()}
+    assert found["c1"]["Loss Date"] == "13/32/2019" and found["c1"]["Policy Lives"] == "many"
+    assert not {"Loss Date", "Policy Lives"} & set(found.get("c2", {}))
+
+
+def test_first_items_and_dates(spark):
+    lists = ["['a', None]", "('x','y')", '["q"]', "[None]", "[]", None, "[7, 8]", "['it,s']", "plain"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lists)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(cleaning.list_first("t")).collect()]
+    assert got == ["a", "x", "q", None, None, "Unknown", "7", "it,s", None]
+    spelled = ["13/01/2019", "1/5/2019 1:30 PM", "2019-01-15T10:00:00+05:00", "01/05/85", "2019-01-15T10:00:00Z", "31/31/2019", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(spelled)], "i int, t string")
+    got = [str(r[0]) for r in df.orderBy("i").select(cleaning.parse_timestamp("t")).collect()]
+    assert got == [
+        "2019-01-13 00:00:00", "2019-01-05 13:30:00", "2019-01-15 05:00:00", "1985-01-05 00:00:00", "2019-01-15 10:00:00", "None", "None",
+    ]
+
+
+def test_empty_and_sparse_batches(spark):
+    rows = [("a", None, 1), ("a", 7, 2), ("a", None, 3), ("b", None, 0), (None, 900, 4)]
+    df = spark.createDataFrame(rows, "batch string, pos long, v int")
+    every = sinks.envelope_batch(df, "batch", "pos", ["v"], part_rows=2).collect()
+    got = {(p["entityId"], p["part"]): [r["v"] for r in p["predictedResult"]] for p in every}
+    assert got == {("a", 0): [1, 3], ("a", 1): [2], ("b", 0): [0], (None, 0): [4]}
+    known = sinks.envelope_batch(df, "batch", "pos", ["v"], present=F.col("v") > 0).collect()
+    assert {p["entityId"]: len(p["predictedResult"]) for p in known} == {"a": 3, "b": 0, None: 1}
+
+
 def test_parts_hold_the_whole_batch(spark):
     df = spark.range(2500).select(F.lit("b").alias("batch"), F.col("id").alias("pos"), (F.col("id") * 2).alias("v"))
     parts = sinks.envelope_batch(df, "batch", "pos", ["v"], part_rows=1000).orderBy("part").collect()
@@ -103,7 +138,7 @@ def test_record_files(spark, tmp_path):
 def test_header_envelopes(spark):
     df = spark.createDataFrame([("d1", ["firstName", "blank_header_1", "firstName"]), ("d2", [])], "dataset_id string, columns array<string>")
     names = readers.explode_headers(df).filter("column_name IS NOT NULL")
-    vocabulary = build_vocabulary(names, headers.header_words(F.col("column_name")), 10)
+    vocabulary = build_vocabulary(names, headers.header_words(F.col("column_name")))
 
     def score(encoded):
         hot = {"prod_scores": 30, "hdr_scores": 36, "ent_scores": 26}
