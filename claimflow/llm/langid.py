@@ -49,7 +49,7 @@ MARGIN_BITS = 0.5
 DEVIATIONS = 4
 LETTERS_FOR_SCORE = 32
 CHUNK = 1 << 20
-TEXTS_AT_ONCE = 2_000
+TEXTS_AT_ONCE = 1_000
 
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = "lang_pred string, score double, cross_entropy double, letters long, rejected boolean"
