@@ -52,12 +52,13 @@ def stem_table(df: DataFrame, text: str) -> DataFrame:
 def _looked_up(df: DataFrame, key: str, lists: Column, held: list, name: str, kind: str, shape):
     """(key, name): word lists turned into ``kind`` by a held table of (token, value).
 
-    ``shape`` gets the positions of the words in the table, and the words.
+    ``shape`` makes the result of the values found, NULL for words not in the table.
     """
+    item = pa.string() if kind == "string" else pa.int32()
     shared = df.sparkSession.sparkContext.broadcast(([r[0] for r in held], [r[1] for r in held]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, values = pa.array(shared.value[0], pa.string()), pa.array(shared.value[1])
+        tokens, values = pa.array(shared.value[0], pa.string()), pa.array(shared.value[1], item)
         for batch in batches:
             listed = batch.column(1)
             listed = pc.if_else(pc.is_valid(listed), listed, pa.scalar([], listed.type))
@@ -148,7 +149,7 @@ def token_ids(
     """(key, ids): word ids in text order, ``unknown`` for words outside the vocabulary."""
     vocabulary = vocabulary.select("token", F.col("id").cast("int").alias("id"))
     if vocabulary.count() <= held:
-        known = lambda found: pc.fill_null(found.cast(pa.int32()), unknown)
+        known = lambda found: pc.fill_null(found, unknown)
         return _looked_up(df, key, terms, vocabulary.collect(), "ids", "array<int>", known)
     found = lookup_join(_placed_words(df, key, terms), vocabulary, ["token"])
     entry = F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id"))
