@@ -450,7 +450,7 @@ BRIDGING_WEIGHTS = weights(BRIDGING_TEMPLATE, BRIDGING_SMALL)
 BRIDGING_P = q.linear(BRIDGING_WEIGHTS, -0.5, _bridging_expr())
 
 
-@query("bridging", q.with_views(["snapshots"], q.BRIDGING_FEATURES, f"""features AS (SELECT *, {_cleaned} AS cleaned FROM bridging_features)""", _frequent,
+BRIDGING_SQL = q.with_views(["snapshots"], q.BRIDGING_FEATURES, f"""features AS (SELECT *, {_cleaned} AS cleaned FROM bridging_features)""", _frequent,
  f"stems(word, stem) AS (VALUES {_stem_rows})",
  """texts AS (SELECT DISTINCT cleaned FROM features)""",
  """counts AS (SELECT cleaned, stem, count(*) AS n FROM (SELECT cleaned, unnest(string_split_regex(cleaned, '\\s+')) AS word FROM texts) JOIN stems USING (word) GROUP BY ALL)""",
@@ -459,7 +459,10 @@ BRIDGING_P = q.linear(BRIDGING_WEIGHTS, -0.5, _bridging_expr())
  """normed AS (SELECT cleaned, stem, x / sqrt(sum(x * x) OVER (PARTITION BY cleaned)) AS x FROM raw)""",
  f"""w AS (SELECT cleaned, {', '.join(f"sum(CASE WHEN stem = {q.lit(t)} THEN x END) AS {t}" for t in BRIDGING_TERMS)} FROM normed GROUP BY cleaned)""",
  f"""scored AS (SELECT f."ClaimNumber", {BRIDGING_P} AS p FROM features f LEFT JOIN w ON f.cleaned = w.cleaned)""",
- select="""SELECT "ClaimNumber" AS "claimNumber", round(p, 6) AS "predictedProbability", CAST(p >= 0.5 AS INT) AS predicted_bridged_ind FROM scored"""))
+ select="""SELECT "ClaimNumber" AS "claimNumber", round(p, 6) AS "predictedProbability", CAST(p >= 0.5 AS INT) AS predicted_bridged_ind FROM scored""")
+
+
+@query("bridging", BRIDGING_SQL)
 def bridging_claims(spark, sf):
     features = materialise(bridging.bridging_features(view(spark, sf, "snapshots"), SNAPSHOT_TIEBREAK))
     stems = bridging.description_stems(features, STOPWORDS)
@@ -471,6 +474,18 @@ def bridging_claims(spark, sf):
     return rounded(bridging.score_bridging(filled, BRIDGING_TEMPLATE, grouper, model))
 
 
+@query("A9", f"""SELECT concat("claimNumber", ':0') AS source, "claimNumber" AS entity, 1 AS entries,
+ "predictedProbability", predicted_bridged_ind FROM ({BRIDGING_SQL})""")
+def bridging_envelopes(spark, sf):
+    """One envelope per scored row, its result a list of one entry."""
+    wrapped = envelope(bridging_claims(spark, sf), "claimNumber", ["predictedProbability", "predicted_bridged_ind"], as_list=True)
+    entry = F.get("predictedResult", F.lit(0))
+    return wrapped.select(
+        F.col("inputDataSource").alias("source"), F.col("entityId").alias("entity"), F.size("predictedResult").alias("entries"),
+        entry["predictedProbability"].alias("predictedProbability"), entry["predicted_bridged_ind"].alias("predicted_bridged_ind"),
+    )
+
+
 def _annuity_sql(defaults, logins, numeric, categorical, flags, skip, scaled, knots, intercept, threshold) -> str:
     """Both annuity jobs: filled and derived columns, fitted numbers, encoded categories, score."""
     who = '"V_SYSTEM_LOGON_ID"'
