@@ -394,8 +394,6 @@ TRANSACTION_DEFAULTS = {
     "uc7_employee_ratio": -1.0,
     "uc8_employee_ratio": -1.0,
 }
-APPLICATION_BASE_DATE = "NBANNUITYDATA_APPDATERECEIVED"
-TRANSACTION_BASE_DATE = "TRXHDRDATA_PROCESSEDDATE"
 
 # --- Column-header labelling -----------------------------------------------
 
