@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,19 +106,33 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """The texts of a batch as bytes, one at a time and never decoded."""
+    column = batch.column(batch.schema.get_field_index("text"))
+    for i in range(len(column)):
+        yield column[i].as_buffer().to_pybytes()
+
+
 def _stretched(length: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            rows = []
-            for text, k1, k2 in zip(frame["text"], frame["k1"], frame["k2"], strict=True):
-                data = (text or "").encode("utf-8", "surrogatepass")
+    kinds = dict(c.split() for c in STRETCHES.split(", "))
+    names = list(kinds)
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        columns = np.array(rows, "i8").reshape(-1, len(names)).T
+        return pa.RecordBatch.from_arrays([pa.array(c.astype("i4" if kinds[n] == "int" else "i8")) for n, c in zip(names, columns, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            keys = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)
+            for data, (k1, k2) in zip(_texts(batch), keys, strict=True):
                 for v, s, n, back in stretches(data, length):
                     content = xxhash.xxh64_intdigest(data[s : s + n - 1 + length])
                     rows.append((_signed(v), _signed(content), k1, k2, s, n, back))
-                if len(rows) > 100_000:
-                    yield pd.DataFrame(rows, columns=_names(STRETCHES))
+                if len(rows) >= RUN_ROWS:
+                    yield table(rows)
                     rows = []
-            yield pd.DataFrame(rows, columns=_names(STRETCHES))
+        yield table(rows)
 
     return run
 
@@ -266,12 +281,12 @@ def _names(shape: str) -> list[str]:
 
 
 def _cut_pieces(length: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
             rows = []
-            for text, k1, k2, pieces in zip(frame["text"], frame["k1"], frame["k2"], frame["pieces"], strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                for p in pieces.tolist():
+            keys = zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "pieces")], strict=True)
+            for data, (k1, k2, pieces) in zip(_texts(batch), keys, strict=True):
+                for p in pieces:
                     start, windows, back = p >> 32, p >> 17 & 0x7FFF, p >> 1 & 0xFFFF
                     rows.append((k1, k2, start, windows, back, data[start : start + windows - 1 + length], bool(p & 1)))
                 if len(rows) >= RUN_ROWS:
@@ -282,6 +297,13 @@ def _cut_pieces(length: int):
     return run
 
 
+def _as_arrow(frames: Iterator[pd.DataFrame], shape: str) -> Iterator[pa.RecordBatch]:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+    schema = pa.schema([(n, kinds[k]) for n, k in (c.split() for c in shape.split(", "))])
+    for frame in frames:
+        yield pa.RecordBatch.from_pandas(frame, schema, preserve_index=False)
+
+
 def _sorted_runs(length: int, splitters):
     def blobs(rows: pd.DataFrame) -> Iterator[dict]:
         keys = keys_of(list(zip(rows["text"], rows["back"], strict=True)), length)
@@ -295,9 +317,9 @@ def _sorted_runs(length: int, splitters):
                 own = {c: rows[c].to_numpy(t)[s:e].tobytes() for c, t in OWN.items()}
                 yield {"range": i, "shared": shared, "rest": rest, **own}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
-        for frame in batches:
+        for frame in frames:
             held.append(frame)
             if sum(map(len, held)) >= RUN_ROWS:
                 yield pd.DataFrame(list(blobs(pd.concat(held))), columns=_names(BLOBS))
@@ -305,7 +327,8 @@ def _sorted_runs(length: int, splitters):
         if held and sum(map(len, held)):
             yield pd.DataFrame(list(blobs(pd.concat(held))), columns=_names(BLOBS))
 
-    return run
+    # cutting and sorting in one step: two would keep twice as many Python workers
+    return lambda batches: _as_arrow(runs(_cut_pieces(length)(batches)), BLOBS)
 
 
 def _merged(length: int):
@@ -380,8 +403,8 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _pieces(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The stretches named in ``wanted``, with their bytes."""
+def _pieces(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts with the stretches of theirs that ``wanted`` names, each packed in a long."""
     # four small numbers in one long: lists of longs become arrays, not objects
     place = F.shiftleft(F.col("start").cast("long"), 32) + F.shiftleft(F.col("windows").cast("long"), 17)
     place = place + F.col("back") * 2 + F.col("alone").cast("long")
@@ -389,14 +412,14 @@ def _pieces(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     # one text stands for all its copies
     some = texts.join(broadcast_if_small(wanted.select(*KEY).distinct()), KEY, "left_semi").select(*KEY, "text")
     one = some.groupBy(*KEY).agg(F.first("text").alias("text"))
-    return one.join(lists, KEY).mapInPandas(_cut_pieces(length), PIECES)
+    return one.join(lists, KEY).select(*KEY, "text", "pieces")
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Runs of windows that occur elsewhere: k1, k2, first, last (start bytes in the text)."""
     spark = docs.sparkSession
     found = docs.filter(F.octet_length("text") >= length).select("text", *KEY)
-    found = materialise(found.mapInPandas(_stretched(length), STRETCHES))
+    found = materialise(found.mapInArrow(_stretched(length), STRETCHES))
     met = found.groupBy("anchor").agg(F.min("content").alias("_low"), F.max("content").alias("_high"), F.count(F.lit(1)).alias("_n"))
     met = met.filter(F.col("_n") > 1).select("anchor", (F.col("_low") == F.col("_high")).alias("_same"))
     met = materialise(found.join(met, "anchor"))
@@ -413,7 +436,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ranges = max(1, math.ceil(n / RANGE_ROWS))
     splitters = _splitters(docs, wanted, n, ranges, length)
     shared = spark.sparkContext.broadcast(splitters)
-    runs = _pieces(docs, wanted, length).mapInPandas(_sorted_runs(length, shared), BLOBS)
+    runs = _pieces(docs, wanted).mapInArrow(_sorted_runs(length, shared), BLOBS)
     settled = materialise(runs.groupBy("range").applyInPandas(_merged(length), FOUND))
     named = settled.filter(F.col("digest").isNotNull())
     twice = named.groupBy("digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("digest")
@@ -429,7 +452,8 @@ def _splitters(docs: DataFrame, wanted: DataFrame, n: int, ranges: int, length:
         return np.zeros(0, kind)
     share = min(1.0, SAMPLES_PER_RANGE * ranges / n)
     drawn = F.pmod(F.xxhash64(*KEY, "start"), F.lit(1_000_003)) < int(share * 1_000_003)
-    rows = _pieces(docs, wanted.filter(drawn), length).select("text", "back").toPandas()
+    cut = lambda batches: _as_arrow(_cut_pieces(length)(batches), PIECES)
+    rows = _pieces(docs, wanted.filter(drawn)).mapInArrow(cut, PIECES).select("text", "back").toPandas()
     keys = np.sort(keys_of(list(zip(rows["text"], rows["back"], strict=True)), length).view(kind).ravel())
     return np.unique(keys[[len(keys) * i // ranges for i in range(1, ranges)]]) if len(keys) else np.zeros(0, kind)
 
@@ -443,25 +467,27 @@ def _joined_spans(firsts: np.ndarray, lasts: np.ndarray, length: int) -> list[tu
 
 
 def _kept(length: int, with_text: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for row in frame.itertuples(index=False):
-                data, at, kept = row.text.encode("utf-8", "surrogatepass"), 0, []
-                spans = _joined_spans(row.spans >> 32, row.spans & 0xFFFFFFFF, length)
+            for data, packed in zip(_texts(batch), batch.column("spans"), strict=True):
+                at, kept = 0, []
+                packed = packed.values.to_numpy()
+                spans = _joined_spans(packed >> 32, packed & 0xFFFFFFFF, length)
                 for s, e in spans:
                     kept.append(data[at:s])
                     at = e
                 left = b"".join([*kept, data[at:]])
                 digest = hashlib.sha256(left).hexdigest()
-                rows.append((row.doc_id, len(data), len(data) - len(left), len(spans), digest, left if with_text else None))
-            yield pd.DataFrame(rows, columns=_names(KEPT))
+                rows.append((len(data), len(data) - len(left), len(spans), digest, left if with_text else None))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], KEPT)
 
     return run
 
 
-# ids travel as text, since null ones would turn whole numbers into doubles
-KEPT = "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+KEPT = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -> DataFrame:
@@ -477,8 +503,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Tru
     listed = spans.groupBy(*KEY).agg(F.collect_list(span).alias("spans"))
     touched = broadcast_if_small(spans.select(*KEY).distinct())
     cut = texts.join(touched, KEY, "left_semi").join(listed, KEY)
-    cut = cut.select(F.col("doc_id").cast("string"), "text", "spans").mapInPandas(_kept(length, with_text), KEPT)
-    cut = cut.withColumn("doc_id", F.col("doc_id").cast(ids))
+    shape = f"doc_id {ids}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    cut = cut.select("doc_id", "text", "spans").mapInArrow(_kept(length, with_text), shape)
     nothing = F.lit(0).cast("long")
     untouched = texts.join(touched, KEY, "left_anti").select(
         "doc_id",
