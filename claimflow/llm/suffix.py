@@ -38,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.llm.common import broadcast_if_small
@@ -51,6 +51,8 @@ SHORT = 16
 RUN_ROWS = 20_000
 RANGE_ROWS = 20_000
 SAMPLES_PER_RANGE = 20
+#: Ranges that a group of one anchor string may fill before it is cut.
+WHOLE_GROUP_RANGES = 3
 #: Members of a group that are matched one with another.
 GROUP_ROWS = 128
 #: Never part of UTF-8.
@@ -331,9 +333,16 @@ def _sorted_runs(length: int, splitters):
     return lambda batches: _as_arrow(runs(_cut_pieces(length)(batches)), BLOBS)
 
 
-def _merged(length: int):
+def _merged(length: int, splitters):
     width = key_width(length)
 
+    def is_cut(edge: int, prefix: bytes) -> bool:
+        """Whether a border of ranges lies inside the group of that short string."""
+        if not 0 <= edge < len(splitters.value):
+            return False
+        key = splitters.value[edge].ljust(width, b"\0")
+        return key[:SHORT] == prefix and any(key[SHORT:])
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         runs, own = [], []
         for row in frame.itertuples(index=False):
@@ -349,12 +358,14 @@ def _merged(length: int):
         edges = np.concatenate([np.flatnonzero(shared < SHORT), [len(keys)]])
         for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             mine = {c: v[s:e] for c, v in of.items()}
-            if e - s > GROUP_ROWS or s == 0 or e == len(keys):
+            prefix, at = keys[s, :SHORT].tobytes(), int(frame["range"].iloc[0])
+            before, behind = s == 0 and is_cut(at - 1, prefix), e == len(keys) and is_cut(at, prefix)
+            if e - s > GROUP_ROWS or before or behind:
                 # neighbours beyond a border may share everything
-                ahead = np.maximum(shared[s:e], np.append(shared[s + 1 : e], length if e == len(keys) else 0))
+                ahead = np.maximum(shared[s:e], np.append(shared[s + 1 : e], length if behind else 0))
                 if s == 0:
-                    ahead[0] = length
-                out.append(_windows(keys[s:e], mine, np.minimum(ahead, length), length))
+                    ahead[0] = max(length if before else 0, shared[1] if e > 1 else 0)
+                out.append(_windows(keys[s:e], mine, np.minimum(ahead, length), length, before or behind))
             elif mine["alone"].any():
                 out.append(_matched(keys[s:e], mine, length))
         return pd.concat(out) if out else pd.DataFrame(columns=_names(FOUND))
@@ -373,22 +384,54 @@ def _matched(keys: np.ndarray, of: dict, length: int) -> pd.DataFrame:
     )
 
 
-def _windows(keys: np.ndarray, of: dict, ahead: np.ndarray, length: int) -> pd.DataFrame:
-    """Name the windows that may occur elsewhere, as far as common prefixes tell."""
-    at, firsts, digests = [], [], []
-    for i in range(len(keys)):
-        back, n = int(of["back"][i]), int(of["windows"][i])
-        text = np.concatenate([keys[i, length : length + back][::-1], keys[i, : length - back + n - 1]]).tobytes()
-        low = max(back - n + 1, length - int(ahead[i]))
-        if low <= back:
-            starts = range(back - low + 1)
-            digests += [xxhash.xxh3_128_digest(text[p : p + length]) for p in starts]
-            firsts.append(int(of["start"][i]) + np.arange(len(starts)))
-            at.append(np.full(len(starts), i))
-    at = np.concatenate([np.zeros(0, int), *at])
-    first = np.concatenate([np.zeros(0, int), *firsts])
+def _windows(keys: np.ndarray, of: dict, ahead: np.ndarray, length: int, cut: bool) -> pd.DataFrame:
+    """Count the windows of a large group, as far as common prefixes leave them possible.
+
+    Windows at different distances from the anchor are never equal, so they are
+    counted distance by distance. Of a group that goes on in other ranges, windows met
+    once, and one of each met more often, are named for the count over all ranges.
+    """
+    texts = [
+        np.concatenate([keys[i, length : length + b][::-1], keys[i, : length - b + n - 1]]).tobytes()
+        for i, (b, n) in enumerate(zip(of["back"].tolist(), of["windows"].tolist(), strict=True))
+    ]
+    least = np.maximum(of["back"] - of["windows"] + 1, length - ahead)
+    met_at, met_back, named_at, named_back, digests, counts = [], [], [], [], [], []
+    for o in range(max(0, int(least.min())), int(of["back"].max()) + 1):
+        members = np.flatnonzero((least <= o) & (o <= of["back"])).tolist()
+        starts = (of["back"][members] - o).tolist()
+        seen: dict[bytes, list[int]] = {}
+        for i, p in zip(members, starts, strict=True):
+            seen.setdefault(xxhash.xxh3_128_digest(texts[i][p : p + length]), []).append(i)
+        for digest, who in seen.items():
+            if len(who) > 1:
+                met_at += who
+                met_back += [o] * len(who)
+            if cut:
+                named_at.append(who[0])
+                named_back.append(o)
+                digests.append(digest)
+                counts.append(len(who) == 1)
+    found = [_runs_of_windows(of, np.array(met_at, int), np.array(met_back, int))]
+    if named_at:
+        at = np.array(named_at)
+        first = of["start"][at] + of["back"][at] - np.array(named_back)
+        alone = of["alone"][at] & np.array(counts)
+        found.append(pd.DataFrame({"k1": of["k1"][at], "k2": of["k2"][at], "first": first, "last": first, "digest": digests, "alone": alone}))
+    return pd.concat(found)
+
+
+def _runs_of_windows(of: dict, at: np.ndarray, back: np.ndarray) -> pd.DataFrame:
+    """Repeated windows of members that stand for themselves, neighbours joined."""
+    own = of["alone"][at]
+    at, back = at[own], back[own]
+    order = np.lexsort((-back, at))
+    at, first = at[order], (of["start"][at] + of["back"][at] - back)[order]
+    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (first[1:] != first[:-1] + 1)])) if len(at) else np.zeros(0, int)
+    ends = np.append(new[1:], len(at)) - 1 if len(at) else new
+    at = at[new]
     return pd.DataFrame(
-        {"k1": of["k1"][at], "k2": of["k2"][at], "first": first, "last": first, "digest": digests, "alone": of["alone"][at]}
+        {"k1": of["k1"][at], "k2": of["k2"][at], "first": first[new], "last": first[ends], "digest": None, "alone": True}
     )
 
 
@@ -421,7 +464,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = docs.filter(F.octet_length("text") >= length).select("text", *KEY)
     found = materialise(found.mapInArrow(_stretched(length), STRETCHES))
     met = found.groupBy("anchor").agg(F.min("content").alias("_low"), F.max("content").alias("_high"), F.count(F.lit(1)).alias("_n"))
-    met = met.filter(F.col("_n") > 1).select("anchor", (F.col("_low") == F.col("_high")).alias("_same"))
+    # written first, so that the join stands by itself and its hot anchors can be split
+    met = materialise(met.filter(F.col("_n") > 1).select("anchor", (F.col("_low") == F.col("_high")).alias("_same")))
     met = materialise(found.join(met, "anchor"))
     span = [*KEY, F.col("start").alias("first"), (F.col("start") + F.col("windows") - 1).alias("last")]
     same, mixed = met.filter("_same"), met.filter("NOT _same")
@@ -437,7 +481,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     splitters = _splitters(docs, wanted, n, ranges, length)
     shared = spark.sparkContext.broadcast(splitters)
     runs = _pieces(docs, wanted).mapInArrow(_sorted_runs(length, shared), BLOBS)
-    settled = materialise(runs.groupBy("range").applyInPandas(_merged(length), FOUND))
+    settled = materialise(runs.groupBy("range").applyInPandas(_merged(length, shared), FOUND))
     named = settled.filter(F.col("digest").isNotNull())
     twice = named.groupBy("digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("digest")
     counted = named.filter("alone").join(twice, "digest")
@@ -455,7 +499,15 @@ def _splitters(docs: DataFrame, wanted: DataFrame, n: int, ranges: int, length:
     cut = lambda batches: _as_arrow(_cut_pieces(length)(batches), PIECES)
     rows = _pieces(docs, wanted.filter(drawn)).mapInArrow(cut, PIECES).select("text", "back").toPandas()
     keys = np.sort(keys_of(list(zip(rows["text"], rows["back"], strict=True)), length).view(kind).ravel())
-    return np.unique(keys[[len(keys) * i // ranges for i in range(1, ranges)]]) if len(keys) else np.zeros(0, kind)
+    if not len(keys):
+        return np.zeros(0, kind)
+    # a border moves to the start of the group it falls in, unless the group would
+    # fill too many ranges
+    cuts, moved = keys[[len(keys) * i // ranges for i in range(1, ranges)]], []
+    prefixes = [bytes(c)[:SHORT] for c in cuts]
+    for c, p in zip(cuts, prefixes, strict=True):
+        moved.append(p if prefixes.count(p) <= WHOLE_GROUP_RANGES else bytes(c))
+    return np.unique(np.array(moved, kind))
 
 
 def _joined_spans(firsts: np.ndarray, lasts: np.ndarray, length: int) -> list[tuple[int, int]]:
