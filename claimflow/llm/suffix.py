@@ -20,7 +20,8 @@ whose short string starts nowhere else.
    group too large to be matched member by member, or one that a range border cuts,
    names the windows that the common prefixes leave possible, and these are counted
    by content.
-4. A text's repeated windows are joined to it and cut out.
+4. A text's repeated windows, listed once for all its copies, are joined to each copy
+   and cut out.
 
 Defined cases: a null text is empty; texts shorter than ``length`` keep all; repeated
 rows and equal texts are occurrences like any others, so nothing of them is kept;
@@ -459,7 +460,7 @@ def _pieces(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Runs of windows that occur elsewhere: k1, k2, first, last (start bytes in the text)."""
+    """Runs of windows that occur elsewhere, once each: k1, k2, first, last (start bytes in the text)."""
     spark = docs.sparkSession
     found = docs.filter(F.octet_length("text") >= length).select("text", *KEY)
     found = materialise(found.mapInArrow(_stretched(length), STRETCHES))
@@ -486,7 +487,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     twice = named.groupBy("digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("digest")
     counted = named.filter("alone").join(twice, "digest")
     matched = settled.filter(F.col("digest").isNull()).unionByName(counted.select(*settled.columns))
-    return materialise(whole.unionByName(matched.select(*KEY, "first", "last")))
+    # copies of a text name the same windows: one row each, whatever the number of copies
+    return materialise(whole.unionByName(matched.select(*KEY, "first", "last")).distinct())
 
 
 def _splitters(docs: DataFrame, wanted: DataFrame, n: int, ranges: int, length: int) -> np.ndarray:
@@ -552,7 +554,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Tru
     texts = keyed(docs)
     spans = repeated_windows(texts, length)
     span = F.shiftleft(F.col("first").cast("long"), 32) + F.col("last")
-    listed = spans.groupBy(*KEY).agg(F.collect_list(span).alias("spans"))
+    # written first, so that the join stands by itself and texts with many copies can be split
+    listed = materialise(spans.groupBy(*KEY).agg(F.collect_list(span).alias("spans")))
     touched = broadcast_if_small(spans.select(*KEY).distinct())
     cut = texts.join(touched, KEY, "left_semi").join(listed, KEY)
     shape = f"doc_id {ids}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"

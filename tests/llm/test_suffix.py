@@ -51,6 +51,21 @@ def test_like_counting_every_window(spark, monkeypatch, length, group, ranges):
         assert hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"]
 
 
+def test_lists_of_copies_do_not_grow(spark):
+    rng = random.Random(8)
+    text, other = words_of(rng, 700, "abcde"), words_of(rng, 200, "fghij")
+    longest = {}
+    for n in (2, 1_000):
+        texts = [text] * n + [other + text[:900]] * (n // 2)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        spans = suffix.repeated_windows(suffix.keyed(docs))
+        longest[n] = max(r["count"] for r in spans.groupBy("k1", "k2").count().collect())
+        got = Counter((r["n_bytes"], r["n_removed"]) for r in suffix.without_repeats(docs).collect())
+        part = 900 if n == 2 else len(other) + 900
+        assert got == {(len(text), len(text)): n, (len(other) + 900, part): n // 2}
+    assert longest[1_000] == longest[2] > 1
+
+
 def test_merge_orders_and_shares():
     rng = np.random.default_rng(3)
     keys = rng.integers(97, 99, (500, 40), "u1")
