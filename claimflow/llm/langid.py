@@ -5,10 +5,10 @@ lower-cased words, with marks for a word's start and end. Seen n-grams hold thei
 interpolated probability and their back-off weight; all languages share one array of
 sorted n-gram hashes for each order, searched by bisection. A text gets the language
 whose cross-entropy per letter is lowest. It is rejected if it has no letters, or if
-that cross-entropy is higher than any that labelled texts of the language show and
-higher than that of a code that takes all letters of the language as equally likely,
-with an allowance that shrinks with the number of letters; the limit is fitted on
-labelled rows that the n-gram counts have not seen.
+that cross-entropy is more than a margin above a high quantile of what labelled texts
+of the language show, with an allowance that shrinks with the number of letters; the
+limit is fitted on labelled rows that the n-gram counts have not seen. A language
+without such rows takes a code of equally likely letters in place of the quantile.
 
 Fitting takes at most about ``sample_rows`` labelled rows for each language, chosen
 by a hash of the row, so the model has a bound that does not grow with the data; it
@@ -43,9 +43,11 @@ UNKNOWN = "und"
 BEGIN, FINISH = "\x02", "\x03"
 #: Letters a model knows nothing about share what is left over as if there were so many.
 ALPHABET = 65_536
-#: Bits per letter above the limit at which a text is rejected, and standard
-#: deviations of a mean over its letters that are allowed besides.
-MARGIN_BITS = 0.5
+#: The quantile of unseen labelled texts that sets the limit, bits per letter above it
+#: at which a text is rejected, and standard deviations of a mean over its letters that
+#: are allowed besides.
+QUANTILE = 0.99
+MARGIN_BITS = 1.5
 DEVIATIONS = 4
 LETTERS_FOR_SCORE = 32
 CHUNK = 1 << 20
@@ -269,13 +271,12 @@ def calibrate(model: Model, unseen: DataFrame) -> Model:
     limits, spreads = [], []
     for i, lang in enumerate(model.languages):
         mine = got[got["lang"] == lang]
-        evenly = math.log2(max(2, np.count_nonzero(~np.isnan(model.probability[0][:, i]))))
-        spread, worst = 0.0, evenly
+        spread, usual = 0.0, math.log2(max(2, np.count_nonzero(~np.isnan(model.probability[0][:, i]))))
         if len(mine):
             middle = float(mine["bits"].median())
             spread = 1.5 * float(((mine["bits"] - middle).abs() * np.sqrt(mine["letters"])).median())
-            worst = float((mine["bits"] - DEVIATIONS * spread / np.sqrt(mine["letters"])).max())
-        limits.append(max(worst, evenly) + MARGIN_BITS)
+            usual = float((mine["bits"] - DEVIATIONS * spread / np.sqrt(mine["letters"])).quantile(QUANTILE))
+        limits.append(usual + MARGIN_BITS)
         spreads.append(spread)
     model.limit, model.spread = np.array(limits), np.array(spreads)
     return model

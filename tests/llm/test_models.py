@@ -37,6 +37,15 @@ def test_foreign_text_is_rejected(spark, model):
     assert got["lang_pred"].tolist()[2:5] == ["en", "und", "und"]
 
 
+def test_language_left_out_is_rejected(spark):
+    docs = common.read(spark, SF, "documents")
+    without = langid.fit_on_folds(docs.filter("lang != 'de'"))
+    foreign = langid.classify(docs.filter("lang = 'de'"), without).toPandas()
+    assert foreign["rejected"].mean() > 0.95
+    clean = docs.filter("lang != 'de'").filter(common.fold(F.col("doc_id"), 4) == 2)
+    assert langid.classify(clean, without).toPandas()["rejected"].mean() < 0.01
+
+
 def test_kneser_ney_sums_to_one():
     counts = Counter()
     for word in ["abba", "abc", "cab", "b", "bab"]:
