@@ -50,8 +50,10 @@ BLOCK_BYTES = 8 << 20
 PART_WORDS = 300_000
 #: Added to every piece's expected count.
 SMOOTHING = 0.1
-#: Words up to this many characters are scored many at a time.
+#: Words up to this many characters are scored many at a time; longer ones one at a
+#: time, with the edges of so many places held at once.
 LONG_WORD = 48
+PLACES_AT_ONCE = 4_096
 WORDS_AT_ONCE = 4_096
 SPACE = "▁"
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -145,10 +147,71 @@ class Pieces:
                         logs[r] = self.logs[self.spelled(words[r][i])].sum()
                 yield i, j, ids, logs
 
+    def _prefixes(self, codes: np.ndarray) -> np.ndarray:
+        """Hashes of all beginnings of one word."""
+        h, out = 0, np.zeros(len(codes) + 1, "u8")
+        for j, c in enumerate(codes.tolist(), 1):
+            h = (h * MULTIPLIER + c + 1) % 2**64
+            out[j] = h
+        return out
+
+    def _ending(self, prefix: np.ndarray, word: str, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces or -1, and log probabilities, by length and by place of the end, a + 1 to b."""
+        ids, logs = np.full((len(self.lengths), b - a), -1), np.full((len(self.lengths), b - a), -np.inf)
+        for row, length in enumerate(self.lengths):
+            j = np.arange(max(a + 1, length), b + 1)
+            if not len(j):
+                continue
+            h = prefix[j] - prefix[j - length] * np.uint64(pow(MULTIPLIER, length, 2**64))
+            place = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
+            known = self.sorted[place] == h
+            at = j - a - 1
+            ids[row, at] = np.where(known, self.at[place], -1)
+            logs[row, at] = np.where(known, self.logs[ids[row, at]], -np.inf)
+            if length == 1:
+                for k in at[~known].tolist():
+                    logs[row, k] = self.logs[self.spelled(word[a + k])].sum()
+        return ids, logs
+
+    def _ahead(self, codes: np.ndarray, word: str, prefix: np.ndarray | None = None) -> np.ndarray:
+        """The forward sums of one word, behind as many empty places as the longest piece has."""
+        n, back = len(codes), self.lengths[-1] - np.array(self.lengths)
+        prefix = self._prefixes(codes) if prefix is None else prefix
+        ahead = np.full(self.lengths[-1] + n + 1, -np.inf)
+        ahead[self.lengths[-1]] = 0
+        for a in range(0, n, PLACES_AT_ONCE):
+            _, logs = self._ending(prefix, word, a, min(n, a + PLACES_AT_ONCE))
+            for k in range(logs.shape[1]):
+                j = a + k + 1
+                ahead[self.lengths[-1] + j] = np.logaddexp.reduce(ahead[back + j] + logs[:, k])
+        return ahead
+
+    def _add_long(self, total: np.ndarray, codes: np.ndarray, word: str, times: float) -> None:
+        """Add the expected pieces of one long word, whose edges are made again going back."""
+        n, off, back = len(codes), self.lengths[-1], self.lengths[-1] - np.array(self.lengths)
+        prefix = self._prefixes(codes)
+        ahead, behind = self._ahead(codes, word, prefix), np.full(off + n + 1, -np.inf)
+        behind[-1] = 0
+        for a in reversed(range(0, n, PLACES_AT_ONCE)):
+            ids, logs = self._ending(prefix, word, a, min(n, a + PLACES_AT_ONCE))
+            for k in reversed(range(logs.shape[1])):
+                i = back + a + k + 1
+                behind[i] = np.logaddexp(behind[i], behind[off + a + k + 1] + logs[:, k])
+            ends = np.arange(a + 1, a + 1 + logs.shape[1])
+            uses = times * np.exp(ahead[back[:, None] + ends] + logs + behind[off + ends] - ahead[-1])
+            known = ids >= 0
+            total += np.bincount(ids[known], uses[known], len(total))
+            if self.lengths[0] == 1:
+                for k in np.flatnonzero(~known[0]).tolist():
+                    np.add.at(total, self.spelled(word[a + k]), uses[0, k])
+
     def score(self, words: list[str]) -> np.ndarray:
         """Log probability of each word over all its segmentations."""
         out = np.zeros(len(words))
         for members, codes in self._groups(words):
+            if codes.shape[1] > LONG_WORD:
+                out[members] = self._ahead(codes[0], words[members[0]])[-1]
+                continue
             ahead = np.full((codes.shape[1] + 1, len(members)), -np.inf)
             ahead[0] = 0
             for i, j, _, logs in self.edges(codes, [words[m] for m in members]):
@@ -161,6 +224,9 @@ class Pieces:
         total = np.zeros(len(self.logs))
         for members, codes in self._groups(words):
             mine = [words[m] for m in members]
+            if codes.shape[1] > LONG_WORD:
+                self._add_long(total, codes[0], mine[0], float(counts[members[0]]))
+                continue
             held = list(self.edges(codes, mine))
             n, m = codes.shape[1], len(members)
             ahead, behind = np.full((n + 1, m), -np.inf), np.full((n + 1, m), -np.inf)

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -122,6 +123,20 @@ def test_expected_counts_match_the_gradient(pieces):
         assert got[i] == pytest.approx(slope, abs=1e-3)
 
 
+def test_long_words_take_the_same_sums_in_little_memory(pieces, monkeypatch):
+    words, counts = ["▁" + "abbaé漢b" * 30, "▁" + "ab" * 40, "▁zz" * 50], np.array([2.0, 1.0, 3.0])
+    monkeypatch.setattr(lattice, "PLACES_AT_ONCE", 7, raising=False)
+    one = pieces.score(words), pieces.expected(words, counts)
+    monkeypatch.setattr(lattice, "LONG_WORD", 1_000)
+    assert one[0] == pytest.approx(pieces.score(words), rel=1e-12)
+    assert one[1] == pytest.approx(pieces.expected(words, counts), rel=1e-9, abs=1e-12)
+    monkeypatch.undo()
+    tracemalloc.start()
+    pieces.expected(["▁" + "ab" * 10_000], np.array([1.0]))
+    assert tracemalloc.get_traced_memory()[1] < 5_000_000
+    tracemalloc.stop()
+
+
 def test_scores_like_brute_force(spark, monkeypatch):
     monkeypatch.setattr(lattice, "BLOCK_BYTES", 500)
     monkeypatch.setattr(lattice, "PART_WORDS", 40)
