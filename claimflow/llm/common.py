@@ -57,3 +57,28 @@ def broadcast_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFram
     """
     table = materialise(table)
     return F.broadcast(table) if table.count() <= rows else table
+
+
+def usable(embedding: Column) -> Column:
+    """Whether a vector is there and all its components are finite numbers."""
+    finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return embedding.isNotNull() & finite
+
+
+#: A key counts as hot from one row in so many on, so there are at most so many hot keys.
+HOT_KEYS = 1000
+
+
+def join_counted(rows: DataFrame, table: DataFrame, on: list[str], copies: str, how: str = "inner") -> DataFrame:
+    """Join rows to a written table of one row per key in which ``copies`` counts the rows of the key.
+
+    Keys that hold a thousandth of all rows or more are broadcast, at most a thousand of
+    them; the rows of other keys are shuffled. ``how`` is inner or left.
+    """
+    n = rows.count()
+    hot = table.filter(F.col(copies) * HOT_KEYS >= n)
+    if hot.isEmpty():
+        return rows.join(table, on, how)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    cold = rest.join(table.filter(F.col(copies) * HOT_KEYS < n), on, how)
+    return rows.join(F.broadcast(hot), on).unionByName(cold)

@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from claimflow.llm import chat, common, decontaminate, langid, lattice, mixing, pii, sharding, simhash, suffix, topk
+from claimflow.llm import (
+    archive,
+    chat,
+    common,
+    decontaminate,
+    langid,
+    lattice,
+    mixing,
+    orchard,
+    pii,
+    sharding,
+    simhash,
+    suffix,
+    topk,
+    whitening,
+)
 from claimflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,6 +233,81 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.with_surrogates(docs, SURROGATE_KEY)
 
 
+def _clusters_sql(k: int, rounds: int, width: int) -> str:
+    """k-means in whole numbers, one pair of tables for each round."""
+    most = math.isqrt(2**58 // width)
+    square = "list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = [
+        f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id,
+         list_transform(embedding, lambda x: greatest(least(floor(x::DOUBLE * 256), {most}), -{most})::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""m0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m FROM (
+    SELECT sha256('2:' || vec_id) AS h, v FROM v WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k}))""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"a{r} AS MATERIALIZED (SELECT id, any_value(vec_id) AS vec_id, any_value(v) AS v, "
+            f"min({square} * {k} + c) AS best FROM v, m{r} GROUP BY id)"
+        )
+        if r < rounds:
+            steps.append(f"""m{r + 1} AS MATERIALIZED (
+  SELECT m.c, coalesce(n.m, m.m) AS m FROM m{r} m LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY d) AS m FROM (
+      SELECT best % {k} AS c, d, sum(v[d]) AS s, count(*) AS n FROM a{r}, range(1, {width + 1}) r(d) GROUP BY ALL)
+    GROUP BY c) n USING (c))""")
+    return f"""
+WITH {", ".join(steps)},
+f AS (SELECT vec_id, best % {k} AS c, best // {k} AS d FROM a{rounds})
+SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM f JOIN m{rounds} USING (c)
+"""
+
+
+@query(_clusters_sql(orchard.CENTROIDS, orchard.ROUNDS, orchard.WIDTH))
+def op11_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after five rounds around forty centroids."""
+    return orchard.clusters(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen whitened components of every vector."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(hex, i // 4 * 5 + 1, 5))::BIGINT >> (15 - i % 4 * 5)) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS NULL OR page_id = first THEN NULL ELSE first END AS refers_to
+FROM p
+"""
+
+
+@query(WARC_SQL)
+def op13_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as records of ZIP packages, and read back from them."""
+    folder = archive.new_folder(spark)
+    packages = archive.write_packages(read(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    found = archive.read_records(packages, folder, with_payload=False)
+    return found.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""

@@ -37,6 +37,18 @@ def test_top_k_like_brute_force(spark, scale, step):
     assert sorted(map(tuple, found.collect())) == brute_top(rows, asked, 5)
 
 
+def test_top_k_of_huge_components(spark):
+    rows = [(1, [1e8, 1.0]), (2, [1e30, 1.0]), (3, [1e30, 2.0]), (4, [-1e30, 0.0]), (5, [0.5, 0.5]), (50, [1e8, 3.0]), (100, [1e30, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    most = 2**63 - 1
+    found = {(r[0], r[2]): (r[1], r[3]) for r in topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 6).collect()}
+    whole = lambda v: [max(-(2**62), min(2**62, int(np.floor(np.float64(np.float32(x)) * 256)))) for x in v]
+    for q, v in [rows[5], rows[6]]:
+        score = lambda c: max(-most, min(most, sum(a * b for a, b in zip(whole(v), whole(c), strict=True))))  # noqa: E731, B023
+        best = sorted((-score(c), i) for i, c in rows if i != q)
+        assert [found[q, i] for _, i in best] == [(r + 1, -s) for r, (s, _) in enumerate(best)]
+
+
 def test_top_k_of_few_or_none(spark):
     two = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "vec_id long, embedding array<float>")
     assert topk.top_k(two, two).count() == 2
