@@ -8,26 +8,57 @@ from pyspark.sql import functions as F
 SLASHED_DATE = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})"
 # A time of day and how far east of Greenwich it holds.
 WITH_OFFSET = r"\d:\d\d.*(Z|[+-]\d\d:?\d\d)\s*$"
-# Tried in this order, so the month comes first where day and month could be either.
-OTHER_SPELLINGS = (
-    "M/d/yyyy h:mm[:ss] a", "d/M/yyyy[ H:mm[:ss]]", "M/d/yy[ H:mm[:ss]]", "d/M/yy", "yyyy/M/d[ H:mm[:ss]]",
-    "yyyyMMdd", "M-d-yyyy[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]", "d.M.yyyy[ H:mm[:ss]]", "d-MMM-yyyy", "d-MMM-yy",
-    "MMM d, yyyy", "MMM d yyyy", "MMMM d, yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy",
+# A time of day by the clock of twelve hours.
+CLOCK = r"(?i)(:\d\d) ([ap])m$"
+TIME = r"( \d{1,2}:\d\d(?::\d\d)?)?$"
+# Each shape of a date is turned into ISO by exchanging its parts; a text that has been
+# turned has none of the shapes further down. The month comes first where it could be
+# either; of several groups for one part, those not met are empty.
+SHAPES = (
+    # yyyy/M/d, yyyyMMdd
+    (r"^(\d{4})(?:/(\d{1,2})/(\d{1,2})|(\d\d)(\d\d))" + TIME, "$1-$2$4-$3$5$6"),
+    # M/d/yyyy, d/M/yyyy, d.M.yyyy; the first two with dashes too, or with two digits of the year
+    (
+        r"^(?:(?:(0?[1-9]|1[0-2])([-/])(\d{1,2})\2|(1[3-9]|2\d|3[01])([-/])(\d{1,2})\5|(\d{1,2})\.(\d{1,2})\.)(\d{4})"
+        r"|(?:(0?[1-9]|1[0-2])/(\d{1,2})|(1[3-9]|2\d|3[01])/(\d{1,2}))/(\d\d))" + TIME,
+        "\x01$9$14-$1$6$8$10$13-$3$4$7$11$12$15",
+    ),
+    # d-MMM-yyyy, d-MMM-yy, d MMMM yyyy, MMM d yyyy, MMMM d, yyyy; the name is put in later
+    (
+        r"^(?:(\d{1,2})(?: [A-Za-z]+ (\d{4})|-[A-Za-z]{3}-(\d\d)|-[A-Za-z]+-(\d{4}))|[A-Za-z]+ (\d{1,2}),? (\d{4}))$",
+        "\x01$2$3$4$6-@-$1$5",
+    ),
+    # years of two digits, told by the mark that the two shapes above leave in front
+    (r"^\x01([0-5]\d|6[0-8])-", "20$1-"),
+    (r"^\x01(\d\d)-", "19$1-"),
+)
+MONTHS = (
+    "january", "february", "march", "april", "may", "june",
+    "july", "august", "september", "october", "november", "december",
 )
-#: Two-digit years beyond this one belong to the century before.
-LAST_SHORT_YEAR = 2068
 
 
 def _otherwise_spelled(text: Column) -> Column:
-    """Spellings that are neither ISO nor ``MM/dd/yyyy``; two-digit years fall in 1969-2068."""
-
-    def read(spelling: str) -> Column:
-        found = F.try_to_timestamp(text, F.lit(spelling)).cast("timestamp_ntz")
-        if "yyyy" in spelling:
-            return found
-        return F.when(F.year(found) > LAST_SHORT_YEAR, found - F.expr("INTERVAL 100 YEARS")).otherwise(found)
+    """Spellings that are neither ISO nor ``MM/dd/yyyy``; two-digit years fall in 1969-2068.
 
-    return F.coalesce(*[read(s) for s in OTHER_SPELLINGS])
+    No parser is tried: the shape of a text decides how its parts are put in order, and
+    what comes out is read once, so a text that is no date costs no more than one that is.
+    """
+    clock = F.lower(F.right(text, F.lit(1))) == "m"
+    iso = F.when(clock, F.regexp_replace(text, CLOCK, "$1")).otherwise(text)
+    for shape, order in SHAPES:
+        iso = F.regexp_replace(iso, shape, order)
+    # names are given in three letters or in full
+    listed = ",".join([m[:3] for m in MONTHS] + list(MONTHS))
+    name = F.lower(F.regexp_extract(text, "[A-Za-z]{3,}", 0))
+    month = F.pmod(F.nullif(F.find_in_set(name, F.lit(listed)), F.lit(0)) - 1, F.lit(len(MONTHS))) + 1
+    # a text without letters keeps its sign, and is no date
+    month = F.when(text.rlike("[A-Za-z]{3}"), month.cast("string")).otherwise(F.lit("@"))
+    hour = F.regexp_extract(text, r" (\d{1,2}):", 1).try_cast("int")
+    noon = F.when(F.lower(F.right(text, F.lit(2))) == "pm", F.lit(12)).otherwise(F.lit(0))
+    shift = F.when(~clock, F.lit(0)).when(~text.rlike(CLOCK), F.lit(None)).when(hour.between(1, 11), noon).when(hour == 12, noon - 12)
+    iso = F.ltrim(F.replace(iso, F.lit("@"), month), F.lit("\x01"))
+    return iso.try_cast("timestamp_ntz") + F.make_dt_interval(hours=shift)
 
 
 def parse_timestamp(c: Column | str) -> Column:
@@ -46,7 +77,7 @@ def parse_timestamp(c: Column | str) -> Column:
     iso = F.when(padded, by_place).when(text.contains("/"), by_pattern).otherwise(text)
     moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
     plain = F.when(text.rlike(WITH_OFFSET), moved).otherwise(iso.try_cast("timestamp_ntz"))
-    return F.coalesce(plain, _otherwise_spelled(F.trim(text)))
+    return F.coalesce(plain, F.when(text.rlike(r"\d"), _otherwise_spelled(F.trim(text))))
 
 
 def parse_number(c: Column | str, strict: bool = True) -> Column:
