@@ -162,9 +162,13 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """A written table of all rows with their place in the given order, from 0.
 
     Rows are sorted by range over all tasks; one count for each range reaches the
-    driver and gives the place at which it starts.
+    driver and gives the place at which it starts. Rows are written first, and their
+    number in that table is the last thing they are sorted by. So no two rows are
+    equal to the sort, and however many share one value, or have none, the sampled
+    range borders cut through them; a task that runs again finds the same numbers.
     """
-    sorted_ = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    given = materialise(df).withColumn("_tie", F.monotonically_increasing_id())
+    sorted_ = given.orderBy(*order, "_tie").drop("_tie").withColumn("_id", F.monotonically_increasing_id())
     written = materialise(sorted_)
     part, inside = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = {r["p"]: r["count"] for r in written.groupBy(part.alias("p")).count().collect()}

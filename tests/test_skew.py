@@ -278,6 +278,25 @@ def test_numbering_over_many_ranges(spark):
     assert skew.numbered(df.limit(0), [F.desc("x")], "n").count() == 0
 
 
+def test_numbering_spreads_equal_rows(spark):
+    """Half of all rows have no position, and are equal in all else."""
+    position = F.when(F.col("id") % 2 == 1, F.col("id"))
+    df = spark.range(160_000).select(position.alias("x"), F.lit(1).alias("y")).repartition(8)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = skew.numbered(df, [F.asc_nulls_first("x"), F.col("y")], "n")
+        sizes = sorted(r[1] for r in got.groupBy(F.input_file_name()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+    rows = got.agg(F.count("n"), F.countDistinct("n"), F.min("n"), F.max("n")).first()
+    assert tuple(rows) == (160_000, 160_000, 0, 159_999)
+    wrong = got.filter((F.col("x").isNull() != (F.col("n") < 80_000)) | (F.col("n") != 80_000 + (F.col("x") - 1) / 2))
+    assert wrong.count() == 0
+
+
 def test_orders_beyond_doubles_and_no_rows(spark):
     ids = [2**53 + i for i in range(8)]
     df = spark.createDataFrame([(i, "a", 1) for i in ids], "i long, k string, y int")
