@@ -65,6 +65,43 @@ def tree_score(spark, sf):
     return scored.select(*KEYS, F.round("p", 6).alias("p"))
 
 
+FOREST, FOREST_DEPTH = 500, 5
+FOREST_FEATURES = {"o_totalprice": 40, "o_custkey": 1, "o_orderkey": 1}
+#: Features, thresholds and leaf values of node ``n`` (children 2n + 1 and 2n + 2) of tree ``t``.
+FOREST_NODE = "(t * 7919 + n * 104729 + t * n * 31) % 1009"
+
+
+def forest_nodes():
+    """Full trees by rule."""
+    nodes, inner = [], 2**FOREST_DEPTH - 1
+    for t in range(FOREST):
+        for n in range(2 * inner + 1):
+            drawn = (t * 7919 + n * 104729 + t * n * 31) % 1009
+            if n < inner:
+                feature, scale = list(FOREST_FEATURES.items())[drawn % len(FOREST_FEATURES)]
+                nodes.append(node(t, n, feature, drawn * 10 * scale, 2 * n + 1, 2 * n + 2))
+            else:
+                nodes.append(node(t, n, value=(drawn - 504) / 10000))
+    return nodes
+
+
+@query("J1b", f"""WITH RECURSIVE nodes AS (
+  SELECT t, n, drawn % {len(FOREST_FEATURES)} + 1 AS f,
+    drawn * 10 * [{', '.join(f'{s}::DOUBLE' for s in FOREST_FEATURES.values())}][(drawn % {len(FOREST_FEATURES)} + 1)::BIGINT] AS threshold, (drawn - 504) / 10000 AS value
+  FROM (SELECT t, n, {FOREST_NODE} AS drawn FROM range({FOREST}) a(t), range({2 ** (FOREST_DEPTH + 1) - 1}) b(n))),
+ walk AS (
+  SELECT o_orderkey, [{', '.join(f'{c}::DOUBLE' for c in FOREST_FEATURES)}] AS x, t, 0::BIGINT AS n, 0 AS depth FROM orders, range({FOREST}) a(t)
+  UNION ALL
+  SELECT o_orderkey, x, w.t, 2 * w.n + CASE WHEN x[f] >= threshold THEN 2 ELSE 1 END, depth + 1
+  FROM walk w JOIN nodes USING (t, n) WHERE depth < {FOREST_DEPTH})
+ SELECT o_orderkey, round(1 / (1 + exp(-sum(value) - 0.2::DOUBLE)), 6) AS p
+ FROM walk w JOIN nodes USING (t, n) WHERE depth = {FOREST_DEPTH} GROUP BY o_orderkey""")
+def forest_score(spark, sf):
+    """Five hundred trees of 32 leaves."""
+    scored = models.ForestModel(forest_nodes(), 0.2).score(table(spark, sf, "orders"), "p")
+    return scored.select("o_orderkey", F.round("p", 6).alias("p"))
+
+
 @query("J1c", f"SELECT {', '.join(KEYS)}, CASE WHEN l_linenumber <> 3 THEN round({q.linear(LINE_WEIGHTS, 0.0)}, 6) END AS p FROM lineitem")
 def external_score(spark, sf):
     """A predictor outside Spark, loaded once per task; line 3 counts as incomplete."""
@@ -590,13 +627,13 @@ def labelled_headers(spark, sf):
     )
 
 
-@query("A10", """WITH scored AS (SELECT CASE WHEN event_id % 7 <> 0 THEN event_id * 3 END AS id, CAST(value >= 0.3193858391936 AS INT) AS flag FROM events),
+@query("A10", """WITH scored AS (SELECT CASE WHEN event_id % 2 <> 0 THEN event_id * 3 END AS id, CAST(value >= 0.3193858391936 AS INT) AS flag FROM events),
  placed AS (SELECT *, row_number() OVER (ORDER BY id NULLS FIRST, flag) AS place FROM scored)
  SELECT 'RANDN1209:0' AS source, 'RAND1209' AS entity, (place - 1) // 500 AS part, CAST(count(*) AS INT) AS n,
  CAST(sum(flag) AS BIGINT) AS flagged FROM placed GROUP BY ALL""")
 def transaction_envelopes(spark, sf):
-    """Sparse transaction numbers, every seventh row without one."""
-    number = F.when(F.col("event_id") % 7 != 0, F.col("event_id") * 3)
+    """Sparse transaction numbers, every other row without one."""
+    number = F.when(F.col("event_id") % 2 != 0, F.col("event_id") * 3)
     events = table(spark, sf, "events").withColumn("TRXNUM", number)
     scored = annuity.disposition(events, "value", fixed.TRANSACTION_THRESHOLD)
     parts = transaction_envelope(scored, "TRXNUM", ["TRXNUM", "predicted_disposition"], part_rows=500)

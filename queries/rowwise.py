@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from claimflow import fixed_values as fixed
@@ -62,14 +65,53 @@ def column_maps_to_rows(spark, sf):
     return readers.rows_from_columns(maps, ["vec_id", "value", "product"])
 
 
-HEADER_LISTS = """lists AS (SELECT page_id AS dataset_id,
-  CASE WHEN page_id % 10 = 0 THEN [] ELSE string_split(url, '/') END AS columns FROM pages)"""
+@query(
+    "A2",
+    """SELECT o_orderkey // 100000 AS batch, (o_orderkey % 100000)::BIGINT AS index, o_orderkey, o_totalprice,
+       o_orderstatus || ', "' || o_orderpriority || '" {' AS note, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS o_custkey
+       FROM orders""",
+)
+def column_map_files(spark, sf):
+    """All orders written as JSON objects of columns, one file a batch, and read back from pieces of files."""
+    path = f"{shared_dir(spark)}/column_maps/{uuid.uuid4().hex}"
+    columns = ["o_orderkey", "o_totalprice", "note", "o_custkey"]
+    note = F.concat("o_orderstatus", F.lit(', "'), "o_orderpriority", F.lit('" {'))
+    orders = table(spark, sf, "orders").select(
+        F.floor(F.col("o_orderkey") / 100_000).alias("batch"), (F.col("o_orderkey") % 100_000).alias("row"),
+        "o_orderkey", "o_totalprice", note.alias("note"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("o_custkey"),
+    )
+    # a row that lacks a column's value has no entry there, or a null
+    values = [F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}) for c in columns]
+    entries = [
+        F.struct(F.lit(i).alias("column"), F.lit(c).alias("name"), F.substr(v, F.lit(6), F.length(v) - 6).alias("value"))
+        for i, (c, v) in enumerate(zip(columns, values, strict=True))
+    ]
+    cells = orders.select("batch", "row", F.inline(F.array(*entries)))
+    cells = cells.filter("name <> 'o_custkey' OR row % 2 = 0 OR value <> 'null'")
+    order = Window.partitionBy("batch").orderBy("column", "row")
+    first, last = F.row_number().over(order) == 1, F.lead("row").over(order).isNull()
+    new = F.coalesce(F.lag("column").over(order) != F.col("column"), F.lit(True))
+    line = F.concat(
+        F.when(first, "{").when(new, "},").otherwise(","), F.when(new, F.concat(F.lit('"'), "name", F.lit('": {'))).otherwise(""),
+        F.lit('"'), F.col("row").cast("string"), F.lit('": '), "value", F.when(last, "}}").otherwise(""),
+    )
+    lines = cells.select("batch", "column", "row", line.alias("line"))
+    lines.repartition("batch").sortWithinPartitions("batch", "column", "row").select("batch", "line").write.partitionBy("batch").text(path)
+    schema = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.lit("").alias("note"), "o_custkey").schema
+    rows = readers.read_column_maps(spark, f"{path}/*/*.txt", schema)
+    return rows.withColumn("batch", F.regexp_extract("batch", "batch=([0-9]+)/", 1).cast("long"))
+
+
+HEADER_LISTS = """lists AS (SELECT page_id AS dataset_id, string_split(url, '/') AS columns FROM pages
+  UNION ALL SELECT -1 - page_id, [] FROM pages WHERE page_id % 10 = 0)"""
 
 
 def header_lists_of_pages(spark, sf):
-    """The pieces of a page address serve as the header list of a file."""
-    pieces = F.when(F.col("page_id") % 10 == 0, F.array().cast("array<string>")).otherwise(F.split("url", "/"))
-    return table(spark, sf, "pages").select(F.col("page_id").alias("dataset_id"), pieces.alias("columns"))
+    """The pieces of every page address serve as the header list of a file; there are empty files besides."""
+    pages = table(spark, sf, "pages")
+    lists = pages.select(F.col("page_id").alias("dataset_id"), F.split("url", "/").alias("columns"))
+    empty = pages.filter("page_id % 10 = 0").select((-1 - F.col("page_id")).alias("dataset_id"), F.array().cast("array<string>").alias("columns"))
+    return lists.unionByName(empty)
 
 
 @query(

@@ -1,5 +1,9 @@
 """External models, fitted models, sinks, sources, and streams over several batches."""
 
+import datetime as dt
+import json
+import math
+import random
 import struct
 
 import numpy as np
@@ -180,3 +184,109 @@ def test_snapshot_stream_over_batches(spark, tmp_path):
 
 def test_shared_dir_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def spelled_days():
+    """A day written in every way, with what it should be read as."""
+    day, short = dt.datetime(2019, 3, 25), dt.datetime(2019, 3, 5)
+    clock, noon = dt.timedelta(hours=15, minutes=4), dt.timedelta(hours=12, minutes=30)
+    return {
+        "25/3/2019": day, "3/25/2019 15:04": day + clock, "25/03/2019 15:04:00": day + clock, "3/25/19": day, "25/3/19": day,
+        "2019/3/25": day, "2019/03/25 15:04": day + clock, "20190325": day, "3-25-2019": day, "25-3-2019 15:04:00": day + clock,
+        "25.3.2019": day, "5.3.2019 15:04": short + clock, "25-Mar-2019": day, "25-mar-19": day, "Mar 25, 2019": day, "March 25 2019": day,
+        "MARCH 5, 2019": short, "25 Mar 2019": day, "25 March 2019": day, " 25 March 2019 ": day, "3/25/2019 3:04 PM": day + clock,
+        "3/25/2019 3:04:00 pm": day + clock, "3/25/2019 12:30 AM": day + noon - dt.timedelta(hours=12), "3/25/2019 12:30 PM": day + noon,
+        "3/5/2019": short, "3-5-2019": short, "3/5/69": dt.datetime(1969, 3, 5), "3/5/68": dt.datetime(2068, 3, 5), "May 1, 2020": dt.datetime(2020, 5, 1),
+        "29 February 2020": dt.datetime(2020, 2, 29), "29 February 2019": None, "31/4/2019": None, "13/13/2019": None, "25 Marc 2019": None,
+        "3/25/2019 13:04 PM": None, "3/25/2019 0:04 PM": None, "n/a": None, "   ": None, "": None, "Mar": None, "25-3-19": None, "20191325": None,
+        "1 of 2": None, "@-2019": None, "2019-@-1": None, "25 Mar 19 2019": None, "12/2019": None, "99/99/99": None, None: None,
+    }
+
+
+def test_every_spelling_of_a_date(spark):
+    days = spelled_days()
+    df = spark.createDataFrame([(t,) for t in days], "t string")
+    got = {r[0]: r[1] for r in df.select("t", cleaning.parse_timestamp("t")).collect()}
+    assert got == days
+
+
+def random_tree(rng, tree, leaves, features):
+    """A node table grown by splitting leaves at random."""
+    nodes, open_ = {0: None}, [0]
+    while len(open_) < leaves:
+        at = open_.pop(rng.randrange(len(open_)))
+        left, right = len(nodes), len(nodes) + 1
+        nodes[at] = (rng.choice(features), rng.choice([rng.uniform(-2, 2), float(rng.randint(-2, 2))]), left, right)
+        nodes[left] = nodes[right] = None
+        open_ += [left, right]
+    shape = ("feature", "threshold", "left", "right")
+    return [
+        {"tree": tree, "node": n, **dict(zip(shape, v or (None,) * 4, strict=True)), "value": None if v else rng.uniform(-1, 1)}
+        for n, v in nodes.items()
+    ]
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 40, 64, 65, 400])
+def test_forest_like_expressions(spark, leaves):
+    rng = random.Random(leaves)
+    features = ["a", "b c", "d"]
+    nodes = [r for t in range(3) for r in random_tree(rng, t * 2, max(1, leaves - t), features)]
+    draw = lambda: rng.choice([None, float(rng.randint(-2, 2)), rng.uniform(-3, 3)])
+    rows = [(i, draw(), draw(), draw(), i % 5 > 0) for i in range(500)]
+    df = spark.createDataFrame(rows, "i int, a double, `b c` double, d double, done boolean").repartition(3)
+    by_tree = {}
+    for r in nodes:
+        by_tree.setdefault(r["tree"], {})[r["node"]] = r
+
+    def walk(tree, row):
+        at = tree[0]
+        while at["feature"] is not None:
+            x = row[features.index(at["feature"]) + 1]
+            at = tree[at["right"] if x is not None and x >= at["threshold"] else at["left"]]
+        return at["value"]
+
+    model = models.ForestModel(nodes, 0.3, trees_at_once=2, rows_at_once=70)
+    got = {r["i"]: r["p"] for r in model.score(df, "p", F.col("done")).collect()}
+    for row in rows:
+        want = 1 / (1 + math.exp(-sum(walk(t, row) for t in by_tree.values()) - 0.3)) if row[4] else None
+        assert got[row[0]] == (pytest.approx(want, abs=1e-12) if row[4] else None)
+    if leaves < 60:
+        plain = {r["i"]: r["p"] for r in models.TreeModel(nodes, 0.3).score(df, "p", F.col("done")).collect()}
+        assert plain == {i: pytest.approx(p, abs=1e-12) if p is not None else None for i, p in got.items()}
+    assert model.score(df.limit(0), "p").count() == 0
+
+
+def test_maps_that_list_other_rows(spark):
+    batches = [
+        ({"0": 1, "1": 2}, {"0": "a", "1": "b"}), ({"5": 7, "3": 8}, {"3": "c", "9": "d", "5": None}), ({}, {"1": "x"}), (None, {"1": "x"}),
+        ({"2": 4}, None),
+    ]
+    df = spark.createDataFrame(batches, "x map<string,int>, y map<string,string>")
+    got = sorted(map(tuple, readers.rows_from_columns(df, ["x", "y"]).collect()))
+    assert got == [(0, 1, "a"), (1, 2, "b"), (2, 4, None), (3, 8, "c"), (5, 7, None)]
+
+
+@pytest.mark.parametrize("piece", [200, 1 << 20])
+def test_column_map_files(spark, tmp_path, piece):
+    rng = random.Random(piece)
+    odd = ["a,b", 'say "x", then', "back\\slash,", '\\",', "{br}ace}, {", "", "é漢🙂, \u2028", "x" * 300 + ",", "line\nbreak", '"n": {"0": 1', ",,,,"]
+    want = {}
+    for b in range(3):
+        rows = {i: (rng.randint(0, 9) / 4, rng.choice([*odd, None]), rng.randint(0, 2**40)) for i in range(200 * (b > 0) + 3)}
+        batch = {c: {str(i): r[k] for i, r in rows.items()} for k, c in enumerate(["n", "te xt", "id"])}
+        batch["n"] = {k: v for k, v in batch["n"].items() if int(k) % 3}  # a column that lacks rows
+        batch["left out"], batch["empty"] = {"0": True}, {}
+        indent = [None, 1, None][b]
+        (tmp_path / f"{b}.json").write_text(json.dumps(batch, indent=indent, ensure_ascii=b == 0), encoding="utf-8")
+        want.update({(f"{b}.json", i): (r[0] if i % 3 else None, *r[1:]) for i, r in rows.items()})
+    (tmp_path / "none.json").write_text("{}")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(piece))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = readers.read_column_maps(spark, str(tmp_path), "n double, `te xt` string, id long, missing int")
+        got = {(r["batch"].rsplit("/", 1)[1], r["index"]): tuple(r)[2:5] for r in read.collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == want and {r["missing"] for r in read.collect()} == {None}
