@@ -45,6 +45,14 @@ def rounded_up_prime(n: int) -> int:
     return n
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """The name, or one like it that no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 #: Rows and bytes of a table that may be copied to every executor.
 BROADCAST_ROWS = 2_000_000
 

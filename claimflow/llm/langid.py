@@ -210,13 +210,18 @@ def build(counts: pd.DataFrame) -> Model:
 
 
 def sample(labelled: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` rows of each language, or all, chosen by a hash of the row."""
+    """About ``rows`` rows of each language, or all, chosen by a hash of text and id.
+
+    Copies of one text are drawn one by one, so a text that most rows share fills no more
+    than its share of the sample; rows that repeat both text and id count as one. So what
+    is drawn is about ``rows`` rows for each language whatever the rows are.
+    """
     counted = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not counted:
         return labelled
     share = F.create_map(*[F.lit(x) for lang, n in sorted(counted.items()) for x in (lang, min(1.0, rows / n))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
-    return labelled.filter(drawn < F.element_at(share, F.col("lang")))
+    drawn = F.pmod(F.xxhash64(*labelled.columns), F.lit(1_000_003)) / 1_000_003
+    return labelled.filter(drawn < F.element_at(share, F.col("lang"))).distinct()
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -240,13 +245,18 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fit(labelled: DataFrame, unseen: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Models from ``labelled`` (text, lang), limits from ``unseen`` (text, lang)."""
-    rows = sample(labelled.select("text", "lang").dropna(), sample_rows)
-    counted = rows.mapInPandas(_count_words, "lang string, word string, n long")
+    """Models from ``labelled`` (text, lang), limits from ``unseen`` (text, lang).
+
+    An id, ``doc_id``, tells rows with one text apart as they are drawn, and is used for
+    nothing else.
+    """
+    given = ["doc_id", "text", "lang"] if "doc_id" in labelled.columns and "doc_id" in unseen.columns else ["text", "lang"]
+    rows = sample(labelled.select(*given).dropna(subset=["text", "lang"]), sample_rows)
+    counted = rows.select("text", "lang").mapInPandas(_count_words, "lang string, word string, n long")
     counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     grams = counted.mapInPandas(_count_grams, "lang string, gram string, n long")
     model = build(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
-    return calibrate(model, sample(unseen.select("text", "lang").dropna(), sample_rows))
+    return calibrate(model, sample(unseen.select(*given).dropna(subset=["text", "lang"]), sample_rows).select("text", "lang"))
 
 
 def fit_on_folds(docs: DataFrame, folds: int = 4, held_out: int = 2, sample_rows: int = SAMPLE_ROWS) -> Model:

@@ -27,6 +27,7 @@ an empty table gives an empty result; columns other than doc_id and text are ign
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import zlib
@@ -291,7 +292,7 @@ def _block(number: int, docs: list[tuple], words: dict) -> dict:
     return {
         "block": number,
         "n_words": len(words),
-        "doc_ids": _packed("\n".join(d or "" for d, _, _ in docs).encode()),
+        "doc_ids": _packed(json.dumps([None if d is None else str(d) for d, _, _ in docs]).encode()),
         "held": _numbers(np.array([h for _, h, _ in docs])),
         "n_tokens": _numbers(np.array([len(ids) + 1 for _, _, ids in docs])),
         "n_different": _numbers(np.array(sizes)),
@@ -412,7 +413,7 @@ def _add_up(n: int, v: int, ends: int, end_log: float):
                 logs[at] = np.frombuffer(_unpacked(row.logs), "<f8")
             base = np.log10((trained + 1) / (n + v + 1))
             numbers, times = _unnumbered(block.numbers), _unnumbered(block.times)
-            names = _unpacked(block.doc_ids).decode().split("\n")
+            names = json.loads(_unpacked(block.doc_ids))
             held, tokens, sizes = (_unnumbered(x) for x in (block.held, block.n_tokens, block.n_different))
             at = 0
             for name, h, k, size in zip(names, held.tolist(), tokens.tolist(), sizes.tolist(), strict=True):
@@ -421,7 +422,7 @@ def _add_up(n: int, v: int, ends: int, end_log: float):
                 known = int(often[trained[mine] > 0].sum()) + (ends > 0)
                 base_score = float(often @ base[mine]) + math.log10((ends + 1) / (n + v + 1))
                 score = (float(often @ logs[mine]) + end_log) / math.log(10)
-                out.append((name or None, bool(h), k, known, n, base_score, score))
+                out.append((name, bool(h), k, known, n, base_score, score))
         return pd.DataFrame(out, columns=_columns(SCORED))
 
     return run

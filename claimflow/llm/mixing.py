@@ -43,6 +43,9 @@ SHARE = 1.5
 PASSES = 2
 BLOCK_WORDS = 128
 SLOTS_PER_SHARD = 512
+#: Shards whose slots are numbered in one go, and slots unfolded by one task.
+SHARDS_PER_CELL = 4096
+SLOTS_PER_TASK = 100_000
 SEED = "mix-1"
 
 
@@ -222,7 +225,7 @@ def _mapped(plans: list[Plan], drawn: list[int], block_words: int):
     over_start, lack_end = np.concatenate([[0], np.cumsum(over)]), np.cumsum(lack)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        quotas = np.array([p.quota for p in plans])
+        quotas, blocks = np.array([p.quota for p in plans]), np.array([p.blocks for p in plans])
         for frame in batches:
             for part in np.array_split(np.arange(len(frame)), max(1, len(frame) // 256)):
                 rows = frame.iloc[part]
@@ -249,7 +252,7 @@ def _mapped(plans: list[Plan], drawn: list[int], block_words: int):
                         whole = np.where(block[last] == plan.blocks - 1, plan.size - (plan.blocks - 1) * block_words, block_words)
                         words[last] = whole - plan.last_cut
                 yield pd.DataFrame(
-                    {"shard": shard, "source_no": source, "slot": slot, "pass": slot // [plans[s].blocks for s in source], "block": block, "words": words}
+                    {"shard": shard, "source_no": source, "slot": slot, "pass": slot // blocks[source], "block": block, "words": words}
                 )
 
     return place
@@ -263,9 +266,17 @@ def slots(spark: SparkSession, plans: list[Plan], block_words: int, per_shard: i
     shards = spark.range(-(-total // per_shard))
     drawn = materialise(shards.mapInPandas(_drawn(shares, total, per_shard), shape))
     got = {r["source_no"]: r["n"] for r in drawn.groupBy("source_no").agg(F.sum("count").alias("n")).collect()}
-    numbered = drawn.withColumn(
-        "first", F.sum("count").over(Window.partitionBy("source_no").orderBy("shard")) - F.col("count")
-    )
+    # numbers run over cells of shards, and then inside a cell
+    cell = F.floor(F.col("shard") / SHARDS_PER_CELL).alias("cell")
+    sums = drawn.groupBy("source_no", cell).agg(F.sum("count").alias("sum"))
+    before = Window.partitionBy("source_no").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("source_no", "cell", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("source_no", "cell").orderBy("shard")
+    numbered = drawn.select("*", cell).withColumn("first", F.sum("count").over(inside) - F.col("count"))
+    numbered = numbered.join(sums, ["source_no", "cell"]).withColumn("first", F.col("first") + F.col("offset"))
+    # a few counts unfold to very many slots: as many tasks as those need
+    tasks = max(1, -(-total // SLOTS_PER_TASK))
+    numbered = numbered.select("shard", "source_no", "count", "first").repartition(tasks, "shard")
     shape = "shard long, source_no int, slot long, pass int, block long, words int"
     return numbered.mapInPandas(_mapped(plans, [got.get(i, 0) for i in range(len(plans))], block_words), shape)
 

@@ -4,10 +4,15 @@ Detected entities (mail addresses, phone and card numbers, IBANs, social securit
 numbers, IP addresses, secrets given as ``password=...``, and persons named with a
 title) are replaced by keyed surrogates of the same type and format: digits become
 digits, letters letters of their case and script, separators, brand and country
-prefixes stay, check digits are right where they were right, given names keep the
-gender of the title. The same entity gets the same surrogate everywhere, in whatever
+prefixes stay, check digits are right (numbers whose check digits are wrong are no cards
+and no IBANs, and stay), given names keep the
+gender of the title. Letters of other scripts become letters of the same sort near them
+in the same script. Where a format has too few values, surrogates grow by a digit or a
+letter, and internet addresses become ones of the longer kind. All addresses of a mail
+domain move to one new domain, and no two domains to the same. The same entity gets the same surrogate everywhere, in whatever
 format it is written; a person's given and family names are entities of their own, so
-a family shares its new name, and later bare mentions of it in a text follow.
+a family shares its new name. Bare mentions of either in the same text follow, and a
+given name met there with several titles has the gender of the one that tells it.
 
 1. Every text is searched once; its distinct entities are written as rows.
 2. All distinct entities get a surrogate by HMAC of type, value and attempt. Where
@@ -29,7 +34,9 @@ from __future__ import annotations
 
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -37,10 +44,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from claimflow.llm.common import broadcast_if_small
+from claimflow.llm.common import broadcast_if_small, unused
 from claimflow.session import materialise
 
-TYPES = ("email", "iban", "ip", "phone", "ssn", "card", "secret", "given_m", "given_f", "given_x", "family")
+NAMES = ("family", "given_m", "given_f", "given_x")
+TYPES = ("email", "iban", "ip", "phone", "ssn", "card", "secret", *NAMES)
 #: Rounds of drawing again after which something other than chance is at work.
 ROUNDS = 64
 #: Draws after which a name or address may grow by a character.
@@ -105,6 +113,8 @@ def iban_rest(iban: str) -> int:
 def _plausible(kind: str, mention: str) -> bool:
     if kind == "ip":
         return all(int(o) < 256 for o in mention.split("."))
+    if kind == "card":
+        return luhn(digits_of(mention)) == 0
     return iban_rest(canonical(kind, mention)) == 1 if kind == "iban" else True
 
 
@@ -126,15 +136,16 @@ def mentions(text: str | None) -> list[tuple[int, int, str]]:
         found += [(m.start(), m.end(), m.lastgroup) for m in NUMBERS.finditer(text) if _plausible(m.lastgroup, m[0])]
     if "=" in text or ":" in text:
         found += [(m.start(1), m.end(1), "secret") for m in SECRET.finditer(text)]
-    families = set()
+    known: dict[str, str] = {}
     for m in PERSON.finditer(text):
         gender = "m" if m[1] in MALE else "f" if m[1] in FEMALE else "x"
-        named = list(_words(f"given_{gender}", m))
-        found += named
-        families |= {text[s:e] for s, e, kind in named if kind == "family"}
-    if families:
-        again = re.compile(rf"\b(?:{'|'.join(map(re.escape, sorted(families)))})\b")
-        found += [(m.start(), m.end(), "family") for m in again.finditer(text)]
+        for s, e, kind in _words(f"given_{gender}", m):
+            # a title that tells the gender settles it for the name; a name once met as a
+            # family's stays one
+            known[text[s:e]] = min(kind, known.get(text[s:e], kind), key=NAMES.index)
+    if known:
+        again = re.compile(rf"\b(?:{'|'.join(map(re.escape, sorted(known, key=len, reverse=True)))})\b")
+        found += [(m.start(), m.end(), known[m[0]]) for m in again.finditer(text)]
     taken: list[tuple[int, int, str]] = []
     # by type first: a mail address inside a secret stays a mail address
     busy = bytearray(len(text)) if found else b""
@@ -162,8 +173,20 @@ class Draw:
         return number % n
 
 
-def _script(c: str) -> int:
-    return 1 if "а" <= c.lower() <= "я" or c in "ёЁ" else 2 if "α" <= c.lower() <= "ω" else 0
+def _script(c: str) -> int | None:
+    """The alphabet of a letter: Latin, Cyrillic, Greek, or none of these."""
+    code = ord(c)
+    if 0x400 <= code < 0x530:
+        return 1
+    if 0x370 <= code < 0x400 or 0x1F00 <= code < 0x2000:
+        return 2
+    return 0 if code < 0x250 or 0x1E00 <= code < 0x1F00 else None
+
+
+@lru_cache(1024)
+def _neighbours(block: int, category: str) -> str:
+    """The letters of one sort among 128 characters."""
+    return "".join(c for c in map(chr, range(block * 128, block * 128 + 128)) if unicodedata.category(c) == category)
 
 
 def _like(c: str, draw: Draw) -> str:
@@ -172,13 +195,20 @@ def _like(c: str, draw: Draw) -> str:
         return str(draw.below(10))
     if not c.isalpha():
         return c
-    letters = "".join((LATIN, CYRILLIC, GREEK)[_script(c)])
+    script = _script(c)
+    if script is None:
+        # any other script: a letter of the same sort from the same stretch of the script
+        letters = _neighbours(ord(c) >> 7, unicodedata.category(c))
+        return letters[draw.below(len(letters))]
+    letters = "".join((LATIN, CYRILLIC, GREEK)[script])
     new = letters[draw.below(len(letters))]
     return new.upper() if c.isupper() else new
 
 
 def _name(value: str, draw: Draw, ending: str, longer: int) -> str:
     """A pronounceable name in the script of ``value``."""
+    if _script(value[0]) is None:
+        return "".join(_like(c, draw) for c in value + value[-1] * longer)
     vowels, consonants = (LATIN, CYRILLIC, GREEK)[_script(value[0])]
     size = max(3, len(value)) + longer
     made = "".join((consonants, vowels)[i % 2][draw.below(len((consonants, vowels)[i % 2]))] for i in range(size))
@@ -197,19 +227,22 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The surrogate of an entity at that attempt, in its canonical form."""
     draw, longer = Draw(key, kind, value, attempt), attempt // GROW_AFTER
     if kind == "email":
+        # the domain is an entity of its own, and is put in its place later
         local, _, domain = value.rpartition("@")
-        host, _, top = domain.rpartition(".")
-        # all addresses of a domain move to the same new domain
-        with_domain = Draw(key, "domain", domain)
-        new_host = "".join(_like(c, with_domain) for c in host)
-        return "".join(_like(c, draw) for c in local + "x" * longer) + "@" + new_host + "." + top
+        return "".join(_like(c, draw) for c in local + "x" * longer) + "@" + domain
+    if kind == "domain":
+        host, _, top = value.rpartition(".")
+        return "".join(_like(c, draw) for c in host + "x" * longer) + "." + top
     if kind == "card":
         new = _digits(value, 1, draw)
-        return new[:-1] + str((10 - luhn(new[:-1] + "0")) % 10) if luhn(value) == 0 else new
+        return new[:-1] + str((10 - luhn(new[:-1] + "0")) % 10)
     if kind == "phone":
-        return _digits(value, max(0, min(3, len(value) - 10)), draw)
+        return _digits(value + "2" * longer, max(0, min(3, len(value) - 10)), draw)
     if kind == "ssn":
-        return _digits(value, 0, draw)
+        return _digits(value + "2" * longer, 0, draw)
+    if kind == "ip" and longer:
+        # so many that those of four numbers run out: one of the longer kind
+        return "2001:db8:" + ":".join(f"{1 + draw.below(65535):x}" for _ in range(6))
     if kind == "ip":
         return ".".join(str(1 + draw.below(223) if i == 0 else draw.below(256)) for i in range(4))
     if kind == "iban":
@@ -219,7 +252,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         if re.fullmatch("[0-9a-f]+", value):
             return "".join("0123456789abcdef"[draw.below(16)] for _ in range(len(value) + longer))
         return "".join(_like(c, draw) for c in value + "x" * longer)
-    ending = ENDINGS[kind[-1]][_script(value[0])] if kind.startswith("given") else ""
+    script = _script(value[0])
+    ending = ENDINGS[kind[-1]][script] if kind.startswith("given") and script is not None else ""
     return _name(value, draw, ending, longer)
 
 
@@ -229,9 +263,10 @@ def rendered(kind: str, mention: str, new: str) -> str:
         own = canonical(kind, mention)
         plain = [i for i, c in enumerate(mention) if (c != " " if kind == "iban" else c.isdigit())]
         out = list(mention)
-        for i, c in zip(plain[len(plain) - len(own) :], new, strict=True):
+        for i, c in zip(plain[len(plain) - len(own) :], new, strict=False):
             out[i] = c
-        return "".join(out)
+        # digits by which a surrogate had to grow follow the last one
+        return "".join(out[: plain[-1] + 1]) + new[len(own) :] + "".join(out[plain[-1] + 1 :])
     if kind in ("secret", "ip"):
         return new
     if kind == "email":
@@ -251,6 +286,7 @@ def _found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for text, k1, k2 in zip(frame["text"], frame["k1"], frame["k2"], strict=True)
             for s, e, kind in mentions(text)
         }
+        rows |= {(k1, k2, "domain", v.rpartition("@")[2]) for k1, k2, kind, v in rows if kind == "email"}
         yield pd.DataFrame(sorted(rows), columns=["k1", "k2", "kind", "value"])
 
 
@@ -288,15 +324,17 @@ def _replaced(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = [], []
-            for text, pairs in zip(batch.column("text").to_pylist(), batch.column("_pairs").to_pylist(), strict=True):
+            for text, pairs in zip(batch.column("text").to_pylist(), batch.column(len(columns)).to_pylist(), strict=True):
                 new = {(p["kind"], p["value"]): p["surrogate"] for p in pairs}
+                for kind, value in [k for k in new if k[0] == "email"]:
+                    new[kind, value] = new[kind, value].rpartition("@")[0] + "@" + new["domain", value.rpartition("@")[2]]
                 out, at, found = [], 0, mentions(text)
                 for s, e, kind in found:
                     out += [text[at:s], rendered(kind, text[s:e], new[kind, canonical(kind, text[s:e])])]
                     at = e
                 texts.append("".join([*out, text[at:]]))
                 counts.append(len(found))
-            kept = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
+            kept = [pa.array(texts, pa.string()) if c == "text" else batch.column(i) for i, c in enumerate(columns)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64())], [*columns, "n_replaced"])
 
     return run
@@ -305,16 +343,17 @@ def _replaced(columns: list[str]):
 def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     """All rows with personal data in ``text`` replaced, and ``n_replaced`` mentions."""
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "n_replaced"])
-    keyed = docs.withColumns({"_k1": F.xxhash64("text"), "_k2": F.xxhash64(F.lit(1), "text")})
-    searched = keyed.select("text", F.col("_k1").alias("k1"), F.col("_k2").alias("k2"))
+    k1, k2, listed = unused("_k1", docs), unused("_k2", docs), unused("_pairs", docs)
+    keyed = docs.withColumns({k1: F.xxhash64("text"), k2: F.xxhash64(F.lit(1), "text")})
+    searched = keyed.select("text", F.col(k1).alias("k1"), F.col(k2).alias("k2"))
     found = materialise(searched.mapInPandas(_found, f"k1 long, k2 long, {ENTITIES}").distinct())
     resolved = distinct_surrogates(found.select("kind", "value").distinct(), key)
     pair = F.struct("kind", "value", "surrogate")
-    pairs = found.join(resolved.drop("attempt"), ["kind", "value"]).groupBy("k1", "k2").agg(F.collect_list(pair).alias("_pairs"))
-    pairs = pairs.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
-    touched = broadcast_if_small(found.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct())
-    here = keyed.join(touched, ["_k1", "_k2"], "left_semi").join(pairs, ["_k1", "_k2"])
+    pairs = found.join(resolved.drop("attempt"), ["kind", "value"]).groupBy("k1", "k2").agg(F.collect_list(pair).alias(listed))
+    pairs = pairs.withColumnsRenamed({"k1": k1, "k2": k2})
+    touched = broadcast_if_small(found.select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct())
+    here = keyed.join(touched, [k1, k2], "left_semi").join(pairs, [k1, k2])
     shape = StructType([*docs.schema.fields, StructField("n_replaced", LongType())])
-    changed = here.select(*docs.columns, "_pairs").mapInArrow(_replaced(docs.columns), shape)
-    same = keyed.join(touched, ["_k1", "_k2"], "left_anti").select(*docs.columns, F.lit(0).cast("long").alias("n_replaced"))
+    changed = here.select(*[F.col(f"`{c}`") for c in docs.columns], listed).mapInArrow(_replaced(docs.columns), shape)
+    same = keyed.join(touched, [k1, k2], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns], F.lit(0).cast("long").alias("n_replaced"))
     return changed.unionByName(same)

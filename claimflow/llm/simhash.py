@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.llm.common import broadcast_if_small
+from claimflow.llm.common import broadcast_if_small, unused
 from claimflow.llm.components import components
 from claimflow.session import materialise
 
@@ -287,13 +287,18 @@ def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
 def representatives(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """One row of each component, the one with the smallest id, all columns kept.
 
-    Rows are told apart by all their values; of equal rows one is kept.
+    Rows are told apart by all their values; of equal rows one is kept. Components hold
+    rows by a hash of 64 bits. Should two different rows share it, both are kept where one
+    is: rows are equal only by two hashes, so none is taken for another and lost.
     """
-    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    row, again = unused("_row", docs), unused("_again", docs)
+    values = [F.col(f"`{c}`") for c in docs.columns]
+    named = docs.withColumn(row, F.xxhash64(*values)).withColumn(again, F.xxhash64(F.lit(1), *values))
+    keyed = named.select(F.col(row).alias("_row"), "doc_id", "text")
     marked = near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), bits)
     ids = keyed.select("_row", "doc_id").distinct()
     tied = marked.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_component")).distinct()
     smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     kept = ids.join(tied, "_row").groupBy("_component").agg(smallest.alias("_best")).select("_best._row")
-    chosen = keyed.join(broadcast_if_small(kept), "_row", "left_semi")
-    return chosen.dropDuplicates(["_row"]).drop("_row")
+    chosen = named.join(broadcast_if_small(kept.withColumnRenamed("_row", row)), row, "left_semi")
+    return chosen.dropDuplicates([row, again]).drop(row, again)

@@ -175,3 +175,20 @@ def test_scores_of_nothing_and_no_training(spark):
     assert lattice.score(docs.limit(0), F.lit(False)).count() == 0
     rows = lattice.score(docs, F.lit(True)).collect()
     assert len(rows) == docs.count() and {r["n_known"] for r in rows} == {0}
+
+
+def test_ids_with_line_breaks_and_empty_ones(spark):
+    ids = ["a\nb", "", None, "\n", '"', "c"]
+    docs = spark.createDataFrame([(i, f"some words {n}") for n, i in enumerate(ids)], "doc_id string, text string")
+    got = [r["doc_id"] for r in lattice.score(docs, F.lit(False), rounds=0).collect()]
+    assert sorted(got, key=str) == sorted(ids, key=str)
+
+
+def test_sample_does_not_hang_on_copies(spark):
+    """Three quarters of all rows share one text, and as many rows are wholly equal."""
+    copies = spark.range(30_000).selectExpr("id AS doc_id", "'one licence text' AS text", "'en' AS lang")
+    others = spark.range(10_000).selectExpr("-1 - id AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
+    for shared in (copies, copies.withColumn("doc_id", F.lit(7).cast("long"))):
+        drawn = langid.sample(shared.unionByName(others), 2000)
+        n, alike = drawn.agg(F.count(F.lit(1)), F.sum((F.col("text") == "one licence text").cast("int"))).first()
+        assert n < 2300 and (alike or 0) < 1700

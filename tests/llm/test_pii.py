@@ -1,6 +1,7 @@
 """Surrogates for personal data."""
 
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +103,47 @@ def test_odd_documents(spark):
 @pytest.mark.parametrize("text", ["", None, "12 34", "1.2.3", "a@b", "x@y.z1", "Mr. and Mrs."])
 def test_nothing_to_find(text):
     assert pii.mentions(text) == []
+
+
+def test_any_script_and_coreference(spark):
+    texts = [
+        "Dr. 王小明 met Frau דנה כהן and Mr أحمد علي", "Dr Anna Berg wrote. Frau Anna Berg signed. Later Anna called; Berg did not.",
+        "Mr John Smith came. John said so.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.with_surrogates(docs, b"k").collect()}
+    block = lambda s: {unicodedata.name(c).split()[0] for c in s if c.isalpha()}
+    old, new = texts[0].split(), got[0].split()
+    assert [block(w) for w in old] == [block(w) for w in new] and old[1] != new[1] and old[-1] != new[-1]
+    first = re.fullmatch(r"Dr (\w+) (\w+) wrote. Frau (\w+) (\w+) signed. Later (\w+) called; (\w+) did not.", got[1]).groups()
+    assert first[0] == first[2] == first[4] != "Anna" and first[1] == first[3] == first[5] != "Berg"
+    john = re.fullmatch(r"Mr (\w+) \w+ came. (\w+) said so.", got[2]).groups()
+    assert john[0] == john[1] != "John"
+
+
+def test_domains_stay_distinct(spark):
+    letters = "abcdefghij"
+    hosts = [a + b for a in letters for b in letters]
+    docs = spark.createDataFrame([(i, f"to x{i}@{h}.org and y@{h}.org") for i, h in enumerate(hosts)], "doc_id long, text string")
+    got = pii.with_surrogates(docs, b"k").collect()
+    moved = {}
+    for r in got:
+        new = re.findall(r"@(\w+\.org)", r["text"])
+        assert len(new) == 2 and new[0] == new[1]
+        moved[hosts[r["doc_id"]]] = new[0]
+    assert len(set(moved.values())) == 100 and not set(moved.values()) & {f"{h}.org" for h in hosts}
+
+
+def test_dense_formats_grow(spark):
+    """All numbers of a format taken: surrogates grow instead of ending the job."""
+    entities = [("ssn", f"{i:01d}") for i in range(10)] + [("ip", f"{i}.1.1.1") for i in range(30)]
+    found = pii.distinct_surrogates(spark.createDataFrame(entities, "kind string, value string"), b"k").collect()
+    made = [(r["kind"], r["surrogate"]) for r in found]
+    assert len(set(made)) == 40 and not set(made) & set(entities)
+    assert pii.rendered("phone", "(12) 345-678.", "9876543210") == "(98) 765-43210."
+    assert pii.surrogate(b"k", "ip", "1.2.3.4", pii.GROW_AFTER).startswith("2001:db8:")
+
+
+def test_numbers_that_are_no_cards():
+    assert pii.mentions("at 1700000000000 ms, 9807915762804490") == []
+    assert [k for _, _, k in pii.mentions("card 4111 1111 1111 1111")] == ["card"]

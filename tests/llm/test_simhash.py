@@ -85,3 +85,9 @@ def test_odd_documents(spark):
     assert simhash.representatives(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         simhash.links(docs, 3)
+
+
+def test_representatives_keep_columns_of_any_name(spark):
+    rows = [(1, "a b c d e", "x", "y"), (2, "a b c d e", "x", "y"), (2, "a b c d e", "x", "y"), (3, "quite another text here", "z", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, _again string")
+    assert sorted(map(tuple, simhash.representatives(docs).collect())) == [rows[0], rows[3]]

@@ -98,6 +98,39 @@ def test_mix_meets_its_targets(spark):
     assert {k: r["taken"] for k, r in found.items()} == {k: r["taken"] for k, r in again.items()}
 
 
+def test_taken_like_a_loop_over_slots(spark, monkeypatch):
+    """Words of documents marked one by one, from the plans, slots and permutations."""
+    monkeypatch.setattr(mixing, "SHARDS_PER_CELL", 3)
+    monkeypatch.setattr(mixing, "SLOTS_PER_TASK", 20)
+    rng = random.Random(8)
+    rows = [(i, words_of(rng, rng.randint(0, 50)), f"s{min(i % 7, 3)}") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    m, found = mixed(docs)
+    drawn = mixing.slots(spark, m.plans, 8, 16)
+    assert drawn.rdd.getNumPartitions() > 5
+    drawn = drawn.collect()
+    slots = {i: [] for i in range(len(m.plans))}
+    for r in drawn:
+        slots[r["source_no"]].append(r)
+    taken = {}
+    for i, plan in enumerate(m.plans):
+        # every slot of the quota once, and every pass a permutation of the blocks
+        assert sorted(r["slot"] for r in slots[i]) == list(range(plan.quota))
+        used = {}
+        for r in slots[i]:
+            assert r["pass"] == r["slot"] // plan.blocks
+            assert r["block"] == mixing.permuted(np.array([r["slot"] % plan.blocks]), plan.blocks, mixing.SEED, plan.source, r["pass"])[0]
+            used.setdefault(r["pass"], []).append(r["block"])
+        assert all(len(set(b)) == len(b) for b in used.values())
+        own = sorted((r for r in m.sizes.collect() if r["source"] == plan.source), key=lambda r: r["offset"])
+        words = [r["doc_id"] for r in own for _ in range(r["size"])]
+        assert len(words) == plan.size
+        for r in slots[i]:
+            for doc in words[r["block"] * 8 : r["block"] * 8 + r["words"]]:
+                taken[doc] = taken.get(doc, 0) + 1
+    assert {d: r["taken"] for (d, _), r in found.items()} == {i: taken.get(i, 0) for i, _, _ in rows}
+
+
 def test_shards_are_drawn_and_filled(spark):
     rng = random.Random(6)
     docs = spark.createDataFrame([(i, words_of(rng, 60), f"s{i % 3}") for i in range(60)], "doc_id long, text string, source string")
