@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,8 +102,8 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _by_length(table: DataFrame, columns: Sequence[str]) -> tuple[list, list[str]]:
     """Rows of the columns with few categories, and the names of the other columns.
 
-    Short lists become constants: no join, and it works on streams. Only columns
-    whose own list is long take a join each.
+    Short lists become constants: no lookup, and it works on streams. Columns whose own
+    list is long are looked up together.
     """
     mine = table.filter(F.col("column_name").isin(list(columns)))
     sizes = mine.groupBy("column_name").count().filter(F.col("count") > LITERAL_LIMIT)
@@ -107,6 +111,93 @@ def _by_length(table: DataFrame, columns: Sequence[str]) -> tuple[list, list[str
     return mine.filter(~F.col("column_name").isin(long)).collect(), [c for c in columns if c in long]
 
 
+#: Entries of a table of categories that each task may hold, and the bytes of their texts.
+HELD_ENTRIES, HELD_BYTES = 2_000_000, 64 << 20
+
+
+def _looked_up(df: DataFrame, columns: Sequence[str], table: DataFrame, otherwise: Column) -> DataFrame:
+    """Replace wide columns by the values of ``table`` (column_name, category, value), all in one pass.
+
+    A table measured to be small is held by each task: one sorted array of hashes of
+    (column, category) for all columns, searched for a whole batch at a time. Beyond
+    that, the distinct values of all columns are brought into long form and meet the
+    table in one join; a row then gets its values back by one more, on its number.
+    """
+    if not columns:
+        return df
+    mine = materialise(table.filter(F.col("column_name").isin(list(columns))))
+    size = F.octet_length("column_name") + F.octet_length("category") + 8
+    n, total = mine.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    kind = mine.schema["value"].dataType
+    name = _unused("_found", df)
+    if n <= HELD_ENTRIES and total <= HELD_BYTES:
+        found = _held_values(df, columns, mine, name)
+    else:
+        found = _joined_values(df, columns, mine, name)
+    values = {c: F.coalesce(F.col(name)[c], otherwise.cast(kind)) for c in columns}
+    return found.select(*[values[c].alias(c) if c in values else quoted(c) for c in df.columns])
+
+
+def _unused(name: str, df: DataFrame) -> str:
+    """The name, or one like it that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _held_values(df: DataFrame, columns: Sequence[str], table: DataFrame, name: str) -> DataFrame:
+    kind = table.schema["value"].dataType.simpleString()
+    # sorted by hash; the texts themselves tell categories with equal hashes apart
+    rows = table.select(F.xxhash64("column_name", "category").alias("hash"), "column_name", "category", "value").orderBy("hash").toArrow()
+    shared = df.sparkSession.sparkContext.broadcast(rows.combine_chunks())
+    names = list(columns)
+
+    @F.pandas_udf("struct<" + ",".join(f"`{c}`:{kind}" for c in names) + ">")
+    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = shared.value
+        hashes = rows.column("hash").to_numpy()
+        column, category = rows.column("column_name"), rows.column("category")
+        values = rows.column("value").to_pandas().astype(object)
+        for batch in batches:
+            out = {}
+            for i, c in enumerate(names):
+                asked, wanted = batch[f"h{i}"].to_numpy("i8", na_value=0), pa.array(batch[f"t{i}"], pa.string())
+                at = np.searchsorted(hashes, asked)
+                hit = np.zeros(len(asked), bool)
+                if len(hashes):
+                    while True:
+                        inside = at < len(hashes)
+                        near = np.minimum(at, len(hashes) - 1)
+                        open_ = inside & (hashes[near] == asked) & ~hit
+                        if not open_.any():
+                            break
+                        same = pc.and_(pc.equal(category.take(pa.array(near)), wanted), pc.equal(column.take(pa.array(near)), c))
+                        hit |= open_ & pc.fill_null(same, False).to_numpy(zero_copy_only=False)
+                        at = np.where(open_ & ~hit, at + 1, at)
+                found = np.full(len(asked), None, object)
+                found[hit] = values.to_numpy()[at[hit]]
+                out[c] = found
+            yield pd.DataFrame(out, columns=names)
+
+    texts = [quoted(c).cast("string") for c in names]
+    given = [x for i, (c, t) in enumerate(zip(names, texts, strict=True)) for x in (F.xxhash64(F.lit(c), t).alias(f"h{i}"), t.alias(f"t{i}"))]
+    return df.withColumn(name, look_up(F.struct(*given)))
+
+
+def _joined_values(df: DataFrame, columns: Sequence[str], table: DataFrame, name: str) -> DataFrame:
+    # written, so that a row keeps its number
+    number = _unused("_number", df)
+    rows = materialise(df.withColumn(number, F.monotonically_increasing_id()))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), quoted(c).cast("string").alias("category")) for c in columns])
+    long = rows.select(number, F.inline(pairs)).filter(F.col("category").isNotNull())
+    key = F.concat_ws("\0", "column_name", "category")
+    met = lookup_join(long.select(number, "column_name", key.alias("_key")), table.select(key.alias("_key"), "value"), ["_key"], "inner")
+    by_row = met.groupBy(number).agg(*[F.max(F.when(F.col("column_name") == c, F.col("value"))).alias(c) for c in columns])
+    found = by_row.select(number, F.struct(*[quoted(c) for c in columns]).alias(name))
+    return rows.join(found, number, "left").drop(number)
+
+
 @dataclass
 class RareGrouper:
     """Pushes categories seen fewer than ``min_freq`` times into one bucket."""
@@ -133,14 +224,7 @@ class RareGrouper:
             return F.when(text.isin(keep), text).otherwise(other) if keep else other
 
         df = df.withColumns({c: grouped(c) for c in columns if c not in long})
-        for c in long:
-            own = self.frequent.filter(F.col("column_name") == c).select(
-                F.col("category").alias(c), F.lit(True).alias("_frequent")
-            )
-            joined = lookup_join(df.withColumn(c, quoted(c).cast("string")), own, [c])
-            value = F.when(F.col("_frequent"), quoted(c)).otherwise(other)
-            df = joined.select(*[value.alias(k) if k == c else quoted(k) for k in df.columns])
-        return df
+        return _looked_up(df, long, self.frequent.select("column_name", "category", F.col("category").alias("value")), other)
 
 
 @dataclass
@@ -189,14 +273,7 @@ class TargetEncoder:
             return F.coalesce(F.try_element_at(table, quoted(c).cast("string")), prior)
 
         df = df.withColumns({c: encoded(c) for c in columns if c not in long})
-        for c in long:
-            table = repeated.filter(F.col("column_name") == c).select(
-                F.col("category").alias(c), share.alias("_share")
-            )
-            joined = lookup_join(df.withColumn(c, quoted(c).cast("string")), table, [c])
-            value = F.coalesce(F.col("_share"), prior)
-            df = joined.select(*[value.alias(k) if k == c else quoted(k) for k in df.columns])
-        return df
+        return _looked_up(df, long, repeated.select("column_name", "category", share.alias("value")), prior)
 
     def _prior(self) -> Column:
         """The share of the label in all rows; NULL if there were none."""

@@ -12,8 +12,11 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,13 +25,13 @@ from claimflow import fixed_values as fixed
 from claimflow.functions.stemming import stem
 from claimflow.functions.text import words
 from claimflow.operators.projection import quoted
-from claimflow.operators.skew import lookup_join, numbered
+from claimflow.operators.skew import fits_broadcast, lookup_join, numbered
 from claimflow.session import materialise
 
 WORD = r"[\p{L}\p{N}]+"
 PLAIN_WORD = re.compile(r"[^\W_]+")
-#: Entries of a dictionary that each task may hold.
-HELD_ENTRIES = 500_000
+#: Entries of a dictionary that each task may hold, and their bytes.
+HELD_ENTRIES, HELD_BYTES = 500_000, 64 << 20
 
 
 def _placed_words(df: DataFrame, key: str, tokens: Column) -> DataFrame:
@@ -78,7 +81,7 @@ def _looked_up(df: DataFrame, key: str, lists: Column, held: list, name: str, ki
 def stem_text(df: DataFrame, key: str, text: str, name: str, held: int = HELD_ENTRIES) -> DataFrame:
     """(key, name): the words of each text replaced by their stems, in order."""
     stems = stem_table(df, text)
-    if stems.count() <= held:
+    if fits_broadcast(stems, held, HELD_BYTES):
         return _looked_up(df, key, words(quoted(text)), stems.collect(), name, "string", lambda found: found)
     placed = _placed_words(df, key, words(quoted(text)))
     stemmed = lookup_join(placed, stems, ["token"])
@@ -147,8 +150,8 @@ def token_ids(
     df: DataFrame, key: str, terms: Column, vocabulary: DataFrame, unknown: int = 1, held: int = HELD_ENTRIES
 ) -> DataFrame:
     """(key, ids): word ids in text order, ``unknown`` for words outside the vocabulary."""
-    vocabulary = vocabulary.select("token", F.col("id").cast("int").alias("id"))
-    if vocabulary.count() <= held:
+    vocabulary = materialise(vocabulary.select("token", F.col("id").cast("int").alias("id")))
+    if fits_broadcast(vocabulary, held, HELD_BYTES):
         known = lambda found: pc.fill_null(found, unknown)
         return _looked_up(df, key, terms, vocabulary.collect(), "ids", "array<int>", known)
     found = lookup_join(_placed_words(df, key, terms), vocabulary, ["token"])
@@ -174,14 +177,130 @@ def _longest_first(matches: Iterator[tuple[int, int, str, str]]) -> list[dict]:
     return kept
 
 
-def _scanned(text: str | None, phrases: dict[str, str], lengths: dict[str, list[int]]) -> Iterator[tuple[int, int, str, str]]:
+class PhraseAutomaton:
+    """Finds all phrases of a table in one pass over the words of a text.
+
+    Phrases are paths of word numbers in a trie. A failure link leads from a path to the
+    longest path that is an ending of it, and a second link to the longest such ending
+    that is a whole phrase, so no word is looked at twice for the phrases it may begin.
+    The trie is flat: one table of (node, word) -> node, and arrays.
+    """
+
+    def __init__(self, phrases: Sequence[tuple[str, str]]):
+        self.words: dict[str, int] = {}
+        self.next: dict[tuple[int, int], int] = {}
+        depth, labels = [0], [None]
+        children: list[list[tuple[int, int]]] = [[]]
+        for phrase, label in phrases:
+            node = 0
+            for w in phrase.split(" "):
+                number = self.words.setdefault(w, len(self.words))
+                to = self.next.get((node, number))
+                if to is None:
+                    to = self.next[node, number] = len(depth)
+                    children[node].append((number, to))
+                    depth.append(depth[node] + 1)
+                    labels.append(None)
+                    children.append([])
+                node = to
+            labels[node] = label
+        self.depth, self.labels = depth, labels
+        self.fail, self.ends = [0] * len(depth), [0] * len(depth)
+        level = [to for _, to in children[0]]
+        while level:
+            deeper = []
+            for node in level:
+                self.ends[node] = node if labels[node] is not None else self.ends[self.fail[node]]
+                for number, to in children[node]:
+                    at = self.fail[node]
+                    while at and (at, number) not in self.next:
+                        at = self.fail[at]
+                    self.fail[to] = self.next.get((at, number), 0)
+                    deeper.append(to)
+            level = deeper
+
+    def matches(self, words: Sequence[str]) -> list[tuple[int, int, str]]:
+        """(first word, words, label) of every phrase, sorted by place and, at one place, the longest first."""
+        found, node = [], 0
+        get, step, fail, ends, depth = self.words.get, self.next.get, self.fail, self.ends, self.depth
+        for pos, w in enumerate(words):
+            number = get(w)
+            if number is None:
+                node = 0
+                continue
+            to = step((node, number))
+            while to is None and node:
+                node = fail[node]
+                to = step((node, number))
+            node = to or 0
+            end = ends[node]
+            while end:
+                found.append((pos - depth[end] + 1, depth[end], self.labels[end]))
+                end = ends[fail[end]]
+        return sorted(found, key=lambda m: (m[0], -m[1]))
+
+
+def _scanned(text: str | None, automaton: PhraseAutomaton) -> Iterator[tuple[int, int, str, str]]:
     """Phrases of a held table in one text, longest first at each word."""
     spans = _spans(text)
-    for pos, (start, _, first) in enumerate(spans):
-        for n in lengths.get(first, ()):
-            label = phrases.get(" ".join([w for _, _, w in spans[pos : pos + n]])) if pos + n <= len(spans) else None
-            if label is not None:
-                yield pos, n, label, text[start : spans[pos + n - 1][1]]
+    for pos, n, label in automaton.matches([w for _, _, w in spans]):
+        yield pos, n, label, text[spans[pos][0] : spans[pos + n - 1][1]]
+
+
+#: Bits of a filter for each phrase, and how many of them a phrase sets.
+FILTER_BITS, FILTER_HASHES = 12, 4
+
+
+def _filter_places(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The bits that hashes set, from two halves of each."""
+    low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32)
+    for i in range(FILTER_HASHES):
+        yield (low + np.uint64(i) * (high | np.uint64(1))) % np.uint64(bits)
+
+
+def phrase_filter(phrases: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter of the phrases, as bytes: each task sets its bits, and they are put together by place."""
+    bits = max(64, n * FILTER_BITS)
+    step = 8 << 20
+
+    def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column(0).to_numpy().view("u8")
+            places = np.unique(np.concatenate(list(_filter_places(hashes, bits)))).astype("i8")
+            parts = np.split(places, np.searchsorted(places, np.arange(step, bits, step)))
+            for i, part in enumerate(parts):
+                if len(part):
+                    own = np.zeros(min(step, bits - i * step) // 8 + 1, "u1")
+                    np.bitwise_or.at(own, (part - i * step) >> 3, (1 << ((part - i * step) & 7)).astype("u1"))
+                    yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([own.tobytes()])], ["part", "own"])
+
+    def put_together(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        whole = None
+        for frame in frames:
+            for own in frame["own"]:
+                one = np.frombuffer(own, "u1")
+                whole = one.copy() if whole is None else whole | one
+        yield pd.DataFrame({"part": [key[0]], "own": [whole.tobytes()]})
+
+    hashed = phrases.select(F.xxhash64("phrase").alias("hash")).mapInArrow(set_bits, "part long, own binary")
+    out = np.zeros(bits // 8 + 1, "u1")
+    for row in hashed.groupBy("part").applyInPandas(put_together, "part long, own binary").toLocalIterator():
+        own = np.frombuffer(row["own"], "u1")
+        at = row["part"] * (step // 8)
+        out[at : at + len(own)] |= own[: len(out) - at]
+    return out
+
+
+#: Phrases beyond which the filter itself would be too large to hold.
+FILTER_PHRASES = 200_000_000
+
+
+def _maybe(hashes: np.ndarray, held: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes may be in the filter."""
+    out = np.ones(len(hashes), bool)
+    for place in _filter_places(hashes, bits):
+        out &= (held[(place >> np.uint64(3)).astype("i8")] >> (place & np.uint64(7)).astype("u1")) & 1 == 1
+    return out
 
 
 def find_phrases(df: DataFrame, key: str, text: str, gazetteer: DataFrame, held: int = HELD_ENTRIES) -> DataFrame:
@@ -200,41 +319,38 @@ def find_phrases(df: DataFrame, key: str, text: str, gazetteer: DataFrame, held:
     phrases = materialise(phrases)
     given = df.select(quoted(key).alias(key), quoted(text).cast("string").alias("_text"))
     made = given.select(key, F.lit(None).cast(FOUND).alias("found")).schema
-    if phrases.count() <= held:
-        rows = phrases.collect()
-        lengths: dict[str, set[int]] = {}
-        for r in rows:
-            lengths.setdefault(r["phrase"].split(" ", 1)[0], set()).add(r["n"])
-        table = {r["phrase"]: r["label"] for r in rows}, {w: sorted(n, reverse=True) for w, n in lengths.items()}
-        shared = df.sparkSession.sparkContext.broadcast(table)
-        kind = pa.list_(pa.struct([("pos", pa.int32()), ("label", pa.string()), ("words", pa.string())]))
+    if fits_broadcast(phrases, held, HELD_BYTES):
+        rows = phrases.select("phrase", "label").collect()
+        shared = df.sparkSession.sparkContext.broadcast([(r["phrase"], r["label"]) for r in rows])
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = PhraseAutomaton(shared.value)
             for batch in batches:
-                found = [_longest_first(_scanned(t, *shared.value)) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], [key, "found"])
+                found = [_longest_first(_scanned(t, automaton)) for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, FOUND_ARROW)], [key, "found"])
 
         return given.mapInArrow(scan, made)
+    n = phrases.count()
     sizes = [r["n"] for r in phrases.select("n").distinct().collect()]
+    bits = max(64, n * FILTER_BITS)
+    holds = df.sparkSession.sparkContext.broadcast(phrase_filter(phrases, n) if n <= FILTER_PHRASES else None)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
         for batch in batches:
             for row, text in enumerate(batch.column(1).to_pylist()):
-                spans = _spans(text)
-                at = [(pos, n) for pos in range(len(spans)) for n in sizes if pos + n <= len(spans)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array([row] * len(at), pa.int64())),
-                        pa.array([pos for pos, _ in at], pa.int32()),
-                        pa.array([n for _, n in at], pa.int32()),
-                        pa.array([" ".join([w for _, _, w in spans[pos : pos + n]]) for pos, n in at], pa.string()),
-                        pa.array([text[spans[pos][0] : spans[pos + n - 1][1]] for pos, n in at], pa.string()),
-                    ],
-                    [key, "pos", "n", "phrase", "words"],
-                )
+                for at in _candidates_of(text, sizes, holds.value, bits):
+                    rows.append((row, *at))
+                    if len(rows) >= CANDIDATES_AT_ONCE:
+                        yield _candidate_rows(batch, rows, key)
+                        rows = []
+            yield _candidate_rows(batch, rows, key)
+            rows = []
 
     shape = given.select(key, *[F.lit(None).cast(t).alias(c) for c, t in (("pos", "int"), ("n", "int"), ("phrase", "string"), ("words", "string"))]).schema
-    met = lookup_join(given.mapInArrow(candidates, shape), phrases.select("phrase", "label"), ["phrase"], "inner")
+    # written once: texts are not scanned again for hot keys and for the join
+    asked = materialise(given.mapInArrow(candidates, shape))
+    met = lookup_join(asked, phrases.select("phrase", "label"), ["phrase"], "inner")
     match = F.struct("pos", (-F.col("n")).alias("minus"), "label", "words")
     listed = met.groupBy(key).agg(F.sort_array(F.collect_list(match)).alias("_all"))
 
@@ -244,12 +360,41 @@ def find_phrases(df: DataFrame, key: str, text: str, gazetteer: DataFrame, held:
                 _longest_first((m["pos"], -m["minus"], m["label"], m["words"]) for m in matches or [])
                 for matches in batch.column(1).to_pylist()
             ]
-            kind = pa.list_(pa.struct([("pos", pa.int32()), ("label", pa.string()), ("words", pa.string())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], [key, "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, FOUND_ARROW)], [key, "found"])
 
     return given.select(key).join(listed, key, "left").mapInArrow(pick, made)
 
 
+#: Rows of candidates that leave a task in one batch.
+CANDIDATES_AT_ONCE = 100_000
+FOUND_ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("label", pa.string()), ("words", pa.string())]))
+
+
+def _candidates_of(text: str | None, sizes: Sequence[int], held: np.ndarray | None, bits: int) -> Iterator[tuple[int, int, str, str]]:
+    """(pos, words, phrase, text) of all runs of words that the filter does not rule out."""
+    spans = _spans(text)
+    listed = [w for _, _, w in spans]
+    for n in sizes:
+        for at in range(0, len(spans) - n + 1, CANDIDATES_AT_ONCE):
+            runs = [" ".join(listed[pos : pos + n]) for pos in range(at, min(at + CANDIDATES_AT_ONCE, len(spans) - n + 1))]
+            if held is None:
+                kept = range(len(runs))
+            else:
+                # the hash that Spark gave the phrases
+                hashes = np.array([xxhash.xxh64_intdigest(r.encode(), 42) for r in runs], "u8")
+                kept = np.flatnonzero(_maybe(hashes, held, bits)).tolist()
+            for i in kept:
+                pos = at + i
+                yield pos, n, runs[i], text[spans[pos][0] : spans[pos + n - 1][1]]
+
+
+def _candidate_rows(batch: pa.RecordBatch, rows: list[tuple], key: str) -> pa.RecordBatch:
+    at = pa.array([r[0] for r in rows], pa.int64())
+    kinds = (pa.int32(), pa.int32(), pa.string(), pa.string())
+    columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds, 1)]
+    return pa.RecordBatch.from_arrays([batch.column(0).take(at), *columns], [key, "pos", "n", "phrase", "words"])
+
+
 def extract_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame, held: int = HELD_ENTRIES) -> DataFrame:
     """(key, entities): one list of texts per output label; other labels are dropped."""
     found = find_phrases(df, key, text, gazetteer, held)
