@@ -32,6 +32,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ MARGIN_BITS = 1.5
 DEVIATIONS = 4
 LETTERS_FOR_SCORE = 32
 CHUNK = 1 << 20
-TEXTS_AT_ONCE = 1_000
+CHARACTERS_AT_ONCE = 600_000
 
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = "lang_pred string, score double, cross_entropy double, letters long, rejected boolean"
@@ -213,15 +214,15 @@ def sample(labelled: DataFrame, rows: int) -> DataFrame:
     """About ``rows`` rows of each language, or all, chosen by a hash of text and id.
 
     Copies of one text are drawn one by one, so a text that most rows share fills no more
-    than its share of the sample; rows that repeat both text and id count as one. So what
-    is drawn is about ``rows`` rows for each language whatever the rows are.
+    than its share of the sample. Rows that repeat both text and id go together; what is
+    counted of the sample does not grow with repeats, see ``calibrate``.
     """
     counted = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not counted:
         return labelled
     share = F.create_map(*[F.lit(x) for lang, n in sorted(counted.items()) for x in (lang, min(1.0, rows / n))])
     drawn = F.pmod(F.xxhash64(*labelled.columns), F.lit(1_000_003)) / 1_000_003
-    return labelled.filter(drawn < F.element_at(share, F.col("lang"))).distinct()
+    return labelled.filter(drawn < F.element_at(share, F.col("lang")))
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -276,7 +277,9 @@ def calibrate(model: Model, unseen: DataFrame) -> Model:
             part = pd.DataFrame({"lang": known["lang"].to_numpy(), "bits": own, "letters": letters})
             yield part[part["letters"] > 0]
 
-    got = unseen.mapInPandas(measure, "lang string, bits double, letters long")
+    # equal texts measure alike and count once: neither do they rule the quantile, nor
+    # does their number reach the driver
+    got = unseen.mapInPandas(measure, "lang string, bits double, letters long").distinct()
     got = got.toPandas() if model.languages else pd.DataFrame({"lang": [], "bits": [], "letters": []})
     limits, spreads = [], []
     for i, lang in enumerate(model.languages):
@@ -320,6 +323,18 @@ def predict(model: Model, texts: list[str | None]) -> pd.DataFrame:
     )
 
 
+def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and number of texts taken at once: so many characters, or one text of more."""
+    sizes, at, held = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).tolist(), 0, 0
+    for i, size in enumerate(sizes):
+        if i > at and held + size > CHARACTERS_AT_ONCE:
+            yield at, i - at
+            at, held = i, 0
+        held += size
+    if at < len(sizes):
+        yield at, len(sizes) - at
+
+
 def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of ``docs`` with lang_pred, score, cross_entropy, letters, rejected."""
     added = [c.split()[0] for c in RESULT.split(", ")]
@@ -328,8 +343,8 @@ def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(at, TEXTS_AT_ONCE)
+            for at, n in _portions(batch.column(text)):
+                part = batch.slice(at, n)
                 found = pa.RecordBatch.from_pandas(predict(shared.value, part.column(text).to_pylist()), preserve_index=False)
                 yield pa.RecordBatch.from_arrays([*part.columns, *found.columns], [*kept, *added])
 
