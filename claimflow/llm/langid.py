@@ -274,7 +274,7 @@ def calibrate(model: Model, unseen: DataFrame) -> Model:
             known = frame[frame["lang"].isin(model.languages)]
             bits, letters = model.entropies(list(known["text"]))
             own = bits[np.arange(len(known)), [model.languages.index(x) for x in known["lang"]]]
-            part = pd.DataFrame({"lang": known["lang"].to_numpy(), "bits": own, "letters": letters})
+            part = pd.DataFrame({"lang": known["lang"].to_numpy(), "bits": own.round(9), "letters": letters})
             yield part[part["letters"] > 0]
 
     # equal texts measure alike and count once: neither do they rule the quantile, nor
