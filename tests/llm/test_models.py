@@ -197,8 +197,8 @@ def test_sample_does_not_hang_on_copies(spark):
 
 def test_limits_do_not_hang_on_copies(model, spark):
     """A text that most rows share is one of many where limits are set."""
-    docs = common.read(spark, SF, "documents").filter("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang").distinct().limit(200)
-    copies = docs.limit(1).crossJoin(spark.range(3000)).select("text", "lang")
+    docs = common.read(spark, SF, "documents").filter("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang").distinct().orderBy("text").limit(200)
+    copies = docs.orderBy("text").limit(1).crossJoin(spark.range(3000)).select("text", "lang")
     plain = langid.calibrate(copy.deepcopy(model), docs).limit.tolist()
     assert langid.calibrate(copy.deepcopy(model), docs.unionByName(copies)).limit.tolist() == pytest.approx(plain)
 
