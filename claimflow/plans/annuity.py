@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from claimflow import fixed_values as fixed
 from claimflow.functions import categories, cleaning, scoring, tenure
+from claimflow.operators.employee import change_ratio, policy_totals, task_ratio
 from claimflow.operators.encode import TargetEncoder
 from claimflow.operators.projection import quoted
 from claimflow.operators.scale import QuantileTransform, Scaler
+from claimflow.operators.skew import lookup_join
+from claimflow.session import materialise
 
 LOGINS = "V_SYSTEM_LOGON_ID"
 ENTITY = "TRXNUM"
@@ -52,6 +55,35 @@ def lag_features(df: DataFrame, base: str, events: Sequence[str]) -> DataFrame:
     )
 
 
+def employee_totals(
+    events: DataFrame, employee: str, policy: str, is_task: Column, is_change: Column, days: Column,
+    value: Column, is_withdrawal: Column, amount: Column, high_at: int,
+) -> DataFrame:
+    """One row per employee with the totals that transactions take as features, from raw events."""
+    tasks = task_ratio(events, employee, policy, is_task, high_at).select(
+        employee, F.col("zero_task_count").alias("uc7_employee_zero_task_count"), F.col("ratio").alias("uc7_employee_ratio")
+    )
+    changes = change_ratio(events, employee, policy, is_change, days).select(
+        employee, F.col("policy_count").alias("uc8_employee_policy_count"),
+        F.col("mean_change_days").alias("uc8_employee_mean_change_days"), F.col("ratio").alias("uc8_employee_ratio"),
+    )
+    policies = policy_totals(events, employee, policy, value, is_withdrawal, amount).select(
+        employee, F.col("total_policy_count").alias("uc2_employee_total_policy_count")
+    )
+    return tasks.join(changes, employee).join(policies, employee)
+
+
+def transactions_of_events(df: DataFrame, totals: DataFrame, employee: str, base: str, events: Sequence[str]) -> DataFrame:
+    """Transactions with the totals of their employee and the days since each event.
+
+    ``totals`` has one row per employee; an employee who made very many transactions is
+    spread over tasks where that table is too large to be broadcast.
+    """
+    kept = [c for c in df.columns if c not in totals.columns or c == employee]
+    joined = lookup_join(df.select(*[quoted(c) for c in kept]), materialise(totals), [employee])
+    return lag_features(joined, base, events)
+
+
 def application_features(df: DataFrame, carry: Sequence[str] = (ENTITY,)) -> DataFrame:
     """Features in model order; ``carry`` columns, such as a label to fit on, stay in front."""
     filled = login_features(fill_defaults(df, fixed.APPLICATION_DEFAULTS), fixed.APPLICATION_LOGINS)

@@ -16,9 +16,9 @@ from claimflow.session import materialise
 from claimflow.sources.sinks import envelope, envelope_batch, transaction_envelope
 from queries import sqltext as q
 from queries.fitted import STD_HOT, STD_TEMPLATE, knots_sql, quantile_sql
-from queries.registry import query
+from queries.registry import SQL, query
 from queries.texts import STOPWORDS
-from queries.views import DUCK, SNAPSHOT_TIEBREAK, table, view
+from queries.views import DUCK, SNAPSHOT_TIEBREAK, SPARK, VIEWS, table, view
 
 ID = "Claim Identifier"
 RESULT = ["claimNumber", "predictedProbability", "predictedValue"]
@@ -599,6 +599,70 @@ def annuity_transactions(spark, sf):
     return annuity.score_transactions(raw, scaler, encoder, models.LinearModel(weights(names), -0.8))
 
 
+_event_dates = [c.removesuffix("diff") for c in fixed.TRANSACTION_NUMERIC if c.endswith("diff")]
+
+
+def _transaction_dates(d) -> dict[str, str]:
+    """The date of processing and those of the events, some unknown and some later."""
+    dates = {
+        c: f"CASE WHEN event_id % {i + 5} = 0 THEN NULL ELSE {d.us(d.shift('ts', f'60 - event_id * {i + 3} % 900'))} END"
+        for i, c in enumerate(_event_dates)
+    }
+    return {"employee": "user_id", "TRXHDRDATA_PROCESSEDDATE": d.iso("ts"), **dates}
+
+
+_at = "date_diff('day', CAST(strptime({}, '%m/%d/%Y') AS DATE), CAST(d.\"TRXHDRDATA_PROCESSEDDATE\"::TIMESTAMP AS DATE))"
+_lags = {f"{c}diff": _at.format(f"d.{q.name(c)}") for c in _event_dates}
+_own = {
+    "uc2_employee_total_policy_count": "t.n", "uc7_employee_zero_task_count": "t.idle", "uc7_employee_ratio": "t.high / nullif(t.n - t.idle, 0)",
+    "uc8_employee_policy_count": "t.n", "uc8_employee_mean_change_days": "t.days / nullif(t.changes, 0)", "uc8_employee_ratio": "t.changed / t.n",
+    **{c: f"CASE WHEN {x} >= 0 THEN {x} ELSE -1 END" for c, x in _lags.items()},
+}
+_EVENT_JOB = f"""dates AS (SELECT event_id, {', '.join(f'{x} AS {q.name(c)}' for c, x in _transaction_dates(DUCK).items())} FROM events),
+ per AS (SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS policy, count(*) FILTER (event_type IN ('click', 'view')) AS tasks,
+   count(*) FILTER (event_type = 'error') AS changes,
+   sum(CASE WHEN event_type = 'error' THEN date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) END) AS days FROM events GROUP BY ALL),
+ totals AS (SELECT user_id, count(*) AS n, count(*) FILTER (tasks = 0) AS idle, count(*) FILTER (tasks >= 2) AS high,
+   sum(changes) AS changes, count(*) FILTER (changes > 0) AS changed, sum(days) AS days FROM per GROUP BY user_id),
+ joined AS (SELECT a.* REPLACE ({', '.join(f'{x} AS {q.name(c)}' for c, x in _own.items())})
+   FROM annuities a JOIN dates d ON a."TRXNUM" = d.event_id LEFT JOIN totals t ON d.employee = t.user_id),
+ built AS ("""
+EVENT_JOB_SQL = (
+    SQL["annuity_transactions"].replace("built AS (", _EVENT_JOB, 1).replace("FROM annuities)", "FROM joined)", 1)
+)
+
+
+@query("transactions from events", f"""WITH scored AS ({EVENT_JOB_SQL}),
+ placed AS (SELECT *, row_number() OVER (ORDER BY "TRXNUM") AS place FROM scored)
+ SELECT 'RANDN1209:0' AS source, 'RAND1209' AS entity, (place - 1) // 500 AS part, CAST(count(*) AS INT) AS n,
+ CAST(sum(predicted_disposition) AS BIGINT) AS flagged, CAST(min("TRXNUM") AS BIGINT) AS first FROM placed GROUP BY ALL""")
+def annuity_events_to_envelopes(spark, sf):
+    """The whole transaction job: raw events to employee totals and lags, features, scores and envelopes."""
+    fields = {**VIEWS["annuities"][1](SPARK), **_transaction_dates(SPARK)}
+    events = table(spark, sf, "events").withColumn("policy", F.get_json_object("props", "$.k").cast("long"))
+    named = events.selectExpr(*[f"{x} AS {SPARK.name(c)}" for c, x in fields.items()])
+    days = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    kind = F.col("event_type")
+    totals = annuity.employee_totals(
+        events, "user_id", "policy", kind.isin("click", "view"), kind == "error", days, F.col("value"), kind == "purchase", F.col("value"), 2
+    )
+    raw = annuity.transactions_of_events(
+        named, totals.withColumnRenamed("user_id", "employee"), "employee", "TRXHDRDATA_PROCESSEDDATE", _event_dates
+    )
+    raw = materialise(raw)
+    features = annuity.transaction_features(raw, carry=["class"])
+    scaler = scale.Scaler("robust").fit(features, fixed.TRANSACTION_NUMERIC)
+    encoder = TargetEncoder().fit(features, fixed.TRANSACTION_CATEGORICAL, "class")
+    names = [*fixed.TRANSACTION_NUMERIC, *fixed.TRANSACTION_CATEGORICAL, *fixed.TRANSACTION_BOOLEAN, *_txn_levels]
+    scored = annuity.score_transactions(raw, scaler, encoder, models.LinearModel(weights(names), -0.8))
+    parts = transaction_envelope(scored, "TRXNUM", ["TRXNUM", "predicted_disposition"], part_rows=500)
+    flagged = F.aggregate("predictedResult", F.lit(0).cast("long"), lambda acc, r: acc + r["predicted_disposition"])
+    return parts.select(
+        F.col("inputDataSource").alias("source"), F.col("entityId").alias("entity"), "part", F.size("predictedResult").alias("n"),
+        flagged.alias("flagged"), F.get("predictedResult", F.lit(0))["TRXNUM"].alias("first"),
+    )
+
+
 @query("applications", _annuity_sql(
     fixed.APPLICATION_DEFAULTS, fixed.APPLICATION_LOGINS, fixed.APPLICATION_NUMERIC, fixed.APPLICATION_CATEGORICAL,
     [], [], annuity.APPLICATION_TRANSFORMED, share_knots, -0.4, fixed.APPLICATION_THRESHOLD))
