@@ -6,23 +6,27 @@ that share an anchor make one stretch. Suffixes are sorted from anchors only: on
 about every half window of text instead of one for every byte, and none for anchors
 whose short string starts nowhere else.
 
-1. Stretches of all texts are counted by anchor string and by content. An anchor
-   string met once repeats nothing. Stretches with equal content repeat whole.
-2. What is left, one stretch for each different content, is sorted: key is the text
-   from the anchor on, then the text before it, backwards. Each task sorts runs,
-   codes each key as the length it shares with the one before and the rest, and
-   sends it to the range of keys it belongs to; ranges are cut by sampled keys of
-   full length, so one very common string spreads over many of them. A range merges
-   its runs in a loser tree that compares keys only behind the prefix they are known
-   to share, which also yields the common prefixes of sorted neighbours.
-3. Keys in order give, for every group of one anchor string, how far its members
-   agree in both directions, hence which windows of a stretch occur elsewhere. A
-   group too large to be matched member by member, or one that a range border cuts,
-   names the windows that the common prefixes leave possible, and these are counted
-   by content.
+1. Equal texts are one entry with a count; a text met several times repeats whole.
+   An anchor string met once in all entries repeats nothing.
+2. All other stretches are sorted: key is a hash of the anchor string, the text from
+   the anchor on, then the text before it, backwards. Each task sorts runs, codes each
+   key as the length it shares with the one before and the rest, and sends it to the
+   range of keys it belongs to. A key that shares its whole length with the one before
+   is an equal stretch: both repeat whole, and one of them goes on. Hashes are even, so
+   ranges are cut by arithmetic; only the group of a very common anchor string is cut
+   further, by sampled keys of full length.
+3. A range merges its runs in a loser tree that compares keys only behind the prefix
+   they are known to share, which also yields the common prefixes of sorted neighbours.
+   Whole keys in common are equal stretches again. For every group of one anchor string
+   the prefixes in both directions give the windows of a stretch that occur elsewhere.
+   Only a group that is spread over several ranges names the windows that its prefixes
+   leave possible, and these are counted by content.
 4. A text's repeated windows, listed once for all its copies, are joined to each copy
    and cut out.
 
+The driver holds at most ``CUT_KEYS`` sampled keys and ``CUT_GROUPS`` anchors, whatever
+the input; beyond that the ranges of the most common anchor strings grow.
+
 Defined cases: a null text is empty; texts shorter than ``length`` keep all; repeated
 rows and equal texts are occurrences like any others, so nothing of them is kept;
 rows are never matched by id, and null or repeated ids do no harm; an empty table
@@ -39,6 +43,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,13 +59,18 @@ RANGE_ROWS = 20_000
 SAMPLES_PER_RANGE = 20
 #: Ranges that a group of one anchor string may fill before it is cut.
 WHOLE_GROUP_RANGES = 3
+#: Groups that are cut, and sampled keys for them, at most (16 MB in the driver).
+CUT_GROUPS = 1_000
+CUT_KEYS = 20_000
 #: Members of a group that are matched one with another.
 GROUP_ROWS = 128
 #: Never part of UTF-8.
 PAD = 0xFF
+#: Bytes of the hash in front of a sort key.
+HEAD = 8
 
 KEY = ["k1", "k2"]
-STRETCHES = "anchor long, content long, k1 long, k2 long, start int, windows int, back int"
+STRETCHES = "anchor long, k1 long, k2 long, alone int, start int, windows int, back int"
 
 
 # --- anchors -----------------------------------------------------------------
@@ -70,7 +80,12 @@ def short_hashes(data: np.ndarray) -> np.ndarray:
     """A hash of the ``SHORT`` bytes from every position on."""
     n = len(data) - SHORT + 1
     words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)).view("<u8").ravel()
-    h = (words[:n] * np.uint64(0x9E3779B97F4A7C15)) ^ (words[8 : 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F))
+    return mixed(words[:n], words[8 : 8 + n])
+
+
+def mixed(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The hash of short strings given as two words each."""
+    h = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F))
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(29))
@@ -127,11 +142,9 @@ def _stretched(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for batch in batches:
-            keys = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)
-            for data, (k1, k2) in zip(_texts(batch), keys, strict=True):
-                for v, s, n, back in stretches(data, length):
-                    content = xxhash.xxh64_intdigest(data[s : s + n - 1 + length])
-                    rows.append((_signed(v), _signed(content), k1, k2, s, n, back))
+            keys = zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "copies")], strict=True)
+            for data, (k1, k2, copies) in zip(_texts(batch), keys, strict=True):
+                rows += [(_signed(v), k1, k2, int(copies == 1), s, n, back) for v, s, n, back in stretches(data, length)]
                 if len(rows) >= RUN_ROWS:
                     yield table(rows)
                     rows = []
@@ -144,8 +157,8 @@ def _stretched(length: int):
 
 
 def key_width(length: int) -> int:
-    """Bytes of a sort key: the text from the anchor on, then the text before it."""
-    return 2 * length - SHORT
+    """Bytes of a sort key: the anchor's hash, the text from the anchor on, then the text before it."""
+    return HEAD + 2 * length - SHORT
 
 
 def keys_of(pieces: list[tuple[bytes, int]], length: int) -> np.ndarray:
@@ -153,11 +166,18 @@ def keys_of(pieces: list[tuple[bytes, int]], length: int) -> np.ndarray:
     out = np.full((len(pieces), key_width(length)), PAD, "u1")
     for i, (text, back) in enumerate(pieces):
         row = np.frombuffer(text, "u1")
-        out[i, : len(row) - back] = row[back:]
-        out[i, length : length + back] = row[:back][::-1]
+        out[i, HEAD : HEAD + len(row) - back] = row[back:]
+        out[i, HEAD + length : HEAD + length + back] = row[:back][::-1]
+    anchors = np.ascontiguousarray(out[:, HEAD : HEAD + SHORT]).view("<u8")
+    out[:, :HEAD] = mixed(anchors[:, 0], anchors[:, 1]).astype(">u8").view("u1").reshape(-1, HEAD)
     return out
 
 
+def heads_of(keys: np.ndarray) -> np.ndarray:
+    """The hashes in front of sort keys."""
+    return np.ascontiguousarray(keys[:, :HEAD]).view(">u8").ravel().astype("u8")
+
+
 def sort_rows(keys: np.ndarray) -> np.ndarray:
     """The order of the rows by their bytes."""
     return np.argsort(np.ascontiguousarray(keys).view(f"S{keys.shape[1]}").ravel(), kind="stable")
@@ -307,18 +327,75 @@ def _as_arrow(frames: Iterator[pd.DataFrame], shape: str) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_pandas(frame, schema, preserve_index=False)
 
 
-def _sorted_runs(length: int, splitters):
+class Ranges:
+    """Where keys go: ``even`` ranges by hash, and ranges of their own for groups that are cut.
+
+    ``cuts`` has the sorted border keys of each such group by its hash.
+    """
+
+    def __init__(self, even: int, cuts: dict[int, np.ndarray]) -> None:
+        self.even = even
+        self.cuts = {}
+        self.inner: dict[int, tuple[bool, bool]] = {}
+        free = even
+        for head, borders in cuts.items():
+            self.cuts[head] = (free, borders)
+            last = free + len(borders)
+            self.inner.update({i: (i > free, i < last) for i in range(free, last + 1)})
+            free = last + 1
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The range of each key; equal keys have one range, and sorted keys consecutive ones."""
+        heads = heads_of(keys)
+        out = ((heads >> np.uint64(32)) * np.uint64(self.even) >> np.uint64(32)).astype("i8")
+        for head, (first, borders) in self.cuts.items():
+            at, end = np.searchsorted(heads, np.array([head], "u8")), np.searchsorted(heads, np.array([head], "u8"), side="right")
+            at, end = int(at[0]), int(end[0])
+            if at < end:
+                listed = np.ascontiguousarray(keys[at:end]).view(borders.dtype).ravel()
+                out[at:end] = first + np.searchsorted(borders, listed, side="right")
+        return out
+
+
+def _whole(of: dict, who: np.ndarray) -> np.ndarray:
+    """Spans of whole stretches as rows of k1, k2, first, last."""
+    start = of["start"][who].astype("i8")
+    return np.stack([of["k1"][who], of["k2"][who], start, start + of["windows"][who] - 1], axis=1)
+
+
+def _classes(same: np.ndarray, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of equal sorted keys: places of the first ones, which of these stand alone, members met again.
+
+    ``same`` says that a key equals the one before, ``alone`` that it is not yet known to repeat.
+    """
+    firsts = np.flatnonzero(~same)
+    sizes = np.diff(np.append(firsts, len(same)))
+    again = alone & np.repeat(sizes > 1, sizes)
+    return firsts, alone[firsts] & (sizes == 1), np.flatnonzero(again)
+
+
+def _sorted_runs(length: int, ranges):
+    packer = zstandard.ZstdCompressor
+
     def blobs(rows: pd.DataFrame) -> Iterator[dict]:
         keys = keys_of(list(zip(rows["text"], rows["back"], strict=True)), length)
         order = sort_rows(keys)
-        keys, rows = keys[order], rows.iloc[order]
-        listed = keys.view(f"S{keys.shape[1]}").ravel()
-        cuts = [0, *np.searchsorted(listed, splitters.value, side="left").tolist(), len(keys)]
-        for i, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if s < e:
-                shared, rest = front_code(keys[s:e])
-                own = {c: rows[c].to_numpy(t)[s:e].tobytes() for c, t in OWN.items()}
-                yield {"range": i, "shared": shared, "rest": rest, **own}
+        keys = keys[order]
+        of = {c: rows[c].to_numpy(t)[order] for c, t in OWN.items()}
+        firsts, alone, again = _classes(shared_prefixes(keys) == keys.shape[1], of["alone"])
+        if len(again):
+            # spread over as many groups as there are ranges
+            place = -1 - int(of["k1"][again[0]]) % ranges.value.even
+            yield {"range": place, "shared": _whole(of, again).astype("<i8").tobytes(), **dict.fromkeys(["rest", *OWN])}
+        keys, of = keys[firsts], {c: v[firsts] for c, v in of.items()}
+        of["alone"] = alone
+        at = ranges.value.of(keys)
+        cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(keys)]
+        pack = packer(level=1).compress
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            shared, rest = front_code(keys[s:e])
+            own = {c: np.ascontiguousarray(v[s:e]).tobytes() for c, v in of.items()}
+            yield {"range": int(at[s]), "shared": shared, "rest": pack(rest), **own}
 
     def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -334,42 +411,56 @@ def _sorted_runs(length: int, splitters):
     return lambda batches: _as_arrow(runs(_cut_pieces(length)(batches)), BLOBS)
 
 
-def _merged(length: int, splitters):
-    width = key_width(length)
+def _found(spans: np.ndarray) -> pd.DataFrame:
+    out = pd.DataFrame(spans, columns=["k1", "k2", "first", "last"])
+    return out.assign(digest=None, alone=True)
 
-    def is_cut(edge: int, prefix: bytes) -> bool:
-        """Whether a border of ranges lies inside the group of that short string."""
-        if not 0 <= edge < len(splitters.value):
-            return False
-        key = splitters.value[edge].ljust(width, b"\0")
-        return key[:SHORT] == prefix and any(key[SHORT:])
+
+def _merged(length: int, ranges):
+    width = key_width(length)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        at_range = int(frame["range"].iloc[0])
+        if at_range < 0:
+            # equal stretches that the runs have met themselves
+            return _found(np.frombuffer(b"".join(frame["shared"]), "<i8").reshape(-1, 4))
         runs, own = [], []
+        unpack = zstandard.ZstdDecompressor().decompress
         for row in frame.itertuples(index=False):
-            runs.append((front_decode(row.shared, row.rest, width), np.frombuffer(row.shared, "<i4").tolist()))
+            runs.append((front_decode(row.shared, unpack(row.rest), width), np.frombuffer(row.shared, "<i4").tolist()))
             own.append({c: np.frombuffer(getattr(row, c), t) for c, t in OWN.items()})
-        order = list(merge(runs))
-        keys = np.frombuffer(b"".join([runs[r][0][i] for r, i, _ in order]), "u1").reshape(-1, width)
-        shared = np.array([n for _, _, n in order])
         bases = np.cumsum([0, *[len(r[0]) for r in runs]])
-        at = np.array([bases[r] + i for r, i, _ in order])
+        picked, at, shared = [], [], []
+        for r, i, n in merge(runs):
+            at.append(bases[r] + i)
+            shared.append(n)
+            if n < width or not picked:
+                picked.append(runs[r][0][i])
         of = {c: np.concatenate([o[c] for o in own])[at] for c in OWN}
-        out: list[pd.DataFrame] = []
+        shared = np.array(shared)
+        firsts, alone, again = _classes((shared == width) & (np.arange(len(shared)) > 0), of["alone"])
+        out = [_found(_whole(of, again))]
+        keys = np.frombuffer(b"".join(picked), "u1").reshape(-1, width)[:, HEAD:]
+        of = {c: v[firsts] for c, v in of.items()}
+        of["alone"] = alone
+        shared = np.maximum(shared[firsts] - HEAD, 0)
+        shared[0] = 0
+        before, behind = ranges.value.inner.get(at_range, (False, False))
         edges = np.concatenate([np.flatnonzero(shared < SHORT), [len(keys)]])
         for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             mine = {c: v[s:e] for c, v in of.items()}
-            prefix, at = keys[s, :SHORT].tobytes(), int(frame["range"].iloc[0])
-            before, behind = s == 0 and is_cut(at - 1, prefix), e == len(keys) and is_cut(at, prefix)
-            if e - s > GROUP_ROWS or before or behind:
+            cut_before, cut_behind = before and s == 0, behind and e == len(keys)
+            if cut_before or cut_behind:
                 # neighbours beyond a border may share everything
-                ahead = np.maximum(shared[s:e], np.append(shared[s + 1 : e], length if behind else 0))
+                ahead = np.maximum(shared[s:e], np.append(shared[s + 1 : e], length if cut_behind else 0))
                 if s == 0:
-                    ahead[0] = max(length if before else 0, shared[1] if e > 1 else 0)
-                out.append(_windows(keys[s:e], mine, np.minimum(ahead, length), length, before or behind))
-            elif mine["alone"].any():
+                    ahead[0] = max(length if cut_before else 0, shared[1] if e > 1 else 0)
+                out.append(_windows(keys[s:e], mine, np.minimum(ahead, length), length))
+            elif mine["alone"].any() and e - s > GROUP_ROWS:
+                out.append(_by_orders(keys[s:e], mine, shared[s:e], length))
+            elif mine["alone"].any() and e - s > 1:
                 out.append(_matched(keys[s:e], mine, length))
-        return pd.concat(out) if out else pd.DataFrame(columns=_names(FOUND))
+        return pd.concat(out)
 
     return run
 
@@ -385,12 +476,43 @@ def _matched(keys: np.ndarray, of: dict, length: int) -> pd.DataFrame:
     )
 
 
-def _windows(keys: np.ndarray, of: dict, ahead: np.ndarray, length: int, cut: bool) -> pd.DataFrame:
-    """Count the windows of a large group, as far as common prefixes leave them possible.
+def _by_orders(keys: np.ndarray, of: dict, shared: np.ndarray, length: int) -> pd.DataFrame:
+    """The same for a large group, from its order in each direction.
+
+    Members that agree on the ``length - o`` bytes from the anchor on are neighbours in
+    the first order, those that agree on ``o`` bytes before it neighbours in the second;
+    a window that begins ``o`` bytes before the anchor repeats where both agree.
+    """
+    rear = np.ascontiguousarray(keys[:, length:])
+    order = sort_rows(rear)
+    behind = shared_prefixes(rear[order])
+    ahead = np.minimum(shared, length)
+    ahead[0] = 0
+    near = np.maximum(ahead, np.append(ahead[1:], 0))
+    least = np.maximum(of["back"] - of["windows"] + 1, length - near)
+    met_at, met_back = [], []
+    second = np.empty(len(keys), "i8")
+    for o in range(max(0, int(least.min())), int(of["back"].max()) + 1):
+        members = np.flatnonzero((least <= o) & (o <= of["back"]))
+        if len(members) > 1:
+            first = np.cumsum(ahead < length - o)
+            second[order] = np.cumsum(behind < o)
+            pair = first[members] * (len(keys) + 1) + second[members]
+            _, kind, n = np.unique(pair, return_inverse=True, return_counts=True)
+            met = members[n[kind] > 1]
+            met_at.append(met)
+            met_back.append(np.full(len(met), o))
+    if not met_at:
+        return _found(np.zeros((0, 4), "i8"))
+    return _runs_of_windows(of, np.concatenate(met_at), np.concatenate(met_back))
+
+
+def _windows(keys: np.ndarray, of: dict, ahead: np.ndarray, length: int) -> pd.DataFrame:
+    """Count the windows of a group in several ranges, as far as common prefixes leave them possible.
 
     Windows at different distances from the anchor are never equal, so they are
-    counted distance by distance. Of a group that goes on in other ranges, windows met
-    once, and one of each met more often, are named for the count over all ranges.
+    counted distance by distance. Windows met once, and one of each met more often, are
+    named for the count over all ranges.
     """
     texts = [
         np.concatenate([keys[i, length : length + b][::-1], keys[i, : length - b + n - 1]]).tobytes()
@@ -408,11 +530,10 @@ def _windows(keys: np.ndarray, of: dict, ahead: np.ndarray, length: int, cut: bo
             if len(who) > 1:
                 met_at += who
                 met_back += [o] * len(who)
-            if cut:
-                named_at.append(who[0])
-                named_back.append(o)
-                digests.append(digest)
-                counts.append(len(who) == 1)
+            named_at.append(who[0])
+            named_back.append(o)
+            digests.append(digest)
+            counts.append(len(who) == 1)
     found = [_runs_of_windows(of, np.array(met_at, int), np.array(met_back, int))]
     if named_at:
         at = np.array(named_at)
@@ -453,63 +574,57 @@ def _pieces(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     place = F.shiftleft(F.col("start").cast("long"), 32) + F.shiftleft(F.col("windows").cast("long"), 17)
     place = place + F.col("back") * 2 + F.col("alone").cast("long")
     lists = wanted.groupBy(*KEY).agg(F.collect_list(place).alias("pieces"))
-    # one text stands for all its copies
-    some = texts.join(broadcast_if_small(wanted.select(*KEY).distinct()), KEY, "left_semi").select(*KEY, "text")
-    one = some.groupBy(*KEY).agg(F.first("text").alias("text"))
-    return one.join(lists, KEY).select(*KEY, "text", "pieces")
+    return texts.join(lists, KEY).select(*KEY, "text", "pieces")
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Runs of windows that occur elsewhere, once each: k1, k2, first, last (start bytes in the text)."""
+    """Runs of windows that occur elsewhere, once for all copies of a text: k1, k2, first, last (start bytes in the text)."""
     spark = docs.sparkSession
-    found = docs.filter(F.octet_length("text") >= length).select("text", *KEY)
-    found = materialise(found.mapInArrow(_stretched(length), STRETCHES))
-    met = found.groupBy("anchor").agg(F.min("content").alias("_low"), F.max("content").alias("_high"), F.count(F.lit(1)).alias("_n"))
+    long = docs.filter(F.octet_length("text") >= length)
+    # one text stands for all its copies
+    texts = materialise(long.groupBy(*KEY).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")))
+    found = materialise(texts.mapInArrow(_stretched(length), STRETCHES))
     # written first, so that the join stands by itself and its hot anchors can be split
-    met = materialise(met.filter(F.col("_n") > 1).select("anchor", (F.col("_low") == F.col("_high")).alias("_same")))
-    met = materialise(found.join(met, "anchor"))
+    met = materialise(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
+    wanted = materialise(found.join(met, "anchor"))
     span = [*KEY, F.col("start").alias("first"), (F.col("start") + F.col("windows") - 1).alias("last")]
-    same, mixed = met.filter("_same"), met.filter("NOT _same")
-    place = F.min(F.struct(*KEY, "start", "windows", "back"))
-    classes = mixed.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("_n"), place.alias("_at"))
-    classes = materialise(classes)
-    several = classes.filter("_n > 1").select("anchor", "content")
-    whole = same.select(*span).unionByName(mixed.join(several, ["anchor", "content"]).select(*span))
-    wanted = classes.select("_at.*", (F.col("_n") == 1).alias("alone"))
-
-    n = classes.count()
-    ranges = max(1, math.ceil(n / RANGE_ROWS))
-    splitters = _splitters(docs, wanted, n, ranges, length)
-    shared = spark.sparkContext.broadcast(splitters)
-    runs = _pieces(docs, wanted).mapInArrow(_sorted_runs(length, shared), BLOBS)
+    copied = found.filter("alone = 0").select(*span)
+
+    n = met.agg(F.sum("_n")).first()[0] or 0
+    even = max(1, math.ceil(n / RANGE_ROWS))
+    shared = spark.sparkContext.broadcast(Ranges(even, _cuts(texts, wanted, met, length)))
+    runs = _pieces(texts, wanted).mapInArrow(_sorted_runs(length, shared), BLOBS)
     settled = materialise(runs.groupBy("range").applyInPandas(_merged(length, shared), FOUND))
     named = settled.filter(F.col("digest").isNotNull())
     twice = named.groupBy("digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("digest")
     counted = named.filter("alone").join(twice, "digest")
     matched = settled.filter(F.col("digest").isNull()).unionByName(counted.select(*settled.columns))
-    # copies of a text name the same windows: one row each, whatever the number of copies
-    return materialise(whole.unionByName(matched.select(*KEY, "first", "last")).distinct())
+    return materialise(copied.unionByName(matched.select(*KEY, "first", "last")))
 
 
-def _splitters(docs: DataFrame, wanted: DataFrame, n: int, ranges: int, length: int) -> np.ndarray:
-    """Keys that cut the sorted order in ranges of about equal size."""
-    kind = f"S{key_width(length)}"
-    if ranges < 2:
-        return np.zeros(0, kind)
-    share = min(1.0, SAMPLES_PER_RANGE * ranges / n)
+def _cuts(texts: DataFrame, wanted: DataFrame, met: DataFrame, length: int) -> dict[int, np.ndarray]:
+    """Border keys of the groups that would fill too many ranges, by the hash of their anchor string."""
+    limit = WHOLE_GROUP_RANGES * RANGE_ROWS
+    hot = met.filter(F.col("_n") > limit).orderBy(F.desc("_n"), "anchor").limit(CUT_GROUPS)
+    sizes = {r["anchor"] % (1 << 64): r["_n"] for r in hot.collect()}
+    if not sizes:
+        return {}
+    share = min(1.0, SAMPLES_PER_RANGE / RANGE_ROWS, CUT_KEYS / sum(sizes.values()))
     drawn = F.pmod(F.xxhash64(*KEY, "start"), F.lit(1_000_003)) < int(share * 1_000_003)
+    some = wanted.filter(drawn).join(F.broadcast(hot.select("anchor")), "anchor", "left_semi")
     cut = lambda batches: _as_arrow(_cut_pieces(length)(batches), PIECES)
-    rows = _pieces(docs, wanted.filter(drawn)).mapInArrow(cut, PIECES).select("text", "back").toPandas()
-    keys = np.sort(keys_of(list(zip(rows["text"], rows["back"], strict=True)), length).view(kind).ravel())
-    if not len(keys):
-        return np.zeros(0, kind)
-    # a border moves to the start of the group it falls in, unless the group would
-    # fill too many ranges
-    cuts, moved = keys[[len(keys) * i // ranges for i in range(1, ranges)]], []
-    prefixes = [bytes(c)[:SHORT] for c in cuts]
-    for c, p in zip(cuts, prefixes, strict=True):
-        moved.append(p if prefixes.count(p) <= WHOLE_GROUP_RANGES else bytes(c))
-    return np.unique(np.array(moved, kind))
+    rows = _pieces(texts, some).mapInArrow(cut, PIECES).select("text", "back").toPandas()
+    if not len(rows):
+        return {}
+    keys = keys_of(list(zip(rows["text"], rows["back"], strict=True)), length)
+    heads, listed, cuts = heads_of(keys), keys.view(f"S{keys.shape[1]}").ravel(), {}
+    for head, size in sizes.items():
+        own = np.sort(listed[heads == np.uint64(head)])
+        parts = min(len(own), math.ceil(size / RANGE_ROWS))
+        if parts > 1:
+            # a key that is drawn often is one class of equal stretches and cuts once
+            cuts[head] = np.unique(own[[len(own) * i // parts for i in range(1, parts)]])
+    return cuts
 
 
 def _joined_spans(firsts: np.ndarray, lasts: np.ndarray, length: int) -> list[tuple[int, int]]:
