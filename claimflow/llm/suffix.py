@@ -452,9 +452,9 @@ def _merged(length: int, ranges):
             cut_before, cut_behind = before and s == 0, behind and e == len(keys)
             if cut_before or cut_behind:
                 # neighbours beyond a border may share everything
-                ahead = np.maximum(shared[s:e], np.append(shared[s + 1 : e], length if cut_behind else 0))
-                if s == 0:
-                    ahead[0] = max(length if cut_before else 0, shared[1] if e > 1 else 0)
+                ahead = np.maximum(
+                    np.append(length if cut_before else 0, shared[s + 1 : e]), np.append(shared[s + 1 : e], length if cut_behind else 0)
+                )
                 out.append(_windows(keys[s:e], mine, np.minimum(ahead, length), length))
             elif mine["alone"].any() and e - s > GROUP_ROWS:
                 out.append(_by_orders(keys[s:e], mine, shared[s:e], length))
