@@ -54,8 +54,8 @@ LENGTH = 400
 #: Bytes of the short strings that anchors are chosen among.
 SHORT = 16
 #: Stretches sorted as one run, and held by one range of keys.
-RUN_ROWS = 20_000
-RANGE_ROWS = 20_000
+RUN_ROWS = 10_000
+RANGE_ROWS = 10_000
 SAMPLES_PER_RANGE = 20
 #: Ranges that a group of one anchor string may fill before it is cut.
 WHOLE_GROUP_RANGES = 3
@@ -296,7 +296,7 @@ SPANS = "k1 long, k2 long, first int, last int"
 PIECES = "k1 long, k2 long, start int, windows int, back int, text binary, alone boolean"
 BLOBS = "range int, shared binary, rest binary, k1 binary, k2 binary, start binary, windows binary, back binary, alone binary"
 OWN = {"k1": "i8", "k2": "i8", "start": "i4", "windows": "i4", "back": "i4", "alone": "?"}
-FOUND = "k1 long, k2 long, first int, last int, digest binary, alone boolean"
+FOUND = "k1 long, k2 long, first int, last int, d1 long, d2 long, named boolean, alone boolean"
 
 
 def _names(shape: str) -> list[str]:
@@ -336,12 +336,13 @@ class Ranges:
     def __init__(self, even: int, cuts: dict[int, np.ndarray]) -> None:
         self.even = even
         self.cuts = {}
-        self.inner: dict[int, tuple[bool, bool]] = {}
+        self.inner: dict[int, tuple[bytes | None, bytes | None]] = {}
         free = even
         for head, borders in cuts.items():
             self.cuts[head] = (free, borders)
             last = free + len(borders)
-            self.inner.update({i: (i > free, i < last) for i in range(free, last + 1)})
+            edges = [None, *[bytes(b) for b in borders], None]
+            self.inner.update({free + i: (edges[i], edges[i + 1]) for i in range(last - free + 1)})
             free = last + 1
 
     def of(self, keys: np.ndarray) -> np.ndarray:
@@ -413,7 +414,15 @@ def _sorted_runs(length: int, ranges):
 
 def _found(spans: np.ndarray) -> pd.DataFrame:
     out = pd.DataFrame(spans, columns=["k1", "k2", "first", "last"])
-    return out.assign(digest=None, alone=True)
+    return out.assign(d1=0, d2=0, named=False, alone=True)
+
+
+def _shared_with(keys: np.ndarray, border: bytes, length: int) -> np.ndarray:
+    """How many of the first ``length`` bytes behind the hash each key shares with a border."""
+    # the bytes of a border end before its trailing zeros
+    row = np.frombuffer(border.ljust(key_width(length), b"\0"), "u1")[HEAD : HEAD + length]
+    differs = keys[:, :length] != row
+    return np.where(differs.any(axis=1), differs.argmax(axis=1), length)
 
 
 def _merged(length: int, ranges):
@@ -445,17 +454,18 @@ def _merged(length: int, ranges):
         of["alone"] = alone
         shared = np.maximum(shared[firsts] - HEAD, 0)
         shared[0] = 0
-        before, behind = ranges.value.inner.get(at_range, (False, False))
+        below, above = ranges.value.inner.get(at_range, (None, None))
+        before, behind = below is not None, above is not None
         edges = np.concatenate([np.flatnonzero(shared < SHORT), [len(keys)]])
         for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             mine = {c: v[s:e] for c, v in of.items()}
             cut_before, cut_behind = before and s == 0, behind and e == len(keys)
             if cut_before or cut_behind:
-                # neighbours beyond a border may share everything
-                ahead = np.maximum(
-                    np.append(length if cut_before else 0, shared[s + 1 : e]), np.append(shared[s + 1 : e], length if cut_behind else 0)
+                # keys of other ranges lie behind a border and share no more than it does
+                reach = np.maximum(
+                    _shared_with(keys[s:e], below, length) if cut_before else 0, _shared_with(keys[s:e], above, length) if cut_behind else 0
                 )
-                out.append(_windows(keys[s:e], mine, np.minimum(ahead, length), length))
+                out.append(_by_orders(keys[s:e], mine, shared[s:e], length, reach))
             elif mine["alone"].any() and e - s > GROUP_ROWS:
                 out.append(_by_orders(keys[s:e], mine, shared[s:e], length))
             elif mine["alone"].any() and e - s > 1:
@@ -470,18 +480,20 @@ def _matched(keys: np.ndarray, of: dict, length: int) -> pd.DataFrame:
     spans = mutual(keys, of["windows"], of["back"], length)
     at = np.array([i for i, s in enumerate(spans) for _ in s if of["alone"][i]], int)
     back = np.array([p for i, s in enumerate(spans) for p in s if of["alone"][i]], int).reshape(-1, 2)
-    anchor = of["start"][at] + of["back"][at]
-    return pd.DataFrame(
-        {"k1": of["k1"][at], "k2": of["k2"][at], "first": anchor - back[:, 1], "last": anchor - back[:, 0], "digest": None, "alone": True}
-    )
+    anchor = of["start"][at].astype("i8") + of["back"][at]
+    return _found(np.stack([of["k1"][at], of["k2"][at], anchor - back[:, 1], anchor - back[:, 0]], axis=1))
 
 
-def _by_orders(keys: np.ndarray, of: dict, shared: np.ndarray, length: int) -> pd.DataFrame:
+def _by_orders(keys: np.ndarray, of: dict, shared: np.ndarray, length: int, reach: np.ndarray | None = None) -> pd.DataFrame:
     """The same for a large group, from its order in each direction.
 
     Members that agree on the ``length - o`` bytes from the anchor on are neighbours in
     the first order, those that agree on ``o`` bytes before it neighbours in the second;
     a window that begins ``o`` bytes before the anchor repeats where both agree.
+
+    Of a group that goes on in other ranges, ``reach`` is how many bytes a member can
+    share with keys there. One of each window within reach is named for the count over
+    all ranges. Windows that go on from one distance to the next are held as one span.
     """
     rear = np.ascontiguousarray(keys[:, length:])
     order = sort_rows(rear)
@@ -489,72 +501,41 @@ def _by_orders(keys: np.ndarray, of: dict, shared: np.ndarray, length: int) -> p
     ahead = np.minimum(shared, length)
     ahead[0] = 0
     near = np.maximum(ahead, np.append(ahead[1:], 0))
+    if reach is not None:
+        near = np.maximum(near, reach)
     least = np.maximum(of["back"] - of["windows"] + 1, length - near)
-    met_at, met_back = [], []
     second = np.empty(len(keys), "i8")
-    for o in range(max(0, int(least.min())), int(of["back"].max()) + 1):
+    since = np.full(len(keys), -1)
+    spans, named = [], []
+    last = int(of["back"].max())
+    for o in range(max(0, int(least.min())), last + 2):
+        met = np.zeros(len(keys), bool)
         members = np.flatnonzero((least <= o) & (o <= of["back"]))
-        if len(members) > 1:
+        if len(members):
             first = np.cumsum(ahead < length - o)
             second[order] = np.cumsum(behind < o)
             pair = first[members] * (len(keys) + 1) + second[members]
-            _, kind, n = np.unique(pair, return_inverse=True, return_counts=True)
-            met = members[n[kind] > 1]
-            met_at.append(met)
-            met_back.append(np.full(len(met), o))
-    if not met_at:
-        return _found(np.zeros((0, 4), "i8"))
-    return _runs_of_windows(of, np.concatenate(met_at), np.concatenate(met_back))
-
-
-def _windows(keys: np.ndarray, of: dict, ahead: np.ndarray, length: int) -> pd.DataFrame:
-    """Count the windows of a group in several ranges, as far as common prefixes leave them possible.
-
-    Windows at different distances from the anchor are never equal, so they are
-    counted distance by distance. Windows met once, and one of each met more often, are
-    named for the count over all ranges.
-    """
-    texts = [
-        np.concatenate([keys[i, length : length + b][::-1], keys[i, : length - b + n - 1]]).tobytes()
-        for i, (b, n) in enumerate(zip(of["back"].tolist(), of["windows"].tolist(), strict=True))
-    ]
-    least = np.maximum(of["back"] - of["windows"] + 1, length - ahead)
-    met_at, met_back, named_at, named_back, digests, counts = [], [], [], [], [], []
-    for o in range(max(0, int(least.min())), int(of["back"].max()) + 1):
-        members = np.flatnonzero((least <= o) & (o <= of["back"])).tolist()
-        starts = (of["back"][members] - o).tolist()
-        seen: dict[bytes, list[int]] = {}
-        for i, p in zip(members, starts, strict=True):
-            seen.setdefault(xxhash.xxh3_128_digest(texts[i][p : p + length]), []).append(i)
-        for digest, who in seen.items():
-            if len(who) > 1:
-                met_at += who
-                met_back += [o] * len(who)
-            named_at.append(who[0])
-            named_back.append(o)
-            digests.append(digest)
-            counts.append(len(who) == 1)
-    found = [_runs_of_windows(of, np.array(met_at, int), np.array(met_back, int))]
-    if named_at:
-        at = np.array(named_at)
-        first = of["start"][at] + of["back"][at] - np.array(named_back)
-        alone = of["alone"][at] & np.array(counts)
-        found.append(pd.DataFrame({"k1": of["k1"][at], "k2": of["k2"][at], "first": first, "last": first, "digest": digests, "alone": alone}))
-    return pd.concat(found)
-
-
-def _runs_of_windows(of: dict, at: np.ndarray, back: np.ndarray) -> pd.DataFrame:
-    """Repeated windows of members that stand for themselves, neighbours joined."""
-    own = of["alone"][at]
-    at, back = at[own], back[own]
-    order = np.lexsort((-back, at))
-    at, first = at[order], (of["start"][at] + of["back"][at] - back)[order]
-    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (first[1:] != first[:-1] + 1)])) if len(at) else np.zeros(0, int)
-    ends = np.append(new[1:], len(at)) - 1 if len(at) else new
-    at = at[new]
-    return pd.DataFrame(
-        {"k1": of["k1"][at], "k2": of["k2"][at], "first": first[new], "last": first[ends], "digest": None, "alone": True}
-    )
+            _, place, kind, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+            met[members] = n[kind] > 1
+            if reach is not None:
+                far = np.flatnonzero(reach[members[place]] >= length - o)
+                named.append(_named(keys, of, members[place[far]], n[far] == 1, o, length))
+        met &= of["alone"]
+        ended = np.flatnonzero(~met & (since >= 0))
+        anchor = of["start"][ended].astype("i8") + of["back"][ended]
+        spans.append(np.stack([of["k1"][ended], of["k2"][ended], anchor - o + 1, anchor - since[ended]], axis=1))
+        since[ended] = -1
+        since[met & (since < 0)] = o
+    return pd.concat([_found(np.concatenate(spans)) if spans else _found(np.zeros((0, 4), "i8")), *named])
+
+
+def _named(keys: np.ndarray, of: dict, who: np.ndarray, single: np.ndarray, o: int, length: int) -> pd.DataFrame:
+    """Windows that begin ``o`` bytes before the anchor, with a digest of their content."""
+    windows = np.concatenate([keys[who, length : length + o][:, ::-1], keys[who, : length - o]], axis=1)
+    digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w.tobytes()) for w in windows), "<i8").reshape(-1, 2)
+    first = of["start"][who].astype("i8") + of["back"][who] - o
+    out = _found(np.stack([of["k1"][who], of["k2"][who], first, first], axis=1))
+    return out.assign(d1=digests[:, 0], d2=digests[:, 1], named=True, alone=of["alone"][who] & single)
 
 
 # --- the operator -------------------------------------------------------------
@@ -595,10 +576,9 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shared = spark.sparkContext.broadcast(Ranges(even, _cuts(texts, wanted, met, length)))
     runs = _pieces(texts, wanted).mapInArrow(_sorted_runs(length, shared), BLOBS)
     settled = materialise(runs.groupBy("range").applyInPandas(_merged(length, shared), FOUND))
-    named = settled.filter(F.col("digest").isNotNull())
-    twice = named.groupBy("digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("digest")
-    counted = named.filter("alone").join(twice, "digest")
-    matched = settled.filter(F.col("digest").isNull()).unionByName(counted.select(*settled.columns))
+    twice = settled.filter("named").groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("d1", "d2")
+    counted = settled.filter("named AND alone").join(twice, ["d1", "d2"])
+    matched = settled.filter("NOT named").unionByName(counted.select(*settled.columns))
     return materialise(copied.unionByName(matched.select(*KEY, "first", "last")))
 
 
