@@ -55,8 +55,10 @@ LENGTH = 400
 SHORT = 16
 #: Stretches sorted as one run, and held by one range of keys.
 RUN_ROWS = 10_000
-RANGE_ROWS = 10_000
+RANGE_ROWS = 20_000
 SAMPLES_PER_RANGE = 20
+#: Rows that a range hands on together.
+PART_ROWS = 50_000
 #: Ranges that a group of one anchor string may fill before it is cut.
 WHOLE_GROUP_RANGES = 3
 #: Groups that are cut, and sampled keys for them, at most (16 MB in the driver).
@@ -417,6 +419,20 @@ def _found(spans: np.ndarray) -> pd.DataFrame:
     return out.assign(d1=0, d2=0, named=False, alone=True)
 
 
+def _in_parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of some size, so that a group's result is never held whole."""
+    held, n = [], 0
+    for frame in frames:
+        if len(frame):
+            held.append(frame)
+            n += len(frame)
+        if n >= PART_ROWS:
+            yield pd.concat(held)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held)
+
+
 def _shared_with(keys: np.ndarray, border: bytes, length: int) -> np.ndarray:
     """How many of the first ``length`` bytes behind the hash each key shares with a border."""
     # the bytes of a border end before its trailing zeros
@@ -428,11 +444,15 @@ def _shared_with(keys: np.ndarray, border: bytes, length: int) -> np.ndarray:
 def _merged(length: int, ranges):
     width = key_width(length)
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _in_parts(spans(pd.concat(frames)))
+
+    def spans(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         at_range = int(frame["range"].iloc[0])
         if at_range < 0:
             # equal stretches that the runs have met themselves
-            return _found(np.frombuffer(b"".join(frame["shared"]), "<i8").reshape(-1, 4))
+            yield _found(np.frombuffer(b"".join(frame["shared"]), "<i8").reshape(-1, 4))
+            return
         runs, own = [], []
         unpack = zstandard.ZstdDecompressor().decompress
         for row in frame.itertuples(index=False):
@@ -448,8 +468,9 @@ def _merged(length: int, ranges):
         of = {c: np.concatenate([o[c] for o in own])[at] for c in OWN}
         shared = np.array(shared)
         firsts, alone, again = _classes((shared == width) & (np.arange(len(shared)) > 0), of["alone"])
-        out = [_found(_whole(of, again))]
+        yield _found(_whole(of, again))
         keys = np.frombuffer(b"".join(picked), "u1").reshape(-1, width)[:, HEAD:]
+        del runs, picked
         of = {c: v[firsts] for c, v in of.items()}
         of["alone"] = alone
         shared = np.maximum(shared[firsts] - HEAD, 0)
@@ -465,12 +486,11 @@ def _merged(length: int, ranges):
                 reach = np.maximum(
                     _shared_with(keys[s:e], below, length) if cut_before else 0, _shared_with(keys[s:e], above, length) if cut_behind else 0
                 )
-                out.append(_by_orders(keys[s:e], mine, shared[s:e], length, reach))
+                yield from _by_orders(keys[s:e], mine, shared[s:e], length, reach)
             elif mine["alone"].any() and e - s > GROUP_ROWS:
-                out.append(_by_orders(keys[s:e], mine, shared[s:e], length))
+                yield from _by_orders(keys[s:e], mine, shared[s:e], length)
             elif mine["alone"].any() and e - s > 1:
-                out.append(_matched(keys[s:e], mine, length))
-        return pd.concat(out)
+                yield _matched(keys[s:e], mine, length)
 
     return run
 
@@ -484,7 +504,7 @@ def _matched(keys: np.ndarray, of: dict, length: int) -> pd.DataFrame:
     return _found(np.stack([of["k1"][at], of["k2"][at], anchor - back[:, 1], anchor - back[:, 0]], axis=1))
 
 
-def _by_orders(keys: np.ndarray, of: dict, shared: np.ndarray, length: int, reach: np.ndarray | None = None) -> pd.DataFrame:
+def _by_orders(keys: np.ndarray, of: dict, shared: np.ndarray, length: int, reach: np.ndarray | None = None) -> Iterator[pd.DataFrame]:
     """The same for a large group, from its order in each direction.
 
     Members that agree on the ``length - o`` bytes from the anchor on are neighbours in
@@ -506,7 +526,6 @@ def _by_orders(keys: np.ndarray, of: dict, shared: np.ndarray, length: int, reac
     least = np.maximum(of["back"] - of["windows"] + 1, length - near)
     second = np.empty(len(keys), "i8")
     since = np.full(len(keys), -1)
-    spans, named = [], []
     last = int(of["back"].max())
     for o in range(max(0, int(least.min())), last + 2):
         met = np.zeros(len(keys), bool)
@@ -519,14 +538,13 @@ def _by_orders(keys: np.ndarray, of: dict, shared: np.ndarray, length: int, reac
             met[members] = n[kind] > 1
             if reach is not None:
                 far = np.flatnonzero(reach[members[place]] >= length - o)
-                named.append(_named(keys, of, members[place[far]], n[far] == 1, o, length))
+                yield _named(keys, of, members[place[far]], n[far] == 1, o, length)
         met &= of["alone"]
         ended = np.flatnonzero(~met & (since >= 0))
         anchor = of["start"][ended].astype("i8") + of["back"][ended]
-        spans.append(np.stack([of["k1"][ended], of["k2"][ended], anchor - o + 1, anchor - since[ended]], axis=1))
+        yield _found(np.stack([of["k1"][ended], of["k2"][ended], anchor - o + 1, anchor - since[ended]], axis=1))
         since[ended] = -1
         since[met & (since < 0)] = o
-    return pd.concat([_found(np.concatenate(spans)) if spans else _found(np.zeros((0, 4), "i8")), *named])
 
 
 def _named(keys: np.ndarray, of: dict, who: np.ndarray, single: np.ndarray, o: int, length: int) -> pd.DataFrame:

@@ -82,10 +82,10 @@ def test_large_groups_like_pairs():
     shared = np.maximum(suffix.shared_prefixes(keys) - suffix.HEAD, 0)
     keys = keys[:, suffix.HEAD :]
 
-    def single(found):
-        return {(r.k1, p) for r in found.itertuples() for p in range(r.first, r.last + 1)}
+    def single(frames):
+        return {(r.k1, p) for found in frames for r in found.itertuples() for p in range(r.first, r.last + 1)}
 
-    expected = single(suffix._matched(keys, of, length))
+    expected = single([suffix._matched(keys, of, length)])
     assert expected and single(suffix._by_orders(keys, of, shared, length)) == expected
 
 
