@@ -69,26 +69,6 @@ def test_groups_cut_into_small_ranges(spark, monkeypatch):
         assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == expected
 
 
-def test_large_groups_like_pairs():
-    rng = np.random.default_rng(9)
-    length, n = 40, 60
-    texts = [bytes(rng.choice([97, 98], 24, p=[0.9, 0.1]).astype("u1")) + b"anchorstring-16b" + bytes(rng.choice([97, 98], 40, p=[0.9, 0.1]).astype("u1")) for _ in range(n)]
-    windows = rng.integers(5, 25, n)
-    pieces = [(t[: 24 + 16 + w - 1], 24) for t, w in zip(texts, windows, strict=True)]
-    keys = suffix.keys_of(pieces, length)
-    order = suffix.sort_rows(keys)
-    keys, windows = keys[order], windows[order]
-    of = {"k1": np.arange(n), "k2": np.arange(n), "start": np.zeros(n, "i4"), "windows": windows, "back": np.full(n, 24), "alone": np.ones(n, bool)}
-    shared = np.maximum(suffix.shared_prefixes(keys) - suffix.HEAD, 0)
-    keys = keys[:, suffix.HEAD :]
-
-    def single(frames):
-        return {(r.k1, p) for found in frames for r in found.itertuples() for p in range(r.first, r.last + 1)}
-
-    expected = single([suffix._matched(keys, of, length)])
-    assert expected and single(suffix._by_orders(keys, of, shared, length)) == expected
-
-
 def test_lists_of_copies_do_not_grow(spark):
     rng = random.Random(8)
     text, other = words_of(rng, 700, "abcde"), words_of(rng, 200, "fghij")
