@@ -5,6 +5,7 @@ import json
 import math
 import random
 import struct
+import time
 
 import numpy as np
 import pytest
@@ -182,6 +183,56 @@ def test_snapshot_stream_over_batches(spark, tmp_path):
     assert got == {"a": "STD", "b": "STD", "c": "STD"}
 
 
+def test_snapshot_stream_after_expiry_and_merge(spark, tmp_path):
+    """State goes with its period, a late earlier snapshot still counts, and what is read stays one row per claim."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    declared = spark.createDataFrame([], "claim string, approved timestamp_ntz, kind string, i int").schema
+    rows = [[(f"c{i}", f"2020-02-{1 + (i * 7 + n * 5) % 28:02d}", f"k{n}", i) for i in range(20)] for n in range(5)]
+    rows.append([(None, "2019-01-01", "none", 0), ("c3", None, "undated", 1)])
+    state = []
+    for n, batch in enumerate(rows):
+        df = spark.createDataFrame(batch, "claim string, approved string, kind string, i int")
+        df.withColumn("approved", F.col("approved").cast("timestamp_ntz")).coalesce(1).write.parquet(str(source / f"b{n}"))
+        stream = streams.read_stream(spark, str(source), declared, recursiveFileLookup="true", pathGlobFilter="*.parquet")
+        query = streams.first_snapshot_stream(
+            stream, "claim", "approved", ["kind"], ["i"], streams.replace_by_key(out, "claim", merge_every=2),
+            f"expiring-{tmp_path.name}", period="1 second", delay="0 seconds",
+        )
+        query.awaitTermination()
+        state.append(max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress))
+        time.sleep(1.1)
+    expected = {}
+    for claim, approved, kind, i in sum(rows, []):
+        if claim is not None:
+            expected[claim] = min(expected.get(claim, ("9", 0, "")), (approved or "", i, kind))
+    got = {r["claim"]: r["kind"] for r in streams.current_rows(spark, out, "claim").collect()}
+    assert got == {claim: kind for claim, (_, _, kind) in expected.items()}
+    assert max(state) <= 40  # of 100 rows of five periods, those of the last two
+    merged = sorted((tmp_path / "out" / "merged").iterdir(), key=lambda p: int(p.name.split("=")[1]))
+    assert 1 <= len(merged) <= 2 and spark.read.parquet(str(merged[-1])).count() == 20
+    assert len(list((tmp_path / "out" / "batches").iterdir())) < 6
+
+
+def test_merge_again_after_it_was_cut_off(spark, tmp_path):
+    """A merge without its mark is not read and is done again; a batch that runs twice changes nothing."""
+    out = str(tmp_path / "out")
+    write = streams.replace_by_key(out, "claim", merge_every=2)
+    order = streams.snapshot_order("approved", ["kind"], []).alias(streams.ORDER)
+
+    def batch(*rows):
+        return spark.createDataFrame(list(rows), "claim string, approved int, kind string").select("claim", "kind", order)
+
+    write(batch(("a", 3, "x"), ("b", 1, "y")), 0)
+    write(batch(("a", 2, "z")), 1)
+    mark = tmp_path / "out" / "merged" / "number=1" / "_SUCCESS"
+    mark.unlink()
+    write(batch(("a", 2, "z")), 1)
+    assert mark.exists()
+    write(batch(("a", 2, "z")), 1)
+    write(batch(("b", 5, "late")), 2)
+    assert {r["claim"]: r["kind"] for r in streams.current_rows(spark, out, "claim").collect()} == {"a": "z", "b": "y"}
+
+
 def test_shared_dir_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
