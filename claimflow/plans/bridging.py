@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from claimflow import fixed_values as fixed
 from claimflow.functions import categories, cleaning, scoring, tenure, text
 from claimflow.operators.encode import RareGrouper, align
-from claimflow.operators.projection import date_named, distinct_rows, eligible, quoted
-from claimflow.operators.skew import hot_keys, lookup_join
+from claimflow.operators.projection import date_named, eligible, quoted, require
+from claimflow.operators.skew import lookup_join
 from claimflow.operators.snapshots import attach_snapshot, first_snapshot
 from claimflow.operators.vocabulary import TfIdf, stem_table, term_counts
 from claimflow.session import materialise
 
 KEY = "ClaimNumber"
 DESCRIPTION = "PrimaryDiagnosisDecription"
+SNAPSHOT = ["BenefitCaseType", "DurationDate"]
 
 
 def eligible_rows(df: DataFrame) -> DataFrame:
@@ -30,9 +31,9 @@ def eligible_rows(df: DataFrame) -> DataFrame:
 
 
 def claim_features(rows: DataFrame) -> DataFrame:
-    """Distinct feature rows of the claims."""
+    """The features made of the columns of each row."""
     code = F.col("PrimaryDiagnosisCode")
-    return distinct_rows(rows, fixed.BRIDGING_COLUMNS).withColumns(
+    return rows.withColumns(
         {
             "SIC_category": categories.sic_division(F.col("SICCode")),
             "pd_code_1": categories.code_part(code, 0, "na.na"),
@@ -50,17 +51,28 @@ def short_term_snapshots(rows: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
 
     The benefit type is tested on the chosen snapshot, never before choosing.
     """
-    first = first_snapshot(rows, KEY, "ApprovalDate", ["BenefitCaseType", "DurationDate"], tiebreak)
+    return _short_term(first_snapshot(rows, KEY, "ApprovalDate", SNAPSHOT, tiebreak))
+
+
+def _short_term(first: DataFrame) -> DataFrame:
     return first.filter(F.col("BenefitCaseType") == fixed.BRIDGING_BENEFIT_TYPE).select(
         KEY, F.col("DurationDate").alias("first_duration_date")
     )
 
 
 def bridging_features(df: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
-    rows = eligible_rows(df)
-    # counted on the rows before they are made distinct: one cheap pass over one column
-    hot = hot_keys(rows, KEY)
-    joined = attach_snapshot(claim_features(rows), short_term_snapshots(rows, tiebreak), KEY, hot=hot)
+    """Distinct feature rows of the claims beside their claim's earliest snapshot.
+
+    The input is read and its dates are parsed once: rows are reduced to distinct
+    feature rows, each with the earliest of the snapshots it stands for. That table
+    is written; the busy claims, the earliest snapshot of a claim and the join all
+    come from it.
+    """
+    rows = require(eligible_rows(df), list(dict.fromkeys([*fixed.BRIDGING_COLUMNS, "ApprovalDate", *tiebreak, *SNAPSHOT])))
+    order = F.struct(*[quoted(c).alias(f"_by{i}") for i, c in enumerate(["ApprovalDate", *tiebreak])], *map(quoted, SNAPSHOT))
+    distinct = materialise(rows.groupBy(*map(quoted, fixed.BRIDGING_COLUMNS)).agg(F.min(order).alias("_earliest")))
+    first = distinct.filter(quoted(KEY).isNotNull()).groupBy(KEY).agg(F.min("_earliest").alias("_first"))
+    joined = attach_snapshot(claim_features(distinct.drop("_earliest")), _short_term(first.select(KEY, "_first.*")), KEY)
     prognosis = tenure.initial_prognosis_days(F.col("LossDate"), F.col("first_duration_date"))
     return joined.withColumn("initial_prognosis_days", prognosis)
 
