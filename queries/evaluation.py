@@ -13,7 +13,7 @@ from claimflow.streaming import scoring as streams
 from queries import sqltext as q
 from queries.jobs import STD_SQL, std_job
 from queries.registry import query
-from queries.views import SNAPSHOT_TIEBREAK, SPARK, VIEWS, table
+from queries.views import SNAPSHOT_TIEBREAK, SPARK, VIEWS, is_small, table
 
 JUDGED = """judged AS (SELECT l.doc_id, quality AS y, toxic, d.n_chars / (d.n_chars + 2000.0::DOUBLE) AS p,
  CAST(d.n_chars / (d.n_chars + 2000.0::DOUBLE) >= 0.5 AS INT) AS yhat FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
@@ -186,9 +186,9 @@ def transaction_logins(spark, sf):
 def stream_view(spark, sf, name):
     """A bound view on a stream of the table's files."""
     source, fields = VIEWS[name]
-    schema = spark.read.parquet(f"{sf}/{source}.parquet").schema
-    cores = spark.sparkContext.defaultParallelism
-    raw = streams.read_stream(spark, sf, schema, partitions=cores, pathGlobFilter=f"{source}.parquet")
+    files = spark.read.parquet(f"{sf}/{source}.parquet")
+    cores = spark.sparkContext.defaultParallelism if is_small(files) else None
+    raw = streams.read_stream(spark, sf, files.schema, partitions=cores, pathGlobFilter=f"{source}.parquet")
     return raw.selectExpr(*[f"{x} AS {SPARK.name(c)}" for c, x in fields(SPARK).items()])
 
 

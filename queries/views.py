@@ -11,10 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from claimflow import fixed_values as fixed
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """All cores on a test table that comes in fewer unsplittable files than there are cores."""
+#: Files that hold more than this are cut by the reader and left as they lie.
+SMALL_BYTES = 64 << 20
+
+
+def is_small(df: DataFrame, small: int = SMALL_BYTES) -> bool:
+    """Whether a table read from files holds little, by the size of its files."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) <= small
+
+
+def spread(df: DataFrame, small: int = SMALL_BYTES) -> DataFrame:
+    """All cores on a small test table that comes in fewer files than there are cores.
+
+    A larger one has more than one row group. Dealing it out would send all of it through
+    a shuffle into as many tasks as there are cores, each larger the larger the table.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return df if len(df.inputFiles()) >= cores or not is_small(df, small) else df.repartition(cores)
 
 
 class Dialect:
@@ -270,7 +284,7 @@ VIEWS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Its file is one row group, so it is spread over the cores."""
+    """A test table. The file of a small one is one row group, so it is spread over the cores."""
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 

@@ -404,3 +404,11 @@ def test_tfidf_norm_and_width(spark):
     assert got[1, "a"] == pytest.approx(a / math.hypot(a, b)) and got[2, "b"] == pytest.approx(1)
     wide = {r["i"]: r for r in tfidf.wide(weights, "i", ["a", "zz"]).collect()}
     assert wide[2]["a"] == 0 and wide[1]["zz"] == 0 and wide[1]["a"] == pytest.approx(got[1, "a"])
+
+
+def test_large_tables_are_not_dealt_out(spark):
+    from queries.views import spread
+
+    table = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    plans = [spread(table, small)._jdf.queryExecution().toString() for small in (1000, 10_000_000)]
+    assert ["Repartition" in p for p in plans] == [False, True]
