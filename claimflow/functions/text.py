@@ -69,11 +69,36 @@ def phrase_flags(
     wanted = [*names, others] if only is None else [n for n in only if n in names or n == others]
     flags = {n: F.coalesce(F.contains(c, F.lit(names[n])), F.lit(False)).cast("int") for n in wanted if n in names}
     if others in wanted:
-        any_of = "|".join(re.escape(p) for p in phrases)
-        flags[others] = (~F.coalesce(c.rlike(any_of), F.lit(False))).cast("int")
+        flags[others] = (~F.coalesce(c.rlike(any_of(phrases)), F.lit(False))).cast("int")
     return flags
 
 
+def any_of(phrases: Sequence[str]) -> str:
+    """A pattern that finds any of the phrases, written as a tree of their beginnings.
+
+    A list of alternatives is tried from its start at every place of a text; in a tree a
+    place is left as soon as no phrase goes on with its letters.
+    """
+    tree: dict = {}
+    for phrase in phrases:
+        node = tree
+        for letter in phrase:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def written(node: dict) -> str:
+        # where a phrase ends, longer ones that begin with it add nothing
+        if "" in node or not node:
+            return ""
+        parts = [re.escape(letter) + written(below) for letter, below in node.items()]
+        if len(parts) == 1:
+            return parts[0]
+        firsts = "".join(re.escape(letter) for letter in node)
+        return f"(?=[{firsts}])(?:{'|'.join(parts)})"
+
+    return written(tree)
+
+
 def normalise_header(c: Column) -> Column:
     """A raw column header as a readable phrase.
 

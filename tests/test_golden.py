@@ -1,6 +1,7 @@
 """Hand-derived results of sample claims and published figures."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -282,3 +283,25 @@ def test_missing_column_is_an_error(spark):
 
     with pytest.raises(KeyError):
         require(spark.range(1), ["id", "absent"])
+
+
+def test_pattern_of_phrases_is_a_tree():
+    phrases = [*fixed.SETTLEMENT_CONDITIONS, *fixed.SETTLEMENT_ORGANS, "a.b", "a[b", "a^c", "a-d", "a&&e", "ab"]
+    pattern = text.any_of(phrases)
+    # each beginning stands once
+    assert len(pattern) < sum(map(len, phrases)) + 40 * len(phrases)
+    assert "|".join(map(re.escape, phrases)) != pattern
+    found = re.compile(pattern)
+    for phrase in phrases:
+        assert found.search(f"xx {phrase} yy")
+        for cut in (phrase[:-1], phrase[1:]):
+            assert bool(found.search(cut)) == any(p in cut for p in phrases)
+    assert text.any_of(["", "a"]) == ""
+
+
+def test_pattern_of_phrases_in_spark(spark):
+    phrases = ["back", "back pain", "a.b", "a[b", "a^c", "a-d", "a&&e", "b\\c", "tear"]
+    rows = ["my back", "bac", "a.b", "axb", "a[b", "a^c", "a-d", "a&&e", "b\\c", "tea", "a tear", "", None]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    got = [r["o"] for r in df.select(text.phrase_flags(F.col("t"), phrases, "p_")["p_others"].alias("o")).collect()]
+    assert got == [0 if r and any(p in r for p in phrases) else 1 for r in rows]
