@@ -70,14 +70,29 @@ def parse_timestamp(c: Column | str) -> Column:
     """
     c = F.col(c) if isinstance(c, str) else c
     text = c.cast("string")
-    # the usual ten characters are cut by position; the pattern serves the rest
-    padded = (F.length(text) == 10) & (F.substring(text, 3, 1) == "/") & (F.substring(text, 6, 1) == "/")
-    by_place = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 1, 2), F.substring(text, 4, 2))
     by_pattern = F.regexp_replace(text, SLASHED_DATE, "$3-$1-$2")
-    iso = F.when(padded, by_place).when(text.contains("/"), by_pattern).otherwise(text)
+    iso = F.when(text.contains("/"), by_pattern).otherwise(text)
     moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
     plain = F.when(text.rlike(WITH_OFFSET), moved).otherwise(iso.try_cast("timestamp_ntz"))
-    return F.coalesce(plain, F.when(text.rlike(r"\d"), _otherwise_spelled(F.trim(text))))
+    by_shape = F.coalesce(plain, F.when(text.rlike(r"\d"), _otherwise_spelled(F.trim(text))))
+    return F.coalesce(_by_place(text).try_cast("timestamp_ntz"), by_shape)
+
+
+def _by_place(text: Column) -> Column:
+    """ISO of the two usual spellings, told and cut by position; the patterns serve the rest.
+
+    With marks at these places and a digit at the end a text can hold no offset.
+    """
+
+    def marked(length: int, marks: dict[int, str]) -> Column:
+        found = F.length(text) == length
+        for at, mark in marks.items():
+            found = found & (F.substring(text, at, 1) == mark)
+        return found
+
+    slashed = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 1, 2), F.substring(text, 4, 2))
+    timed = marked(19, {5: "-", 8: "-", 14: ":", 17: ":"}) & F.substring(text, 19, 1).between("0", "9")
+    return F.when(marked(10, {3: "/", 6: "/"}), slashed).when(timed, text)
 
 
 def parse_number(c: Column | str, strict: bool = True) -> Column:
@@ -91,7 +106,9 @@ def parse_number(c: Column | str, strict: bool = True) -> Column:
 def blank_to_null(c: Column | str) -> Column:
     """White space only becomes NULL, other text is unchanged."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(~c.rlike(r"^\s*$"), c)
+    # a text that begins with a visible character is told without the pattern
+    visible = F.substring(c, 1, 1).between("!", "~")
+    return F.when(visible, c).when(~c.rlike(r"^\s*$"), c)
 
 
 def as_flag(c: Column | str) -> Column:

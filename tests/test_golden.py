@@ -305,3 +305,22 @@ def test_pattern_of_phrases_in_spark(spark):
     df = spark.createDataFrame([(r,) for r in rows], "t string")
     got = [r["o"] for r in df.select(text.phrase_flags(F.col("t"), phrases, "p_")["p_others"].alias("o")).collect()]
     assert got == [0 if r and any(p in r for p in phrases) else 1 for r in rows]
+
+
+def test_dates_told_by_place(spark):
+    from claimflow.functions import cleaning
+
+    rows = [
+        ("12/31/2020", "2020-12-31"), ("2020-12-31 01:02:03", "2020-12-31 01:02:03"),
+        ("2020-12-31T01:02:03", "2020-12-31T01:02:03"), ("13/31/2020", "2020-13-31"),
+        # nineteen characters that may hold an offset, and other marks
+        ("2020-1-1 1:00+05:30", None), ("2020-12-31 01:02:3Z", None), ("12/31/2020 10:20:30", None), ("1/2/2020", None), (None, None),
+    ]
+    df = spark.createDataFrame([(t,) for t, _ in rows], "t string")
+    got = df.select(cleaning._by_place(F.col("t")).alias("p"), cleaning.parse_timestamp("t").alias("d")).collect()
+    assert [r["p"] for r in got] == [p for _, p in rows]
+    day, clock = dt.datetime(2020, 12, 31), dt.datetime(2020, 12, 31, 1, 2, 3)
+    assert [r["d"] for r in got[:3]] == [day, clock, clock]
+    assert got[6]["d"] == dt.datetime(2020, 12, 31, 10, 20, 30) and got[8]["d"] is None
+    blank = spark.createDataFrame([(t,) for t in ("", "  ", "\t\n", "a ", " a", "é", None)], "t string")
+    assert [r[0] for r in blank.select(cleaning.blank_to_null("t")).collect()] == [None, None, None, "a ", " a", "é", None]
