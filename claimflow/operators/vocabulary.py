@@ -40,15 +40,37 @@ def _placed_words(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     return df.select(quoted(key).alias(key), F.inline_outer(placed))
 
 
-def _exploded(df: DataFrame, items: Column, name: str, *keys: Column) -> DataFrame:
-    """One row per item. The outer form keeps the optimizer from testing the size
-    of the list first, which would split every text twice."""
-    return df.select(*keys, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())
+def _word_numbers(listed: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of a batch of lists, and for each word met its number and its row."""
+    flat, row = listed.flatten(), pc.list_parent_indices(listed)
+    if flat.null_count:
+        row, flat = row.filter(pc.is_valid(flat)), flat.drop_null()
+    coded = flat.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype("i8"), row.to_numpy().astype("i8")
+
+
+def word_totals(df: DataFrame, lists: Column, name: str, texts: bool = False) -> DataFrame:
+    """(``name``, n): how often each word occurs, or in how many lists.
+
+    Each batch is counted as a whole before anything leaves it, so a word costs a row for
+    each batch, not for each place where it stands.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, number, row = _word_numbers(batch.column(0))
+            if texts and len(found):
+                number = np.unique(row * len(found) + number) % len(found)
+            n = np.bincount(number, minlength=len(found)).astype("i8")
+            yield pa.RecordBatch.from_arrays([found, pa.array(n)], ["token", "n"])
+
+    counted = df.select(lists.alias("_words")).mapInArrow(run, "token string, n long")
+    return counted.groupBy(F.col("token").alias(name)).agg(F.sum("n").alias("n"))
 
 
 def stem_table(df: DataFrame, text: str) -> DataFrame:
     """(token, stem) for every distinct word of the column, computed once."""
-    vocabulary = _exploded(df, words(quoted(text)), "token").distinct()
+    vocabulary = word_totals(df, words(quoted(text)), "token")
     return materialise(vocabulary.select("token", stem("token").alias("stem")))
 
 
@@ -92,10 +114,24 @@ def stem_text(df: DataFrame, key: str, text: str, name: str, held: int = HELD_EN
 
 
 def term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
-    """(key, term, n). All words of a text sit in one map task, so the shuffle
-    carries each distinct word of a text once."""
-    exploded = _exploded(df, terms, "term", quoted(key).alias(key))
-    return exploded.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+    """(key, term, n). A text is counted where it lies; only keys that several texts
+    share make the counts meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, number, row = _word_numbers(batch.column(1))
+            pair, n = np.unique(row * max(len(found), 1) + number, return_counts=True)
+            row, number = np.divmod(pair, max(len(found), 1))
+            columns = [batch.column(0).take(pa.array(row)), found.take(pa.array(number)), pa.array(n.astype("i8"))]
+            yield pa.RecordBatch.from_arrays(columns, [key, "term", "n"])
+
+    given = df.select(quoted(key).alias(key), terms.alias("_words"))
+    made = given.select(key, F.lit("").alias("term"), F.lit(1).cast("long").alias("n")).schema
+    counted = given.mapInArrow(run, made)
+    shared = given.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    if shared.isEmpty():
+        return counted
+    return counted.groupBy(key, "term").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -106,16 +142,16 @@ class TfIdf:
 
     def fit(self, df: DataFrame, key: str, terms: Column) -> "TfIdf":
         """From one row per text; texts without terms count as texts."""
-        seen = _exploded(df, F.array_distinct(terms), "term")
-        return self._weigh_terms(seen, df.count())
+        return self._weigh(word_totals(df, terms, "term", texts=True), df.count())
 
     def fit_counts(self, counts: DataFrame, key: str) -> "TfIdf":
         """From (key, term, n)."""
-        return self._weigh_terms(counts.select("term"), counts.select(key).distinct().count())
+        frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        return self._weigh(frequency, counts.select(key).distinct().count())
 
-    def _weigh_terms(self, seen: DataFrame, texts: int) -> "TfIdf":
-        frequency = seen.groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
-        weight = F.log(F.lit(1.0 + texts) / (F.lit(1.0) + F.col("texts"))) + F.lit(1.0)
+    def _weigh(self, frequency: DataFrame, texts: int) -> "TfIdf":
+        """From (term, n), n being the texts that have the term."""
+        weight = F.log(F.lit(1.0 + texts) / (F.lit(1.0) + F.col("n"))) + F.lit(1.0)
         self.idf = materialise(frequency.select("term", weight.alias("idf")))
         return self
 
@@ -141,7 +177,7 @@ class TfIdf:
 
 def build_vocabulary(df: DataFrame, terms: Column, reserved: int = 2) -> DataFrame:
     """(token, id) of all words, the most frequent first; the first ids are reserved."""
-    counted = _exploded(df, terms, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counted = word_totals(df, terms, "token")
     ranked = numbered(counted, [F.desc("n"), F.asc("token")], "place")
     return ranked.select("token", (F.col("place") + F.lit(reserved)).cast("int").alias("id"))
 

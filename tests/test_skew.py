@@ -412,3 +412,17 @@ def test_large_tables_are_not_dealt_out(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     plans = [spread(table, small)._jdf.queryExecution().toString() for small in (1000, 10_000_000)]
     assert ["Repartition" in p for p in plans] == [False, True]
+
+
+def test_words_are_counted_where_they_lie(spark):
+    rows = [(1, ["a", "b", "a"]), (2, []), (3, None), (4, ["b", None, "c"]), (None, ["a"])]
+    df = spark.createDataFrame(rows, "k long, w array<string>")
+    for texts, want in ((False, {"a": 3, "b": 2, "c": 1}), (True, {"a": 2, "b": 2, "c": 1})):
+        assert {r["t"]: r["n"] for r in vocab.word_totals(df, F.col("w"), "t", texts).collect()} == want
+    counts = vocab.term_counts(df, "k", F.col("w"))
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    want = [(1, "a", 2), (1, "b", 1), (4, "b", 1), (4, "c", 1), (None, "a", 1)]
+    assert sorted(map(tuple, counts.collect()), key=str) == sorted(want, key=str)
+    twice = vocab.term_counts(df.union(df.limit(1)), "k", F.col("w")).filter("k = 1")
+    assert sorted(map(tuple, twice.collect())) == [(1, "a", 4), (1, "b", 2)]
+    assert vocab.term_counts(df.filter("k < 0"), "k", F.col("w")).count() == 0
