@@ -225,13 +225,14 @@ def sample(labelled: DataFrame, rows: int) -> DataFrame:
     return labelled.filter(drawn < F.element_at(share, F.col("lang")))
 
 
-def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in batches:
-        for lang, part in frame.groupby("lang"):
-            found: Counter = Counter()
-            for text in part["text"]:
-                found.update(words(text))
-            yield pd.DataFrame({"lang": lang, "word": list(found), "n": list(found.values())})
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _parts(batches, "text"):
+        found: dict[str, Counter] = {}
+        for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
+            found.setdefault(lang, Counter()).update(words(text))
+        for lang, counted in found.items():
+            columns = [pa.array([lang] * len(counted), pa.string()), pa.array(list(counted), pa.string()), pa.array(counted.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -253,7 +254,7 @@ def fit(labelled: DataFrame, unseen: DataFrame, sample_rows: int = SAMPLE_ROWS)
     """
     given = ["doc_id", "text", "lang"] if "doc_id" in labelled.columns and "doc_id" in unseen.columns else ["text", "lang"]
     rows = sample(labelled.select(*given).dropna(subset=["text", "lang"]), sample_rows)
-    counted = rows.select("text", "lang").mapInPandas(_count_words, "lang string, word string, n long")
+    counted = rows.select("text", "lang").mapInArrow(_count_words, "lang string, word string, n long")
     counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     grams = counted.mapInPandas(_count_grams, "lang string, gram string, n long")
     model = build(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
@@ -266,20 +267,22 @@ def fit_on_folds(docs: DataFrame, folds: int = 4, held_out: int = 2, sample_rows
     return fit(docs.filter(at < held_out), docs.filter(at > held_out), sample_rows)
 
 
-def calibrate(model: Model, unseen: DataFrame) -> Model:
-    """Set each language's limit of cross-entropy, and its spread per letter."""
+def _measure(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _parts(batches, "text"):
+        known = part.filter(pc.is_in(part.column("lang"), pa.array(model.languages, pa.string())))
+        langs = known.column("lang").to_pylist()
+        bits, letters = model.entropies(known.column("text").to_pylist())
+        own = bits[np.arange(len(langs)), [model.languages.index(x) for x in langs]].round(9)
+        columns = [pa.array(langs, pa.string()), pa.array(own, pa.float64()), pa.array(letters, pa.int64())]
+        measured = pa.RecordBatch.from_arrays(columns, ["lang", "bits", "letters"])
+        yield measured.filter(pc.greater(measured.column("letters"), 0))
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            known = frame[frame["lang"].isin(model.languages)]
-            bits, letters = model.entropies(list(known["text"]))
-            own = bits[np.arange(len(known)), [model.languages.index(x) for x in known["lang"]]]
-            part = pd.DataFrame({"lang": known["lang"].to_numpy(), "bits": own.round(9), "letters": letters})
-            yield part[part["letters"] > 0]
 
+def calibrate(model: Model, unseen: DataFrame) -> Model:
+    """Set each language's limit of cross-entropy, and its spread per letter."""
     # equal texts measure alike and count once: neither do they rule the quantile, nor
     # does their number reach the driver
-    got = unseen.mapInPandas(measure, "lang string, bits double, letters long").distinct()
+    got = unseen.mapInArrow(lambda batches: _measure(model, batches), "lang string, bits double, letters long").distinct()
     got = got.toPandas() if model.languages else pd.DataFrame({"lang": [], "bits": [], "letters": []})
     limits, spreads = [], []
     for i, lang in enumerate(model.languages):
@@ -335,6 +338,13 @@ def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
         yield at, len(sizes) - at
 
 
+def _parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Batches in portions, so that what Python holds of them is not as large as a batch."""
+    for batch in batches:
+        for at, n in _portions(batch.column(text)):
+            yield batch.slice(at, n)
+
+
 def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of ``docs`` with lang_pred, score, cross_entropy, letters, rejected."""
     added = [c.split()[0] for c in RESULT.split(", ")]
@@ -342,11 +352,9 @@ def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, n in _portions(batch.column(text)):
-                part = batch.slice(at, n)
-                found = pa.RecordBatch.from_pandas(predict(shared.value, part.column(text).to_pylist()), preserve_index=False)
-                yield pa.RecordBatch.from_arrays([*part.columns, *found.columns], [*kept, *added])
+        for part in _parts(batches, text):
+            found = pa.RecordBatch.from_pandas(predict(shared.value, part.column(text).to_pylist()), preserve_index=False)
+            yield pa.RecordBatch.from_arrays([*part.columns, *found.columns], [*kept, *added])
 
     shape = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
     for name, kind in (c.split() for c in RESULT.split(", ")):

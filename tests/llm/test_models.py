@@ -208,3 +208,24 @@ def test_texts_are_taken_by_their_size(monkeypatch):
     texts = pa.array(["a" * 4, None, "b" * 6, "c" * 50, "", "d" * 10, "e"])
     assert list(langid._portions(texts)) == [(0, 3), (3, 1), (4, 2), (6, 1)]
     assert list(langid._portions(texts.slice(0, 0))) == []
+
+
+def test_fitting_holds_a_portion_and_not_a_batch(monkeypatch):
+    monkeypatch.setattr(langid, "CHARACTERS_AT_ONCE", 10)
+    asked = []
+
+    class Recorder:
+        languages = ["a", "b"]
+
+        def entropies(self, texts):
+            asked.append(len(texts))
+            return np.array([[float(len(t)), 1.0] for t in texts]).reshape(-1, 2), np.array([len(t) for t in texts], "i8")
+
+    batch = pa.record_batch({"text": ["abcd"] * 7 + ["", "x y"], "lang": ["a", "b", "c"] * 3})
+    got = pa.Table.from_batches(langid._measure(Recorder(), [batch])).to_pydict()
+    assert got == {"lang": ["a", "b"] * 2 + ["a"], "bits": [4.0, 1.0] * 2 + [4.0], "letters": [4] * 5}
+    assert max(asked) <= 2
+    counted = pa.Table.from_batches(langid._count_words([batch])).group_by(["lang", "word"]).aggregate([("n", "sum")])
+    assert sorted(zip(*counted.to_pydict().values(), strict=True)) == [
+        ("a", "abcd", 3), ("b", "abcd", 2), ("c", "abcd", 2), ("c", "x", 1), ("c", "y", 1),
+    ]
