@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimflow.functions.categories import is_in
+from claimflow.session import keep_compiled
 
 DATE_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -19,7 +20,8 @@ def quoted(name: str) -> Column:
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The named columns in that order; a missing one is an error."""
+    """The named columns in that order; a missing one is an error. Wide jobs begin here."""
+    keep_compiled(df.sparkSession)
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise KeyError(f"missing input columns: {missing}")

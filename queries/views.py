@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimflow import fixed_values as fixed
+from claimflow.session import keep_compiled
 
 
 #: Files that hold more than this are cut by the reader and left as they lie.
@@ -285,6 +286,7 @@ VIEWS = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table. The file of a small one is one row group, so it is spread over the cores."""
+    keep_compiled(spark)
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 

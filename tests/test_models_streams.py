@@ -20,6 +20,7 @@ from claimflow.operators.vocabulary import build_vocabulary
 from claimflow.session import shared_dir
 from claimflow.sources import readers, sinks
 from claimflow.streaming import scoring as streams
+from queries import views
 
 
 def varint(n):
@@ -341,3 +342,16 @@ def test_column_map_files(spark, tmp_path, piece):
         for k, v in kept.items():
             spark.conf.set(k, v)
     assert got == want and {r["missing"] for r in read.collect()} == {None}
+
+
+def test_wide_stages_are_compiled_in_a_session_built_elsewhere(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    plain = spark.newSession()
+    for given, kept in (("65535", "8000"), ("20000", "20000")):
+        plain.conf.set(limit, given)
+        raw = plain.range(1).select(*[F.lit(None).cast("string").alias(c) for c in STD.columns])
+        assert claims.std_features(raw).count() == 1
+        assert plain.conf.get(limit) == kept
+        plain.conf.set(limit, given)
+        views.view(plain, "/root/testdata/sf0.001", "claims")
+        assert plain.conf.get(limit) == kept
