@@ -370,65 +370,154 @@ def find_phrases(df: DataFrame, key: str, text: str, gazetteer: DataFrame, held:
     sizes = [r["n"] for r in phrases.select("n").distinct().collect()]
     bits = max(64, n * FILTER_BITS)
     holds = df.sparkSession.sparkContext.broadcast(phrase_filter(phrases, n) if n <= FILTER_PHRASES else None)
+    begins = materialise(_beginnings(phrases))
+    n_begins = begins.count()
+    begin_bits = max(64, n_begins * FILTER_BITS)
+    begun = df.sparkSession.sparkContext.broadcast(phrase_filter(begins, n_begins) if n_begins <= FILTER_PHRASES else None)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
         for batch in batches:
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                for at in _candidates_of(text, sizes, holds.value, bits):
-                    rows.append((row, *at))
-                    if len(rows) >= CANDIDATES_AT_ONCE:
-                        yield _candidate_rows(batch, rows, key)
-                        rows = []
-            yield _candidate_rows(batch, rows, key)
-            rows = []
-
-    shape = given.select(key, *[F.lit(None).cast(t).alias(c) for c, t in (("pos", "int"), ("n", "int"), ("phrase", "string"), ("words", "string"))]).schema
+            texts = batch.column(1).to_pylist()
+            for first, end in _portions(texts):
+                for part in _candidates_in(texts[first:end], sizes, holds.value, bits, begun.value, begin_bits):
+                    yield _candidate_rows(batch.column(0).slice(first), key, *part)
+
+    shape = given.select(key, *[F.lit(None).cast(t).alias(c) for c, t in (("n", "int"), ("phrase", "string"), ("pos", "array<int>"), ("words", "array<string>"))]).schema
     # written once: texts are not scanned again for hot keys and for the join
     asked = materialise(given.mapInArrow(candidates, shape))
     met = lookup_join(asked, phrases.select("phrase", "label"), ["phrase"], "inner")
-    match = F.struct("pos", (-F.col("n")).alias("minus"), "label", "words")
-    listed = met.groupBy(key).agg(F.sort_array(F.collect_list(match)).alias("_all"))
+    listed = met.groupBy(key).agg(F.collect_list(F.struct("n", "label", "pos", "words")).alias("_all"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                _longest_first((m["pos"], -m["minus"], m["label"], m["words"]) for m in matches or [])
-                for matches in batch.column(1).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, FOUND_ARROW)], [key, "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _picked(batch.column(1))], [key, "found"])
 
     return given.select(key).join(listed, key, "left").mapInArrow(pick, made)
 
 
-#: Rows of candidates that leave a task in one batch.
-CANDIDATES_AT_ONCE = 100_000
 FOUND_ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("label", pa.string()), ("words", pa.string())]))
+#: Characters of the texts whose words are numbered together.
+PORTION_CHARS = 1 << 21
+
+
+def _beginnings(phrases: DataFrame) -> DataFrame:
+    """(phrase): what longer phrases begin with, each once."""
+    split = F.split("phrase", " ")
+    ends = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda k: k > 0)
+    return phrases.select(F.explode(F.transform(ends, lambda k: F.array_join(F.slice(split, 1, k), " "))).alias("phrase")).distinct()
+
+
+def _portions(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
+    """Stretches of texts that are worked on together, as first and end."""
+    first = size = 0
+    for end, text in enumerate(texts, 1):
+        size += len(text or "")
+        if size >= PORTION_CHARS or end == len(texts):
+            yield first, end
+            first, size = end, 0
+
+
+def _maybe_any(runs: Sequence[str], held: np.ndarray | None, bits: int) -> np.ndarray:
+    """Which texts the filter does not rule out."""
+    if held is None:
+        return np.ones(len(runs), bool)
+    # the hash that Spark gave the phrases
+    return _maybe(np.array([xxhash.xxh64_intdigest(r.encode(), 42) for r in runs], "u8"), held, bits)
+
+
+def _candidates_in(
+    texts: Sequence[str | None], sizes: Sequence[int], held: np.ndarray | None, bits: int,
+    begins: np.ndarray | None = None, begin_bits: int = 64,
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[str], list[str]]]:
+    """(n, row, pos, run, runs, words) of all runs of n words that the filter does not rule out.
+
+    A run is known by its number in ``runs``, so however often it is met, it is hashed
+    once. A place is left as soon as no phrase begins with the words read from there.
+    """
+    split = [PLAIN_WORD.findall(t or "") for t in texts]
+    counts = np.fromiter(map(len, split), "i8", len(split))
+    coded = pa.array([w for listed in split for w in listed], pa.string()).dictionary_encode()
+    numbers: dict[str, int] = {}
+    same = np.array([numbers.setdefault(w.lower(), len(numbers)) for w in coded.dictionary.to_pylist()], "i8")
+    listed, word = list(numbers), same[coded.indices.to_numpy()]
+    row, first = np.repeat(np.arange(len(split)), counts), np.cumsum(counts) - counts
+    left = (first + counts)[row] - np.arange(len(word))
+    starts: dict[int, list[int]] = {}
+    place, run, runs = np.arange(len(word)), word, listed
+    for n in range(1, max(sizes, default=0) + 1):
+        if n > 1:
+            kept = _maybe_any(runs, begins, begin_bits)[run] & (left[place] >= n)
+            place = place[kept]
+            pairs, run = np.unique(run[kept] * len(listed) + word[place + n - 1], return_inverse=True)
+            runs = [f"{runs[p // len(listed)]} {listed[p % len(listed)]}" for p in pairs.tolist()]
+        if not len(place):
+            return
+        if n not in sizes:
+            continue
+        kept = _maybe_any(runs, held, bits)[run]
+        at, own = row[place[kept]], place[kept] - first[row[place[kept]]]
+        if n == 1:
+            words = coded.dictionary.take(coded.indices.take(pa.array(place[kept]))).to_pylist()
+        else:
+            words = []
+            for r, pos in zip(at.tolist(), own.tolist(), strict=True):
+                if r not in starts:
+                    starts[r] = _starts(texts[r], split[r])
+                words.append(texts[r][starts[r][pos] : starts[r][pos + n - 1] + len(split[r][pos + n - 1])])
+        yield n, at, own, run[kept], runs, words
+
+
+def _starts(text: str, words: Sequence[str]) -> list[int]:
+    """Where the words of a text start, from what stands before each of them."""
+    between = np.fromiter(map(len, PLAIN_WORD.split(text)), "i8", len(words) + 1)[:-1]
+    sizes = np.fromiter(map(len, words), "i8", len(words))
+    return (np.cumsum(between) + np.cumsum(sizes) - sizes).tolist()
 
 
 def _candidates_of(text: str | None, sizes: Sequence[int], held: np.ndarray | None, bits: int) -> Iterator[tuple[int, int, str, str]]:
-    """(pos, words, phrase, text) of all runs of words that the filter does not rule out."""
-    spans = _spans(text)
-    listed = [w for _, _, w in spans]
-    for n in sizes:
-        for at in range(0, len(spans) - n + 1, CANDIDATES_AT_ONCE):
-            runs = [" ".join(listed[pos : pos + n]) for pos in range(at, min(at + CANDIDATES_AT_ONCE, len(spans) - n + 1))]
-            if held is None:
-                kept = range(len(runs))
-            else:
-                # the hash that Spark gave the phrases
-                hashes = np.array([xxhash.xxh64_intdigest(r.encode(), 42) for r in runs], "u8")
-                kept = np.flatnonzero(_maybe(hashes, held, bits)).tolist()
-            for i in kept:
-                pos = at + i
-                yield pos, n, runs[i], text[spans[pos][0] : spans[pos + n - 1][1]]
-
-
-def _candidate_rows(batch: pa.RecordBatch, rows: list[tuple], key: str) -> pa.RecordBatch:
-    at = pa.array([r[0] for r in rows], pa.int64())
-    kinds = (pa.int32(), pa.int32(), pa.string(), pa.string())
-    columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds, 1)]
-    return pa.RecordBatch.from_arrays([batch.column(0).take(at), *columns], [key, "pos", "n", "phrase", "words"])
+    """(pos, words, phrase, text) of the runs of one text."""
+    for n, _, own, run, runs, words in _candidates_in([text], sizes, held, bits):
+        yield from zip(own.tolist(), [n] * len(own), [runs[r] for r in run.tolist()], words, strict=True)
+
+
+def _lists(values: pa.Array, starts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+
+
+def _candidate_rows(
+    keys: pa.Array, key: str, n: int, row: np.ndarray, pos: np.ndarray, run: np.ndarray, runs: list[str], words: list[str]
+) -> pa.RecordBatch:
+    """One row for each text and run met in it, with all places."""
+    pair = row * len(runs) + run
+    order = np.argsort(pair, kind="stable")
+    _, starts = np.unique(pair[order], return_index=True)
+    one = order[starts]
+    columns = [
+        keys.take(pa.array(row[one])), pa.array(np.full(len(one), n), pa.int32()),
+        pa.array([runs[r] for r in run[one].tolist()], pa.string()),
+        _lists(pa.array(pos[order], pa.int32()), starts), _lists(pa.array(words, pa.string()).take(pa.array(order)), starts),
+    ]
+    return pa.RecordBatch.from_arrays(columns, [key, "n", "phrase", "pos", "words"])
+
+
+def _picked(listed: pa.Array) -> pa.Array:
+    """From all matches of each text, as (n, label, places, words), those that overlap none before them."""
+    met, row = listed.flatten(), pc.list_parent_indices(listed).to_numpy()
+    n, label, places, words = met.flatten()
+    own, pos = pc.list_parent_indices(places).to_numpy(), places.flatten().to_numpy()
+    row, n, words = row[own], n.to_numpy()[own], words.flatten()
+    order = np.lexsort((-n, pos, row))
+    kept, at, end = [], -1, 0
+    for i, r, p, size in zip(order.tolist(), row[order].tolist(), pos[order].tolist(), n[order].tolist(), strict=True):
+        if r != at:
+            at, end = r, 0
+        if p >= end:
+            kept.append(i)
+            end = p + size
+    kept = np.array(kept, "i8")
+    columns = [pa.array(pos[kept], pa.int32()), label.take(pa.array(own[kept])), words.take(pa.array(kept))]
+    found = pa.StructArray.from_arrays(columns, fields=list(FOUND_ARROW.value_type))
+    return _lists(found, np.searchsorted(row[kept], np.arange(len(listed)))).cast(FOUND_ARROW)
 
 
 def extract_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame, held: int = HELD_ENTRIES) -> DataFrame:

@@ -426,3 +426,28 @@ def test_words_are_counted_where_they_lie(spark):
     twice = vocab.term_counts(df.union(df.limit(1)), "k", F.col("w")).filter("k = 1")
     assert sorted(map(tuple, twice.collect())) == [(1, "a", 4), (1, "b", 2)]
     assert vocab.term_counts(df.filter("k < 0"), "k", F.col("w")).count() == 0
+
+
+def test_runs_of_words_are_hashed_once_and_left_early(spark, monkeypatch):
+    """Each run of words is hashed once for all texts, and only where a phrase may go on."""
+    phrases = spark.createDataFrame([("a b c", 3), ("d", 1)], "phrase string, n int")
+    begins = vocab._beginnings(phrases)
+    assert sorted(r["phrase"] for r in begins.collect()) == ["a", "a b"]
+    filters = [(vocab.phrase_filter(t.select("phrase"), 2), 64) for t in (phrases, begins)]
+    hashed = []
+    real = vocab.xxhash.xxh64_intdigest
+    monkeypatch.setattr(vocab.xxhash, "xxh64_intdigest", lambda b, seed: hashed.append(b.decode()) or real(b, seed))
+    texts = ["A b x d", None, "", "x a  B-c d D " * 50]
+    met = {}
+    for n, row, pos, run, runs, words in vocab._candidates_in(texts, [1, 3], *filters[0], *filters[1]):
+        for r, p, u, w in zip(row.tolist(), pos.tolist(), run.tolist(), words, strict=True):
+            met.setdefault((runs[u], w), []).append((r, p))
+    assert met["a b c", "a  B-c"] == [(3, 6 * i + 1) for i in range(50)]
+    assert met["d", "D"] == [(3, 6 * i + 5) for i in range(50)] and met["d", "d"][0] == (0, 3)
+    assert len(hashed) <= 2 * (len({"a", "b", "x", "d", "c"}) + 3) and hashed.count("a b c") == 1
+    # a text sends one row for each phrase, with all its places
+    gazetteer = spark.createDataFrame([("d", "X"), ("a b c", "Y")], "phrase string, label string")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: [tuple(m) for m in r["found"]] for r in vocab.find_phrases(df, "i", "t", gazetteer, 0).collect()}
+    both = [(6 * i + p, x, w) for i in range(50) for p, x, w in ((1, "Y", "a  B-c"), (4, "X", "d"), (5, "X", "D"))]
+    assert got == {0: [(3, "X", "d")], 1: [], 2: [], 3: both}
