@@ -1,15 +1,15 @@
 """Text jobs that need a dictionary: stems, TF-IDF, token ids, entities.
 
 A dictionary that was counted to be small is looked up where the texts lie, batch by
-batch, without a shuffle. A larger one is joined: words are exploded, joined to the
-table, and gathered by text again. A text is one input row, so what is gathered is
-never larger than that row, however long the table is.
+batch, without a shuffle. For a larger one, texts are written as numbers of words, and
+each block of neighbouring texts asks for its distinct words by a join; the answers meet
+the texts by block. A block holds about a million words, however long the table is.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,10 +35,97 @@ PLAIN_WORD = re.compile(r"[^\W_]+")
 HELD_ENTRIES, HELD_BYTES = 500_000, 64 << 20
 
 
-def _placed_words(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """(key, pos, token) for every word; a text without words keeps one empty row."""
-    placed = F.transform(tokens, lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
-    return df.select(quoted(key).alias(key), F.inline_outer(placed))
+#: Words of the texts that are numbered together, and the bytes that count as a word before texts are split.
+BLOCK_WORDS, WORD_BYTES = 1 << 20, 6
+
+
+def coded_texts(
+    df: DataFrame, key: str, given: Column, clean: Callable[[Column], Column] | None = None, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """(key, block, codes, words, n): a written table of texts as numbers of words.
+
+    ``given`` has lists of words, or texts whose words stand between white space. Neighbouring
+    texts form a block; its first row has its distinct words and how often each occurs in it,
+    and a word's code is its place among them, -1 for NULL. So texts are split once for all
+    that is asked of their words, and a block asks for a word once. ``clean`` is what becomes
+    of a word; where nothing is left there is no word, and NULL stands among ``words``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            own = batch.column(1)
+            of_words = pa.types.is_list(own.type)
+            size = pc.list_value_length(own) if of_words else pc.divide(pc.binary_length(own), WORD_BYTES)
+            size = pc.fill_null(size, 0).to_numpy().astype("i8")
+            stretch = (np.cumsum(size) - size) // block_words
+            starts = np.flatnonzero(np.diff(stretch, prepend=-1)).tolist()
+            for first, end in zip(starts, [*starts[1:], len(size)], strict=True):
+                part, met = own.slice(first, end - first), size[first:end]
+                if not of_words:
+                    split = [text.split() if text else [] for text in part.to_pylist()]
+                    met = np.fromiter(map(len, split), "i8", len(split))
+                    part = pa.array([word for listed in split for word in listed], pa.string())
+                coded = (part.flatten() if of_words else part).dictionary_encode()
+                codes = pc.fill_null(coded.indices, -1)
+                n = np.bincount(codes.to_numpy() + 1, minlength=len(coded.dictionary) + 1)[1:]
+                once = pa.array([0, *[len(n)] * (end - first)], pa.int32())
+                columns = [
+                    batch.column(0).slice(first, end - first), pa.array(np.full(end - first, block)),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(met)), pa.int32()), codes),
+                    pa.ListArray.from_arrays(once, coded.dictionary), pa.ListArray.from_arrays(once, pa.array(n.astype("i8"))),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, [key, "block", "codes", "words", "n"])
+                block += 1
+
+    asked = df.select(quoted(key).alias(key), given.alias("_words"))
+    empty = {"block": "long", "codes": "array<int>", "words": "array<string>", "n": "array<long>"}
+    made = asked.select(key, *[F.lit(None).cast(t).alias(c) for c, t in empty.items()]).schema
+    coded = asked.mapInArrow(run, made)
+    if clean is not None:
+        coded = coded.withColumn("words", F.transform(F.transform("words", clean), lambda w: F.nullif(w, F.lit(""))))
+    return materialise(coded)
+
+
+def coded_totals(coded: DataFrame) -> DataFrame:
+    """(token, n): how often each word occurs in coded texts."""
+    counted = coded.select(F.inline(F.arrays_zip(F.col("words").alias("token"), F.col("n").alias("n"))))
+    return counted.filter("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def _answered(
+    coded: DataFrame, key: str, table: DataFrame, value: str, name: str, kind: str, shape, held: int
+) -> DataFrame:
+    """(key, name): coded texts turned into ``kind`` by a table of (token, value).
+
+    Words are asked for once by each block, so no word can be more frequent than blocks
+    are many, and the join needs no salt.
+    """
+    item = pa.string() if kind == "string" else pa.int32()
+    asked = coded.select(F.col("block").alias("asker"), F.posexplode("words").alias("code", "token"))
+    table = F.broadcast(table) if fits_broadcast(table, held, HELD_BYTES) else table
+    found = asked.join(table, "token").select("asker", "code", value, F.lit(False).alias("gone"))
+    none = F.lit(None).cast(table.schema[value].dataType).alias(value)
+    found = found.union(asked.filter("token IS NULL").select("asker", "code", none, F.lit(True).alias("gone")))
+
+    def fill(texts: pa.Table, words: pa.Table) -> pa.Table:
+        codes, code = texts.column("codes").combine_chunks(), words.column("code").to_numpy()
+        flat, row = codes.flatten().to_numpy(), pc.list_parent_indices(codes).to_numpy()
+        # a code of -1 reads the last entry, which no word has
+        last = max(flat.max(initial=-1), code.max(initial=-1)) + 1
+        at, gone = np.full(last + 1, -1, "i8"), np.zeros(last + 1, bool)
+        at[code], gone[code] = np.arange(len(code)), words.column("gone").to_numpy()
+        kept = ~gone[flat]
+        places, sizes = at[flat[kept]], np.bincount(row[kept], minlength=len(codes))
+        known = words.column(value).combine_chunks().cast(item).take(pa.array(places, mask=places < 0))
+        gathered = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), shape(known))
+        if kind == "string":
+            gathered = pc.binary_join(gathered, " ")
+        return pa.Table.from_arrays([texts.column(key), gathered], [key, name])
+
+    texts = coded.select(key, "block", "codes")
+    made = coded.select(F.lit(None).cast(kind).alias(name)).schema
+    return texts.groupBy("block").cogroup(found.groupBy("asker")).applyInArrow(fill, StructType([texts.schema[key], made[0]]))
 
 
 def _word_numbers(listed: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -102,15 +190,9 @@ def _looked_up(df: DataFrame, key: str, lists: Column, held: list, name: str, ki
 
 def stem_text(df: DataFrame, key: str, text: str, name: str, held: int = HELD_ENTRIES) -> DataFrame:
     """(key, name): the words of each text replaced by their stems, in order."""
-    stems = stem_table(df, text)
-    if fits_broadcast(stems, held, HELD_BYTES):
-        return _looked_up(df, key, words(quoted(text)), stems.collect(), name, "string", lambda found: found)
-    placed = _placed_words(df, key, words(quoted(text)))
-    stemmed = lookup_join(placed, stems, ["token"])
-    gathered = F.sort_array(
-        F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "stem")))
-    )
-    return stemmed.groupBy(key).agg(F.array_join(F.transform(gathered, lambda s: s["stem"]), " ").alias(name))
+    coded = coded_texts(df, key, quoted(text).cast("string"))
+    stems = materialise(coded_totals(coded).select("token", stem("token").alias("stem")))
+    return _answered(coded, key, stems, "stem", name, "string", lambda found: found, held)
 
 
 def term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
@@ -177,7 +259,11 @@ class TfIdf:
 
 def build_vocabulary(df: DataFrame, terms: Column, reserved: int = 2) -> DataFrame:
     """(token, id) of all words, the most frequent first; the first ids are reserved."""
-    counted = word_totals(df, terms, "token")
+    return ranked_words(word_totals(df, terms, "token"), reserved)
+
+
+def ranked_words(counted: DataFrame, reserved: int = 2) -> DataFrame:
+    """(token, id) from (token, n), the most frequent first; the first ids are reserved."""
     ranked = numbered(counted, [F.desc("n"), F.asc("token")], "place")
     return ranked.select("token", (F.col("place") + F.lit(reserved)).cast("int").alias("id"))
 
@@ -190,10 +276,14 @@ def token_ids(
     if fits_broadcast(vocabulary, held, HELD_BYTES):
         known = lambda found: pc.fill_null(found, unknown)
         return _looked_up(df, key, terms, vocabulary.collect(), "ids", "array<int>", known)
-    found = lookup_join(_placed_words(df, key, terms), vocabulary, ["token"])
-    entry = F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id"))
-    gathered = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), entry)))
-    return found.groupBy(key).agg(F.transform(gathered, lambda s: s["id"]).alias("ids"))
+    return coded_ids(coded_texts(df, key, terms), key, vocabulary, unknown, held)
+
+
+def coded_ids(coded: DataFrame, key: str, vocabulary: DataFrame, unknown: int = 1, held: int = HELD_ENTRIES) -> DataFrame:
+    """(key, ids) of coded texts, ``unknown`` for words outside the vocabulary."""
+    known = lambda found: pc.fill_null(found, unknown)
+    listed = materialise(vocabulary.select("token", F.col("id").cast("int").alias("id")))
+    return _answered(coded, key, listed, "id", "ids", "array<int>", known, held)
 
 
 FOUND = "array<struct<pos:int,label:string,words:string>>"

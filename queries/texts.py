@@ -159,9 +159,9 @@ TOKEN_IDS_SQL = f"""WITH listed AS (SELECT doc_id, {DOC_WORDS} AS words FROM doc
 
 
 def numbered_words(spark, sf, **how):
-    documents = table(spark, sf, "documents").select("doc_id", document_words().alias("words"))
-    vocabulary = vocab.build_vocabulary(documents, F.col("words"))
-    ids = vocab.token_ids(documents, "doc_id", F.col("words"), vocabulary, **how)
+    cleaned = lambda w: text.strip_punctuation(F.lower(w))
+    coded = vocab.coded_texts(table(spark, sf, "documents"), "doc_id", F.col("text"), cleaned)
+    ids = vocab.coded_ids(coded, "doc_id", vocab.ranked_words(vocab.coded_totals(coded)), **how)
     return ids.select("doc_id", F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"))
 
 

@@ -451,3 +451,33 @@ def test_runs_of_words_are_hashed_once_and_left_early(spark, monkeypatch):
     got = {r["i"]: [tuple(m) for m in r["found"]] for r in vocab.find_phrases(df, "i", "t", gazetteer, 0).collect()}
     both = [(6 * i + p, x, w) for i in range(50) for p, x, w in ((1, "Y", "a  B-c"), (4, "X", "d"), (5, "X", "D"))]
     assert got == {0: [(3, "X", "d")], 1: [], 2: [], 3: both}
+
+
+def test_texts_are_split_once_and_ask_once_for_a_word(spark, monkeypatch):
+    """Blocks of few words: every block asks for a word once, and ids and stems stay in place."""
+    rng = random.Random(4)
+    words = ["Hopes", "hoped", "a-b", "--", "Σας", "x y", "running", "run."]
+    rows = [(i, rng.choice(["  ", "\t", " "]).join(rng.choice(words) for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    df = spark.createDataFrame([*rows, (60, None), (61, " -- "), (62, "")], "i int, t string").repartition(3)
+    clean = lambda c: F.regexp_replace(F.lower(c), "[-.]", "")
+    listed = {i: [w for w in re.sub("[-.]", "", (t or "").lower()).split() if w] for i, t in [*rows, (60, None), (61, " -- "), (62, "")]}
+    coded = vocab.coded_texts(df, "i", F.col("t"), clean, block_words=50)
+    assert coded.select("block").distinct().count() > 6
+    totals = collections.Counter(w for x in listed.values() for w in x)
+    assert {r["token"]: r["n"] for r in vocab.coded_totals(coded).collect()} == totals
+    asked = coded.select("block", F.explode("words").alias("w")).filter("w IS NOT NULL")
+    assert asked.count() < sum(totals.values()) / 2
+    known = {w: i + 2 for i, (w, _) in enumerate(sorted(totals.items(), key=lambda x: (-x[1], x[0])))}
+    vocabulary = vocab.ranked_words(vocab.coded_totals(coded)).filter("token <> 'hoped'")
+    for held in (1000, 0):
+        got = {r["i"]: r["ids"] for r in vocab.coded_ids(coded, "i", vocabulary, held=held).collect()}
+        assert got == {i: [1 if w == "hoped" else known[w] for w in x] for i, x in listed.items()}
+    lists = spark.createDataFrame([(1, ["a", None, "b", "a"]), (2, None), (3, []), (4, ["", "zz"])], "i int, w array<string>")
+    numbers = spark.createDataFrame([("a", 7), ("", 8), ("b", 9)], "token string, id int")
+    want = {1: [7, 1, 9, 7], 2: [], 3: [], 4: [8, 1]}
+    for held in (1000, 0):
+        assert {r["i"]: r["ids"] for r in vocab.token_ids(lists, "i", F.col("w"), numbers, held=held).collect()} == want
+    stems = {r["i"]: r["s"] for r in vocab.stem_text(df, "i", "t", "s", held=0).collect()}
+    from claimflow.functions.stemming import stem_word
+
+    assert stems == {i: " ".join(stem_word(w) for w in (t or "").split()) for i, t in [*rows, (60, None), (61, " -- "), (62, "")]}
