@@ -82,27 +82,42 @@ def clean_description(c: Column, stopwords: Sequence[str]) -> Column:
     return text.strip_punctuation(text.remove_stopwords(c, stopwords))
 
 
-def description_stems(features: DataFrame, stopwords: Sequence[str]) -> DataFrame:
+def _given() -> Column:
+    """A description as it was given; one that is missing reads like the text that stands for it."""
+    return F.coalesce(F.col(DESCRIPTION), F.lit("_na_")).alias("_given")
+
+
+def described(features: DataFrame, stopwords: Sequence[str]) -> DataFrame:
+    """(_given, text_key, cleaned): every different description, cleaned once, as a written table."""
+    cleaned = clean_description(F.col("_given"), stopwords).alias("cleaned")
+    texts = features.select(_given()).distinct().select("_given", cleaned)
+    return materialise(texts.select("_given", F.md5("cleaned").alias("text_key"), "cleaned"))
+
+
+def description_stems(features: DataFrame, stopwords: Sequence[str], given: DataFrame | None = None) -> DataFrame:
     """(text_key, term, n): how often each stem occurs in each distinct description.
 
     Descriptions repeat, so text work is done once per description, not per
-    claim; the table is kept, as fitting and scoring both need it.
+    claim; the table is kept, as fitting and scoring both need it. ``given`` is the
+    table of descriptions, if the caller has it already.
     """
-    cleaned = clean_description(F.col(DESCRIPTION), stopwords)
-    texts = features.select(cleaned.alias("cleaned")).distinct().select(F.md5("cleaned").alias("text_key"), "cleaned")
+    given = described(features, stopwords) if given is None else given
+    texts = materialise(given.select("text_key", "cleaned").distinct())
     counts = term_counts(texts, "text_key", text.words(F.col("cleaned"))).withColumnRenamed("term", "token")
     stems = lookup_join(counts, stem_table(texts, "cleaned"), ["token"])
     return materialise(stems.groupBy("text_key", F.col("stem").alias("term")).agg(F.sum("n").alias("n")))
 
 
 def add_terms(
-    features: DataFrame, stems: DataFrame, tfidf: TfIdf, terms: Sequence[str], stopwords: Sequence[str]
+    features: DataFrame, stems: DataFrame, tfidf: TfIdf, terms: Sequence[str], stopwords: Sequence[str],
+    given: DataFrame | None = None,
 ) -> DataFrame:
     """Append one weight column per listed term."""
+    given = described(features, stopwords) if given is None else given
     wide = tfidf.wide(tfidf.weigh(stems, "text_key"), "text_key", terms)
-    keyed = features.withColumn("text_key", F.md5(clean_description(F.col(DESCRIPTION), stopwords)))
-    joined = lookup_join(keyed, wide, ["text_key"])
-    return joined.fillna(0.0, subset=list(terms)).drop("text_key")
+    weights = materialise(given.select("_given", "text_key").join(wide, "text_key").drop("text_key"))
+    joined = lookup_join(features.withColumn("_given", _given()), weights, ["_given"])
+    return joined.fillna(0.0, subset=list(terms)).drop("_given")
 
 
 def score_bridging(

@@ -502,9 +502,10 @@ BRIDGING_SQL = q.with_views(["snapshots"], q.BRIDGING_FEATURES, f"""features AS
 @query("bridging", BRIDGING_SQL)
 def bridging_claims(spark, sf):
     features = materialise(bridging.bridging_features(view(spark, sf, "snapshots"), SNAPSHOT_TIEBREAK))
-    stems = bridging.description_stems(features, STOPWORDS)
+    given = bridging.described(features, STOPWORDS)
+    stems = bridging.description_stems(features, STOPWORDS, given)
     tfidf = TfIdf().fit_counts(stems, "text_key")
-    worded = bridging.add_terms(features, stems, tfidf, BRIDGING_TERMS, STOPWORDS)
+    worded = bridging.add_terms(features, stems, tfidf, BRIDGING_TERMS, STOPWORDS, given)
     filled = worded.fillna(0.0, subset=list(BRIDGING_SMALL))
     grouper = RareGrouper(20).fit(features, fixed.BRIDGING_CATEGORICAL)
     model = models.LinearModel(BRIDGING_WEIGHTS, -0.5)

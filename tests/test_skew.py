@@ -481,3 +481,25 @@ def test_texts_are_split_once_and_ask_once_for_a_word(spark, monkeypatch):
     from claimflow.functions.stemming import stem_word
 
     assert stems == {i: " ".join(stem_word(w) for w in (t or "").split()) for i, t in [*rows, (60, None), (61, " -- "), (62, "")]}
+
+
+def test_a_description_is_cleaned_once_not_for_each_claim(spark):
+    from claimflow.plans import bridging
+
+    texts = ["Low back pain", None, "_na_", "", "pain, low", "the Pain"]
+    rows = [(i, texts[i % len(texts)]) for i in range(60)]
+    features = spark.createDataFrame(rows, f"i int, {bridging.DESCRIPTION} string")
+    given = bridging.described(features, ["the"])
+    assert {r["_given"]: r["cleaned"] for r in given.collect()} == {
+        "Low back pain": "Low back pain", "_na_": "_na_", "": "", "pain, low": "pain low", "the Pain": "Pain"
+    }
+    stems = bridging.description_stems(features, ["the"])
+    tfidf = vocab.TfIdf().fit_counts(stems, "text_key")
+    worded = bridging.add_terms(features, stems, tfidf, ["pain", "low", "_na_", "zz"], ["the"])
+    assert "regexp_replace" not in worded._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["i"]: r for r in worded.collect()}
+    assert len(got) == 60 and set(worded.columns) == {*features.columns, "pain", "low", "_na_", "zz"}
+    assert got[1]["_na_"] == got[2]["_na_"] == 1.0 and got[3]["pain"] == 0.0 and got[5]["pain"] == 1.0
+    for i, r in got.items():
+        assert [r[c] for c in worded.columns[2:]] == [got[i % 6][c] for c in worded.columns[2:]]
+        assert (r["low"] > 0) == (i % 6 in (0, 4)) and r["zz"] == 0.0 and r[bridging.DESCRIPTION] == texts[i % 6]
