@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimflow.operators.projection import quoted, require
+from claimflow.operators.skew import lookup_join
 from claimflow.session import materialise
 
 
@@ -87,7 +88,7 @@ ENTRY = rf"(?s)^\s*+(?:\{{\s*+)?(?:({QUOTED})\s*+:\s*+\{{\s*+)?(?:({QUOTED})\s*+
 
 def _quotes(piece: Column) -> Column:
     """How many quotes of a piece open or close a text."""
-    bare = F.regexp_replace(piece, r"\\.", "")
+    bare = F.when(F.contains(piece, F.lit("\\")), F.regexp_replace(piece, r"\\.", "")).otherwise(piece)
     return F.length(bare) - F.length(F.translate(bare, '"', ""))
 
 
@@ -108,9 +109,12 @@ def read_column_maps(spark: SparkSession, path: str, schema: T.StructType | str,
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     place = ["_file", "_block"]
-    meta = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
+    meta = F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")
     lines = spark.read.option("lineSep", ",").text(path).select("value", *meta)
-    pieces = materialise(lines.withColumn("_at", F.monotonically_increasing_id()).withColumn("_quotes", _quotes(F.col("value"))))
+    named = materialise(lines.withColumn("_at", F.monotonically_increasing_id()).withColumn("_quotes", _quotes(F.col("value"))))
+    # pieces go by the number of their file: sorts would compare long paths that begin alike
+    files = materialise(named.select("_path").distinct().withColumn("_file", F.monotonically_increasing_id()))
+    pieces = lookup_join(named, files, ["_path"], "inner").drop("_path")
 
     # one row for each block of a file from here ...
     blocks = pieces.groupBy(*place).agg(F.sum("_quotes").alias("_quotes"))
@@ -141,6 +145,7 @@ def read_column_maps(spark: SparkSession, path: str, schema: T.StructType | str,
     entries = counted.filter("_whole").select("value", *place, "_n").unionByName(mended)
 
     group = [F.regexp_extract("value", ENTRY, i) for i in (1, 2, 3)]
+    group[0] = F.when(F.contains("value", F.lit("{")), group[0]).otherwise("")  # a head ends in a brace
     split = entries.select(*place, "_n", group[0].alias("_head"), group[1].alias("_key"), group[2].alias("_value"))
     split = split.withColumn("_head", F.nullif("_head", F.lit("")))
     upto = Window.partitionBy(*place).orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -151,7 +156,8 @@ def read_column_maps(spark: SparkSession, path: str, schema: T.StructType | str,
     entry = F.concat(F.coalesce("_head", "_before"), F.lit(":"), F.trim("_value"))
     rows = told.groupBy("_file", "_key").agg(F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ","), F.lit("}")).alias("_row"))
     number = F.regexp_replace("_key", '"', "").cast("long").alias(index)
-    read = rows.select(F.col("_file").alias("batch"), number, F.from_json("_row", schema).alias("_row"))
+    rows = lookup_join(rows, files, ["_file"], "inner")
+    read = rows.select(F.col("_path").alias("batch"), number, F.from_json("_row", schema).alias("_row"))
     return read.select("batch", index, *[F.col("_row")[c].alias(c) for c in schema.names])
 
 

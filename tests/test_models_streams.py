@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import math
 import random
+import re
 import struct
 import time
 
@@ -355,3 +356,15 @@ def test_wide_stages_are_compiled_in_a_session_built_elsewhere(spark):
         plain.conf.set(limit, given)
         views.view(plain, "/root/testdata/sf0.001", "claims")
         assert plain.conf.get(limit) == kept
+
+
+def test_column_map_files_are_told_by_number(spark, tmp_path):
+    """Entries meet by the number of their file; each row still names its own file."""
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.json").write_text('{"t": {"1": "%s, {\\"x\\": \\\\", "2": null}, "n": {"2": 5}}' % name)
+    read = readers.read_column_maps(spark, str(tmp_path), "t string, n long")
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[_file#\d+L", plan) and not re.search(r"Aggregate \[[^\]]*_path", plan)
+    got = sorted((r["batch"].split("/")[-1], r["index"], r["t"], r["n"]) for r in read.collect())
+    assert [g[:2] for g in got] == [("one.json", 1), ("one.json", 2), ("two.json", 1), ("two.json", 2)]
+    assert [g[2:] for g in got] == [('one, {"x": \\', None), (None, 5), ('two, {"x": \\', None), (None, 5)]
